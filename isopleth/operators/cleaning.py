@@ -49,8 +49,8 @@ def squeeze_level(
         return df
     order = order_col or names[0]
     rest = [c for c in df.columns if c not in keys and c not in names and c != order]
-    first = F.min_by(F.struct(*rest), F.col(order)).alias("first")
-    return df.groupBy(*keys).agg(first).select(*keys, *[F.col(f"first.{c}").alias(c) for c in rest])
+    # one min_by per column keeps the buffers flat, so this stays a hash aggregation
+    return df.groupBy(*keys).agg(*[F.min_by(c, order).alias(c) for c in rest])
 
 
 def time_slice(

@@ -20,9 +20,9 @@ def concat_steps(parts: Sequence[DataFrame], keys: Sequence[str] = ("time", "lat
     """
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     rest = [c for c in rows.columns if c not in keys]
-    once = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.any_value(F.struct(*rest)).alias("row"))
-    checked = F.when(F.col("n") > 1, F.raise_error(F.lit("a cell occurs twice in one step"))).otherwise(F.col("row"))
-    return once.withColumn("row", checked).select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest])
+    once = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.any_value(c).alias(c) for c in rest])
+    twice = F.raise_error(F.lit("a cell occurs twice in one step")).cast("boolean")
+    return once.where(F.when(F.col("__n") > 1, twice).otherwise(True)).drop("__n")
 
 
 def last_primary_days(primary: DataFrame, series: Sequence[str], col: str = "time") -> DataFrame:
@@ -68,17 +68,23 @@ def align_fields(a: DataFrame, b: DataFrame, keys: Sequence[str], suffixes: tupl
 def mosaic(primary: DataFrame, secondary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Primary where it has a value, secondary elsewhere; ``origin`` tells which.
 
-    Both sources are tagged, appended and reduced by one partial aggregation
-    instead of a full outer join, so each row crosses the network once.
+    The sources are appended as two columns and reduced by one hash aggregation
+    instead of a full outer join: rows meet on the map side where they can, nothing
+    is sorted, and each row crosses the network once at most.
     """
-    def tagged(df: DataFrame, rank: int) -> DataFrame:
-        return df.where(F.col("value").isNotNull()).select(*keys, F.struct(F.lit(rank).alias("rank"), F.col("value").alias("value")).alias("pick"))
-
-    both = tagged(primary, 1).unionByName(tagged(secondary, 2))
+    first, none = F.col("value"), F.lit(None).cast("double")
+    both = primary.select(*keys, first.alias("p"), none.alias("s")).unionByName(
+        secondary.select(*keys, none.alias("p"), first.alias("s"))
+    )
     return (
         both.groupBy(*keys)
-        .agg(F.min("pick").alias("pick"))
-        .select(*keys, F.col("pick.value").alias("value"), F.when(F.col("pick.rank") == 1, "primary").otherwise("secondary").alias("origin"))
+        .agg(F.max("p").alias("p"), F.max("s").alias("s"))
+        .where(F.col("p").isNotNull() | F.col("s").isNotNull())
+        .select(
+            *keys,
+            F.coalesce("p", "s").alias("value"),
+            F.when(F.col("p").isNotNull(), "primary").otherwise("secondary").alias("origin"),
+        )
     )
 
 

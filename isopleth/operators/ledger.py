@@ -40,30 +40,38 @@ def current_ledger(ledger: DataFrame, invalidated: DataFrame | None = None) -> D
     return latest if invalidated is None else latest.join(invalidated.select("name"), "name", "left_anti")
 
 
+def finished_units(units: DataFrame, ledger: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Units (name, params_hash, outputs) that the ledger and the inventory call done.
+
+    The ledger is matched first, so only units that ran with these parameters have
+    their outputs looked up.
+    """
+    runs = current_ledger(ledger).select("name", "params_hash")
+    keys = ["name", "params_hash"]
+    looked_up = (
+        units.join(runs, keys)
+        .select(*keys, F.explode_outer("outputs").alias("path"))
+        .join(inventory.select("path").distinct().withColumn("found", F.lit(True)), "path", "left")
+    )
+    absent = F.count_if(F.col("path").isNotNull() & F.col("found").isNull())
+    return looked_up.groupBy(*keys).agg(absent.alias("n_absent")).where(F.col("n_absent") == 0).select(*keys)
+
+
 def unit_status(requested: DataFrame, ledger: DataFrame, inventory: DataFrame) -> DataFrame:
     """Each requested unit (name, params, outputs) with ``pending``.
 
     Done means: the ledger's latest row of that name has the same parameter hash and
     every requested output is in ``inventory`` (column path).
     """
-    units = requested.withColumn("params_hash", params_hash(F.col("params"))).drop("params")
-    have = inventory.select(F.col("path").alias("output")).distinct().withColumn("found", F.lit(True))
-    outputs = (
-        units.select("name", "params_hash", F.explode("outputs").alias("output"))
-        .join(have, "output", "left")
-        .groupBy("name", "params_hash")
-        .agg(F.count_if(F.col("found").isNull()).alias("n_absent"))
-    )
-    runs = current_ledger(ledger).select("name", F.col("params_hash").alias("run_hash"))
-    done = F.coalesce(
-        (F.col("run_hash") == F.col("params_hash")) & (F.coalesce(F.col("n_absent"), F.lit(0)) == 0), F.lit(False)
-    )
-    return (
-        units.join(outputs, ["name", "params_hash"], "left")
-        .join(runs, "name", "left")
-        .select("name", "params_hash", (~done).alias("pending"))
+    units = requested.select("name", params_hash(F.col("params")).alias("params_hash"), "outputs")
+    done = finished_units(units, ledger, inventory).withColumn("done", F.lit(True))
+    return units.join(done, ["name", "params_hash"], "left").select(
+        "name", "params_hash", F.col("done").isNull().alias("pending")
     )
 
 
 def pending_units(requested: DataFrame, ledger: DataFrame, inventory: DataFrame) -> DataFrame:
-    return unit_status(requested, ledger, inventory).where("pending").drop("pending")
+    """Requested units that still have to run."""
+    units = requested.select("name", params_hash(F.col("params")).alias("params_hash"), "outputs")
+    done = finished_units(units, ledger, inventory)
+    return units.join(done, ["name", "params_hash"], "left_anti").drop("outputs")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isopleth.schema import Grid
+from isopleth.sources.tables import literal_table
 
 EARTH_RADIUS = 6.371e6
 MAX_AXIS = 20_000
@@ -38,7 +39,7 @@ def _axis_taps(df: DataFrame, name: str, targets: Sequence[float], x0: float, dx
         f = pos - k
         rows.append((k % n, float(t), 1.0 - f))
         rows.append(((k + 1) % n, float(t), f))
-    return df.sparkSession.createDataFrame(rows, f"{name}_index int, {name}_target double, {name}_weight double")
+    return literal_table(df.sparkSession, rows, f"{name}_index int, {name}_target double, {name}_weight double")
 
 
 def regrid_bilinear(
@@ -89,32 +90,40 @@ def despike(
 
     A value is a spike iff it exceeds ``threshold`` and ``ratio`` times the median;
     neighbours outside the domain are left out.  ``corrected`` marks the changes.
+
+    Only the rare values above the threshold look up their neighbours, so the field
+    itself is neither copied nor, as long as the optimiser finds the corrections small
+    enough to broadcast, shuffled.
     """
     width = F.sequence(F.lit(-radius), F.lit(radius))
-    placed = df.select(*slice_keys, "lat", "lon", grid.i().alias("i"), grid.j().alias("j"), "value").repartition(*slice_keys)
-    copies = (
-        placed.select(*slice_keys, "lat", "lon", "i", "j", "value", F.explode(width).alias("di"))
+    keys = [*slice_keys, "i", "j"]
+    field = df.withColumns({"i": grid.i(), "j": grid.j()})
+    lookups = (
+        field.where(F.col("value") > threshold)
+        .select(*slice_keys, F.col("i").alias("ci"), F.col("j").alias("cj"), F.col("value").alias("own"), F.explode(width).alias("di"))
         .select("*", F.explode(width).alias("dj"))
         .select(
             *slice_keys,
-            _shift(F.col("i"), F.col("di"), grid.nlon, grid.cyclic).alias("i"),
-            (F.col("j") + F.col("dj")).alias("j"),
-            "value",
-            F.when((F.col("di") == 0) & (F.col("dj") == 0), F.struct("lat", "lon", "value")).alias("own"),
+            "ci",
+            "cj",
+            "own",
+            _shift(F.col("ci"), F.col("di"), grid.nlon, grid.cyclic).alias("i"),
+            (F.col("cj") + F.col("dj")).alias("j"),
         )
     )
-    spike = (F.col("own.value") > threshold) & (F.col("own.value") > ratio * F.col("median"))
-    return (
-        copies.groupBy(*slice_keys, "i", "j")
-        .agg(F.median("value").alias("median"), F.any_value("own", F.lit(True)).alias("own"))
-        .where(F.col("own").isNotNull())
-        .select(
-            *slice_keys,
-            F.col("own.lat").alias("lat"),
-            F.col("own.lon").alias("lon"),
-            F.when(spike, F.col("median")).otherwise(F.col("own.value")).alias("value"),
-            F.coalesce(spike, F.lit(False)).alias("corrected"),
-        )
+    corrections = (
+        lookups.join(field.select(*keys, "value"), keys)
+        .groupBy(*slice_keys, "ci", "cj", "own")
+        .agg(F.median("value").alias("median"))
+        .where(F.col("own") > ratio * F.col("median"))
+        .select(*slice_keys, F.col("ci").alias("i"), F.col("cj").alias("j"), "median")
+    )
+    return field.join(corrections, keys, "left").select(
+        *slice_keys,
+        "lat",
+        "lon",
+        F.coalesce("median", "value").alias("value"),
+        F.col("median").isNotNull().alias("corrected"),
     )
 
 
@@ -146,7 +155,7 @@ def divergence_vorticity(df: DataFrame, grid: Grid, slice_keys: Sequence[str] =
         (m["sx"] * F.col("u") / dx + m["sy"] * F.col("v") * F.col("c") / dy).alias("div_part"),
         (m["sx"] * F.col("v") / dx - m["sy"] * F.col("u") * F.col("c") / dy).alias("vort_part"),
         (m["sx"] * m["sx"] + m["sy"] * m["sy"]).alias("neighbour"),
-        F.when((m["di"] == 0) & (m["dj"] == 0), F.struct("lat", "lon", "c")).alias("own"),
+        *[F.when((m["di"] == 0) & (m["dj"] == 0), F.col(c)).alias(f"own_{c}") for c in ("lat", "lon", "c")],
     )
     full = F.col("n") == 4
     return (
@@ -155,14 +164,14 @@ def divergence_vorticity(df: DataFrame, grid: Grid, slice_keys: Sequence[str] =
             F.sum("div_part").alias("div"),
             F.sum("vort_part").alias("vort"),
             F.sum(F.when(F.col("div_part").isNotNull(), F.col("neighbour"))).cast("int").alias("n"),
-            F.any_value("own", F.lit(True)).alias("own"),
+            *[F.max(f"own_{c}").alias(c) for c in ("lat", "lon", "c")],
         )
-        .where(F.col("own").isNotNull())
+        .where(F.col("lat").isNotNull())
         .select(
             *slice_keys,
-            F.col("own.lat").alias("lat"),
-            F.col("own.lon").alias("lon"),
-            F.when(full, F.col("div") / F.col("own.c")).alias("divergence"),
-            F.when(full, F.col("vort") / F.col("own.c")).alias("vorticity"),
+            "lat",
+            "lon",
+            F.when(full, F.col("div") / F.col("c")).alias("divergence"),
+            F.when(full, F.col("vort") / F.col("c")).alias("vorticity"),
         )
     )

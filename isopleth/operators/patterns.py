@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from isopleth.functions import scalars
 from isopleth.schema import null_safe_join
+from isopleth.session import materialise
 
 MAX_DIM = 4096
 
@@ -45,8 +46,8 @@ def gram_matrix(df: DataFrame, vector: str, dim: int) -> DataFrame:
     return vectors.mapInPandas(partial, "a int, b int, value double").groupBy("a", "b").agg(F.sum("value").alias("value"))
 
 
-def leading_vectors(gram: DataFrame, dim: int, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Largest eigenvalues and their vectors; the one driver-side step, on dim x dim numbers."""
+def leading_vectors(gram: DataFrame, dim: int, count: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Largest eigenvalues, their vectors and the trace; the one driver-side step, on dim x dim numbers."""
     if dim > MAX_DIM:
         raise ValueError(f"matrix side {dim} is above {MAX_DIM}")
     square = np.zeros((dim, dim))
@@ -54,7 +55,7 @@ def leading_vectors(gram: DataFrame, dim: int, count: int) -> tuple[np.ndarray,
         square[a, b] = square[b, a] = value
     values, vectors = np.linalg.eigh(square)
     order = np.argsort(values)[::-1][:count]
-    return values[order], vectors[:, order]
+    return values[order], vectors[:, order], float(np.trace(square))
 
 
 def _dot(vector: Column, weights: Sequence[float]) -> Column:
@@ -77,21 +78,18 @@ def leading_patterns(anomalies: DataFrame, cell: Sequence[str], count: int = 1)
 
     Returns the pattern table (cell, mode, loading), the standard deviation of each
     monthly index and the explained fractions.  The months of the base period are the
-    bounded side; cells without all months are left out, as they cannot be projected.
+    bounded side (one cell's months fit one row); cells without all months are left out,
+    as they cannot be projected.  The vectors are stored once for the jobs that follow.
     The largest loading of each mode is positive.
     """
-    months = [r[0] for r in anomalies.select("month").distinct().orderBy("month").limit(MAX_DIM + 1).collect()]
-    dim = len(months)
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("month", "value"))), lambda p: p["value"])
-    vectors = (
-        anomalies.where(F.col("value").isNotNull())
-        .groupBy(*cell)
-        .agg(ordered.alias("x"))
-        .where(F.size("x") == dim)
+    by_month = F.array_sort(F.collect_list(F.struct("month", "value")))
+    stored = materialise(
+        anomalies.where(F.col("value").isNotNull()).groupBy(*cell).agg(by_month.alias("steps")), "patterns"
     )
+    dim = stored.select(F.explode("steps.month").alias("month")).distinct().count()
+    vectors = stored.where(F.size("steps") == dim).select(*cell, F.col("steps.value").alias("x"))
     gram = gram_matrix(vectors, "x", dim)
-    trace = float(gram.where(F.col("a") == F.col("b")).agg(F.sum("value")).first()[0])
-    values, u = leading_vectors(gram, dim, count)
+    values, u, trace = leading_vectors(gram, dim, count)
     loadings = [_dot(F.col("x"), u[:, k] / np.sqrt(values[k])) for k in range(count)]
     modes = F.array(*[F.struct(F.lit(k + 1).alias("mode"), loadings[k].alias("loading")) for k in range(count)])
     table = vectors.select(*cell, F.explode(modes).alias("m")).select(*cell, "m.mode", "m.loading")

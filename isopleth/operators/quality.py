@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isopleth.functions import scalars
@@ -32,43 +32,41 @@ def repair_units_by_slice(df: DataFrame, threshold: float, slice_keys: Sequence[
 
 def degenerate_days(
     df: DataFrame,
-    series: Sequence[str] = (),
+    series: Sequence[str] = ("var",),
     date: str = "date",
     min_fraction: float = 0.02,
     relative: float = 0.5,
 ) -> DataFrame:
-    """One row per day with the shares of negative and positive cells and a ``degenerate`` flag.
+    """One row per series and day with the shares of negative and positive cells and a ``degenerate`` flag.
 
     A day is degenerate if its rarer sign falls below ``min_fraction``, or if either
-    share falls below ``relative`` times the median share of the series.
+    share falls below ``relative`` times the median share of the series.  The medians
+    run over the day shares, one row per day of the calendar, never over the cells.
     """
     shares = df.where(F.col("value").isNotNull()).groupBy(*series, date).agg(
         (F.count_if(F.col("value") < 0) / F.count("value")).alias("frac_neg"),
         (F.count_if(F.col("value") > 0) / F.count("value")).alias("frac_pos"),
     )
-    medians = shares.groupBy(*series).agg(F.median("frac_neg").alias("med_neg"), F.median("frac_pos").alias("med_pos"))
-    if series:
-        both = null_safe_join(shares, medians, list(series), "left")
-        med_neg, med_pos = F.col("med_neg"), F.col("med_pos")
-    else:
-        both = shares
-        med_neg, med_pos = medians.select("med_neg").scalar(), medians.select("med_pos").scalar()
+    w = Window.partitionBy(*series)
     bad = (
         (F.least("frac_neg", "frac_pos") < min_fraction)
-        | (F.col("frac_neg") < relative * med_neg)
-        | (F.col("frac_pos") < relative * med_pos)
+        | (F.col("frac_neg") < relative * F.median("frac_neg").over(w))
+        | (F.col("frac_pos") < relative * F.median("frac_pos").over(w))
     )
-    return both.select(*series, date, "frac_neg", "frac_pos", bad.alias("degenerate"))
+    return shares.withColumn("degenerate", bad)
 
 
-def drop_degenerate_days(df: DataFrame, series: Sequence[str] = (), date: str = "date", **limits: float) -> DataFrame:
-    """Rows of the sound days; fails when no sound day is left in a table that had days."""
+def drop_degenerate_days(df: DataFrame, series: Sequence[str] = ("var",), date: str = "date", **limits: float) -> DataFrame:
+    """Rows of the sound days; fails for a series that has days but no sound one."""
     days = degenerate_days(df, series, date, **limits)
-    kept = days.agg(F.count_if(~F.col("degenerate"))).scalar()
-    sound = days.where(~F.col("degenerate")).select(*series, date)
-    total = days.agg(F.count(F.lit(1))).scalar()
-    guard = F.when((total > 0) & (kept == 0), F.raise_error(F.lit("every day is degenerate")).cast("boolean")).otherwise(True)
-    return null_safe_join(df.where(guard), sound, [*series, date], "left_semi")
+    n_sound = F.count_if(~F.col("degenerate")).over(Window.partitionBy(*series))
+    none_left = F.raise_error(F.lit("every day of a series is degenerate")).cast("boolean")
+    sound = (
+        days.withColumn("n_sound", n_sound)
+        .where(F.when(F.col("n_sound") == 0, none_left).otherwise(~F.col("degenerate")))
+        .select(*series, date)
+    )
+    return null_safe_join(df, sound, [*series, date], "left_semi")
 
 
 def keep_where_negative(df: DataFrame, companion: str, columns: Sequence[str], max_abs_lat: float = 20.0) -> DataFrame:

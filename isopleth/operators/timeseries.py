@@ -27,28 +27,32 @@ def moving_mean(df: DataFrame, cell: Sequence[str], days: int = 5, date: str = "
     )
 
 
-def block_mean(
+def block_means(
     df: DataFrame,
     cell: Sequence[str],
     anchor: dt.date,
-    days: int = 5,
+    lengths: Sequence[int] = (5,),
     min_days: int | None = None,
     date: str = "date",
 ) -> DataFrame:
-    """Consecutive ``days``-long blocks; the first one starts the day after ``anchor``.
+    """Consecutive blocks of one or more lengths; the first one starts the day after ``anchor``.
 
-    Five-day blocks need four days, other lengths all days, unless ``min_days`` says otherwise.
+    Five-day blocks need four days, other lengths all days, unless ``min_days`` says
+    otherwise.  All lengths share one scan and one aggregation.
     """
-    need = min_days if min_days is not None else (4 if days == 5 else days)
-    since = F.date_diff(F.col(date), F.lit(anchor.isoformat()).cast("date"))
-    block = F.floor((since - 1) / days).cast("int")
-    start = F.date_add(F.lit(anchor.isoformat()).cast("date"), F.col("block") * days + 1)
+    origin = F.lit(anchor.isoformat()).cast("date")
+    since = F.date_diff(F.col(date), origin)
+    days = F.col("days")
+    need = F.lit(min_days) if min_days is not None else F.when(days == 5, 4).otherwise(days)
     return (
         df.where(F.col("value").isNotNull() & (since >= 1))
-        .groupBy(*cell, block.alias("block"))
-        .agg(F.avg("value").alias("value"), F.count_distinct(date).alias("n_days"))
+        .groupBy(*cell, date)
+        .agg(F.avg("value").alias("value"))
+        .withColumn("days", F.explode(F.array(*[F.lit(int(n)) for n in lengths])))
+        .groupBy(*cell, "days", F.floor((since - 1) / days).cast("int").alias("block"))
+        .agg(F.avg("value").alias("value"), F.count(F.lit(1)).alias("n_days"))
         .where(F.col("n_days") >= need)
-        .withColumn("block_start", start)
+        .withColumn("block_start", F.date_add(origin, F.col("block") * days + 1))
     )
 
 

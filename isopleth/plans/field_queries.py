@@ -460,13 +460,12 @@ def error_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "covers_period",
     with_views(
-        "daily_series",
-        """SELECT var, min(date) <= DATE '1995-03-01' AND max(date) >= DATE '2001-06-30' AS covers FROM daily_series GROUP BY var""",
+        "grid_obs",
+        """SELECT lat, lon, CAST(min(time) AS DATE) <= DATE '2024-01-01' AND CAST(max(time) AS DATE) >= DATE '2024-01-29' AS covers FROM grid_obs GROUP BY lat, lon""",
     ),
 )
 def covers_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.daily_series(spark, sf_dir)
-    return coverage.covers_period(rows, D(1995, 3, 1), D(2001, 6, 30), ["var"], col="date")
+    return coverage.covers_period(views.grid_obs(spark, sf_dir), D(2024, 1, 1), D(2024, 1, 29), ["lat", "lon"])
 
 
 @query(
@@ -541,23 +540,56 @@ def concat_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.sort_field(combine.concat_steps(parts))
 
 
+# three variables by latitude; the primary source ends at a different day in each
+_SPLICE_VAR_SQL = "CASE WHEN lat < 0 THEN 'hgt' WHEN lat > 0 THEN 'tmp' ELSE 'rh' END"
+
+
+def _splice_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    lat = F.col("lat")
+    var = F.when(lat < 0, "hgt").when(lat > 0, "tmp").otherwise("rh")
+    primary = views.grid_obs(spark, sf_dir).withColumn("var", var)
+    ends = F.when(F.col("var") == "hgt", "2024-01-21").when(F.col("var") == "tmp", "2024-01-15").otherwise("2000-01-01")
+    primary = primary.where(F.col("time") < ends.cast("timestamp_ntz"))
+    return primary, views.grid_alt(spark, sf_dir).withColumn("var", var)
+
+
 @query(
     "splice_sources",
     with_views(
         "grid_obs grid_alt",
-        f"""WITH p AS (SELECT * FROM grid_obs WHERE time < DATE '2024-01-21'),
-        c AS (SELECT coalesce(max(CAST(time AS DATE)), DATE '2024-01-22') AS last_day FROM p)
-        SELECT source, {instant('time')} AS time, lat, lon, {r('value')} AS value FROM p WHERE time >= DATE '2024-01-03'
-        UNION ALL SELECT source, {instant('time')}, lat, lon, {r('value')} FROM grid_alt, c
+        f"""WITH a AS (SELECT * REPLACE ({_SPLICE_VAR_SQL} AS var) FROM grid_obs), b AS (SELECT * REPLACE ({_SPLICE_VAR_SQL} AS var) FROM grid_alt),
+        p AS (SELECT * FROM a WHERE (var = 'hgt' AND time < DATE '2024-01-21') OR (var = 'tmp' AND time < DATE '2024-01-15')),
+        c AS (SELECT v.var, coalesce(max(CAST(p.time AS DATE)), DATE '2024-01-22') AS last_day FROM (VALUES ('hgt'), ('tmp'), ('rh')) v(var) LEFT JOIN p USING (var) GROUP BY v.var)
+        SELECT source, var, {instant('time')} AS time, lat, lon, {r('value')} AS value FROM p WHERE time >= DATE '2024-01-03'
+        UNION ALL SELECT source, b.var, {instant('time')}, lat, lon, {r('value')} FROM b JOIN c USING (var)
         WHERE CAST(time AS DATE) > c.last_day AND time < DATE '2024-01-28'""",
     ),
 )
 def splice_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    primary = cleaning.time_slice(views.grid_obs(spark, sf_dir), None, D(2024, 1, 20))
-    rows = combine.splice_sources(
-        primary, views.grid_alt(spark, sf_dir), D(2024, 1, 3), D(2024, 1, 27), today=D(2024, 1, 30)
+    primary, secondary = _splice_inputs(spark, sf_dir)
+    rows = combine.splice_sources(primary, secondary, D(2024, 1, 3), D(2024, 1, 27), today=D(2024, 1, 30))
+    return rows.select("source", "var", "time", "lat", "lon", "value")
+
+
+@query(
+    "observed_period",
+    with_views(
+        "grid_obs grid_alt",
+        f"""WITH a AS (SELECT * REPLACE ({_SPLICE_VAR_SQL} AS var) FROM grid_obs), b AS (SELECT * REPLACE ({_SPLICE_VAR_SQL} AS var) FROM grid_alt),
+        p AS (SELECT * FROM a WHERE (var = 'hgt' AND time < DATE '2024-01-21') OR (var = 'tmp' AND time < DATE '2024-01-15')),
+        c AS (SELECT v.var, coalesce(max(CAST(p.time AS DATE)), DATE '2024-01-22') AS last_day FROM (VALUES ('hgt'), ('tmp'), ('rh')) v(var) LEFT JOIN p USING (var) GROUP BY v.var),
+        u AS (SELECT source, var, time, lat, lon, value FROM p WHERE time >= DATE '2024-01-10'
+          UNION ALL SELECT source, b.var, time, lat, lon, value FROM b JOIN c USING (var) WHERE CAST(time AS DATE) > c.last_day AND time >= DATE '2024-01-10' AND time < DATE '2024-01-30'),
+        w AS (SELECT * REPLACE ({WRAP} AS lon) FROM u WHERE hour(time) IN (0, 12))
+        SELECT source, var, {instant('time')} AS time, lat, {r('lon')} AS lon, {r('value')} AS value FROM w WHERE lat BETWEEN -40 AND 10 AND lon BETWEEN -80 AND 15""",
+    ),
+)
+def observed_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    primary, secondary = _splice_inputs(spark, sf_dir)
+    rows = observed.observed_period(
+        primary, secondary, D(2024, 1, 10), D(2024, 1, 29), D(2024, 1, 30), hours=[0, 12], area=tables.SAMPLE_AREA
     )
-    return rows.select("source", "time", "lat", "lon", "value")
+    return rows.select("source", "var", "time", "lat", "lon", "value")
 
 
 # --- calendar planning, grid and anomaly ----------------------------------------
@@ -717,3 +749,34 @@ def mean_field_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed.mean_field(
         views.grid_missing(spark, sf_dir), D(2024, 1, 5), D(2024, 1, 24), tables.SAMPLE_AREA, fills=[-9999.0]
     )
+
+
+@query(
+    "daily_anomaly_flow",
+    with_views(
+        "grid_obs grid_alt",
+        f"""WITH ad AS (SELECT CAST(time AS DATE) AS date, lat, lon, avg(value) AS value FROM grid_alt GROUP BY ALL),
+        c AS (SELECT {_KEY_SQL} AS k, CAST((lat + 20) / 10 AS INTEGER) AS j, CAST(lon / 30 AS INTEGER) AS i, avg(value) AS clim FROM ad GROUP BY ALL),
+        d AS (SELECT CAST(time AS DATE) AS date, lat, lon, avg(value) AS value, count(value) AS n_steps FROM grid_obs
+          WHERE time >= DATE '2024-01-03' AND time < DATE '2024-01-29' GROUP BY ALL),
+        x AS (SELECT d.*, {_KEY_SQL} AS k, CAST((lat + 20) / 10 AS INTEGER) AS j, CAST(lon / 30 AS INTEGER) AS i FROM d),
+        q AS (SELECT x.*, (SELECT count(*) FROM c WHERE c.k = x.k AND c.j IN (least(x.j, 3), least(x.j, 3) + 1) AND c.i IN (x.i, (x.i + 1) % 12)) AS corners,
+          (SELECT any_value(clim) FROM c WHERE c.k = x.k AND c.j = x.j AND c.i = x.i) AS own FROM x)
+        SELECT {day('date')} AS date, lat, lon, {r('value')} AS value, n_steps, {r('CASE WHEN corners = 4 THEN own END')} AS clim,
+        {r('CASE WHEN corners = 4 THEN value - own END')} AS anomaly FROM q""",
+    ),
+)
+def daily_anomaly_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage check, daily means, climatology of the other source on the same grid, difference."""
+    other = aggregate.daily_mean(views.grid_alt(spark, sf_dir))
+    clim = climatology.daily_climatology(other, D(2024, 1, 1), D(2024, 12, 31), ["lat", "lon"])
+    g = views.GRID
+    return observed.daily_anomaly(
+        views.grid_obs(spark, sf_dir),
+        clim,
+        g,
+        [g.lat0 + g.dlat * j for j in range(g.nlat)],
+        [g.lon0 + g.dlon * i for i in range(g.nlon)],
+        D(2024, 1, 3),
+        D(2024, 1, 28),
+    )

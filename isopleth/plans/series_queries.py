@@ -84,19 +84,11 @@ def _block_sql(days: int, need: int) -> str:
 
 
 @query(
-    "block_mean",
+    "block_means",
     with_views("grid_daily", "\nUNION ALL\n".join(_block_sql(n, 4 if n == 5 else n) for n in (1, 2, 3, 5, 7, 10))),
 )
-def block_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = views.grid_daily(spark, sf_dir)
-    parts = [
-        timeseries.block_mean(daily, ["lat", "lon"], D(2024, 1, 2), n).withColumn("days", F.lit(n))
-        for n in (1, 2, 3, 5, 7, 10)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("days", "lat", "lon", "block", "block_start", "value", "n_days")
+def block_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeseries.block_means(views.grid_daily(spark, sf_dir), ["lat", "lon"], D(2024, 1, 2), (1, 2, 3, 5, 7, 10))
 
 
 @query(
@@ -223,14 +215,14 @@ def coarsen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.coarsen(views.grid_daily(spark, sf_dir), views.GRID, 2).select("date", "bi", "bj", "value", "n_cells")
 
 
-_SHARES_SQL = """f AS (SELECT date, count(*) FILTER (value < 0) / count(value) AS fn, count(*) FILTER (value > 0) / count(value) AS fp
-  FROM anomaly_grid GROUP BY date), m AS (SELECT median(fn) AS mn, median(fp) AS mp FROM f),
-  s AS (SELECT date, fn, fp, least(fn, fp) < 0.25 OR fn < 0.85::DOUBLE * mn OR fp < 0.85::DOUBLE * mp AS bad FROM f, m)"""
+_SHARES_SQL = """f AS (SELECT var, date, count(*) FILTER (value < 0) / count(value) AS fn, count(*) FILTER (value > 0) / count(value) AS fp
+  FROM anomaly_grid GROUP BY var, date), m AS (SELECT var, median(fn) AS mn, median(fp) AS mp FROM f GROUP BY var),
+  s AS (SELECT var, date, fn, fp, least(fn, fp) < 0.25 OR fn < 0.85::DOUBLE * mn OR fp < 0.85::DOUBLE * mp AS bad FROM f JOIN m USING (var))"""
 
 
 @query(
     "degenerate_days",
-    with_views("anomaly_grid", f"WITH {_SHARES_SQL} SELECT {day('date')} AS date, {r('fn')} AS frac_neg, {r('fp')} AS frac_pos, bad AS degenerate FROM s"),
+    with_views("anomaly_grid", f"WITH {_SHARES_SQL} SELECT var, {day('date')} AS date, {r('fn')} AS frac_neg, {r('fp')} AS frac_pos, bad AS degenerate FROM s"),
 )
 def degenerate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.degenerate_days(views.anomaly_grid(spark, sf_dir), min_fraction=0.25, relative=0.85)
@@ -240,7 +232,7 @@ def degenerate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     "drop_degenerate_days",
     with_views(
         "anomaly_grid",
-        f"WITH {_SHARES_SQL} SELECT {day('a.date')} AS date, lat, lon, {r('value')} AS value FROM anomaly_grid a JOIN s ON s.date = a.date AND NOT s.bad",
+        f"WITH {_SHARES_SQL} SELECT a.var, {day('a.date')} AS date, lat, lon, {r('value')} AS value FROM anomaly_grid a JOIN s ON s.var = a.var AND s.date = a.date AND NOT s.bad",
     ),
 )
 def drop_degenerate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,17 +508,15 @@ def multi_model_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views(
         "fcst daily_series",
         f"""WITH {_LATEST_SQL}, m AS (SELECT date, avg(value) AS value FROM daily_series GROUP BY date),
-        o AS (SELECT date, value - (SELECT avg(value) FROM m) AS o FROM m), b AS (SELECT avg(o * o) AS b FROM o)
+        o AS (SELECT date, value - 5400 AS o FROM m), b AS (SELECT avg(o * o) AS b FROM o)
         SELECT model, {day('target')} AS target, count(*) AS n, {r('least(1, greatest(-1, 1 - avg((g - o) * (g - o)) / any_value(b)))')} AS skill
-        FROM (SELECT model, target, lead_days, (value - (SELECT avg(value) FROM m)) / 20 AS g FROM f), o, b WHERE date = target AND lead_days BETWEEN 5 AND 10 GROUP BY model, o.date, target""",
+        FROM (SELECT model, target, lead_days, (value - 5400) / 20 AS g FROM f), o, b WHERE date = target AND lead_days BETWEEN 5 AND 10 GROUP BY model, o.date, target""",
     ),
 )
 def skill_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast and observed departures from the observed mean; forecasts damped to a usable size."""
-    series = _observed_total(spark, sf_dir)
-    mean = series.agg(F.avg("value")).scalar()
-    obs = series.select("date", (F.col("value") - mean).alias("value"))
-    fc = _latest(spark, sf_dir).select("model", "target", "lead_days", ((F.col("value") - mean) / 20.0).alias("value"))
+    """Forecast and observed departures from 5400; forecasts damped to a usable size."""
+    obs = _observed_total(spark, sf_dir).select("date", (F.col("value") - 5400.0).alias("value"))
+    fc = _latest(spark, sf_dir).select("model", "target", "lead_days", ((F.col("value") - 5400.0) / 20.0).alias("value"))
     return ensemble.skill_score(fc, obs)
 
 

@@ -183,8 +183,10 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anomaly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily field minus 480, so that both signs occur."""
-    return grid_daily(spark, sf_dir).withColumn("value", F.col("value") - 480.0)
+    """Daily field minus 480, so that both signs occur; two series by hemisphere."""
+    return grid_daily(spark, sf_dir).select(
+        F.when(F.col("lat") < 0, "south").otherwise("north").alias("var"), "date", "lat", "lon", (F.col("value") - 480.0).alias("value")
+    )
 
 
 def long_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +303,7 @@ VIEW_SQL: dict[str, str] = {
     "mixed_units": f"""SELECT time, lat, lon, CASE WHEN day(time) % 2 = 0 THEN value * 20.0::DOUBLE * {G}::DOUBLE ELSE value * 20.0::DOUBLE END AS value
   FROM grid_obs""",
     "daily_series": f"SELECT l_returnflag AS var, CAST(l_shipdate AS DATE) AS date, {_SERIES_SQL} FROM lineitem GROUP BY ALL",
-    "anomaly_grid": "SELECT * REPLACE (value - 480.0::DOUBLE AS value) FROM grid_daily",
+    "anomaly_grid": "SELECT CASE WHEN lat < 0 THEN 'south' ELSE 'north' END AS var, date, lat, lon, value - 480.0::DOUBLE AS value FROM grid_daily",
     "long_grid": f"""SELECT CAST(l_shipdate AS DATE) AS date, CAST((l_suppkey % 4) * -15 - 25 AS DOUBLE) AS lat,
   CAST((l_partkey % 3) * 120 - 180 AS DOUBLE) AS lon, {_SERIES_SQL} FROM lineitem GROUP BY ALL""",
     "precip_steps": """SELECT l_orderkey AS run, l_linenumber AS step, sum(l_quantity) AS increment, 1 + min(l_partkey) % 8 AS code,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
@@ -39,3 +39,14 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, label: str) -> str:
     """Unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    For results that several jobs use: they survive the loss of executors, and no
+    later job repeats the work behind them.
+    """
+    path = new_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

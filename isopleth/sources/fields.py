@@ -23,11 +23,21 @@ def _standardise(
     start: dt.date | None = None,
     end: dt.date | None = None,
 ) -> DataFrame:
-    out = cleaning.canonical_names(df)
+    out = _prune_months(cleaning.canonical_names(df), start, end)
     out = cleaning.time_slice(out, start, end)  # on the raw column, so the scan can skip row groups
     return cleaning.wrap_longitudes(out) if wrap and "lon" in out.columns else out
 
 
+def _prune_months(df: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
+    """Where a field is stored by month, let the period pick the directories."""
+    if not {"year", "month"} <= set(df.columns):
+        return df
+    month = F.col("year") * 100 + F.col("month")
+    if start is not None:
+        df = df.where(month >= start.year * 100 + start.month)
+    return df.where(month <= end.year * 100 + end.month) if end is not None else df
+
+
 def read_field(
     spark: SparkSession, path: str, wrap: bool = True, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:

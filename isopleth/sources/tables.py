@@ -6,6 +6,8 @@ into an expression without a size check.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 STANDARD_GRAVITY = 9.80665
@@ -113,9 +115,27 @@ SNOW_CODES = (5, 6)
 SNOW_RATIO = 10.0
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], columns: str) -> DataFrame:
+    """Fixed rows as a local relation, whose exact size the optimiser knows."""
+
+    def literal(v: object) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return str(v).lower()
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{v!r}D" if isinstance(v, float) else repr(v)
+
+    names, types = zip(*(c.split() for c in columns.split(",")))
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in zip(names, types))
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({', '.join(names)})")
+
+
 def variable_registry(spark: SparkSession) -> DataFrame:
     """The ten known variables as a dimension table."""
-    return spark.createDataFrame(list(VARIABLES), VARIABLE_COLUMNS)
+    return literal_table(spark, VARIABLES, VARIABLE_COLUMNS)
 
 
 def get_variable(key: str) -> dict:
