@@ -10,10 +10,11 @@ import traceback
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 OUTCOME = T.StructType(
     [
@@ -30,46 +31,41 @@ def map_items(df: DataFrame, func: Callable[[dict], dict | None], key: str, resu
 
     ``key`` carries the input order to the output.
     """
-    names = [f.name for f in result.fields]
     schema = T.StructType([df.schema[key], *result.fields, *OUTCOME.fields])
+    arrow, names = to_arrow_schema(schema), result.fieldNames()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows: list[dict[str, Any]] = []
-            for item in pdf.to_dict("records"):
-                try:
-                    out = func(item) or {}
-                    rows.append({key: item[key], **{n: out.get(n) for n in names}, "ok": True})
-                except Exception as exc:  # noqa: BLE001 - every failure is data here
-                    rows.append(
-                        {
-                            key: item[key],
-                            "ok": False,
-                            "error_type": type(exc).__name__,
-                            "error_msg": str(exc),
-                            "traceback": traceback.format_exc(),
-                        }
-                    )
-            yield pd.DataFrame(rows, columns=schema.names)
-
-    return df.mapInPandas(run, schema)
+    def one(item: dict) -> dict[str, Any]:
+        try:
+            out = func(item) or {}
+            return {key: item[key], **{n: out.get(n) for n in names}, "ok": True}
+        except Exception as exc:  # noqa: BLE001 - every failure is data here
+            return {
+                key: item[key],
+                "ok": False,
+                "error_type": type(exc).__name__,
+                "error_msg": str(exc),
+                "traceback": traceback.format_exc(),
+            }
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pylist([one(item) for item in batch.to_pylist()], schema=arrow)
+
+    return df.mapInArrow(run, schema)
 
 
 def map_items_strict(df: DataFrame, func: Callable[[dict], dict | None], key: str, result: T.StructType) -> DataFrame:
     """The same, but the first exception fails the job and an item that returns None is dropped."""
-    names = [f.name for f in result.fields]
     schema = T.StructType([df.schema[key], *result.fields])
+    arrow, names = to_arrow_schema(schema), result.fieldNames()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for item in pdf.to_dict("records"):
-                out = func(item)
-                if out is not None:
-                    rows.append({key: item[key], **{n: out.get(n) for n in names}})
-            yield pd.DataFrame(rows, columns=schema.names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [(item[key], func(item)) for item in batch.to_pylist()]
+            rows = [{key: k, **{n: out.get(n) for n in names}} for k, out in done if out is not None]
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def outcome_summary(outcomes: DataFrame) -> DataFrame:

@@ -12,9 +12,10 @@ def params_text(params: Column) -> Column:
     """Canonical text of a map<string,string>: entries sorted by key, JSON style."""
 
     def quoted(c: Column) -> Column:
-        return F.concat(F.lit('"'), F.regexp_replace(c, r'(["\\])', r"\\$1"), F.lit('"'))
+        c = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+        return F.concat(F.lit('"'), c, F.lit('"'))
 
-    entries = F.array_sort(F.map_entries(params))
+    entries = F.sort_array(F.map_entries(params))
     pairs = F.transform(entries, lambda e: F.concat(quoted(e["key"]), F.lit(": "), quoted(e["value"])))
     return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
 
@@ -46,7 +47,7 @@ def finished_units(units: DataFrame, ledger: DataFrame, inventory: DataFrame) ->
     The ledger is matched first, so only units that ran with these parameters have
     their outputs looked up.
     """
-    runs = current_ledger(ledger).select("name", "params_hash")
+    runs = current_ledger(ledger.select("name", "params_hash", "run_at")).select("name", "params_hash")
     keys = ["name", "params_hash"]
     looked_up = (
         units.join(runs, keys)
