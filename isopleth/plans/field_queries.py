@@ -678,8 +678,14 @@ def _user_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _per_large(item: dict) -> dict:
-    return {"ratio": item["total"] / item["n_large"] if item["n_large"] else 1 // 0}
+def _ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total per large purchase; users without one make the user function fail."""
+
+    def per_large(item: dict) -> dict:  # local, so it travels to the workers by value
+        return {"ratio": item["total"] / item["n_large"] if item["n_large"] else 1 // 0}
+
+    result = T.StructType([T.StructField("ratio", T.DoubleType())])
+    return items.map_items(_user_items(spark, sf_dir), per_large, "user_id", result)
 
 
 _ITEM_SQL = """u AS (SELECT user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 981.0::DOUBLE AS total,
@@ -692,9 +698,7 @@ _ITEM_SQL = """u AS (SELECT user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)
     CASE WHEN n = 0 THEN 'ZeroDivisionError' END AS error_type, n = 0 AS has_traceback FROM u""",
 )
 def map_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = T.StructType([T.StructField("ratio", T.DoubleType())])
-    out = items.map_items(_user_items(spark, sf_dir), _per_large, "user_id", result)
-    return out.select(
+    return _ratios(spark, sf_dir).select(
         "user_id", "ratio", "ok", "error_type", F.coalesce(F.contains("traceback", F.lit("ZeroDivisionError")), F.lit(False)).alias("has_traceback")
     )
 
@@ -704,13 +708,7 @@ def map_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {_ITEM_SQL} SELECT count(*) FILTER (n > 0) AS n_ok, count(*) FILTER (n = 0) AS n_failed, count(*) AS n_total FROM u""",
 )
 def outcome_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = T.StructType([T.StructField("ratio", T.DoubleType())])
-    return items.outcome_summary(items.map_items(_user_items(spark, sf_dir), _per_large, "user_id", result))
-
-
-def _day_span(job: dict) -> dict | None:
-    steps = sorted(job["steps"])
-    return {"n_steps": len(steps), "span": float(steps[-1] - steps[0])} if len(steps) > 1 else None
+    return items.outcome_summary(_ratios(spark, sf_dir))
 
 
 @query(
@@ -723,13 +721,18 @@ def _day_span(job: dict) -> dict | None:
 )
 def map_items_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One job per day and longitude with its list of hours (24 at most)."""
+
+    def day_span(job: dict) -> dict | None:
+        steps = sorted(job["steps"])
+        return {"n_steps": len(steps), "span": float(steps[-1] - steps[0])} if len(steps) > 1 else None
+
     jobs = (
         views.grid_obs(spark, sf_dir)
         .groupBy((F.dayofyear("time") * 1000 + F.col("lon")).cast("bigint").alias("job"))
         .agg(F.collect_set(F.hour("time")).alias("steps"))
     )
     result = T.StructType([T.StructField("n_steps", T.LongType()), T.StructField("span", T.DoubleType())])
-    return items.map_items_strict(jobs, _day_span, "job", result)
+    return items.map_items_strict(jobs, day_span, "job", result)
 
 
 # --- the flows ------------------------------------------------------------------
