@@ -44,11 +44,11 @@ def block_means(
     since = F.date_diff(F.col(date), origin)
     days = F.col("days")
     need = F.lit(min_days) if min_days is not None else F.when(days == 5, 4).otherwise(days)
+    rows = df.where(F.col("value").isNotNull() & (since >= 1)).select(*cell, date, "value")
+    if len(lengths) > 1:
+        rows = rows.repartition(*cell)  # the copies below then need no shuffle of their own
     return (
-        df.where(F.col("value").isNotNull() & (since >= 1))
-        .groupBy(*cell, date)
-        .agg(F.avg("value").alias("value"))
-        .withColumn("days", F.explode(F.array(*[F.lit(int(n)) for n in lengths])))
+        rows.withColumn("days", F.explode(F.array(*[F.lit(int(n)) for n in lengths])))
         .groupBy(*cell, "days", F.floor((since - 1) / days).cast("int").alias("block"))
         .agg(F.avg("value").alias("value"), F.count(F.lit(1)).alias("n_days"))
         .where(F.col("n_days") >= need)
