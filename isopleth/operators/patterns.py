@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from isopleth.functions import scalars
 from isopleth.schema import null_safe_join
 from isopleth.session import materialise
+from isopleth.sources.tables import literal_table
 
 MAX_DIM = 4096
 
@@ -123,6 +124,30 @@ def normalise_by_variable(df: DataFrame, var: str = "var") -> DataFrame:
     return null_safe_join(df, stds, [var], "left").withColumn("value", F.col("value") / F.nullif("std", F.lit(0.0))).drop("std")
 
 
+def combined_patterns(
+    df: DataFrame, keys: Sequence[str] = ("var", "lon"), date: str = "date", count: int = 2
+) -> tuple[DataFrame, list[float]]:
+    """Leading patterns of several stacked, normalised variables (keys, date, value).
+
+    One row per day holds the stacked vector; its length (variables x longitudes) is the
+    bounded side.  Days that lack an element are left out.  Returns the table (keys,
+    e1, e2, ...) and the explained fractions; the largest loading is positive.
+    """
+    stacked = F.array_sort(F.collect_list(F.struct(*keys, "value")))
+    days = materialise(
+        df.where(F.col("value").isNotNull()).groupBy(date).agg(stacked.alias("x")), "combined"
+    )
+    names = days.select(F.explode("x").alias("e")).select(*[F.col(f"e.{k}").alias(k) for k in keys]).distinct()
+    ordered = names.orderBy(*keys).limit(MAX_DIM + 1).collect()
+    dim = len(ordered)
+    vectors = days.where(F.size("x") == dim).select(F.col("x.value").alias("x"))
+    values, e, trace = leading_vectors(gram_matrix(vectors, "x", dim), dim, count)
+    e = e * np.sign(e[np.abs(e).argmax(axis=0), np.arange(count)])
+    rows = [(*key, *(float(v) for v in e[k])) for k, key in enumerate(ordered)]
+    types = [f"{k} {df.schema[k].dataType.simpleString()}" for k in keys] + [f"e{m + 1} double" for m in range(count)]
+    return literal_table(df.sparkSession, rows, ",".join(types)), [float(v / trace) for v in values]
+
+
 def oscillation_index(df: DataFrame, patterns: DataFrame, keys: Sequence[str] = ("var", "lon"), date: str = "date") -> DataFrame:
     """Two-component index of the stacked, normalised variables.
 

@@ -31,10 +31,17 @@ def de_accumulate(df: DataFrame, run: Sequence[str], step: str, total: str = "to
     return df.withColumn("increment", F.col(total) - F.lag(total, 1, 0.0).over(w))
 
 
-def daily_sum_of_buckets(df: DataFrame, cell: Sequence[str], buckets: int = 4, time: str = "time") -> DataFrame:
-    """Daily sum of buckets that reset; kept only when every bucket of the day has a value."""
+def daily_sum_of_buckets(
+    df: DataFrame, cell: Sequence[str], buckets: int = 4, time: str = "time", label_lag_hours: int = 0
+) -> DataFrame:
+    """Daily sum of buckets that reset; kept only when every bucket of the day has a value.
+
+    A bucket belongs to the day of its label; where labels mark the end of a bucket,
+    ``label_lag_hours`` (its length) takes the 00 UTC bucket to the day before.
+    """
+    start = F.col(time) - F.make_dt_interval(hours=F.lit(label_lag_hours)) if label_lag_hours else F.col(time)
     return (
-        df.groupBy(*cell, F.to_date(time).alias("date"))
+        df.groupBy(*cell, F.to_date(start).alias("date"))
         .agg(F.sum("value").alias("value"), F.count("value").alias("n"))
         .where(F.col("n") == buckets)
         .drop("n")

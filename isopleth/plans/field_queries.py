@@ -21,7 +21,7 @@ from isopleth.operators import (
     neighbours,
 )
 from isopleth.operators import requests as req
-from isopleth.plans import observed, views
+from isopleth.plans import observed, views, work
 from isopleth.plans.registry import big, day, instant, query, r
 from isopleth.plans.views import with_views
 from isopleth.session import new_dir
@@ -783,3 +783,20 @@ def daily_anomaly_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
         D(2024, 1, 3),
         D(2024, 1, 28),
     )
+
+
+@query(
+    "month_work",
+    with_views(
+        "requests registry",
+        f"""WITH v AS (SELECT r.var, level, start_date, end_date FROM requests JOIN registry r USING (var_key)
+          WHERE r.needs_level = (level IS NOT NULL) AND end_date >= start_date),
+        m AS (SELECT var, level, end_date, CAST(unnest(generate_series(date_trunc('month', start_date), end_date, INTERVAL 1 MONTH)) AS DATE) AS f FROM v),
+        u AS (SELECT 'source=primary/var=' || var || '/level=' || coalesce(level::VARCHAR, 'none') || '/year=' || year(f) || '/month=' || month(f) AS name,
+          least(last_day(f), end_date) AS last_day FROM m)
+        SELECT name, strftime(max(last_day), '%Y-%m-%d') AS last_day, name AS output FROM u GROUP BY name""",
+    ),
+)
+def month_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = work.month_work(views.requests(spark, sf_dir))
+    return units.select("name", F.col("params")["last_day"].alias("last_day"), F.col("outputs")[0].alias("output"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from isopleth.operators import aggregate, cleaning, climatology, combine, coverage, neighbours
+from isopleth.operators import aggregate, cleaning, climatology, combine, coverage, neighbours, patterns, timeseries
 from isopleth.schema import Grid
 
 
@@ -61,3 +61,21 @@ def daily_anomaly(
         clim.withColumnRenamed("clim", "value"), grid, target_lats, target_lons, ("day_key",)
     ).withColumnRenamed("value", "clim")
     return climatology.anomaly(days, on_grid, ["lat", "lon"])
+
+
+def oscillation_departures(
+    df: DataFrame,
+    base_start: dt.date,
+    base_end: dt.date,
+    south: float = -15.0,
+    north: float = 15.0,
+    days: int = 120,
+    min_days: int | None = None,
+) -> DataFrame:
+    """Equatorial band means per (var, lon, date), minus the climatology, minus the preceding mean, normalised."""
+    keys = ["var", "lon"]
+    band = aggregate.hovmoller(df, south, north, [*keys, "date"])
+    clim = climatology.daily_climatology(band, base_start, base_end, keys)
+    anomalies = climatology.anomaly(band, clim, keys)
+    departures = timeseries.remove_preceding_mean(anomalies, keys, days, value="anomaly", min_days=min_days)
+    return patterns.normalise_by_variable(departures)

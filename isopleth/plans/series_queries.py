@@ -573,7 +573,7 @@ def pattern_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oscillation_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three variables on four longitudes, one value per day."""
+    """Three variables on two longitudes, one value per day."""
     return (
         views.table(spark, sf_dir, "lineitem")
         .groupBy(
@@ -619,3 +619,11 @@ def oscillation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(var == "A", 0.25).when(var == "N", -0.5).otherwise(0.125).alias("e2"),
     )
     return patterns.oscillation_index(patterns.normalise_by_variable(departures), pattern)
+
+
+@query("oscillation_patterns")
+def oscillation_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two leading patterns of the three stacked variables (eigenvectors: no SQL twin)."""
+    field = _oscillation_field(spark, sf_dir)
+    departures = timeseries.remove_preceding_mean(field, ["var", "lon"], 120, min_days=60)
+    return patterns.combined_patterns(patterns.normalise_by_variable(departures))[0]

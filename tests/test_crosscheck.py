@@ -25,4 +25,4 @@ def test_query(spark, con, name):
 
 
 def test_only_these_lack_sql():
-    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"file_inventory", "pattern_index"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"file_inventory", "pattern_index", "oscillation_patterns"}

@@ -114,6 +114,8 @@ def test_bucket_sum_needs_all_four(spark):
         "time timestamp_ntz, value double",
     )
     assert [tuple(r) for r in precipitation.daily_sum_of_buckets(df, []).collect()] == [(D(2024, 1, 1), 4.0)]
+    ends = spark.createDataFrame([(T(2024, 1, 1, h), 1.0) for h in (0, 6, 12, 18)] + [(T(2024, 1, 2, 0), 5.0)], "time timestamp_ntz, value double")
+    assert [tuple(r) for r in precipitation.daily_sum_of_buckets(ends, [], label_lag_hours=6).collect()] == [(D(2024, 1, 1), 8.0)]
 
 
 def test_precipitation_types(spark):

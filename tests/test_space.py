@@ -197,3 +197,18 @@ def test_normalised_variables_have_unit_deviation(spark):
     df = spark.createDataFrame([("a", float(v)) for v in range(5)] + [("b", 100.0 * v) for v in range(5)], "var string, value double")
     for r in patterns.normalise_by_variable(df).groupBy("var").agg(F.stddev_pop("value").alias("s")).collect():
         assert r["s"] == pytest.approx(1.0)
+
+
+def test_combined_patterns_match_numpy(spark):
+    rng = np.random.default_rng(2)
+    keys = [(v, x) for v in ("a", "b") for x in (0.0, 90.0, 180.0)]
+    x = np.outer(rng.normal(size=50) * 4, rng.normal(size=6)) + rng.normal(size=(50, 6))
+    rows = [(v, lon, t, float(x[t, k])) for t in range(50) for k, (v, lon) in enumerate(keys)] + [("a", 0.0, 99, 1e6)]
+    df = spark.createDataFrame(rows, "var string, lon double, date int, value double")
+    table, explained = patterns.combined_patterns(df)
+    _, s, vt = np.linalg.svd(x, full_matrices=False)
+    assert explained == pytest.approx(list(s[:2] ** 2 / (s**2).sum()))
+    got = {(r["var"], r["lon"]): (r["e1"], r["e2"]) for r in table.collect()}
+    for m in range(2):
+        want = vt[m] * np.sign(vt[m][np.abs(vt[m]).argmax()])
+        assert [got[k][m] for k in keys] == pytest.approx(list(want), abs=1e-8)

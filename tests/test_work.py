@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from isopleth.functions import scalars
 from isopleth.operators import items, ledger, messages, precipitation
-from isopleth.plans import views
+from isopleth.plans import views, work
 from isopleth.schema import FIELD_SCHEMA
 from isopleth.session import new_dir, shared_dir
 from isopleth.sources import fields, inventory, tables
@@ -98,6 +98,29 @@ def test_hash_is_that_of_sorted_json(spark):
     assert df.select(ledger.params_hash(F.col("p"))).first()[0] == hashlib.md5(json.dumps(params, sort_keys=True).encode()).hexdigest()
 
 
+def test_month_work_to_ledger_and_back(spark):
+    d = dt.date
+    wanted = [("geopotencial", 500, d(2024, 1, 10), d(2024, 2, 10)), ("geopotencial", 500, d(2024, 2, 1), d(2024, 2, 20)), ("temperatura_2m", 500, d(2024, 1, 1), d(2024, 1, 2)), ("temperatura_2m", None, d(2024, 1, 1), d(2024, 1, 2))]
+    requests = spark.createDataFrame(wanted, "var_key string, level int, start_date date, end_date date")
+    units = work.month_work(requests)
+    got = {r["name"]: r["params"]["last_day"] for r in units.collect()}
+    feb = "source=primary/var=hgt/level=500/year=2024/month=2"
+    assert got == {
+        "source=primary/var=hgt/level=500/year=2024/month=1": "2024-01-31",
+        feb: "2024-02-20",
+        "source=primary/var=t2m/level=none/year=2024/month=1": "2024-01-02",
+    }
+    path = new_dir(spark, "ledger")
+    work.append_runs(units.withColumn("run_at", F.lit(1)), path)
+    runs, files = work.read_runs(spark, path), units.select(F.explode("outputs").alias("path"))
+    assert work.work_left(requests, runs, files).count() == 0
+    assert [r["name"] for r in work.work_left(requests, runs, files.where(~F.col("path").endswith("month=2"))).collect()] == [feb]
+    longer = requests.unionByName(requests.limit(1).withColumn("end_date", F.lit("2024-02-29").cast("date")))
+    assert [r["name"] for r in work.work_left(longer, runs, files).collect()] == [feb]
+    work.append_runs(work.month_work(longer).withColumn("run_at", F.lit(2)), path)
+    assert work.work_left(longer, work.read_runs(spark, path), files).count() == 0
+
+
 # --- error rules ----------------------------------------------------------------
 
 
