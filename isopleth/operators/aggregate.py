@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from isopleth.functions import scalars
 from isopleth.operators.cleaning import time_slice
-from isopleth.schema import Grid, null_safe_join
+from isopleth.schema import Grid, key_join
 
 
 def daily_mean(df: DataFrame, cell: Sequence[str] = ("lat", "lon")) -> DataFrame:
@@ -78,7 +78,7 @@ def remove_global_mean(df: DataFrame, slice_keys: Sequence[str] = ("date",)) ->
     """
     w = F.when(F.col("value").isNotNull(), scalars.cos_weight(F.col("lat")))
     means = df.groupBy(*slice_keys).agg((F.sum(w * F.col("value")) / F.sum(w)).alias("slice_mean"))
-    return null_safe_join(df, means, list(slice_keys), "left").withColumn(
+    return key_join(df, means, list(slice_keys), "left").withColumn(
         "value", F.col("value") - F.col("slice_mean")
     ).drop("slice_mean")
 

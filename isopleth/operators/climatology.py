@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isopleth.functions import scalars
 from isopleth.operators.cleaning import time_slice
-from isopleth.schema import null_safe_join
+from isopleth.schema import key_join
 
 
 def daily_climatology(
@@ -35,7 +35,7 @@ def period_climatology(clim: DataFrame, start: dt.date, end: dt.date, cell: Sequ
     )
     weights = days.groupBy(scalars.calendar_key(F.col("d")).alias("day_key")).agg(F.count("d").alias("n"))
     return (
-        clim.join(F.broadcast(weights), "day_key")
+        clim.join(F.broadcast(weights), "day_key")  # 365 rows at most
         .where(F.col("clim").isNotNull())
         .groupBy(*cell)
         .agg((F.sum(F.col("clim") * F.col("n")) / F.sum("n")).alias("clim"), F.sum("n").alias("n_days"))
@@ -49,5 +49,5 @@ def anomaly(df: DataFrame, clim: DataFrame, cell: Sequence[str], date: str = "da
     hint; the optimiser decides from its measured size.
     """
     keyed = df.withColumn("day_key", scalars.calendar_key(F.col(date)))
-    joined = null_safe_join(keyed, clim.select(*cell, "day_key", "clim"), [*cell, "day_key"], "left")
+    joined = key_join(keyed, clim.select(*cell, "day_key", "clim"), [*cell, "day_key"], "left")
     return joined.withColumn("anomaly", F.col("value") - F.col("clim")).drop("day_key")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.schema import null_safe_join
+from isopleth.schema import key_join
 from isopleth.sources import tables
 
 
@@ -56,7 +56,7 @@ def splice_sources(
     cutoffs = last_primary_days(primary, series, col)
     keep = [c for c in primary.columns if c in secondary.columns]
     tail = (
-        null_safe_join(secondary.where(in_period), cutoffs, list(series), "left")
+        key_join(secondary.where(in_period), cutoffs, list(series), "left")
         .where(F.to_date(col) > F.coalesce(F.col("last_day"), fallback))
         .select(*keep)
     )
@@ -67,7 +67,7 @@ def align_fields(a: DataFrame, b: DataFrame, keys: Sequence[str], suffixes: tupl
     """Cells and steps present in both fields, values side by side."""
     left = a.select(*keys, F.col("value").alias("value" + suffixes[0]))
     right = b.select(*keys, F.col("value").alias("value" + suffixes[1]))
-    return left.join(right, list(keys), "inner")
+    return key_join(left, right, list(keys), "inner")
 
 
 def mosaic(primary: DataFrame, secondary: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -100,8 +100,7 @@ def splice_forecast(
     last = observed.groupBy(*series).agg(F.max(day).alias("last_day"))
     keep = [*series, day, "value"]
     ahead = (
-        forecast.where(F.col(lead) > 0)
-        .join(last, list(series), "inner")
+        key_join(forecast.where(F.col(lead) > 0), last, list(series), "inner")
         .where(F.col(day) > F.col("last_day"))
         .select(*keep, F.lit(True).alias("is_forecast"))
     )

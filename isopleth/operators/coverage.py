@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.schema import null_safe_join
+from isopleth.schema import key_join
 
 
 
@@ -34,7 +34,7 @@ def covers_wanted(df: DataFrame, wanted: DataFrame, keys: Sequence[str], col: st
     day = F.to_date(col)
     have = df.groupBy(*keys).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
     ok = (F.col("first_day") <= F.col("start_date")) & (F.col("last_day") >= F.col("end_date"))
-    return null_safe_join(wanted, have, list(keys), "left").withColumn("covers", F.coalesce(ok, F.lit(False)))
+    return key_join(wanted, have, list(keys), "left").withColumn("covers", F.coalesce(ok, F.lit(False)))
 
 
 def coverage_report(df: DataFrame, start: dt.date, end: dt.date, keys: Sequence[str], col: str = "time") -> DataFrame:
@@ -78,7 +78,7 @@ def missing_days(df: DataFrame, start: dt.date, end: dt.date, keys: Sequence[str
     """Days of the period that a series lacks."""
     present = present_days(df, keys, col)
     spine = present.select(*keys).distinct().withColumn("day", F.explode(F.sequence(_day(start), _day(end))))
-    return null_safe_join(spine, present, [*keys, "day"], "left_anti")
+    return key_join(spine, present, [*keys, "day"], "left_anti")
 
 
 def missing_longitudes(df: DataFrame, west: float = 175.0, east: float = 181.0) -> DataFrame:

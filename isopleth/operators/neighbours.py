@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.schema import Grid
+from isopleth.schema import Grid, key_join
 from isopleth.sources.tables import literal_table
 
 EARTH_RADIUS = 6.371e6
@@ -112,13 +112,13 @@ def despike(
         )
     )
     corrections = (
-        lookups.join(field.select(*keys, "value"), keys)
+        key_join(lookups, field.select(*keys, "value"), keys, "inner")
         .groupBy(*slice_keys, "ci", "cj", "own")
         .agg(F.median("value").alias("median"))
         .where(F.col("own") > ratio * F.col("median"))
         .select(*slice_keys, F.col("ci").alias("i"), F.col("cj").alias("j"), "median")
     )
-    return field.join(corrections, keys, "left").select(
+    return key_join(field, corrections, keys, "left").select(
         *slice_keys,
         "lat",
         "lon",

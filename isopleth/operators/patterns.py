@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isopleth.functions import scalars
-from isopleth.schema import null_safe_join
+from isopleth.schema import key_join
 from isopleth.session import materialise
 from isopleth.sources.tables import literal_table
 
@@ -111,7 +111,7 @@ def project(
     weighted = F.col("value") * F.sqrt(scalars.cos_weight(F.col("lat"))) * F.col("loading")
     std = F.lit([float(s) for s in stds])[F.col("mode") - 1]
     return (
-        null_safe_join(anomalies, patterns, list(cell), "inner")
+        key_join(anomalies, patterns, list(cell), "inner")
         .groupBy(date, "mode")
         .agg(F.sum(weighted).alias("raw"))
         .select(date, "mode", (F.col("raw") / std).alias("index"))
@@ -121,7 +121,7 @@ def project(
 def normalise_by_variable(df: DataFrame, var: str = "var") -> DataFrame:
     """Divide each variable by its own standard deviation."""
     stds = df.groupBy(var).agg(F.stddev_pop("value").alias("std"))
-    return null_safe_join(df, stds, [var], "left").withColumn("value", F.col("value") / F.nullif("std", F.lit(0.0))).drop("std")
+    return key_join(df, stds, [var], "left").withColumn("value", F.col("value") / F.nullif("std", F.lit(0.0))).drop("std")
 
 
 def combined_patterns(
@@ -154,7 +154,7 @@ def oscillation_index(df: DataFrame, patterns: DataFrame, keys: Sequence[str] =
     ``patterns``: keys, e1, e2.  Gives pc1, pc2, amplitude and the octant phase 1-8
     counted counter-clockwise from the negative pc1 axis.
     """
-    scores = null_safe_join(df, patterns, list(keys), "inner").groupBy(date).agg(
+    scores = key_join(df, patterns, list(keys), "inner").groupBy(date).agg(
         F.sum(F.col("value") * F.col("e1")).alias("pc1"), F.sum(F.col("value") * F.col("e2")).alias("pc2")
     )
     angle = F.pmod(F.atan2("pc2", "pc1") + F.lit(np.pi), F.lit(2 * np.pi))

@@ -75,12 +75,16 @@ def epoch_day(date: Column | str) -> Column:
     return F.unix_date(F.to_date(date))
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join in which NULL keys match (single-level variables have a NULL level); keys kept once."""
+def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join that keeps the keys once and lets NULL levels match.
+
+    ``level`` is the one key that may be NULL (single-level variables); the others are
+    compared plainly, which keeps the join keys as they are and partitionings reusable.
+    """
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
     cond = None
     for k in keys:
-        eq = left[k].eqNullSafe(renamed[f"__{k}"])
+        eq = left[k].eqNullSafe(renamed[f"__{k}"]) if k == "level" else left[k] == renamed[f"__{k}"]
         cond = eq if cond is None else cond & eq
     out = left.join(renamed, cond, how)
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"__{k}" for k in keys])
