@@ -73,6 +73,51 @@ def regrid_bilinear(
     )
 
 
+def interpolate_at_points(
+    df: DataFrame, grid: Grid, points: DataFrame, point: str, slice_keys: Sequence[str] = ("time",)
+) -> DataFrame:
+    """Bilinear interpolation at scattered points (``point``, lat, lon), with the rules of ``regrid_bilinear``.
+
+    Each point names its four cells by arithmetic; field and points meet in one
+    equi-join on the cell indices, and the optimiser broadcasts the points when they
+    are few.
+    """
+    x = (F.col("lon") - grid.lon0) / grid.dlon
+    x = F.pmod(x, F.lit(float(grid.nlon))) if grid.cyclic else x
+    y = (F.col("lat") - grid.lat0) / grid.dlat
+    last_x = grid.nlon - 1 if grid.cyclic else grid.nlon - 2
+    placed = (
+        points.select(point, "lat", "lon", x.alias("x"), y.alias("y"))
+        .where(F.col("y").between(0.0, grid.nlat - 1.0) & F.col("x").between(0.0, float(grid.nlon if grid.cyclic else grid.nlon - 1)))
+        .withColumns(
+            {
+                "i0": F.least(F.floor("x"), F.lit(last_x)).cast("int"),
+                "j0": F.least(F.floor("y"), F.lit(grid.nlat - 2)).cast("int"),
+            }
+        )
+        .withColumns({"fx": F.col("x") - F.col("i0"), "fy": F.col("y") - F.col("j0")})
+    )
+
+    def corner(di: int, dj: int) -> Column:
+        wx = F.col("fx") if di else 1.0 - F.col("fx")
+        wy = F.col("fy") if dj else 1.0 - F.col("fy")
+        i = _shift(F.col("i0"), di, grid.nlon, grid.cyclic)
+        return F.struct(i.alias("i"), (F.col("j0") + dj).alias("j"), (wx * wy).alias("w"))
+
+    corners = F.array(*[corner(di, dj) for di in (0, 1) for dj in (0, 1)])
+    taps = placed.select(point, "lat", "lon", F.explode(corners).alias("c")).select(
+        point, "lat", "lon", F.col("c.i").alias("i"), F.col("c.j").alias("j"), F.col("c.w").alias("w")
+    )
+    field = df.select(*slice_keys, grid.i().alias("i"), grid.j().alias("j"), "value")
+    return (
+        field.join(taps, ["i", "j"])
+        .groupBy(*slice_keys, point, "lat", "lon")
+        .agg(F.sum(F.col("w") * F.col("value")).alias("value"), F.count("value").alias("corners"))
+        .where(F.col("corners") == 4)
+        .drop("corners")
+    )
+
+
 def _shift(index: Column, by: Column | int, n: int, cyclic: bool) -> Column:
     moved = index + by
     return F.pmod(moved, F.lit(n)) if cyclic else moved

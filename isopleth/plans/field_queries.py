@@ -645,6 +645,30 @@ def regrid_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.regrid_bilinear(views.grid_obs(spark, sf_dir), views.GRID, TARGET_LATS, TARGET_LONS)
 
 
+@query(
+    "interpolate_at_points",
+    with_views(
+        "grid_daily",
+        f"""WITH p AS (SELECT c_custkey, c_acctbal / 9.80665::DOUBLE AS x, (c_custkey % 401) / 9.0::DOUBLE - 21 AS y FROM customer),
+        t AS (SELECT *, (x / 30 % 12 + 12) % 12 AS px, (y + 20) / 10 AS py FROM p WHERE y BETWEEN -20 AND 20),
+        w AS (SELECT *, CAST(floor(px) AS INTEGER) AS i0, least(CAST(floor(py) AS INTEGER), 3) AS j0 FROM t),
+        g AS (SELECT date, CAST((lat + 20) / 10 AS INTEGER) AS j, CAST(lon / 30 AS INTEGER) AS i, value FROM grid_daily)
+        SELECT c_custkey, {day('a.date')} AS date, {r('y')} AS lat, {r('x')} AS lon,
+        {r('(1 - (py - j0)) * ((1 - (px - i0)) * a.value + (px - i0) * b.value) + (py - j0) * ((1 - (px - i0)) * c.value + (px - i0) * d.value)')} AS value
+        FROM w JOIN g a ON a.j = j0 AND a.i = i0 JOIN g b ON b.date = a.date AND b.j = j0 AND b.i = (i0 + 1) % 12
+        JOIN g c ON c.date = a.date AND c.j = j0 + 1 AND c.i = i0 JOIN g d ON d.date = a.date AND d.j = j0 + 1 AND d.i = (i0 + 1) % 12""",
+    ),
+)
+def interpolate_at_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily field at one point per customer."""
+    points = views.table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        ((F.col("c_custkey") % 401) / F.lit(9.0) - 21.0).alias("lat"),
+        (F.col("c_acctbal") / views.G).alias("lon"),
+    )
+    return neighbours.interpolate_at_points(views.grid_daily(spark, sf_dir), views.GRID, points, "c_custkey", ("date",))
+
+
 _KEY_SQL = "CASE WHEN month(date) = 2 AND day(date) = 29 THEN 228 ELSE month(date) * 100 + day(date) END"
 
 
@@ -773,15 +797,8 @@ def daily_anomaly_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage check, daily means, climatology of the other source on the same grid, difference."""
     other = aggregate.daily_mean(views.grid_alt(spark, sf_dir))
     clim = climatology.daily_climatology(other, D(2024, 1, 1), D(2024, 12, 31), ["lat", "lon"])
-    g = views.GRID
     return observed.daily_anomaly(
-        views.grid_obs(spark, sf_dir),
-        clim,
-        g,
-        [g.lat0 + g.dlat * j for j in range(g.nlat)],
-        [g.lon0 + g.dlon * i for i in range(g.nlon)],
-        D(2024, 1, 3),
-        D(2024, 1, 28),
+        views.grid_obs(spark, sf_dir), clim, views.GRID, views.GRID, D(2024, 1, 3), D(2024, 1, 28)
     )
 
 

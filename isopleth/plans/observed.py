@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from isopleth.operators import aggregate, cleaning, climatology, combine, coverage, neighbours, patterns, timeseries
-from isopleth.schema import Grid
+from isopleth.schema import Grid, with_cell_index
 
 
 def clean(df: DataFrame, fills: Sequence[float] = (), limit: float | None = None) -> DataFrame:
@@ -48,19 +48,21 @@ def observed_period(
 def daily_anomaly(
     df: DataFrame,
     clim: DataFrame,
-    grid: Grid,
-    target_lats: Sequence[float],
-    target_lons: Sequence[float],
+    clim_grid: Grid,
+    field_grid: Grid,
     start: dt.date,
     end: dt.date,
 ) -> DataFrame:
-    """Check coverage, take daily means, bring the climatology (day_key, lat, lon, clim) to the field's grid, subtract."""
+    """Check coverage, take daily means, bring the climatology (day_key, lat, lon, clim) to the field's grid, subtract.
+
+    Field and climatology meet on cell indices, not on coordinates.
+    """
     coverage.require_coverage(df, start, end, ["var", "level"])
-    days = aggregate.daily_mean(cleaning.time_slice(df, start, end))
+    days = with_cell_index(aggregate.daily_mean(cleaning.time_slice(df, start, end)), field_grid)
     on_grid = neighbours.regrid_bilinear(
-        clim.withColumnRenamed("clim", "value"), grid, target_lats, target_lons, ("day_key",)
+        clim.withColumnRenamed("clim", "value"), clim_grid, field_grid.lats, field_grid.lons, ("day_key",)
     ).withColumnRenamed("value", "clim")
-    return climatology.anomaly(days, on_grid, ["lat", "lon"])
+    return climatology.anomaly(days, with_cell_index(on_grid, field_grid), ["i", "j"]).drop("i", "j")
 
 
 def oscillation_departures(

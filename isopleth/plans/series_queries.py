@@ -23,6 +23,7 @@ from isopleth.operators import (
 from isopleth.plans import views
 from isopleth.plans.registry import big, day, instant, query, r
 from isopleth.plans.views import with_views
+from isopleth.schema import with_cell_index
 from isopleth.sources import tables
 
 D = dt.date
@@ -390,7 +391,7 @@ def precipitation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def align_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = views.grid_obs(spark, sf_dir), views.grid_alt(spark, sf_dir)
-    a, b = (df.withColumns({"i": views.GRID.i(), "j": views.GRID.j()}) for df in (a, b))
+    a, b = (with_cell_index(df, views.GRID) for df in (a, b))
     rows = combine.align_fields(a, b, ["time", "i", "j"])
     return rows.select("time", views.GRID.lat(F.col("j")).alias("lat"), views.GRID.lon(F.col("i")).alias("lon"), "value_a", "value_b")
 
@@ -407,7 +408,9 @@ def align_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
     primary = cleaning.null_missing(views.grid_missing(spark, sf_dir), fills=[-9999.0])
-    return combine.mosaic(primary, views.grid_alt(spark, sf_dir), ["time", "lat", "lon"])
+    g = views.GRID
+    rows = combine.mosaic(with_cell_index(primary, g), with_cell_index(views.grid_alt(spark, sf_dir), g), ["time", "i", "j"])
+    return rows.select("time", g.lat(F.col("j")).alias("lat"), g.lon(F.col("i")).alias("lon"), "value", "origin")
 
 
 _LATEST_SQL = """f AS (SELECT model, init, target, arg_max(value, (loaded_at, value)) AS value, max(loaded_at) AS loaded_at,

@@ -58,6 +58,14 @@ class Grid:
         lat = F.col(lat) if isinstance(lat, str) else lat
         return F.round((lat - self.lat0) / self.dlat).cast("int")
 
+    @property
+    def lats(self) -> list[float]:
+        return [self.lat0 + self.dlat * j for j in range(self.nlat)]
+
+    @property
+    def lons(self) -> list[float]:
+        return [self.lon0 + self.dlon * i for i in range(self.nlon)]
+
     def lon(self, i: Column) -> Column:
         return i * F.lit(float(self.dlon)) + F.lit(float(self.lon0))
 

@@ -63,6 +63,25 @@ def test_regrid_with_a_missing_corner_gives_nothing(spark):
     assert got == {(-5.0, 75.0), (5.0, 75.0), (15.0, 15.0), (15.0, 45.0), (15.0, 75.0)}
 
 
+def test_points_agree_with_the_grid_version(spark, rows):
+    df = random_field(spark, GRID)
+    lats, lons = [-20.0, -17.0, 3.0, 20.0, 21.0], [0.0, 44.0, 331.0, 359.0, -1.0, 360.0]
+    points = spark.createDataFrame([(k, y, x) for k, (y, x) in enumerate((y, x) for y in lats for x in lons)], "p int, lat double, lon double")
+    by_point = rows(neighbours.interpolate_at_points(df, GRID, points, "p"), "time", "lat", "lon", "value")
+    by_grid = rows(neighbours.regrid_bilinear(df, GRID, lats, lons), "time", "lat", "lon", "value")
+    assert len(by_point) == 2 * 4 * 6 and [r[:3] for r in by_point] == [r[:3] for r in by_grid]
+    assert [r[3] for r in by_point] == pytest.approx([r[3] for r in by_grid])
+
+
+def test_regional_grid_does_not_wrap(spark, rows):
+    grid = Grid(0.0, 1.0, 2, 10.0, 1.0, 3)
+    df = random_field(spark, grid, steps=1)
+    lons = [9.5, 10.0, 11.5, 12.0, 12.5]
+    got = {r["lon"] for r in neighbours.regrid_bilinear(df, grid, [0.5], lons).collect()}
+    points = spark.createDataFrame([(k, 0.5, x) for k, x in enumerate(lons)], "p int, lat double, lon double")
+    assert got == {r["lon"] for r in neighbours.interpolate_at_points(df, grid, points, "p").collect()} == {10.0, 11.5, 12.0}
+
+
 def test_spike_is_replaced_and_rain_is_not(spark):
     grid = Grid(0.0, 1.0, 9, 0.0, 1.0, 9)
     values = {(j, i): 0.0 for j in range(9) for i in range(9)}
