@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from isopleth.functions import scalars
 from isopleth.operators.cleaning import time_slice
 from isopleth.schema import Grid, key_join
+from isopleth.session import materialise
 
 
 def daily_mean(df: DataFrame, cell: Sequence[str] = ("lat", "lon")) -> DataFrame:
@@ -73,12 +74,12 @@ def box_means(
 def remove_global_mean(df: DataFrame, slice_keys: Sequence[str] = ("date",)) -> DataFrame:
     """Subtract the cos(latitude)-weighted mean of each time slice.
 
-    The means are one row per slice; joining them back moves far fewer bytes than
-    sorting the field for a window.
+    The means, one row per slice, are stored first; while they are small enough to
+    broadcast the field is read twice but never shuffled.
     """
     w = F.when(F.col("value").isNotNull(), scalars.cos_weight(F.col("lat")))
     means = df.groupBy(*slice_keys).agg((F.sum(w * F.col("value")) / F.sum(w)).alias("slice_mean"))
-    return key_join(df, means, list(slice_keys), "left").withColumn(
+    return key_join(df, materialise(means, "slice-means"), list(slice_keys), "left").withColumn(
         "value", F.col("value") - F.col("slice_mean")
     ).drop("slice_mean")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isopleth.schema import key_join
+from isopleth.session import materialise
 from isopleth.sources import tables
 
 
@@ -47,13 +48,13 @@ def splice_sources(
     """Primary source to its last day, secondary from the next day to ``end``.
 
     Gaps inside the primary range stay gaps.  A series without primary rows takes
-    ``today - 8 days`` as the last primary day.  The cutoff table has one row per
-    series and carries no hint: the optimiser broadcasts it when its size allows.
+    ``today - 8 days`` as the last primary day.  The cutoffs, one row per series, are
+    stored first, so neither source is shuffled while they fit a broadcast.
     """
     fallback = F.lit((today - dt.timedelta(days=tables.UNKNOWN_LAST_DAY_MARGIN)).isoformat()).cast("date")
     lo, hi = F.lit(start.isoformat()).cast("timestamp_ntz"), F.lit((end + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
     in_period = (F.col(col) >= lo) & (F.col(col) < hi)
-    cutoffs = last_primary_days(primary, series, col)
+    cutoffs = materialise(last_primary_days(primary, series, col), "cutoffs")
     keep = [c for c in primary.columns if c in secondary.columns]
     tail = (
         key_join(secondary.where(in_period), cutoffs, list(series), "left")
@@ -97,7 +98,7 @@ def splice_forecast(
     observed: DataFrame, forecast: DataFrame, series: Sequence[str], day: str = "date", lead: str = "lead_days"
 ) -> DataFrame:
     """Observed days, then forecast days after the last observed one; lead 0 is dropped."""
-    last = observed.groupBy(*series).agg(F.max(day).alias("last_day"))
+    last = materialise(observed.groupBy(*series).agg(F.max(day).alias("last_day")), "last-days")
     keep = [*series, day, "value"]
     ahead = (
         key_join(forecast.where(F.col(lead) > 0), last, list(series), "inner")

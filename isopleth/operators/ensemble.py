@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isopleth.session import materialise
+
 
 
 def lagged_ensemble_mean(
@@ -44,10 +46,12 @@ def skill_score(
     """1 - mean((f-o)^2) / mean(o^2) per (model, target), clipped to [-1, 1].
 
     ``forecast``: model, target, lead_days, value.  ``observed``: date, value, one row
-    per date.  The denominator is one constant of the observed archive, taken as a
-    scalar subquery.
+    per date, which is stored first, being used twice.  The denominator is one constant
+    of the observed archive, taken as a scalar subquery.
     """
-    obs = observed.where(F.col("value").isNotNull()).select(F.col("date").alias("target"), F.col("value").alias("obs"))
+    obs = materialise(
+        observed.where(F.col("value").isNotNull()).select(F.col("date").alias("target"), F.col("value").alias("obs")), "observed"
+    )
     base = obs.agg(F.avg(F.col("obs") * F.col("obs"))).scalar()
     err = (F.col("value") - F.col("obs")) * (F.col("value") - F.col("obs"))
     raw = F.lit(1.0) - F.col("mse") / base

@@ -4,7 +4,7 @@ A cell sends a copy of itself to each target it takes part in and the targets
 aggregate what arrives.  The field is first placed by horizontal slice (variable,
 level, time), whose size is bounded by the grid; the copies are made and added up
 inside that placement, so the raw field crosses the network once and the copies
-never do.
+never do.  Where the work touches few cells, those are picked out first instead.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isopleth.schema import Grid, key_join
+from isopleth.session import materialise
 from isopleth.sources.tables import literal_table
 
 EARTH_RADIUS = 6.371e6
@@ -54,12 +55,16 @@ def regrid_bilinear(
     On a cyclic grid the gap between the last and the first longitude is
     interpolated too.  Targets outside the latitudes, or with a missing corner, are
     NULL and therefore absent.
+
+    A coarse target uses few of the cells: the taps then thin out the field before
+    anything is shuffled.  A fine target multiplies the rows, so the field is placed
+    by slice first and the copies stay where they are made.
     """
     lon_taps = _axis_taps(df, "lon", target_lons, grid.lon0, grid.dlon, grid.nlon, grid.cyclic)
     lat_taps = _axis_taps(df, "lat", target_lats, grid.lat0, grid.dlat, grid.nlat, False)
-    placed = df.select(*slice_keys, grid.i().alias("lon_index"), grid.j().alias("lat_index"), "value").repartition(
-        *slice_keys
-    )
+    placed = df.select(*slice_keys, grid.i().alias("lon_index"), grid.j().alias("lat_index"), "value")
+    if 4 * len(target_lats) * len(target_lons) > grid.nlat * grid.nlon:
+        placed = placed.repartition(*slice_keys)
     return (
         placed.join(F.broadcast(lon_taps), "lon_index")
         .join(F.broadcast(lat_taps), "lat_index")
@@ -136,9 +141,9 @@ def despike(
     A value is a spike iff it exceeds ``threshold`` and ``ratio`` times the median;
     neighbours outside the domain are left out.  ``corrected`` marks the changes.
 
-    Only the rare values above the threshold look up their neighbours, so the field
-    itself is neither copied nor, as long as the optimiser finds the corrections small
-    enough to broadcast, shuffled.
+    Only the rare values above the threshold look up their neighbours.  Look-ups and
+    corrections are stored as they arise, so the field itself is neither copied nor,
+    while they are small enough to broadcast, shuffled.
     """
     width = F.sequence(F.lit(-radius), F.lit(radius))
     keys = [*slice_keys, "i", "j"]
@@ -157,13 +162,13 @@ def despike(
         )
     )
     corrections = (
-        key_join(lookups, field.select(*keys, "value"), keys, "inner")
+        key_join(field.select(*keys, "value"), materialise(lookups, "look-ups"), keys, "inner")
         .groupBy(*slice_keys, "ci", "cj", "own")
         .agg(F.median("value").alias("median"))
         .where(F.col("own") > ratio * F.col("median"))
         .select(*slice_keys, F.col("ci").alias("i"), F.col("cj").alias("j"), "median")
     )
-    return key_join(field, corrections, keys, "left").select(
+    return key_join(field, materialise(corrections, "corrections"), keys, "left").select(
         *slice_keys,
         "lat",
         "lon",

@@ -120,7 +120,7 @@ def project(
 
 def normalise_by_variable(df: DataFrame, var: str = "var") -> DataFrame:
     """Divide each variable by its own standard deviation."""
-    stds = df.groupBy(var).agg(F.stddev_pop("value").alias("std"))
+    stds = materialise(df.groupBy(var).agg(F.stddev_pop("value").alias("std")), "deviations")
     return key_join(df, stds, [var], "left").withColumn("value", F.col("value") / F.nullif("std", F.lit(0.0))).drop("std")
 
 

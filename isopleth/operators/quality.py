@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from isopleth.functions import scalars
 from isopleth.schema import key_join
+from isopleth.session import materialise
 from isopleth.sources import tables
 
 
@@ -19,7 +20,7 @@ def repair_units_by_slice(df: DataFrame, threshold: float, slice_keys: Sequence[
     either everything or nothing.
     """
     scale = df.groupBy(*slice_keys).agg(F.avg("value").alias("slice_mean"))
-    joined = key_join(df, scale, list(slice_keys), "left")
+    joined = key_join(df, materialise(scale, "slice-scale"), list(slice_keys), "left")
     geopotential = F.col("slice_mean") > threshold
     return (
         joined.withColumn(
@@ -66,7 +67,7 @@ def drop_degenerate_days(df: DataFrame, series: Sequence[str] = ("var",), date:
         .where(F.when(F.col("n_sound") == 0, none_left).otherwise(~F.col("degenerate")))
         .select(*series, date)
     )
-    return key_join(df, sound, [*series, date], "left_semi")
+    return key_join(df, materialise(sound, "sound-days"), [*series, date], "left_semi")
 
 
 def keep_where_negative(df: DataFrame, companion: str, columns: Sequence[str], max_abs_lat: float = 20.0) -> DataFrame:

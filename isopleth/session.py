@@ -44,8 +44,12 @@ def new_dir(spark: SparkSession, label: str) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
-    For results that several jobs use: they survive the loss of executors, and no
-    later job repeats the work behind them.
+    For results that several jobs use, and for the presumably small side of a join
+    with a whole field.  The stored table survives the loss of executors, no later
+    job repeats the work behind it, and the optimiser knows its size: if it is small
+    the field is joined where it lies, if not both sides are shuffled as usual.  (An
+    aggregate that is not stored counts as large as its input, so the field would be
+    shuffled before its true size came to light.)
     """
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)

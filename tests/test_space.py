@@ -5,8 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from isopleth.operators import aggregate, cleaning, neighbours, patterns
+from isopleth.operators import aggregate, cleaning, neighbours, patterns, quality
 from isopleth.schema import Grid, with_cell_index
+from isopleth.session import new_dir
 from isopleth.sources import tables
 
 GRID = Grid(-20.0, 10.0, 5, 0.0, 30.0, 12)
@@ -63,6 +64,35 @@ def test_regrid_with_a_missing_corner_gives_nothing(spark):
     assert got == {(-5.0, 75.0), (5.0, 75.0), (15.0, 15.0), (15.0, 45.0), (15.0, 75.0)}
 
 
+def test_coarse_target_matches_numpy(spark):
+    grid = Grid(-60.0, 2.0, 61, 0.0, 10.0, 36)
+    df = random_field(spark, grid, steps=2)
+    c = cube(df, grid)
+    lats, lons = [-59.5, 3.0, 60.0], [5.0, 355.0]
+    out = neighbours.regrid_bilinear(df, grid, lats, lons)
+    assert "REPARTITION" not in out._jdf.queryExecution().executedPlan().toString()
+    closed = np.concatenate([c, c[:, :, :1]], axis=2)
+    got = out.collect()
+    assert len(got) == 12
+    for r in got:
+        row = [np.interp(r["lon"], np.arange(37) * 10.0, closed[r["time"], j]) for j in range(61)]
+        assert r["value"] == pytest.approx(np.interp(r["lat"], np.arange(61) * 2.0 - 60, row))
+
+
+def test_small_sides_leave_the_field_in_place(spark):
+    path = new_dir(spark, "field")
+    random_field(spark, GRID).write.parquet(path)
+    stored = spark.read.parquet(path)
+    frames = [
+        aggregate.remove_global_mean(stored, ["time"]),
+        quality.repair_units_by_slice(stored, 50.0),
+        neighbours.despike(stored, GRID, ("time",), 1.0, 1.5),
+    ]
+    for df in frames:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_points_agree_with_the_grid_version(spark, rows):
     df = random_field(spark, GRID)
     lats, lons = [-20.0, -17.0, 3.0, 20.0, 21.0], [0.0, 44.0, 331.0, 359.0, -1.0, 360.0]
