@@ -46,7 +46,8 @@ def anomaly(df: DataFrame, clim: DataFrame, cell: Sequence[str], date: str = "da
     """Value minus climatology of the same cell and calendar day; no climatology gives NULL.
 
     The climatology (cells x 365) grows with the grid, so it carries no broadcast
-    hint; the optimiser decides from its measured size.
+    hint.  Hand in a stored table: its size is then known, and a small one is joined
+    without shuffling the field.
     """
     keyed = df.withColumn("day_key", scalars.calendar_key(F.col(date)))
     joined = key_join(keyed, clim.select(*cell, "day_key", "clim"), [*cell, "day_key"], "left")

@@ -99,7 +99,7 @@ def leading_patterns(anomalies: DataFrame, cell: Sequence[str], count: int = 1)
         for r in table.groupBy("mode").agg(F.max_by("loading", F.abs("loading")).alias("top")).collect()
     }
     sign = F.lit([signs.get(k + 1, 1.0) for k in range(count)])[F.col("mode") - 1]
-    table = table.withColumn("loading", F.col("loading") * sign)
+    table = materialise(table.withColumn("loading", F.col("loading") * sign), "loadings")
     stds = [float(np.std(np.sqrt(values[k]) * u[:, k])) for k in range(count)]
     return table, stds, [float(v / trace) for v in values]
 

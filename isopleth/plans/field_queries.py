@@ -24,7 +24,7 @@ from isopleth.operators import requests as req
 from isopleth.plans import observed, views, work
 from isopleth.plans.registry import big, day, instant, query, r
 from isopleth.plans.views import with_views
-from isopleth.session import new_dir
+from isopleth.session import materialise, new_dir
 from isopleth.sources import fields, inventory, tables
 
 D = dt.date
@@ -684,7 +684,7 @@ _KEY_SQL = "CASE WHEN month(date) = 2 AND day(date) = 29 THEN 228 ELSE month(dat
 def anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = views.daily_series(spark, sf_dir)
     clim = climatology.daily_climatology(series, D(1996, 1, 1), D(1999, 12, 31), ["var"])
-    return climatology.anomaly(series, clim, ["var"])
+    return climatology.anomaly(series, materialise(clim, "climatology"), ["var"])
 
 
 # --- items ----------------------------------------------------------------------

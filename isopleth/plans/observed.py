@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from isopleth.operators import aggregate, cleaning, climatology, combine, coverage, neighbours, patterns, timeseries
 from isopleth.schema import Grid, with_cell_index
+from isopleth.session import materialise
 
 
 def clean(df: DataFrame, fills: Sequence[float] = (), limit: float | None = None) -> DataFrame:
@@ -62,7 +63,8 @@ def daily_anomaly(
     on_grid = neighbours.regrid_bilinear(
         clim.withColumnRenamed("clim", "value"), clim_grid, field_grid.lats, field_grid.lons, ("day_key",)
     ).withColumnRenamed("value", "clim")
-    return climatology.anomaly(days, with_cell_index(on_grid, field_grid), ["i", "j"]).drop("i", "j")
+    stored = materialise(with_cell_index(on_grid, field_grid).select("i", "j", "day_key", "clim"), "climatology")
+    return climatology.anomaly(days, stored, ["i", "j"]).drop("i", "j")
 
 
 def oscillation_departures(
@@ -77,7 +79,7 @@ def oscillation_departures(
     """Equatorial band means per (var, lon, date), minus the climatology, minus the preceding mean, normalised."""
     keys = ["var", "lon"]
     band = aggregate.hovmoller(df, south, north, [*keys, "date"])
-    clim = climatology.daily_climatology(band, base_start, base_end, keys)
+    clim = materialise(climatology.daily_climatology(band, base_start, base_end, keys), "climatology")
     anomalies = climatology.anomaly(band, clim, keys)
     departures = timeseries.remove_preceding_mean(anomalies, keys, days, value="anomaly", min_days=min_days)
     return patterns.normalise_by_variable(departures)

@@ -24,6 +24,7 @@ from isopleth.plans import views
 from isopleth.plans.registry import big, day, instant, query, r
 from isopleth.plans.views import with_views
 from isopleth.schema import with_cell_index
+from isopleth.session import materialise
 from isopleth.sources import tables
 
 D = dt.date
@@ -570,7 +571,7 @@ def pattern_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     cell = ["lat", "lon"]
     base = cleaning.time_slice(field, D(1995, 2, 1), D(2001, 10, 31), col="date")
     table, stds, _ = patterns.leading_patterns(patterns.monthly_anomalies(base, cell), cell, 1)
-    clim = climatology.daily_climatology(field, D(1995, 2, 1), D(2001, 10, 31), cell)
+    clim = materialise(climatology.daily_climatology(field, D(1995, 2, 1), D(2001, 10, 31), cell), "climatology")
     days = climatology.anomaly(field, clim, cell).select("date", *cell, F.col("anomaly").alias("value"))
     return patterns.project(days, table, cell, stds)
 
@@ -621,7 +622,7 @@ def oscillation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.cos(F.radians("lon")) * F.when(var == "A", 0.5).when(var == "N", 0.25).otherwise(-0.75)).alias("e1"),
         F.when(var == "A", 0.25).when(var == "N", -0.5).otherwise(0.125).alias("e2"),
     )
-    return patterns.oscillation_index(patterns.normalise_by_variable(departures), pattern)
+    return patterns.oscillation_index(patterns.normalise_by_variable(departures), materialise(pattern, "pattern"))
 
 
 @query("oscillation_patterns")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isopleth.operators import climatology, ensemble, events, precipitation, quality, timeseries
+from isopleth.plans import observed
 
 D, T = dt.date, dt.datetime
 
@@ -218,3 +219,23 @@ def test_front_needs_turn_and_fall(spark):
 def test_null_is_not_a_value(spark):
     df = series(spark, [1.0, None, 3.0])
     assert df.select(F.avg("value")).first()[0] == 2.0
+
+
+def test_oscillation_departures(spark):
+    rng = np.random.default_rng(4)
+    days = [D(2023, 1, 1) + dt.timedelta(days=k) for k in range(400)]
+    x = rng.normal(size=(2, 2, 400))
+    data = [(v, 90.0 * i, d, lat, float(x[k, i, t] + off)) for k, v in enumerate("ab") for i in range(2) for t, d in enumerate(days) for lat, off in ((-10.0, -1.0), (10.0, 1.0), (40.0, 99.0))]
+    df = spark.createDataFrame(data, "var string, lon double, date date, lat double, value double")
+    out = observed.oscillation_departures(df, D(2023, 1, 1), D(2024, 12, 31), days=30)
+    key = [d.month * 100 + d.day for d in days]
+    clim = {}
+    for t, k in enumerate(key):
+        clim.setdefault(k, []).append(t)
+    anom = np.stack([x[:, :, t] - x[:, :, clim[key[t]]].mean(axis=2) for t in range(400)], axis=2)
+    dep = np.stack([anom[:, :, t] - anom[:, :, t - 30 : t].mean(axis=2) for t in range(30, 400)], axis=2)
+    dep /= dep.std(axis=(1, 2), keepdims=True)
+    got = {(r["var"], r["lon"], r["date"]): r["value"] for r in out.collect()}
+    assert len(got) == dep.size
+    for (v, lon, d), value in got.items():
+        assert value == pytest.approx(dep["ab".index(v), int(lon // 90), days.index(d) - 30], abs=1e-9)
