@@ -54,6 +54,8 @@ def leading_vectors(gram: DataFrame, dim: int, count: int) -> tuple[np.ndarray,
     square = np.zeros((dim, dim))
     for a, b, value in gram.toPandas().itertuples(index=False):
         square[a, b] = square[b, a] = value
+    if not square.any():
+        raise ValueError("no complete vector to take patterns from")
     values, vectors = np.linalg.eigh(square)
     order = np.argsort(values)[::-1][:count]
     return values[order], vectors[:, order], float(np.trace(square))

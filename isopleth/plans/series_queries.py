@@ -628,6 +628,5 @@ def oscillation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("oscillation_patterns")
 def oscillation_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two leading patterns of the three stacked variables (eigenvectors: no SQL twin)."""
-    field = _oscillation_field(spark, sf_dir)
-    departures = timeseries.remove_preceding_mean(field, ["var", "lon"], 120, min_days=60)
-    return patterns.combined_patterns(patterns.normalise_by_variable(departures))[0]
+    departures = timeseries.remove_preceding_mean(views.daily_series(spark, sf_dir), ["var"], 120, min_days=60)
+    return patterns.combined_patterns(patterns.normalise_by_variable(departures), ["var"])[0]
