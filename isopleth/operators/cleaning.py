@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isopleth.functions import scalars
 from isopleth.sources import tables
@@ -61,9 +62,14 @@ def time_slice(
 ) -> DataFrame:
     """Rows between two labels, both included; a plain date as end covers its whole day.
 
-    Written as range comparisons on the raw column, which the Parquet scan can push down.
+    Written as range comparisons on the raw column, which the Parquet scan can push
+    down; a date column is compared with dates for the same reason.
     """
     out = df
+    if isinstance(df.schema[col].dataType, T.DateType) and not any(isinstance(x, dt.datetime) for x in (start, end)):
+        if start is not None:
+            out = out.where(F.col(col) >= F.lit(start))
+        return out.where(F.col(col) <= F.lit(end)) if end is not None else out
     if start is not None:
         out = out.where(F.col(col) >= _instant(start))
     if end is not None:

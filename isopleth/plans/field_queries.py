@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -394,8 +394,8 @@ def pending_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("u"), F.col("o_orderkey"))
     stem = F.concat(F.lit("out/c"), F.col("o_custkey"), F.lit("/"))
 
-    def params(priority) -> F.Column:
-        return F.create_map(F.lit("status"), F.col("o_orderstatus"), F.lit("priority"), priority)
+    def params(priority: Column, status: Column | None = None) -> Column:
+        return F.create_map(F.lit("status"), F.col("o_orderstatus") if status is None else status, F.lit("priority"), priority)
 
     priority = F.col("o_orderpriority")
     outputs = F.transform(F.sequence(F.lit(1), 1 + F.col("o_orderkey") % 3), lambda k: F.concat(stem, k))
@@ -403,11 +403,12 @@ def pending_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     ran = orders.where(F.col("o_orderstatus") != "P")
     last = ran.select(
         name.alias("name"),
-        params(F.when(F.col("o_custkey") % 5 == 0, "changed").otherwise(priority)).alias("params"),
+        params(F.when(F.col("o_custkey") % 5 == 0, F.lit("changed")).otherwise(priority)).alias("params"),
         outputs.alias("outputs"),
         F.col("o_orderdate").alias("run_at"),
     )
-    older = last.withColumns({"params": params_old(), "run_at": F.col("run_at") - F.expr("interval 10 days")})
+    old = F.lit("old")
+    older = last.withColumns({"params": params(old, old), "run_at": F.col("run_at") - F.expr("interval 10 days")})
     runs = ledger.record_runs(last.unionByName(older))
     customer = views.table(spark, sf_dir, "customer")
     paths = customer.select(F.explode(F.sequence(F.lit(1), F.lit(3))).alias("k"), "c_custkey", "c_acctbal").where(
@@ -417,10 +418,6 @@ def pending_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.pending_units(requested, runs, have)
 
 
-def params_old():
-    return F.create_map(F.lit("status"), F.lit("old"), F.lit("priority"), F.lit("old"))
-
-
 @query(
     "request_validation",
     with_views(

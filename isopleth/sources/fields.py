@@ -58,9 +58,13 @@ def read_fields(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fields) if concat else fields
 
 
-def read_glob(spark: SparkSession, pattern: str, wrap: bool = True) -> DataFrame:
-    """All files that match a pattern as one field, with the file each row came from."""
-    raw = spark.read.option("mergeSchema", "true").parquet(pattern)
+def read_glob(spark: SparkSession, pattern: str, wrap: bool = True, base: str | None = None) -> DataFrame:
+    """All files that match a pattern as one field, with the file each row came from.
+
+    ``base`` is the root of a partitioned field; with it the unit columns are kept.
+    """
+    reader = spark.read.option("mergeSchema", "true")
+    raw = (reader.option("basePath", base) if base else reader).parquet(pattern)
     return _standardise(raw.select("*", F.col("_metadata.file_path").alias("file_path")), wrap)
 
 

@@ -31,10 +31,6 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _key(row: tuple) -> tuple:
-    return tuple((v is None, str(type(v)), v if v is not None else 0) for v in row)
-
-
 def _text(v: object) -> str:
     if v is None:
         return "NULL"

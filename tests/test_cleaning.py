@@ -57,6 +57,9 @@ def test_time_slice_ends(spark):
     assert cleaning.time_slice(df, None, dt.date(2024, 1, 2)).count() == 4
     assert cleaning.time_slice(df, T(2024, 1, 2, 18), T(2024, 1, 3, 0)).count() == 2
     assert cleaning.time_slice(df).count() == 6
+    days = df.select(F.to_date("time").alias("date"))
+    assert cleaning.time_slice(days, dt.date(2024, 1, 2), dt.date(2024, 1, 2), "date").count() == 2
+    assert cleaning.time_slice(days, T(2024, 1, 2, 1), None, "date").count() == 2
 
 
 def test_box_across_the_antimeridian(spark, rows):

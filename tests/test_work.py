@@ -186,6 +186,8 @@ def test_reads(spark):
     assert both.count() == 12 and both.where("lat is null").count() == 4
     plan = fields.read_field(spark, path, start=dt.date(2024, 1, 2))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(time" in plan
+    globbed = fields.read_glob(spark, path + "/source=*/var=*/level=*/year=2024/month=1", base=path)
+    assert globbed.count() == 8 and globbed.first()["source"] == "p" and globbed.first()["file_path"].endswith(".parquet")
     with pytest.raises(Exception, match="PATH_NOT_FOUND|not exist"):
         fields.read_field(spark, path + "-absent").collect()
 
