@@ -116,14 +116,29 @@ def partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.read_written(spark, path)
 
 
-@query("file_inventory")
+@query(
+    "file_inventory",
+    with_views(
+        "grid_obs",
+        """SELECT true AS exists, true AS ok, false AS stale, false AS fetch, count(*) AS n_rows FROM grid_obs
+        UNION ALL SELECT false, false, false, true, 0""",
+    ),
+)
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State of the landed field files and of one file that does not exist."""
-    have = inventory.list_files(spark, _land(spark, sf_dir, "grid_obs"), "*.parquet")
+    """States of the landed field files and of one file that does not exist, with the rows they hold."""
+    path = _land(spark, sf_dir, "grid_obs")
+    have = inventory.list_files(spark, path, "*.parquet")
     wanted = have.select("path").union(have.agg(F.concat(F.min("path"), F.lit(".absent")).alias("path")))
     now = dt.datetime(2024, 6, 1, tzinfo=dt.timezone.utc)
     states = inventory.check_files(wanted, have, now, min_bytes=1000, max_age_hours=24.0)
-    return states.select(F.col("path").endswith(".absent").alias("absent"), "exists", "ok", "stale", "fetch")
+    local = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")  # noqa: E731 - schemes are spelt in two ways
+    held = fields.read_glob(spark, path).groupBy(local(F.col("file_path")).alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return (
+        states.withColumn("file", local(F.col("path")))
+        .join(held, "file", "left")
+        .groupBy("exists", "ok", "stale", "fetch")
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+    )
 
 
 # --- projections, filters, predicates -------------------------------------------

@@ -564,9 +564,46 @@ def gram_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.gram_matrix(views.table(spark, sf_dir, "embeddings"), "embedding", 64)
 
 
-@query("pattern_index")
+def _leading_vector_sql(name: str, matrix: str, squarings: int = 12) -> str:
+    """CTEs giving ``name``(id, v): the leading unit vector of ``matrix``(a, b, c) by repeated squaring."""
+    m = [f"{name}_m{k}" for k in range(squarings + 1)]
+    ctes = [f"{m[0]} AS MATERIALIZED (SELECT a, b, c / (SELECT max(abs(c)) FROM {matrix}) AS c FROM {matrix})"]
+    for k in range(1, squarings + 1):
+        s = f"{name}_s{k}"
+        ctes.append(
+            f"{s} AS MATERIALIZED (SELECT p.a, q.b, sum(p.c * q.c) AS c FROM {m[k - 1]} p JOIN {m[k - 1]} q ON p.b = q.a GROUP BY p.a, q.b)"
+        )
+        ctes.append(f"{m[k]} AS MATERIALIZED (SELECT a, b, c / (SELECT max(abs(c)) FROM {s}) AS c FROM {s})")
+    ctes.append(
+        f"{name}_col AS MATERIALIZED (SELECT a AS id, c AS v FROM {m[-1]} WHERE b = (SELECT arg_max(a, c) FROM {m[-1]} WHERE a = b))"
+    )
+    ctes.append(
+        f"{name} AS MATERIALIZED (SELECT id, v / sqrt((SELECT sum(v * v) FROM {name}_col)) * sign((SELECT arg_max(v, abs(v)) FROM {name}_col)) AS v FROM {name}_col)"
+    )
+    return ",\n".join(ctes)
+
+
+@query(
+    "pattern_index",
+    with_views(
+        "long_grid",
+        f"""WITH base AS MATERIALIZED (SELECT * FROM long_grid WHERE date BETWEEN DATE '1995-02-01' AND DATE '2001-10-31'),
+        mon AS (SELECT lat, lon, date_trunc('month', date) AS m, avg(value) AS v FROM base GROUP BY ALL),
+        x0 AS MATERIALIZED (SELECT lat, lon, m, (v - avg(v) OVER (PARTITION BY lat, lon, month(m))) * sqrt(cos(radians(lat))) AS x FROM mon),
+        whole AS MATERIALIZED (SELECT lat, lon, row_number() OVER (ORDER BY lat, lon) AS id FROM x0 GROUP BY lat, lon
+          HAVING count(*) = (SELECT count(DISTINCT m) FROM x0)),
+        x AS MATERIALIZED (SELECT id, m, x FROM x0 JOIN whole USING (lat, lon)),
+        cov AS MATERIALIZED (SELECT p.id AS a, q.id AS b, sum(p.x * q.x) AS c FROM x p JOIN x q USING (m) GROUP BY p.id, q.id),
+        {_leading_vector_sql('e', 'cov')},
+        sd AS (SELECT stddev_pop(s) AS s FROM (SELECT m, sum(x * v) AS s FROM x JOIN e USING (id) GROUP BY m)),
+        clim AS (SELECT lat, lon, {_KEY_SQL} AS k, avg(value) AS clim FROM base GROUP BY ALL),
+        g AS (SELECT *, {_KEY_SQL} AS k FROM long_grid)
+        SELECT {day('date')} AS date, {big('1')} AS mode, {r('sum((g.value - clim) * sqrt(cos(radians(lat))) * v) / any_value(sd.s)')} AS index
+        FROM g JOIN whole USING (lat, lon) JOIN e USING (id) LEFT JOIN clim USING (lat, lon, k), sd GROUP BY g.date""",
+    ),
+)
 def pattern_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily index of the leading pattern of the southern field (eigenvectors: no SQL twin)."""
+    """Daily index of the leading pattern of the southern field."""
     field = views.long_grid(spark, sf_dir)
     cell = ["lat", "lon"]
     base = cleaning.time_slice(field, D(1995, 2, 1), D(2001, 10, 31), col="date")
@@ -625,8 +662,25 @@ def oscillation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.oscillation_index(patterns.normalise_by_variable(departures), materialise(pattern, "pattern"))
 
 
-@query("oscillation_patterns")
+@query(
+    "oscillation_patterns",
+    with_views(
+        "daily_series",
+        f"""WITH p AS (SELECT var, date, value, avg(value) OVER w AS past, count(value) OVER w AS n FROM daily_series
+          WINDOW w AS (PARTITION BY var ORDER BY date RANGE BETWEEN INTERVAL 120 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)),
+        d AS MATERIALIZED (SELECT var, date, value - past AS value FROM p WHERE n >= 60),
+        s AS (SELECT var, stddev_pop(value) AS s FROM d GROUP BY var),
+        x AS MATERIALIZED (SELECT var, date, value / s AS x FROM d JOIN s USING (var)
+          WHERE date IN (SELECT date FROM d GROUP BY date HAVING count(*) = (SELECT count(DISTINCT var) FROM d))),
+        cov AS MATERIALIZED (SELECT p.var AS a, q.var AS b, sum(p.x * q.x) AS c FROM x p JOIN x q USING (date) GROUP BY p.var, q.var),
+        {_leading_vector_sql('e', 'cov', 16)},
+        lam AS (SELECT sum(c * i.v * j.v) AS l FROM cov JOIN e i ON i.id = a JOIN e j ON j.id = b),
+        rest AS MATERIALIZED (SELECT a, b, c - l * i.v * j.v AS c FROM cov JOIN e i ON i.id = a JOIN e j ON j.id = b, lam),
+        {_leading_vector_sql('f', 'rest', 16)}
+        SELECT e.id AS var, {r('e.v')} AS e1, {r('f.v')} AS e2 FROM e JOIN f USING (id)""",
+    ),
+)
 def oscillation_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two leading patterns of the three stacked variables (eigenvectors: no SQL twin)."""
+    """Two leading patterns of the three stacked variables."""
     departures = timeseries.remove_preceding_mean(views.daily_series(spark, sf_dir), ["var"], 120, min_days=60)
     return patterns.combined_patterns(patterns.normalise_by_variable(departures), ["var"])[0]
