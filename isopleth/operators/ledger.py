@@ -41,38 +41,29 @@ def current_ledger(ledger: DataFrame, invalidated: DataFrame | None = None) -> D
     return latest if invalidated is None else latest.join(invalidated.select("name"), "name", "left_anti")
 
 
-def finished_units(units: DataFrame, ledger: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Units (name, params_hash, outputs) that the ledger and the inventory call done.
-
-    The ledger is matched first, so only units that ran with these parameters have
-    their outputs looked up.
-    """
-    runs = current_ledger(ledger.select("name", "params_hash", "run_at")).select("name", "params_hash")
-    keys = ["name", "params_hash"]
-    looked_up = (
-        units.join(runs, keys)
-        .select(*keys, F.explode_outer("outputs").alias("path"))
-        .join(inventory.select("path").distinct().withColumn("found", F.lit(True)), "path", "left")
-    )
-    absent = F.count_if(F.col("path").isNotNull() & F.col("found").isNull())
-    return looked_up.groupBy(*keys).agg(absent.alias("n_absent")).where(F.col("n_absent") == 0).select(*keys)
-
-
 def unit_status(requested: DataFrame, ledger: DataFrame, inventory: DataFrame) -> DataFrame:
     """Each requested unit (name, params, outputs) with ``pending``.
 
     Done means: the ledger's latest row of that name has the same parameter hash and
-    every requested output is in ``inventory`` (column path).
+    every requested output is in ``inventory`` (column path).  The units pass through
+    once: the ledger is matched first, and only units that ran with these parameters
+    have their outputs looked up.
     """
+    keys = ["name", "params_hash"]
     units = requested.select("name", params_hash(F.col("params")).alias("params_hash"), "outputs")
-    done = finished_units(units, ledger, inventory).withColumn("done", F.lit(True))
-    return units.join(done, ["name", "params_hash"], "left").select(
-        "name", "params_hash", F.col("done").isNull().alias("pending")
+    runs = current_ledger(ledger.select(*keys, "run_at")).select(*keys, F.lit(True).alias("ran"))
+    have = inventory.select("path").distinct().withColumn("found", F.lit(True))
+    looked_up = (
+        units.join(runs, keys, "left")
+        .select(*keys, "ran", F.explode_outer(F.when(F.col("ran"), F.col("outputs"))).alias("output"))
+        # units without a path to look up are spread by name, not gathered under one NULL key
+        .withColumn("path", F.coalesce("output", F.concat(F.lit("\x00"), F.col("name"))))
+        .join(have, "path", "left")
     )
+    absent = F.col("output").isNotNull() & F.col("found").isNull()
+    return looked_up.groupBy(*keys).agg(F.bool_or(F.col("ran").isNull() | absent).alias("pending"))
 
 
 def pending_units(requested: DataFrame, ledger: DataFrame, inventory: DataFrame) -> DataFrame:
     """Requested units that still have to run."""
-    units = requested.select("name", params_hash(F.col("params")).alias("params_hash"), "outputs")
-    done = finished_units(units, ledger, inventory)
-    return units.join(done, ["name", "params_hash"], "left_anti").drop("outputs")
+    return unit_status(requested, ledger, inventory).where("pending").drop("pending")
