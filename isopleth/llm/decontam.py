@@ -14,6 +14,7 @@ which passes over all documents.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,13 +32,13 @@ BLOCK_WORDS = 60_000
 PASSAGE = 64
 #: Window lengths; a passage uses the first that holds it.
 SCALES = (16, 32, 64)
-RANK = 24
-OVERSAMPLE = 8
+RANK = 128
+OVERSAMPLE = 12
 POWER = 1
 #: Bound of the sample of document passages in the SVD, and characters of each.
 SAMPLE_PASSAGES = 2000
 SAMPLE_CHARS = 400
-MIN_COSINE = 0.5
+MIN_COSINE = 0.4
 MIN_COMMON = 0.65
 #: Share of a passage's words, rarest first, that count as its answer, and share of them that must be there.
 ANSWER_SHARE = 0.25
@@ -84,14 +85,7 @@ class Index:
     texts: list[list[str]]
     latent: np.ndarray  # (passages, rank), unit length
     answers: list[set[str]]
-
-
-def _term_counts(texts: Iterator[list[str]], vocabulary: dict[str, int]) -> np.ndarray:
-    out = np.zeros(len(vocabulary), np.int64)
-    for words in texts:
-        ids = {vocabulary[w] for w in vocabulary.keys() & set(words)}
-        out[list(ids)] += 1
-    return out
+    telling: set[str]  # all answer words
 
 
 def document_frequencies(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> np.ndarray:
@@ -179,7 +173,7 @@ def build_index(docs: DataFrame, items: list[tuple[object, str]], text: str = "t
     latent = np.array([vectors[[vocabulary[w] for w in p]].sum(axis=0) for _, p in cut])
     latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
     answers = [answer_words(p, vocabulary, idf) for _, p in cut]
-    return Index(vocabulary, idf, vectors, [i for i, _ in cut], [p for _, p in cut], latent, answers)
+    return Index(vocabulary, idf, vectors, [i for i, _ in cut], [p for _, p in cut], latent, answers, set().union(*answers))
 
 
 def answer_words(words: list[str], vocabulary: dict[str, int], idf: np.ndarray) -> set[str]:
@@ -188,6 +182,10 @@ def answer_words(words: list[str], vocabulary: dict[str, int], idf: np.ndarray)
     return set(own[: max(1, round(ANSWER_SHARE * len(own)))])
 
 
+def needed_answers(answer: set[str]) -> int:
+    return math.ceil(MIN_ANSWER * len(answer))
+
+
 def _scales(index: Index) -> list[tuple[int, np.ndarray]]:
     """(window length, passages that use it)."""
     sizes = np.array([len(p) for p in index.texts])
@@ -202,21 +200,30 @@ def _scales(index: Index) -> list[tuple[int, np.ndarray]]:
 
 
 def candidates(words: list[str], index: Index, scales: list[tuple[int, np.ndarray]]) -> dict[tuple[int, int], float]:
-    """(passage, window start) with their cosine, for all windows at or above ``MIN_COSINE``."""
+    """(passage, window start) with their cosine, for all windows at or above ``MIN_COSINE``.
+
+    Windows with fewer answer words than any passage of their scale demands can't pass the
+    answer check, so they are not projected.
+    """
     n = len(words)
-    none = len(index.vocabulary)
-    get = index.vocabulary.get
-    ids = np.fromiter((get(w, none) for w in words), np.int64, n)
-    sums = np.zeros((n + 1, index.vectors.shape[1]), np.float32)
-    np.cumsum(index.vectors[ids], axis=0, out=sums[1:])
+    telling = np.fromiter(map(index.telling.__contains__, words), np.int64, n)
+    if not telling.any():
+        return {}
+    count = np.concatenate([[0], np.cumsum(telling)])
+    none, get = len(index.vocabulary), index.vocabulary.get
     out = {}
     for scale, own in scales:
+        need = min(needed_answers(index.answers[p]) for p in own)
         starts = np.arange(0, max(1, n - scale // 2), scale // 2)
-        rows = sums[np.minimum(starts + scale, n)] - sums[starts]
-        norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-        cosine = rows @ index.latent[own].T
-        for a, b in np.argwhere(cosine >= MIN_COSINE * np.maximum(norms, 1e-3)[:, None]):
-            out[int(own[b]), int(starts[a])] = float(cosine[a, b] / max(norms[a], 1e-3))
+        first, last = np.maximum(starts - scale // 2, 0), np.minimum(starts + scale + scale // 2, n)
+        starts = starts[count[last] - count[first] >= need]
+        for k in range(0, len(starts), 1024):
+            part = starts[k : k + 1024]
+            ids = np.array([[get(w, none) for w in words[s : s + scale]] + [none] * (s + scale - n) for s in part])
+            rows = index.vectors[ids].sum(axis=1)
+            cosine = rows @ index.latent[own].T / np.maximum(np.linalg.norm(rows, axis=1), 1e-3)[:, None]
+            for a, b in np.argwhere(cosine >= MIN_COSINE):
+                out[int(own[b]), int(part[a])] = float(cosine[a, b])
     return out
 
 
@@ -227,7 +234,7 @@ def verify(words: list[str], passage: list[str], answer: set[str], start: int, s
     there = Counter(region)
     if sum(min(c, there[w]) for w, c in Counter(passage).items()) < need:
         return None  # the words in any order are no fewer than in the same order
-    if sum(w in there for w in answer) < MIN_ANSWER * len(answer):
+    if sum(w in there for w in answer) < needed_answers(answer):
         return None
     # a copy is about as long as the passage: look at spans of its length, half a length apart
     span = len(passage) + len(passage) // 2
