@@ -154,7 +154,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # of equal texts only the one row that stands for them takes part in the search
     active = counted.filter("copies = 1 or row = one")
     hits = active.select(F.col("row.rk").alias("rk"), "copies", F.explode("anchors").alias("h"))
+    # stored: beside a stored table Spark can split a hot hash of the other side of a join
     twice = hits.groupBy("h").agg(F.sum("copies").alias("n")).filter("n > 1").select("h")
+    twice = store(twice, "shared_anchors")
     seeds = hits.select("rk", "h").join(twice, "h", "left_semi").groupBy("rk").agg(F.collect_set("h").alias("seeds"))
     search = active.select("row", "copies", F.col("row.rk").alias("rk")).join(seeds, "rk")
     search = store(search.select("row", "copies", "seeds"), "seeds")
@@ -163,6 +165,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     around = placed.join(search, "row").select("text", "row.rk", "row.id", "seeds", "copies")
     windows = store(around.mapInPandas(_extend, "a long, b long, rk long, id long, at int, copies long"), "windows")
     repeated = windows.groupBy("a", "b").agg(F.sum("copies").alias("n")).filter("n > 1").select("a", "b")
+    repeated = store(repeated, "repeated_windows")
     found = windows.join(repeated, ["a", "b"], "left_semi").groupBy(F.struct("rk", "id").alias("row"))
     found = found.agg(F.collect_set("at").alias("starts")).select("row", "starts", F.lit(1).cast("long").alias("copies"))
     copied = counted.filter("copies > 1").select("row", F.lit(None).cast("array<int>").alias("starts"), "copies")
