@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isopleth.functions import scalars
+from isopleth.schema import series_of
 from isopleth.sources import tables
 
 
@@ -42,12 +43,16 @@ def pick_variable(df: DataFrame, dims: Sequence[str] = ("time", "lat", "lon")) -
 
 
 def squeeze_level(
-    df: DataFrame, order_col: str | None = None, keys: Sequence[str] = ("time", "lat", "lon")
+    df: DataFrame, order_col: str | None = None, keys: Sequence[str] | None = None
 ) -> DataFrame:
-    """Keep the first level of every cell (lowest ``order_col``) and drop the level column."""
+    """Keep the first level of every cell (lowest ``order_col``) and drop the level column.
+
+    By default every source and variable keeps its own first level.
+    """
     names = [c for c in df.columns if c in tables.LEVEL_COLUMNS]
     if not names:
         return df
+    keys = [*[c for c in series_of(df) if c not in names], "time", "lat", "lon"] if keys is None else keys
     order = order_col or names[0]
     rest = [c for c in df.columns if c not in keys and c not in names and c != order]
     # one min_by per column keeps the buffers flat, so this stays a hash aggregation

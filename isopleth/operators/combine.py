@@ -44,24 +44,31 @@ def splice_sources(
     today: dt.date,
     series: Sequence[str] = ("var", "level"),
     col: str = "time",
+    last_days: DataFrame | None = None,
 ) -> DataFrame:
     """Primary source to its last day, secondary from the next day to ``end``.
 
-    Gaps inside the primary range stay gaps.  A series without primary rows takes
-    ``today - 8 days`` as the last primary day.  The cutoffs, one row per series, are
-    stored first, so neither source is shuffled while they fit a broadcast.
+    Gaps inside the primary range stay gaps.  A series that the primary source does not have
+    comes from the secondary source from ``start`` on.  The last primary day is the one of the rows,
+    or that of ``last_days`` (series, last_day), where a NULL means that the source has the series but its last
+    day is unknown: then ``today - 8 days`` is taken.  The cutoffs, one row per series, are stored first, so
+    neither source is shuffled while they fit a broadcast.
     """
     fallback = F.lit((today - dt.timedelta(days=tables.UNKNOWN_LAST_DAY_MARGIN)).isoformat()).cast("date")
     lo, hi = F.lit(start.isoformat()).cast("timestamp_ntz"), F.lit((end + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
     in_period = (F.col(col) >= lo) & (F.col(col) < hi)
-    cutoffs = materialise(last_primary_days(primary, series, col), "cutoffs")
+    cutoffs = last_primary_days(primary, series, col) if last_days is None else last_days.select(*series, "last_day")
+    cutoffs = materialise(cutoffs.withColumn("last_day", F.coalesce("last_day", fallback)), "cutoffs")
     keep = [c for c in primary.columns if c in secondary.columns]
     tail = (
         key_join(secondary.where(in_period), cutoffs, list(series), "left")
-        .where(F.to_date(col) > F.coalesce(F.col("last_day"), fallback))
+        .where(F.col("last_day").isNull() | (F.to_date(col) > F.col("last_day")))
         .select(*keep)
     )
-    return primary.where(in_period).select(*keep).unionByName(tail)
+    head = primary.where(in_period)
+    if last_days is not None:  # what the primary source has beyond its stated last day gives way
+        head = key_join(head, cutoffs, list(series), "left").where(F.to_date(col) <= F.col("last_day"))
+    return head.select(*keep).unionByName(tail)
 
 
 def align_fields(a: DataFrame, b: DataFrame, keys: Sequence[str], suffixes: tuple[str, str] = ("_a", "_b")) -> DataFrame:

@@ -12,18 +12,30 @@ from isopleth.session import materialise
 
 
 def lagged_ensemble_mean(
-    df: DataFrame, cell: Sequence[str], member: Sequence[str], min_members: int = 8, valid: str = "valid"
+    df: DataFrame,
+    cell: Sequence[str],
+    member: Sequence[str],
+    min_members: int = 8,
+    valid: str = "valid",
+    run: Sequence[str] = (),
 ) -> DataFrame:
-    """Mean of runs and members that share a valid time; too few members give no row.
+    """Mean of runs and members that share a valid time.
 
-    Each member is averaged first, so a member with many rows neither outweighs the
-    others nor reaches the final step unreduced.
+    A run with fewer than ``min_members`` members is discarded; the others are averaged with
+    each member counting once.  Without ``run`` columns all members are one run.  Each
+    member is averaged first, so one with many rows neither outweighs the others nor
+    reaches the final step unreduced, and a run leaves only its sum and its members' number.
     """
-    one = df.where(F.col("value").isNotNull()).groupBy("model", valid, *cell, *member).agg(F.avg("value").alias("value"))
+    one = df.where(F.col("value").isNotNull()).groupBy("model", valid, *cell, *run, *member).agg(F.avg("value").alias("value"))
+    runs = one.groupBy("model", valid, *cell, *run).agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n"))
     return (
-        one.groupBy("model", valid, *cell)
-        .agg(F.avg("value").alias("value"), F.count(F.lit(1)).alias("n_members"))
-        .where(F.col("n_members") >= min_members)
+        runs.where(F.col("n") >= min_members)
+        .groupBy("model", valid, *cell)
+        .agg(
+            (F.sum("total") / F.sum("n")).alias("value"),
+            F.sum("n").alias("n_members"),
+            F.count(F.lit(1)).alias("n_runs"),
+        )
     )
 
 

@@ -50,9 +50,9 @@ def thin_by_refractory(df: DataFrame, place: Sequence[str], hours: int) -> DataF
     sees one run at a time, never a whole place.
     """
     w = Window.partitionBy(*place).orderBy("h")
-    hour = F.timestamp_diff("HOUR", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("time"))
-    timed = df.select(*place, hour.alias("h"))
-    starts = F.coalesce(F.col("h") - F.lag("h").over(w) >= hours, F.lit(True))
+    origin, gap = F.lit("1970-01-01").cast("timestamp_ntz"), hours * 3_600_000_000
+    timed = df.select(*place, F.timestamp_diff("MICROSECOND", origin, F.col("time")).alias("h"))  # the instant itself
+    starts = F.coalesce(F.col("h") - F.lag("h").over(w) >= gap, F.lit(True))
     runs = timed.withColumn("new_run", starts.cast("int")).withColumn(
         "run", F.sum("new_run").over(w.rowsBetween(Window.unboundedPreceding, 0))
     )
@@ -60,17 +60,14 @@ def thin_by_refractory(df: DataFrame, place: Sequence[str], hours: int) -> DataF
         F.array_sort(F.collect_list("h")),
         F.array().cast("array<bigint>"),
         lambda acc, h: F.when(
-            (F.size(acc) == 0) | (h - F.element_at(acc, -1) >= hours), F.array_append(acc, h)
+            (F.size(acc) == 0) | (h - F.element_at(acc, -1) >= gap), F.array_append(acc, h)
         ).otherwise(acc),
     )
     return (
         runs.groupBy(*place, "run")
         .agg(fold.alias("kept"))
         .select(*place, F.explode("kept").alias("h"))
-        .select(
-            *place,
-            (F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("h").cast("int"))).alias("time"),
-        )
+        .select(*place, F.timestamp_add("MICROSECOND", F.col("h"), origin).alias("time"))
     )
 
 

@@ -34,22 +34,38 @@ def map_items(df: DataFrame, func: Callable[[dict], dict | None], key: str, resu
     schema = T.StructType([df.schema[key], *result.fields, *OUTCOME.fields])
     arrow, names = to_arrow_schema(schema), result.fieldNames()
 
+    def failure(item: dict, exc: Exception) -> dict[str, Any]:
+        return {
+            key: item[key],
+            "ok": False,
+            "error_type": type(exc).__name__,
+            "error_msg": str(exc),
+            "traceback": traceback.format_exc(),
+        }
+
     def one(item: dict) -> dict[str, Any]:
         try:
             out = func(item) or {}
             return {key: item[key], **{n: out.get(n) for n in names}, "ok": True}
         except Exception as exc:  # noqa: BLE001 - every failure is data here
-            return {
-                key: item[key],
-                "ok": False,
-                "error_type": type(exc).__name__,
-                "error_msg": str(exc),
-                "traceback": traceback.format_exc(),
-            }
+            return failure(item, exc)
+
+    def fitting(item: dict, row: dict[str, Any]) -> dict[str, Any]:
+        try:
+            pa.RecordBatch.from_pylist([row], schema=arrow)
+            return row
+        except Exception as exc:  # noqa: BLE001 - a result of the wrong type is a failure of its item
+            return failure(item, exc)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pylist([one(item) for item in batch.to_pylist()], schema=arrow)
+            items = batch.to_pylist()
+            done = [one(item) for item in items]
+            try:
+                yield pa.RecordBatch.from_pylist(done, schema=arrow)
+            except (pa.ArrowException, TypeError, ValueError, OverflowError):
+                # some result does not fit its type: find it item by item
+                yield pa.RecordBatch.from_pylist([fitting(item, row) for item, row in zip(items, done)], schema=arrow)
 
     return df.mapInArrow(run, schema)
 

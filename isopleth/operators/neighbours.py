@@ -14,21 +14,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.schema import Grid, key_join
+from isopleth.schema import Grid, key_join, series_of
 from isopleth.session import materialise
 from isopleth.sources.tables import literal_table
 
 EARTH_RADIUS = 6.371e6
-MAX_AXIS = 20_000
+#: Up to this many targets an axis' taps carry a broadcast hint; longer ones are left to the optimiser.
+BROADCAST_AXIS = 20_000
 
 
 def _axis_taps(df: DataFrame, name: str, targets: Sequence[float], x0: float, dx: float, n: int, cyclic: bool) -> DataFrame:
     """For each target coordinate its two source indices and weights, as a small table.
 
-    One axis of a grid: at most ``2 * MAX_AXIS`` rows, hence safe to broadcast.
+    Two rows a target; a table of up to ``2 * BROADCAST_AXIS`` rows is marked for broadcast.
     """
-    if len(targets) > MAX_AXIS:
-        raise ValueError(f"axis {name} has {len(targets)} targets, more than {MAX_AXIS}")
     rows = []
     for t in targets:
         pos = (t - x0) / dx
@@ -40,7 +39,8 @@ def _axis_taps(df: DataFrame, name: str, targets: Sequence[float], x0: float, dx
         f = pos - k
         rows.append((k % n, float(t), 1.0 - f))
         rows.append(((k + 1) % n, float(t), f))
-    return literal_table(df.sparkSession, rows, f"{name}_index int, {name}_target double, {name}_weight double")
+    taps = literal_table(df.sparkSession, rows, f"{name}_index int, {name}_target double, {name}_weight double")
+    return F.broadcast(taps) if len(targets) <= BROADCAST_AXIS else taps
 
 
 def regrid_bilinear(
@@ -48,9 +48,10 @@ def regrid_bilinear(
     grid: Grid,
     target_lats: Sequence[float],
     target_lons: Sequence[float],
-    slice_keys: Sequence[str] = ("time",),
+    slice_keys: Sequence[str] | None = None,
+    place_first: bool | None = None,
 ) -> DataFrame:
-    """Bilinear interpolation to the grid spanned by two target axes.
+    """Bilinear interpolation to the grid spanned by two target axes, by default of each series and time.
 
     On a cyclic grid the gap between the last and the first longitude is
     interpolated too.  Targets outside the latitudes, or with a missing corner, are
@@ -58,16 +59,20 @@ def regrid_bilinear(
 
     A coarse target uses few of the cells: the taps then thin out the field before
     anything is shuffled.  A fine target multiplies the rows, so the field is placed
-    by slice first and the copies stay where they are made.
+    by slice first and the copies stay where they are made.  That is a physical choice, by the sizes of the
+    two grids alone; ``place_first`` sets it, and the result is the same.
     """
+    slice_keys = [*series_of(df), "time"] if slice_keys is None else slice_keys
     lon_taps = _axis_taps(df, "lon", target_lons, grid.lon0, grid.dlon, grid.nlon, grid.cyclic)
     lat_taps = _axis_taps(df, "lat", target_lats, grid.lat0, grid.dlat, grid.nlat, False)
     placed = df.select(*slice_keys, grid.i().alias("lon_index"), grid.j().alias("lat_index"), "value")
-    if 4 * len(target_lats) * len(target_lons) > grid.nlat * grid.nlon:
+    if place_first is None:
+        place_first = 4 * len(target_lats) * len(target_lons) > grid.nlat * grid.nlon
+    if place_first:
         placed = placed.repartition(*slice_keys)
     return (
-        placed.join(F.broadcast(lon_taps), "lon_index")
-        .join(F.broadcast(lat_taps), "lat_index")
+        placed.join(lon_taps, "lon_index")
+        .join(lat_taps, "lat_index")
         .groupBy(*slice_keys, F.col("lat_target").alias("lat"), F.col("lon_target").alias("lon"))
         .agg(
             F.sum(F.col("lat_weight") * F.col("lon_weight") * F.col("value")).alias("value"),
@@ -131,7 +136,7 @@ def _shift(index: Column, by: Column | int, n: int, cyclic: bool) -> Column:
 def despike(
     df: DataFrame,
     grid: Grid,
-    slice_keys: Sequence[str] = ("date",),
+    slice_keys: Sequence[str] | None = None,
     threshold: float = 150.0,
     ratio: float = 4.0,
     radius: int = 2,
@@ -145,6 +150,7 @@ def despike(
     corrections are stored as they arise, so the field itself is neither copied nor,
     while they are small enough to broadcast, shuffled.
     """
+    slice_keys = [*series_of(df), "date"] if slice_keys is None else slice_keys
     width = F.sequence(F.lit(-radius), F.lit(radius))
     keys = [*slice_keys, "i", "j"]
     field = df.withColumns({"i": grid.i(), "j": grid.j()})
@@ -177,13 +183,14 @@ def despike(
     )
 
 
-def divergence_vorticity(df: DataFrame, grid: Grid, slice_keys: Sequence[str] = ("time",)) -> DataFrame:
+def divergence_vorticity(df: DataFrame, grid: Grid, slice_keys: Sequence[str] | None = None) -> DataFrame:
     """Divergence and relative vorticity of (u, v) on the sphere by centred differences.
 
     div = (du/dx + d(v cos)/dy) / cos and vort = (dv/dx - d(u cos)/dy) / cos, with dx, dy
     in radians times the earth radius.  Cells without all four neighbours (the latitude
     edges, or a missing cell) give NULL.
     """
+    slice_keys = [*series_of(df), "time"] if slice_keys is None else slice_keys
     cos = F.cos(F.radians("lat"))
     dx = F.lit(2.0 * EARTH_RADIUS) * F.radians(F.lit(float(grid.dlon)))
     dy = F.lit(2.0 * EARTH_RADIUS) * F.radians(F.lit(float(grid.dlat)))

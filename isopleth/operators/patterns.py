@@ -20,14 +20,18 @@ from isopleth.schema import key_join
 from isopleth.session import materialise
 from isopleth.sources.tables import literal_table
 
-MAX_DIM = 4096
+#: Vectors up to this length go by their square matrix, longer ones by subspace iteration.
+SQUARE_LIMIT = 4096
+#: Further directions that the iteration carries along, its rounds, and the turn at which it has settled.
+EXTRA, ROUNDS, SETTLED = 8, 300, 1e-9
 
 
 def gram_matrix(df: DataFrame, vector: str, dim: int) -> DataFrame:
-    """X'X of the rows' vectors as (a, b, value) with 0 <= a <= b < dim."""
-    if dim > MAX_DIM:
-        raise ValueError(f"vectors of length {dim}; the square side is limited to {MAX_DIM}")
-    upper = np.triu_indices(dim)
+    """X'X of the rows' vectors as (a, b, value) with 0 <= a <= b < dim.
+
+    NULL vectors are missing and left out; a vector of another length raises.  Each task
+    hands on one row for each row of the matrix.
+    """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
@@ -37,23 +41,79 @@ def gram_matrix(df: DataFrame, vector: str, dim: int) -> DataFrame:
                 part = x.T @ x
                 total = part if total is None else total + part
         if total is not None:
-            yield pd.DataFrame(
-                {"a": upper[0].astype("int32"), "b": upper[1].astype("int32"), "value": total[upper]}
-            )
+            yield pd.DataFrame({"a": np.arange(dim, dtype="int32"), "upper": [total[a, a:] for a in range(dim)]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        """One matrix row from its parts, one part a task."""
+        a = int(pdf["a"].iloc[0])
+        total = pdf["upper"].sum()
+        return pd.DataFrame({"a": np.int32(a), "b": np.arange(a, dim, dtype="int32"), "value": total})
+
+    rows = vectors_of_length(df, vector, dim).mapInPandas(partial, "a int, upper array<double>")
+    return rows.groupBy("a").applyInPandas(add, "a int, b int, value double")
 
-    vectors = df.select(F.col(vector).cast("array<double>").alias(vector)).where(
-        F.col(vector).isNotNull() & (F.size(vector) == dim)
+
+def vectors_of_length(df: DataFrame, vector: str, dim: int) -> DataFrame:
+    """The column ``vector`` without NULLs; a vector of another length raises when it is read."""
+    own = F.col(vector).cast("array<double>")
+    said = F.concat(F.lit(f"a vector has not {dim} elements but "), F.size(vector).cast("string"))
+    return df.where(F.col(vector).isNotNull()).select(
+        F.when(F.size(vector) == dim, own).otherwise(F.raise_error(said)).alias(vector)
     )
-    return vectors.mapInPandas(partial, "a int, b int, value double").groupBy("a", "b").agg(F.sum("value").alias("value"))
+
+
+def leading_by_iteration(
+    df: DataFrame, vector: str, dim: int, count: int, extra: int = EXTRA, rounds: int = ROUNDS
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """What ``leading_vectors`` gives, for vectors of any length, by distributed subspace iteration.
+
+    Only dim x (count + extra) numbers pass between tasks and driver in a round.
+    """
+    width = min(count + extra, dim)
+    stored = vectors_of_length(df, vector, dim)
+
+    def multiply(basis: np.ndarray) -> np.ndarray:
+        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros_like(basis)
+            for pdf in batches:
+                if len(pdf):
+                    x = np.stack(pdf[vector].to_numpy()).astype("float64")
+                    total += x.T @ (x @ basis)
+            yield pd.DataFrame({"a": np.arange(dim), **{f"c{k}": total[:, k] for k in range(width)}})
+
+        sums = [F.sum(f"c{k}").alias(f"c{k}") for k in range(width)]
+        kind = ", ".join(["a long", *(f"c{k} double" for k in range(width))])
+        got = stored.mapInPandas(part, kind).groupBy("a").agg(*sums).toPandas()
+        out = np.zeros_like(basis)
+        out[got["a"].to_numpy()] = got.drop(columns="a").to_numpy()
+        return out
+
+    square = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x)
+    trace = stored.agg(F.sum(square)).first()[0]
+    if not trace:
+        raise ValueError("no complete vector to take patterns from")
+    basis, _ = np.linalg.qr(np.random.default_rng(1).normal(size=(dim, width)))
+    leading = basis[:, :count]
+    for _ in range(rounds):
+        image = multiply(basis)
+        small = basis.T @ image
+        values, turn = np.linalg.eigh((small + small.T) / 2)
+        order = np.argsort(values)[::-1]
+        now = (basis @ turn[:, order])[:, :count]
+        turned = np.linalg.norm(now - leading @ (leading.T @ now))
+        leading = now
+        if turned < SETTLED:
+            break
+        basis, _ = np.linalg.qr(image)
+    return values[order][:count], leading, float(trace)
 
 
 def leading_vectors(gram: DataFrame, dim: int, count: int) -> tuple[np.ndarray, np.ndarray, float]:
     """Largest eigenvalues, their vectors and the trace; the one driver-side step, on dim x dim numbers."""
-    if dim > MAX_DIM:
-        raise ValueError(f"matrix side {dim} is above {MAX_DIM}")
     square = np.zeros((dim, dim))
-    for a, b, value in gram.toPandas().itertuples(index=False):
-        square[a, b] = square[b, a] = value
+    table = gram.toPandas()
+    a, b = table["a"].to_numpy(), table["b"].to_numpy()
+    square[a, b] = square[b, a] = table["value"].to_numpy()
     if not square.any():
         raise ValueError("no complete vector to take patterns from")
     values, vectors = np.linalg.eigh(square)
@@ -76,21 +136,44 @@ def monthly_anomalies(df: DataFrame, cell: Sequence[str], date: str = "date") ->
     )
 
 
+def _steps_by_cell(anomalies: DataFrame, cell: Sequence[str]) -> DataFrame:
+    by_month = F.array_sort(F.collect_list(F.struct("month", "value")))
+    return anomalies.where(F.col("value").isNotNull()).groupBy(*cell).agg(by_month.alias("steps"))
+
+
+def _common_months(stored: DataFrame) -> list:
+    """Months that at least half of the cells have; one row a month reaches the driver."""
+    cells = stored.count()
+    months = stored.select(F.explode("steps.month").alias("month")).groupBy("month").count().collect()
+    return sorted(r["month"] for r in months if 2 * r["count"] >= cells)
+
+
+def _of_months(stored: DataFrame, months: list) -> DataFrame:
+    wanted = F.array(*[F.lit(m) for m in months]) if months else F.array().cast("array<date>")
+    return stored.withColumn("steps", F.filter("steps", lambda s: F.array_contains(wanted, s["month"])))
+
+
+def incomplete_cells(anomalies: DataFrame, cell: Sequence[str]) -> DataFrame:
+    """Cells that ``leading_patterns`` leaves out, with the months that they have and those wanted."""
+    stored = materialise(_steps_by_cell(anomalies, cell), "patterns")
+    months = _common_months(stored)
+    own = _of_months(stored, months).select(*cell, F.size("steps").alias("n_months"), F.lit(len(months)).alias("wanted"))
+    return own.where(F.col("n_months") < F.col("wanted"))
+
+
 def leading_patterns(anomalies: DataFrame, cell: Sequence[str], count: int = 1) -> tuple[DataFrame, list[float], list[float]]:
     """EOFs of monthly anomalies (cell, month, value).
 
     Returns the pattern table (cell, mode, loading), the standard deviation of each
-    monthly index and the explained fractions.  The months of the base period are the
-    bounded side (one cell's months fit one row); cells without all months are left out,
-    as they cannot be projected.  The vectors are stored once for the jobs that follow.
-    The largest loading of each mode is positive.
+    monthly index and the explained fractions.  The months are the bounded side (one cell's
+    months fit one row): those that at least half of the cells have, so that a stray month costs no cell.
+    Cells without all of them cannot be projected; ``incomplete_cells`` names them.
+    The vectors are stored once for the jobs that follow.  The largest loading of each mode is positive.
     """
-    by_month = F.array_sort(F.collect_list(F.struct("month", "value")))
-    stored = materialise(
-        anomalies.where(F.col("value").isNotNull()).groupBy(*cell).agg(by_month.alias("steps")), "patterns"
-    )
-    dim = stored.select(F.explode("steps.month").alias("month")).distinct().count()
-    vectors = stored.where(F.size("steps") == dim).select(*cell, F.col("steps.value").alias("x"))
+    stored = materialise(_steps_by_cell(anomalies, cell), "patterns")
+    months = _common_months(stored)
+    dim = len(months)
+    vectors = _of_months(stored, months).where(F.size("steps") == dim).select(*cell, F.col("steps.value").alias("x"))
     gram = gram_matrix(vectors, "x", dim)
     values, u, trace = leading_vectors(gram, dim, count)
     loadings = [_dot(F.col("x"), u[:, k] / np.sqrt(values[k])) for k in range(count)]
@@ -109,14 +192,18 @@ def leading_patterns(anomalies: DataFrame, cell: Sequence[str], count: int = 1)
 def project(
     anomalies: DataFrame, patterns: DataFrame, cell: Sequence[str], stds: Sequence[float], date: str = "date"
 ) -> DataFrame:
-    """Daily index: sqrt(cos)-weighted anomalies times the loadings, over the monthly index' deviation."""
+    """Daily index: sqrt(cos)-weighted anomalies times the loadings, over the monthly index' deviation.
+
+    ``n_elements`` counts the cells of the day; with fewer than the pattern has, the index is NULL.
+    """
     weighted = F.col("value") * F.sqrt(scalars.cos_weight(F.col("lat"))) * F.col("loading")
     std = F.lit([float(s) for s in stds])[F.col("mode") - 1]
+    whole = patterns.where(F.col("mode") == 1).agg(F.count(F.lit(1))).scalar()
     return (
         key_join(anomalies, patterns, list(cell), "inner")
         .groupBy(date, "mode")
-        .agg(F.sum(weighted).alias("raw"))
-        .select(date, "mode", (F.col("raw") / std).alias("index"))
+        .agg(F.sum(weighted).alias("raw"), F.count(weighted).alias("n_elements"))
+        .select(date, "mode", "n_elements", F.when(F.col("n_elements") >= whole, F.col("raw") / std).alias("index"))
     )
 
 
@@ -127,23 +214,31 @@ def normalise_by_variable(df: DataFrame, var: str = "var") -> DataFrame:
 
 
 def combined_patterns(
-    df: DataFrame, keys: Sequence[str] = ("var", "lon"), date: str = "date", count: int = 2
+    df: DataFrame,
+    keys: Sequence[str] = ("var", "lon"),
+    date: str = "date",
+    count: int = 2,
+    square_limit: int = SQUARE_LIMIT,
 ) -> tuple[DataFrame, list[float]]:
     """Leading patterns of several stacked, normalised variables (keys, date, value).
 
     One row per day holds the stacked vector; its length (variables x longitudes) is the
     bounded side.  Days that lack an element are left out.  Returns the table (keys,
-    e1, e2, ...) and the explained fractions; the largest loading is positive.
+    e1, e2, ...) and the explained fractions; the largest loading is positive.  ``square_limit``
+    chooses between two ways to the same vectors: up to it the square matrix, beyond it iteration.
     """
     stacked = F.array_sort(F.collect_list(F.struct(*keys, "value")))
     days = materialise(
         df.where(F.col("value").isNotNull()).groupBy(date).agg(stacked.alias("x")), "combined"
     )
     names = days.select(F.explode("x").alias("e")).select(*[F.col(f"e.{k}").alias(k) for k in keys]).distinct()
-    ordered = names.orderBy(*keys).limit(MAX_DIM + 1).collect()
+    ordered = names.orderBy(*keys).collect()  # one row for each element of the vector
     dim = len(ordered)
     vectors = days.where(F.size("x") == dim).select(F.col("x.value").alias("x"))
-    values, e, trace = leading_vectors(gram_matrix(vectors, "x", dim), dim, count)
+    if dim <= square_limit:
+        values, e, trace = leading_vectors(gram_matrix(vectors, "x", dim), dim, count)
+    else:
+        values, e, trace = leading_by_iteration(vectors, "x", dim, count)
     e = e * np.sign(e[np.abs(e).argmax(axis=0), np.arange(count)])
     rows = [(*key, *(float(v) for v in e[k])) for k, key in enumerate(ordered)]
     types = [f"{k} {df.schema[k].dataType.simpleString()}" for k in keys] + [f"e{m + 1} double" for m in range(count)]
@@ -154,13 +249,17 @@ def oscillation_index(df: DataFrame, patterns: DataFrame, keys: Sequence[str] =
     """Two-component index of the stacked, normalised variables.
 
     ``patterns``: keys, e1, e2.  Gives pc1, pc2, amplitude and the octant phase 1-8
-    counted counter-clockwise from the negative pc1 axis.
+    counted counter-clockwise from the negative pc1 axis.  ``n_elements`` counts the elements of the
+    day; if one is missing, all else is NULL.
     """
+    whole = patterns.agg(F.count(F.lit(1))).scalar()
     scores = key_join(df, patterns, list(keys), "inner").groupBy(date).agg(
-        F.sum(F.col("value") * F.col("e1")).alias("pc1"), F.sum(F.col("value") * F.col("e2")).alias("pc2")
+        F.count("value").alias("n_elements"), *[F.sum(F.col("value") * F.col(f"e{k}")).alias(f"pc{k}") for k in (1, 2)]
     )
+    complete = F.col("n_elements") >= whole
+    scores = scores.withColumns({f"pc{k}": F.when(complete, F.col(f"pc{k}")) for k in (1, 2)})
     angle = F.pmod(F.atan2("pc2", "pc1") + F.lit(np.pi), F.lit(2 * np.pi))
     phase = F.pmod(F.floor(angle / (np.pi / 4)).cast("int"), F.lit(8)) + 1
     return scores.select(
-        date, "pc1", "pc2", F.sqrt(F.col("pc1") * F.col("pc1") + F.col("pc2") * F.col("pc2")).alias("amplitude"), phase.alias("phase")
+        date, "n_elements", "pc1", "pc2", F.sqrt(F.col("pc1") * F.col("pc1") + F.col("pc2") * F.col("pc2")).alias("amplitude"), phase.alias("phase")
     )

@@ -34,17 +34,21 @@ def de_accumulate(df: DataFrame, run: Sequence[str], step: str, total: str = "to
 def daily_sum_of_buckets(
     df: DataFrame, cell: Sequence[str], buckets: int = 4, time: str = "time", label_lag_hours: int = 0
 ) -> DataFrame:
-    """Daily sum of buckets that reset; kept only when every bucket of the day has a value.
+    """Daily sum of buckets that reset; kept only when every bucket of the day is there once, with a value.
+
+    Rows of one cell and time are one bucket; a bucket that is there twice does not stand for
+    another that is missing, and its day is dropped.
 
     A bucket belongs to the day of its label; where labels mark the end of a bucket,
     ``label_lag_hours`` (its length) takes the 00 UTC bucket to the day before.
     """
     start = F.col(time) - F.make_dt_interval(hours=F.lit(label_lag_hours)) if label_lag_hours else F.col(time)
+    one = df.groupBy(*cell, start.alias("bucket")).agg(F.sum("value").alias("value"), F.count("value").alias("rows"))
     return (
-        df.groupBy(*cell, F.to_date(start).alias("date"))
-        .agg(F.sum("value").alias("value"), F.count("value").alias("n"))
-        .where(F.col("n") == buckets)
-        .drop("n")
+        one.groupBy(*cell, F.to_date("bucket").alias("date"))
+        .agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("n"), F.max("rows").alias("most"), F.min("rows").alias("least"))
+        .where((F.col("n") == buckets) & (F.col("most") == 1) & (F.col("least") == 1))
+        .drop("n", "most", "least")
     )
 
 

@@ -8,17 +8,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isopleth.functions import scalars
-from isopleth.schema import key_join
+from isopleth.schema import key_join, series_of
 from isopleth.session import materialise
 from isopleth.sources import tables
 
 
-def repair_units_by_slice(df: DataFrame, threshold: float, slice_keys: Sequence[str] = ("time",)) -> DataFrame:
+def repair_units_by_slice(df: DataFrame, threshold: float, slice_keys: Sequence[str] | None = None) -> DataFrame:
     """Divide by gravity each time slice whose own mean exceeds ``threshold`` (geopotential, not height).
 
     The scale is judged per slice: a mean over a series of mixed origin would divide
     either everything or nothing.
     """
+    slice_keys = [*series_of(df), "time"] if slice_keys is None else slice_keys
     scale = df.groupBy(*slice_keys).agg(F.avg("value").alias("slice_mean"))
     joined = key_join(df, materialise(scale, "slice-scale"), list(slice_keys), "left")
     geopotential = F.col("slice_mean") > threshold

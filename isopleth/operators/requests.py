@@ -52,12 +52,16 @@ def level_key(template: Column, needs_level: Column, level: Column) -> Column:
     return F.when(needs_level, F.replace(template, F.lit("{nivel}"), level.cast("string"))).otherwise(template)
 
 
-def request_urls(df: DataFrame, hours: Sequence[int] | None = None, base: str = tables.FILTER_URL) -> DataFrame:
+def request_urls(
+    df: DataFrame, hours: Sequence[int] | None = None, base: str = tables.FILTER_URL, on_unknown: str = "error"
+) -> DataFrame:
     """One address per request row and hour.
 
     Needs ``var_key, level, day`` and ``north, west, south, east`` (NULL north = whole globe).
+    An unknown variable raises; with ``on_unknown="reject"`` its address is NULL, as is that of a request
+    without the level it needs, and the column ``reject`` says why.
     """
-    wide = resolve_variables(df, on_unknown="error").withColumn(
+    wide = resolve_variables(df, on_unknown=on_unknown).withColumn(
         "hour", F.explode(F.array(*[F.lit(h) for h in normalise_hours(hours)]))
     )
     hh = F.lpad(F.col("hour").cast("string"), 2, "0")
@@ -87,4 +91,9 @@ def request_urls(df: DataFrame, hours: Sequence[int] | None = None, base: str =
         pair("dir", F.concat(F.lit("/gdas."), ymd, F.lit("/"), hh, F.lit("/atmos"))),
         area,
     )
-    return wide.select(*df.columns, "hour", F.concat(F.lit(base + "?"), query).alias("url"))
+    if on_unknown != "reject":
+        return wide.select(*df.columns, "hour", F.concat(F.lit(base + "?"), query).alias("url"))
+    unknown, unlevelled = F.col("reject").isNotNull(), F.col("needs_level") & F.col("level").isNull()
+    why = F.when(unknown, "unknown variable").when(unlevelled, "no level")
+    url = F.when(why.isNull(), F.concat(F.lit(base + "?"), query))
+    return wide.select(*df.columns, "hour", url.alias("url"), why.alias("reject"))

@@ -11,9 +11,10 @@ import datetime as dt
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isopleth.functions import scalars
 from isopleth.schema import epoch_day
 
 
@@ -174,21 +175,32 @@ def fill_gaps_in_time(df: DataFrame, cell: Sequence[str], date: str = "date") ->
     )
 
 
-def fill_gaps_in_longitude(df: DataFrame, row: Sequence[str], dlon: float) -> DataFrame:
-    """The same along a latitude circle between known longitudes; ``row`` names one circle."""
+def fill_gaps_in_longitude(df: DataFrame, row: Sequence[str], dlon: float, cyclic: bool = False) -> DataFrame:
+    """The same along a latitude circle between known longitudes; ``row`` names one circle.
+
+    On a ``cyclic`` grid the first known longitude also follows the last, so that a gap across the
+    date line is filled; longitudes are then given in [-180, 180).
+    """
     w = Window.partitionBy(*row).orderBy("lon")
+    circle = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def following(name: str, turn: float) -> Column:
+        after = F.lead(name).over(w)
+        return F.coalesce(after, F.first(name).over(circle) + turn) if cyclic else after
+
     known = df.where(F.col("value").isNotNull()).select(
         *row,
         F.col("lon").alias("x0"),
         F.col("value").alias("v0"),
-        F.lead("lon").over(w).alias("x1"),
-        F.lead("value").over(w).alias("v1"),
+        following("lon", 360.0).alias("x1"),
+        following("value", 0.0).alias("v1"),
     )
     gaps = F.coalesce(F.round((F.col("x1") - F.col("x0")) / dlon).cast("int"), F.lit(1))
     wide = known.withColumn("gaps", gaps).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("gaps") - 1)))
     value = F.when(F.col("k") == 0, F.col("v0")).otherwise(
         F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("k") / F.col("gaps")
     )
+    lon = F.col("x0") + F.col("k") * dlon
     return wide.select(
-        *row, (F.col("x0") + F.col("k") * dlon).alias("lon"), value.alias("value"), (F.col("k") > 0).alias("filled")
+        *row, (scalars.wrap_longitude(lon) if cyclic else lon).alias("lon"), value.alias("value"), (F.col("k") > 0).alias("filled")
     )

@@ -25,6 +25,7 @@ from isopleth.plans import observed, views, work
 from isopleth.plans.registry import big, day, instant, query, r
 from isopleth.plans.views import with_views
 from isopleth.session import materialise, new_dir
+from isopleth.sources.tables import literal_table
 from isopleth.sources import fields, inventory, tables
 
 D = dt.date
@@ -173,11 +174,16 @@ def pick_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
     "squeeze_level",
     with_views(
         "multi_level",
-        f"""SELECT {instant('time')} AS time, lat, lon, {r('arg_min(value, level_order)')} AS value FROM multi_level GROUP BY multi_level.time, lat, lon""",
+        f"""SELECT s.var, {instant('time')} AS time, lat, lon, {r('arg_min(value * s.f, level_order)')} AS value
+        FROM multi_level, (VALUES ('u', 1.0::DOUBLE), ('v', 2.0::DOUBLE)) s(var, f) GROUP BY s.var, multi_level.time, lat, lon""",
     ),
 )
 def squeeze_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.squeeze_level(views.multi_level(spark, sf_dir), "level_order")
+    """Two variables on three levels each."""
+    names = F.array(*[F.struct(F.lit(v).alias("var"), F.lit(f).alias("f")) for v, f in (("u", 1.0), ("v", 2.0))])
+    df = views.multi_level(spark, sf_dir).withColumn("s", F.explode(names))
+    df = df.withColumns({"var": F.col("s.var"), "value": F.col("value") * F.col("s.f")}).drop("s")
+    return cleaning.squeeze_level(df, "level_order").select("var", "time", "lat", "lon", "value")
 
 
 @query(
@@ -341,18 +347,13 @@ def variable_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _url_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = F.col("var_key") != "ozonio"
     area = F.col("request") % 2 == 0
-    return (
-        views.requests(spark, sf_dir)
-        .where(known)
-        .select(
-            "request",
-            "var_key",
-            F.coalesce("level", F.lit(500)).alias("level"),
-            F.col("start_date").alias("day"),
-            *[F.when(area, F.lit(x)).alias(n) for n, x in zip(("north", "west", "south", "east"), tables.SAMPLE_AREA)],
-        )
+    return views.requests(spark, sf_dir).select(
+        "request",
+        "var_key",
+        "level",
+        F.col("start_date").alias("day"),
+        *[F.when(area, F.lit(x)).alias(n) for n, x in zip(("north", "west", "south", "east"), tables.SAMPLE_AREA)],
     )
 
 
@@ -361,14 +362,16 @@ def _url_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views(
         "requests registry",
         f"""SELECT request, {big('h.hour')} AS hour, '{tables.FILTER_URL}?file=gdas.t' || lpad(h.hour::VARCHAR, 2, '0') || 'z.pgrb2.0p25.f000&' ||
-        replace(replace(replace(level_key, '{{nivel}}', coalesce(level, 500)::VARCHAR), '(', '%28'), ')', '%29') || '=on&var_' || secondary_code || '=on&dir=%2Fgdas.' || strftime(start_date, '%Y%m%d') || '%2F' ||
+        replace(replace(CASE WHEN needs_level THEN replace(level_key, '{{nivel}}', level::VARCHAR) ELSE level_key END, '(', '%28'), ')', '%29') || '=on&var_' || secondary_code || '=on&dir=%2Fgdas.' || strftime(start_date, '%Y%m%d') || '%2F' ||
         lpad(h.hour::VARCHAR, 2, '0') || '%2Fatmos' ||
-        CASE WHEN request % 2 = 0 THEN '&subregion=on&toplat=10.0&leftlon=-80.0&bottomlat=-40.0&rightlon=15.0' ELSE '' END AS url
-        FROM requests JOIN registry USING (var_key), (VALUES (0), (6), (12), (18)) h(hour)""",
+        CASE WHEN request % 2 = 0 THEN '&subregion=on&toplat=10.0&leftlon=-80.0&bottomlat=-40.0&rightlon=15.0' ELSE '' END AS url,
+        CASE WHEN r.var IS NULL THEN 'unknown variable' WHEN needs_level AND level IS NULL THEN 'no level' END AS reject
+        FROM requests q LEFT JOIN registry r USING (var_key), (VALUES (0), (6), (12), (18)) h(hour)""",
     ),
 )
 def request_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return req.request_urls(_url_requests(spark, sf_dir)).select("request", "hour", "url")
+    """Every request; those without an address say why."""
+    return req.request_urls(_url_requests(spark, sf_dir), on_unknown="reject").select("request", "hour", "url", "reject")
 
 
 _PAGE_URL_SQL = "replace(url, '/en/', '/thredds/fileServer/en/')"
@@ -506,12 +509,28 @@ def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.missing_days(views.grid_obs(spark, sf_dir), D(2024, 1, 1), D(2024, 2, 3), ["lat", "lon"])
 
 
+#: Two variables, one of them without a level beside one with, on together three levels.
+_SERIES = (("z", None, 0.0), ("z", 500, 1.0), ("t", 500, 2.0), ("t", 850, 4.0))
+_SERIES_SQL = "(VALUES ('z', NULL, 0.0::DOUBLE), ('z', 500, 1.0::DOUBLE), ('t', 500, 2.0::DOUBLE), ('t', 850, 4.0::DOUBLE)) s(var, level, shift)"
+
+
+def _many_series(df: DataFrame) -> DataFrame:
+    """The field as four series that differ in their values."""
+    series = [F.struct(F.lit(v).alias("var"), F.lit(p).cast("int").alias("level"), F.lit(x).alias("shift")) for v, p, x in _SERIES]
+    wide = df.drop("var", "level").withColumn("s", F.explode(F.array(*series)))
+    return wide.withColumns({"var": F.col("s.var"), "level": F.col("s.level"), "value": F.col("value") + F.col("s.shift")}).drop("s")
+
+
 @query(
     "daily_mean",
-    with_views("grid_obs", f"SELECT lat, lon, {day('time')} AS date, {r('avg(value)')} AS value, count(value) AS n_steps FROM grid_obs GROUP BY lat, lon, {day('time')}"),
+    with_views(
+        "grid_obs",
+        f"""SELECT source, s.var, {big('s.level')} AS level, lat, lon, {day('time')} AS date, {r('avg(value + s.shift)')} AS value, count(value) AS n_steps
+        FROM grid_obs, {_SERIES_SQL} GROUP BY source, s.var, s.level, lat, lon, {day('time')}""",
+    ),
 )
 def daily_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.daily_mean(views.grid_obs(spark, sf_dir))
+    return aggregate.daily_mean(_many_series(views.grid_obs(spark, sf_dir)))
 
 
 @query(
@@ -523,7 +542,7 @@ def daily_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def period_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.period_mean(views.grid_obs(spark, sf_dir), D(2024, 1, 4), D(2024, 1, 25))
+    return aggregate.period_mean(views.grid_obs(spark, sf_dir), D(2024, 1, 4), D(2024, 1, 25), ["lat", "lon"])
 
 
 @query(
@@ -571,7 +590,7 @@ def _splice_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         "grid_obs grid_alt",
         f"""WITH a AS (SELECT * REPLACE ({_SPLICE_VAR_SQL} AS var) FROM grid_obs), b AS (SELECT * REPLACE ({_SPLICE_VAR_SQL} AS var) FROM grid_alt),
         p AS (SELECT * FROM a WHERE (var = 'hgt' AND time < DATE '2024-01-21') OR (var = 'tmp' AND time < DATE '2024-01-15')),
-        c AS (SELECT v.var, coalesce(max(CAST(p.time AS DATE)), DATE '2024-01-22') AS last_day FROM (VALUES ('hgt'), ('tmp'), ('rh')) v(var) LEFT JOIN p USING (var) GROUP BY v.var)
+        c AS (SELECT v.var, v.last_day FROM (VALUES ('hgt', DATE '2024-01-22'), ('tmp', DATE '2024-01-14'), ('rh', DATE '1900-01-01')) v(var, last_day))
         SELECT source, var, {instant('time')} AS time, lat, lon, {r('value')} AS value FROM p WHERE time >= DATE '2024-01-03'
         UNION ALL SELECT source, b.var, {instant('time')}, lat, lon, {r('value')} FROM b JOIN c USING (var)
         WHERE CAST(time AS DATE) > c.last_day AND time < DATE '2024-01-28'""",
@@ -579,7 +598,10 @@ def _splice_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 )
 def splice_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     primary, secondary = _splice_inputs(spark, sf_dir)
-    rows = combine.splice_sources(primary, secondary, D(2024, 1, 3), D(2024, 1, 27), today=D(2024, 1, 30))
+    # hgt: last day unknown, so today - 8; tmp: known; rh: the primary source does not have it
+    last = literal_table(spark, [("hgt", None), ("tmp", "2024-01-14")], "var string, last_day string")
+    last = last.withColumn("last_day", F.col("last_day").cast("date"))
+    rows = combine.splice_sources(primary, secondary, D(2024, 1, 3), D(2024, 1, 27), D(2024, 1, 30), ["var"], last_days=last)
     return rows.select("source", "var", "time", "lat", "lon", "value")
 
 
@@ -589,7 +611,7 @@ def splice_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "grid_obs grid_alt",
         f"""WITH a AS (SELECT * REPLACE ({_SPLICE_VAR_SQL} AS var) FROM grid_obs), b AS (SELECT * REPLACE ({_SPLICE_VAR_SQL} AS var) FROM grid_alt),
         p AS (SELECT * FROM a WHERE (var = 'hgt' AND time < DATE '2024-01-21') OR (var = 'tmp' AND time < DATE '2024-01-15')),
-        c AS (SELECT v.var, coalesce(max(CAST(p.time AS DATE)), DATE '2024-01-22') AS last_day FROM (VALUES ('hgt'), ('tmp'), ('rh')) v(var) LEFT JOIN p USING (var) GROUP BY v.var),
+        c AS (SELECT v.var, coalesce(max(CAST(p.time AS DATE)), DATE '1900-01-01') AS last_day FROM (VALUES ('hgt'), ('tmp'), ('rh')) v(var) LEFT JOIN p USING (var) GROUP BY v.var),
         u AS (SELECT source, var, time, lat, lon, value FROM p WHERE time >= DATE '2024-01-10'
           UNION ALL SELECT source, b.var, time, lat, lon, value FROM b JOIN c USING (var) WHERE CAST(time AS DATE) > c.last_day AND time >= DATE '2024-01-10' AND time < DATE '2024-01-30'),
         w AS (SELECT * REPLACE ({WRAP} AS lon) FROM u WHERE hour(time) IN (0, 12))
@@ -654,7 +676,7 @@ TARGET_LONS = [x * 12.5 for x in range(29)]
     ),
 )
 def regrid_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.regrid_bilinear(views.grid_obs(spark, sf_dir), views.GRID, TARGET_LATS, TARGET_LONS)
+    return neighbours.regrid_bilinear(views.grid_obs(spark, sf_dir), views.GRID, TARGET_LATS, TARGET_LONS, ["time"])
 
 
 @query(
@@ -786,7 +808,7 @@ def map_items_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def mean_field_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed.mean_field(
-        views.grid_missing(spark, sf_dir), D(2024, 1, 5), D(2024, 1, 24), tables.SAMPLE_AREA, fills=[-9999.0]
+        views.grid_missing(spark, sf_dir), D(2024, 1, 5), D(2024, 1, 24), tables.SAMPLE_AREA, fills=[-9999.0], cell=["lat", "lon"]
     )
 
 
@@ -794,23 +816,23 @@ def mean_field_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     "daily_anomaly_flow",
     with_views(
         "grid_obs grid_alt",
-        f"""WITH ad AS (SELECT CAST(time AS DATE) AS date, lat, lon, avg(value) AS value FROM grid_alt GROUP BY ALL),
-        c AS (SELECT {_KEY_SQL} AS k, CAST((lat + 20) / 10 AS INTEGER) AS j, CAST(lon / 30 AS INTEGER) AS i, avg(value) AS clim FROM ad GROUP BY ALL),
-        d AS (SELECT CAST(time AS DATE) AS date, lat, lon, avg(value) AS value, count(value) AS n_steps FROM grid_obs
+        f"""WITH ad AS (SELECT s.var, coalesce(s.level, -1) AS level, CAST(time AS DATE) AS date, lat, lon, avg(value + s.shift) AS value FROM grid_alt, {_SERIES_SQL} GROUP BY ALL),
+        c AS (SELECT var, level, {_KEY_SQL} AS k, CAST((lat + 20) / 10 AS INTEGER) AS j, CAST(lon / 30 AS INTEGER) AS i, avg(value) AS clim FROM ad GROUP BY ALL),
+        d AS (SELECT source, s.var, coalesce(s.level, -1) AS level, CAST(time AS DATE) AS date, lat, lon, avg(value + s.shift) AS value, count(value) AS n_steps FROM grid_obs, {_SERIES_SQL}
           WHERE time >= DATE '2024-01-03' AND time < DATE '2024-01-29' GROUP BY ALL),
         x AS (SELECT d.*, {_KEY_SQL} AS k, CAST((lat + 20) / 10 AS INTEGER) AS j, CAST(lon / 30 AS INTEGER) AS i FROM d),
-        q AS (SELECT x.*, (SELECT count(*) FROM c WHERE c.k = x.k AND c.j IN (least(x.j, 3), least(x.j, 3) + 1) AND c.i IN (x.i, (x.i + 1) % 12)) AS corners,
-          (SELECT any_value(clim) FROM c WHERE c.k = x.k AND c.j = x.j AND c.i = x.i) AS own FROM x)
-        SELECT {day('date')} AS date, lat, lon, {r('value')} AS value, n_steps, {r('CASE WHEN corners = 4 THEN own END')} AS clim,
+        q AS (SELECT x.*, (SELECT count(*) FROM c WHERE c.var = x.var AND c.level = x.level AND c.k = x.k AND c.j IN (least(x.j, 3), least(x.j, 3) + 1) AND c.i IN (x.i, (x.i + 1) % 12)) AS corners,
+          (SELECT any_value(clim) FROM c WHERE c.var = x.var AND c.level = x.level AND c.k = x.k AND c.j = x.j AND c.i = x.i) AS own FROM x)
+        SELECT source, var, {big('nullif(level, -1)')} AS level, {day('date')} AS date, lat, lon, {r('value')} AS value, n_steps, {r('CASE WHEN corners = 4 THEN own END')} AS clim,
         {r('CASE WHEN corners = 4 THEN value - own END')} AS anomaly FROM q""",
     ),
 )
 def daily_anomaly_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coverage check, daily means, climatology of the other source on the same grid, difference."""
-    other = aggregate.daily_mean(views.grid_alt(spark, sf_dir))
-    clim = climatology.daily_climatology(other, D(2024, 1, 1), D(2024, 12, 31), ["lat", "lon"])
+    """Coverage check, daily means, climatology of the other source on the same grid, difference; four series."""
+    other = aggregate.daily_mean(_many_series(views.grid_alt(spark, sf_dir)))
+    clim = climatology.daily_climatology(other, D(2024, 1, 1), D(2024, 12, 31), ["var", "level", "lat", "lon"])
     return observed.daily_anomaly(
-        views.grid_obs(spark, sf_dir), clim, views.GRID, views.GRID, D(2024, 1, 3), D(2024, 1, 28)
+        _many_series(views.grid_obs(spark, sf_dir)), clim, views.GRID, views.GRID, D(2024, 1, 3), D(2024, 1, 28)
     )
 
 

@@ -23,9 +23,9 @@ def mean_field(
     end: dt.date,
     area: tuple[float, float, float, float] | None,
     fills: Sequence[float] = (),
-    cell: Sequence[str] = ("lat", "lon"),
+    cell: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Mean field of a period for an area: clean, cut, daily means, mean of the days."""
+    """Mean field of a period for an area, by default of each series: clean, cut, daily means, mean of the days."""
     rows = cleaning.time_slice(df, start, end)
     rows = cleaning.bounding_box(clean(rows, fills), area)
     return aggregate.period_mean(aggregate.daily_mean(rows, cell), start, end, cell, col="date")
@@ -53,18 +53,22 @@ def daily_anomaly(
     field_grid: Grid,
     start: dt.date,
     end: dt.date,
+    keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Check coverage, take daily means, bring the climatology (day_key, lat, lon, clim) to the field's grid, subtract.
 
-    Field and climatology meet on cell indices, not on coordinates.
+    Each series of the field is treated for itself.  ``keys`` name the series columns in which field and
+    climatology must agree, by default variable and level where both have them.  Field and climatology meet
+    on cell indices, not on coordinates.
     """
-    coverage.require_coverage(df, start, end, ["var", "level"])
+    coverage.require_coverage(df, start, end, [c for c in ("var", "level") if c in df.columns])
+    keys = [c for c in ("var", "level") if c in df.columns and c in clim.columns] if keys is None else list(keys)
     days = with_cell_index(aggregate.daily_mean(cleaning.time_slice(df, start, end)), field_grid)
     on_grid = neighbours.regrid_bilinear(
-        clim.withColumnRenamed("clim", "value"), clim_grid, field_grid.lats, field_grid.lons, ("day_key",)
+        clim.withColumnRenamed("clim", "value"), clim_grid, field_grid.lats, field_grid.lons, ("day_key", *keys)
     ).withColumnRenamed("value", "clim")
-    stored = materialise(with_cell_index(on_grid, field_grid).select("i", "j", "day_key", "clim"), "climatology")
-    return climatology.anomaly(days, stored, ["i", "j"]).drop("i", "j")
+    stored = materialise(with_cell_index(on_grid, field_grid).select("i", "j", "day_key", *keys, "clim"), "climatology")
+    return climatology.anomaly(days, stored, [*keys, "i", "j"]).drop("i", "j")
 
 
 def oscillation_departures(

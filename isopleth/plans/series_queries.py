@@ -151,16 +151,18 @@ def fill_gaps_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     "fill_gaps_in_longitude",
     with_views(
         "grid_missing",
-        f"""WITH kept AS (SELECT time, lat, lon, value FROM grid_missing WHERE NOT isnan(value) AND value <> -9999),
-        p AS (SELECT *, lead(lon) OVER w AS x1, lead(value) OVER w AS v1 FROM kept WINDOW w AS (PARTITION BY time, lat ORDER BY lon)),
+        f"""WITH kept AS (SELECT time, lat, (lon + 180) % 360 - 180 AS lon, value FROM grid_missing WHERE NOT isnan(value) AND value <> -9999 AND lon <> 150),
+        p AS (SELECT *, coalesce(lead(lon) OVER w, first_value(lon) OVER w + 360) AS x1, coalesce(lead(value) OVER w, first_value(value) OVER w) AS v1
+          FROM kept WINDOW w AS (PARTITION BY time, lat ORDER BY lon)),
         e AS (SELECT *, unnest(generate_series(0, coalesce(CAST((x1 - lon) / 30 AS BIGINT), 1) - 1)) AS k FROM p)
-        SELECT {instant('time')} AS time, lat, lon + k * 30.0::DOUBLE AS lon, {r('CASE WHEN k = 0 THEN value ELSE value + (v1 - value) * (k * 30.0::DOUBLE) / (x1 - lon) END')} AS value,
+        SELECT {instant('time')} AS time, lat, (lon + k * 30.0::DOUBLE + 180) % 360 - 180 AS lon, {r('CASE WHEN k = 0 THEN value ELSE value + (v1 - value) * (k * 30.0::DOUBLE) / (x1 - lon) END')} AS value,
         k > 0 AS filled FROM e""",
     ),
 )
 def fill_gaps_in_longitude(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaning.null_missing(views.grid_missing(spark, sf_dir), fills=[-9999.0])
-    return timeseries.fill_gaps_in_longitude(rows, ["time", "lat"], 30.0)
+    rows = cleaning.wrap_longitudes(rows).where(F.col("lon") != 150)  # the column before the date line is missing
+    return timeseries.fill_gaps_in_longitude(rows, ["time", "lat"], 30.0, cyclic=True)
 
 
 # --- spatial reductions ---------------------------------------------------------
@@ -209,12 +211,15 @@ def remove_global_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     "coarsen",
     with_views(
         "grid_daily",
-        f"""SELECT {day('date')} AS date, {big('floor(lon / 60)')} AS bi, {big('floor((lat + 20) / 20)')} AS bj, {r('avg(value)')} AS value, count(value) AS n_cells
-        FROM grid_daily GROUP BY grid_daily.date, 2, 3""",
+        f"""SELECT {day('date')} AS date, {big('floor(lon / 90)')} AS bi, {big('floor((lat + 20) / 30)')} AS bj, {r('avg(value)')} AS value, count(value) AS n_cells,
+        least(floor((lat + 20) / 30) * 30 - 10, 15)::DOUBLE AS lat, ((floor(lon / 90) * 90 + 30) + 180) % 360 - 180.0::DOUBLE AS lon
+        FROM grid_daily WHERE value > 500 OR lat < 0 GROUP BY grid_daily.date, floor((lat + 20) / 30), floor(lon / 90)""",
     ),
 )
 def coarsen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.coarsen(views.grid_daily(spark, sf_dir), views.GRID, 2).select("date", "bi", "bj", "value", "n_cells")
+    """Three by three cells: the last row of blocks is narrower, one block lies over the date line, cells are absent."""
+    some = views.grid_daily(spark, sf_dir).where("value > 500 or lat < 0")
+    return aggregate.coarsen(some, views.GRID, 3).select("date", "bi", "bj", "value", "n_cells", "lat", "lon")
 
 
 _SHARES_SQL = """f AS (SELECT var, date, count(*) FILTER (value < 0) / count(value) AS fn, count(*) FILTER (value > 0) / count(value) AS fp
@@ -340,11 +345,16 @@ def de_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     "daily_bucket_sum",
     with_views(
         "grid_obs",
-        f"SELECT lat, lon, {day('CAST(time AS DATE)')} AS date, {r('sum(value)')} AS value FROM grid_obs GROUP BY lat, lon, CAST(time AS DATE) HAVING count(value) = 4",
+        f"""WITH b AS (SELECT * FROM grid_obs UNION ALL SELECT * FROM grid_obs WHERE hour(time) = 0 AND day(time) % 5 = 0)
+        SELECT lat, lon, {day('CAST(time AS DATE)')} AS date, {r('sum(value)')} AS value FROM b GROUP BY lat, lon, CAST(time AS DATE)
+        HAVING count(DISTINCT CASE WHEN value IS NOT NULL THEN time END) = 4 AND count(*) = 4""",
     ),
 )
 def daily_bucket_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return precipitation.daily_sum_of_buckets(views.grid_obs(spark, sf_dir), ["lat", "lon"])
+    """Some buckets are there twice."""
+    one = views.grid_obs(spark, sf_dir)
+    twice = one.where((F.hour("time") == 0) & (F.dayofmonth("time") % 5 == 0))
+    return precipitation.daily_sum_of_buckets(one.unionByName(twice), ["lat", "lon"])
 
 
 _KINDS = {"rain": "1", "ice": "3, 8", "mixed": "7", "snow": "5, 6"}
@@ -484,13 +494,15 @@ def upsert_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     "lagged_ensemble_mean",
     with_views(
         "fcst",
-        f"""WITH m AS (SELECT model, target, init, avg(value) AS value FROM fcst GROUP BY ALL)
-        SELECT model, {day('target')} AS valid, {r('avg(value)')} AS value, count(*) AS n_members FROM m GROUP BY model, m.target HAVING count(*) >= 8""",
+        f"""WITH m AS (SELECT model, target, init, loaded_at % 3 AS member, avg(value) AS value FROM fcst GROUP BY ALL),
+        u AS (SELECT model, target, init, sum(value) AS total, count(*) AS n FROM m GROUP BY ALL HAVING count(*) >= 2)
+        SELECT model, {day('target')} AS valid, {r('sum(total) / sum(n)')} AS value, {big('sum(n)')} AS n_members, count(*) AS n_runs FROM u GROUP BY model, u.target""",
     ),
 )
 def lagged_ensemble_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = views.fcst(spark, sf_dir).withColumnRenamed("target", "valid")
-    return ensemble.lagged_ensemble_mean(runs, [], ["init"], 8)
+    """Runs of up to three members, of which two are wanted."""
+    runs = views.fcst(spark, sf_dir).withColumnRenamed("target", "valid").withColumn("member", F.col("loaded_at") % 3)
+    return ensemble.lagged_ensemble_mean(runs, [], ["member"], 2, run=["init"])
 
 
 @query(
@@ -590,15 +602,18 @@ def _leading_vector_sql(name: str, matrix: str, squarings: int = 12) -> str:
         f"""WITH base AS MATERIALIZED (SELECT * FROM long_grid WHERE date BETWEEN DATE '1995-02-01' AND DATE '2001-10-31'),
         mon AS (SELECT lat, lon, date_trunc('month', date) AS m, avg(value) AS v FROM base GROUP BY ALL),
         x0 AS MATERIALIZED (SELECT lat, lon, m, (v - avg(v) OVER (PARTITION BY lat, lon, month(m))) * sqrt(cos(radians(lat))) AS x FROM mon),
-        whole AS MATERIALIZED (SELECT lat, lon, row_number() OVER (ORDER BY lat, lon) AS id FROM x0 GROUP BY lat, lon
-          HAVING count(*) = (SELECT count(DISTINCT m) FROM x0)),
-        x AS MATERIALIZED (SELECT id, m, x FROM x0 JOIN whole USING (lat, lon)),
+        mths AS MATERIALIZED (SELECT m FROM x0 GROUP BY m HAVING 2 * count(*) >= (SELECT count(*) FROM (SELECT DISTINCT lat, lon FROM x0))),
+        x1 AS MATERIALIZED (SELECT x0.* FROM x0 JOIN mths USING (m)),
+        whole AS MATERIALIZED (SELECT lat, lon, row_number() OVER (ORDER BY lat, lon) AS id FROM x1 GROUP BY lat, lon
+          HAVING count(*) = (SELECT count(*) FROM mths)),
+        x AS MATERIALIZED (SELECT id, m, x FROM x1 JOIN whole USING (lat, lon)),
         cov AS MATERIALIZED (SELECT p.id AS a, q.id AS b, sum(p.x * q.x) AS c FROM x p JOIN x q USING (m) GROUP BY p.id, q.id),
         {_leading_vector_sql('e', 'cov')},
         sd AS (SELECT stddev_pop(s) AS s FROM (SELECT m, sum(x * v) AS s FROM x JOIN e USING (id) GROUP BY m)),
         clim AS (SELECT lat, lon, {_KEY_SQL} AS k, avg(value) AS clim FROM base GROUP BY ALL),
         g AS (SELECT *, {_KEY_SQL} AS k FROM long_grid)
-        SELECT {day('date')} AS date, {big('1')} AS mode, {r('sum((g.value - clim) * sqrt(cos(radians(lat))) * v) / any_value(sd.s)')} AS index
+        SELECT {day('date')} AS date, {big('1')} AS mode, count(g.value - clim) AS n_elements,
+        {r('CASE WHEN count(g.value - clim) = (SELECT count(*) FROM whole) THEN sum((g.value - clim) * sqrt(cos(radians(lat))) * v) / any_value(sd.s) END')} AS index
         FROM g JOIN whole USING (lat, lon) JOIN e USING (id) LEFT JOIN clim USING (lat, lon, k), sd GROUP BY g.date""",
     ),
 )
@@ -642,8 +657,9 @@ _E2 = "CASE var WHEN 'A' THEN 0.25::DOUBLE WHEN 'N' THEN -0.5::DOUBLE ELSE 0.125
           WINDOW w AS (PARTITION BY var, lon ORDER BY date RANGE BETWEEN INTERVAL 120 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)),
         a AS (SELECT var, lon, date, value - past AS value FROM p WHERE n >= 60),
         s AS (SELECT var, stddev_pop(value) AS s FROM a GROUP BY var),
-        x AS (SELECT date, sum(value / s * {_E1}) AS pc1, sum(value / s * {_E2}) AS pc2 FROM a JOIN s USING (var) GROUP BY date)
-        SELECT {day('date')} AS date, {r('pc1')} AS pc1, {r('pc2')} AS pc2, {r('sqrt(pc1 * pc1 + pc2 * pc2)')} AS amplitude,
+        y AS (SELECT date, count(value) AS n, sum(value / s * {_E1}) AS pc1, sum(value / s * {_E2}) AS pc2 FROM a JOIN s USING (var) GROUP BY date),
+        x AS (SELECT date, n, CASE WHEN n = t THEN pc1 END AS pc1, CASE WHEN n = t THEN pc2 END AS pc2 FROM y, (SELECT count(*) AS t FROM (SELECT DISTINCT var, lon FROM g)))
+        SELECT {day('date')} AS date, n AS n_elements, {r('pc1')} AS pc1, {r('pc2')} AS pc2, {r('sqrt(pc1 * pc1 + pc2 * pc2)')} AS amplitude,
         {big('floor((atan2(pc2, pc1) + pi()) / (pi() / 4))')} % 8 + 1 AS phase FROM x""",
     ),
 )

@@ -26,10 +26,13 @@ FIELD_SCHEMA = T.StructType(
     ]
 )
 
-#: Columns that name one series of steps at one place.
-CELL = ("var", "level", "lat", "lon")
-#: Columns that name one horizontal slice; its size is bounded by the grid.
-SLICE = ("var", "level", "time")
+#: Columns that tell series apart; no operator blends rows that differ in them unless told to.
+SERIES = ("source", "var", "level")
+
+
+def series_of(df: DataFrame) -> list[str]:
+    """The series columns that the frame has."""
+    return [c for c in SERIES if c in df.columns]
 
 
 @dataclass(frozen=True)

@@ -115,6 +115,8 @@ def test_bucket_sum_needs_all_four(spark):
         "time timestamp_ntz, value double",
     )
     assert [tuple(r) for r in precipitation.daily_sum_of_buckets(df, []).collect()] == [(D(2024, 1, 1), 4.0)]
+    twice = spark.createDataFrame([(T(2024, 1, 1, h), 1.0) for h in (0, 0, 6, 12)], "time timestamp_ntz, value double")
+    assert precipitation.daily_sum_of_buckets(twice, []).count() == 0
     ends = spark.createDataFrame([(T(2024, 1, 1, h), 1.0) for h in (0, 6, 12, 18)] + [(T(2024, 1, 2, 0), 5.0)], "time timestamp_ntz, value double")
     assert [tuple(r) for r in precipitation.daily_sum_of_buckets(ends, [], label_lag_hours=6).collect()] == [(D(2024, 1, 1), 8.0)]
 
@@ -133,7 +135,10 @@ def test_precipitation_types(spark):
 def test_ensembles(spark, rows):
     data = [("A", 1, m, float(m)) for m in range(8)] + [("A", 1, 0, 0.0), ("B", 1, 0, 9.0), ("A", 2, 0, 1.0)]
     df = spark.createDataFrame(data, "model string, valid int, member int, value double")
-    assert rows(ensemble.lagged_ensemble_mean(df, [], ["member"], 8)) == [("A", 1, 3.5, 8)]
+    assert rows(ensemble.lagged_ensemble_mean(df, [], ["member"], 8)) == [("A", 1, 3.5, 8, 1)]
+    runs = [("A", 1, run, m, float(m)) for run, n in ((0, 3), (1, 3), (2, 9)) for m in range(n)]
+    several = spark.createDataFrame(runs, "model string, valid int, run int, member int, value double")
+    assert rows(ensemble.lagged_ensemble_mean(several, [], ["member"], 8, run=["run"])) == [("A", 1, 4.0, 9, 1)]
     means = spark.createDataFrame([("A", 1, 2.0), ("B", 1, 4.0), ("A", 2, 9.0)], "model string, valid int, value double")
     assert rows(ensemble.multi_model_mean(means, [])) == [(1, 3.0, 2)]
 
