@@ -593,7 +593,7 @@ def _splice_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         c AS (SELECT v.var, v.last_day FROM (VALUES ('hgt', DATE '2024-01-22'), ('tmp', DATE '2024-01-14'), ('rh', DATE '1900-01-01')) v(var, last_day))
         SELECT source, var, {instant('time')} AS time, lat, lon, {r('value')} AS value FROM p WHERE time >= DATE '2024-01-03'
         UNION ALL SELECT source, b.var, {instant('time')}, lat, lon, {r('value')} FROM b JOIN c USING (var)
-        WHERE CAST(time AS DATE) > c.last_day AND time < DATE '2024-01-28'""",
+        WHERE CAST(time AS DATE) > c.last_day AND time >= DATE '2024-01-03' AND time < DATE '2024-01-28'""",
     ),
 )
 def splice_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
