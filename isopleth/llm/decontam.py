@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.llm.common import BLANK, bounded, fresh, store
+from isopleth.llm.common import BLANK, bounded, hashed_sample, store
 
 #: Words of the benchmark that one pass over the documents handles, about.
 BLOCK_WORDS = 60_000
@@ -159,10 +159,10 @@ def build_index(docs: DataFrame, items: list[tuple[object, str]], text: str = "t
     n = max(int(found.max()), 1)
     idf = np.log((n + 1) / (found + 0.5)) + 0.1
 
-    place = F.xxhash64(F.lit(SEED), text)
-    start = F.pmod(F.xxhash64(F.lit(SEED + 1), text), F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    sample = docs.select(F.substring(text, start, F.lit(SAMPLE_CHARS)).alias("t"), place.alias("h"))
-    sample = sample.filter("t is not null").orderBy("h", "t").limit(SAMPLE_PASSAGES).collect()
+    start = F.pmod(F.xxhash64(F.lit(SEED), "t"), F.greatest(F.length("t") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
+    whole = docs.select(F.col(text).alias("t")).filter("t is not null")
+    sample = hashed_sample(whole, SAMPLE_PASSAGES, "t", seed=SEED).select(F.substring("t", start, F.lit(SAMPLE_CHARS)).alias("t"))
+    sample = sample.collect()
     rows = [_weights(p, vocabulary, idf) for p in [*(p for _, p in cut), *(tokens(r["t"]) for r in sample)]]
     table = spark.createDataFrame([r for r in rows if r[0]], "ids array<int>, weights array<double>")
     rank = min(RANK, len(vocabulary))
