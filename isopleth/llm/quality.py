@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isopleth.llm.common import hashed_sample
+
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
@@ -119,7 +121,7 @@ def cascade_order(estimates: list[Estimate]) -> list[Rule]:
 def sample_texts(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list:
     """Whole texts for the estimates: ``rows`` rows by hash, at most ``chars`` characters together."""
     picked = docs.select(F.col(text).alias("t")).filter(F.length("t") <= chars // 20)
-    taken = picked.orderBy(F.xxhash64("t"), "t").limit(rows).collect()
+    taken = hashed_sample(picked, rows, "t").collect()
     out, left = [], chars
     for r in taken:
         left -= len(r.t)
