@@ -33,6 +33,8 @@ REVISIT_BYTES = 1000
 PACKAGE_BYTES = 64 << 20
 #: Records whose ranges lie this close are fetched together, up to READ_BYTES.
 READ_GAP, READ_BYTES = 4096, 4 << 20
+#: Archive bytes that a reading task gets, about.
+TASK_BYTES = 32 << 20
 ARCHIVE, INDEX = "archive/data.warc", "indexes/index.cdxj"
 
 # Fixed values of the ZIP format: signatures and the 32-bit and 16-bit marks for "see the ZIP64 field".
@@ -328,7 +330,9 @@ def read_packages(packages: DataFrame) -> DataFrame:
     packages are read by many tasks.  Damaged packages and payloads raise.
     """
     entries = packages.select("path", "bytes").repartition("path").mapInPandas(_entries, "path string, at long, length long")
-    dealt = entries.repartition("path", F.floor(F.col("at") / F.lit(PACKAGE_BYTES // 8)))
+    # the rows are tiny, what they stand for is not: a number of tasks by bytes, which Spark keeps
+    size = packages.agg(F.sum("bytes")).first()[0] or 0
+    dealt = entries.repartition(-(-size // TASK_BYTES) or 1, "path", F.floor(F.col("at") / F.lit(READ_BYTES)))
     kind = (
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
         "refers_to long, payload binary"
