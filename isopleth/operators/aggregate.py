@@ -45,6 +45,18 @@ def hovmoller(df: DataFrame, south: float, north: float, keys: Sequence[str] | N
     return df.where(F.col("lat").between(south, north)).groupBy(*keys).agg(F.avg("value").alias("value"))
 
 
+def boxes_with_cell(boxes: Sequence[tuple[str, float, float, float, float]]) -> Column:
+    """Names of the boxes (name, north, west, south, east) that hold the row's lat and lon.
+
+    The boxes are literals tested per row, so there is no nested-loop join.
+    """
+
+    def inside(corners: Sequence[float]) -> Column:
+        return scalars.in_box(F.col("lat"), F.col("lon"), *[F.lit(float(x)) for x in corners])
+
+    return F.array_compact(F.array(*[F.when(inside(corners), F.lit(name)) for name, *corners in boxes]))
+
+
 def box_means(
     df: DataFrame,
     boxes: Sequence[tuple[str, float, float, float, float]],
@@ -52,27 +64,13 @@ def box_means(
 ) -> DataFrame:
     """cos(latitude)-weighted mean per named box (name, north, west, south, east).
 
-    NULL cells carry no weight.  The boxes are a literal array filtered per row, so
-    there is no nested-loop join; a cell inside several boxes counts in each.
+    NULL cells carry no weight.  A cell inside several boxes counts in each.
     """
-    arr = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("box"),
-                *[F.lit(float(x)).alias(c) for c, x in zip(("north", "west", "south", "east"), corners)],
-            )
-            for n, *corners in boxes
-        ]
-    )
-
-    def hit(b: Column) -> Column:
-        return scalars.in_box(F.col("lat"), F.col("lon"), b["north"], b["west"], b["south"], b["east"])
-
     w = scalars.cos_weight(F.col("lat"))
     return (
         df.where(F.col("value").isNotNull())
-        .select(*keys, (w * F.col("value")).alias("wv"), w.alias("w"), F.explode(F.filter(arr, hit)).alias("b"))
-        .groupBy(F.col("b.box").alias("box"), *keys)
+        .select(*keys, (w * F.col("value")).alias("wv"), w.alias("w"), F.explode(boxes_with_cell(boxes)).alias("box"))
+        .groupBy("box", *keys)
         .agg((F.sum("wv") / F.sum("w")).alias("value"), F.count("wv").alias("n_cells"))
     )
 

@@ -9,15 +9,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.schema import key_join
+from isopleth.schema import key_join, series_of
 from isopleth.session import materialise
 from isopleth.sources import tables
 
 
 def concat_steps(
-    parts: Sequence[DataFrame], keys: Sequence[str] = ("time", "lat", "lon"), check: bool = True
+    parts: Sequence[DataFrame], keys: Sequence[str] | None = None, check: bool = True
 ) -> DataFrame:
-    """Append step tables of one grid; a (step, cell) that occurs twice is an error.
+    """Append step tables of one grid; a (step, cell) that occurs twice in a series is an error.
+
+    By default series, time and cell are the keys; only numbers are left to carry then, so
+    the check is a hash aggregation and nothing is sorted.
 
     The check is an aggregation on the keys and shuffles the field once; pass
     ``check=False`` for parts known to be disjoint and the append needs no shuffle.
@@ -25,6 +28,7 @@ def concat_steps(
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if not check:
         return rows
+    keys = [*series_of(rows), "time", "lat", "lon"] if keys is None else keys
     rest = [c for c in rows.columns if c not in keys]
     once = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.any_value(c).alias(c) for c in rest])
     twice = F.raise_error(F.lit("a cell occurs twice in one step")).cast("boolean")
@@ -104,12 +108,15 @@ def mosaic(primary: DataFrame, secondary: DataFrame, keys: Sequence[str]) -> Dat
 def splice_forecast(
     observed: DataFrame, forecast: DataFrame, series: Sequence[str], day: str = "date", lead: str = "lead_days"
 ) -> DataFrame:
-    """Observed days, then forecast days after the last observed one; lead 0 is dropped."""
+    """Observed days, then forecast days after the last observed one; lead 0 is dropped.
+
+    A series without observations is all forecast.
+    """
     last = materialise(observed.groupBy(*series).agg(F.max(day).alias("last_day")), "last-days")
     keep = [*series, day, "value"]
     ahead = (
-        key_join(forecast.where(F.col(lead) > 0), last, list(series), "inner")
-        .where(F.col(day) > F.col("last_day"))
+        key_join(forecast.where(F.col(lead) > 0), last, list(series), "left")
+        .where(F.col("last_day").isNull() | (F.col(day) > F.col("last_day")))
         .select(*keep, F.lit(True).alias("is_forecast"))
     )
     return observed.select(*keep, F.lit(False).alias("is_forecast")).unionByName(ahead)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from isopleth.schema import epoch_day
+
 
 def front_candidates(
     df: DataFrame, place: Sequence[str], dv_min: float, dtemp_min: float, step_hours: int = 6
@@ -14,32 +16,30 @@ def front_candidates(
     """Steps at which the meridional wind turns and the daily mean temperature falls.
 
     Needs ``time, v, temp`` with one row per place and step.  The turn compares
-    steps exactly ``step_hours`` apart, the fall compares consecutive days.
+    steps exactly ``step_hours`` apart, the fall compares the means of consecutive days.
+
+    The rows are placed and sorted once: both windows use the same order, and the
+    thinning that follows stays in the same placement.
     """
-    w = Window.partitionBy(*place).orderBy("time")
-    day = F.to_date("time")
-    steps = df.select(
-        *place, "time", day.alias("date"), "v", F.lag("v").over(w).alias("v0"), F.lag("time").over(w).alias("t0")
+    w = Window.partitionBy(*place).orderBy("day", "time")
+    by_day = Window.partitionBy(*place).orderBy("day")
+    steps = df.select(*place, "time", "v", "temp", epoch_day("time").alias("day"))
+    steps = steps.select(
+        *place,
+        "time",
+        "v",
+        F.lag("v").over(w).alias("v0"),
+        F.lag("time").over(w).alias("t0"),
+        F.avg("temp").over(by_day.rangeBetween(0, 0)).alias("today"),
+        F.avg("temp").over(by_day.rangeBetween(-1, -1)).alias("day_before"),
     )
-    turns = steps.where(
+    return steps.where(
         (F.col("v0") <= 0)
         & (F.col("v") > 0)
         & (F.col("v") - F.col("v0") > dv_min)
         & (F.col("time") == F.col("t0") + F.make_dt_interval(hours=F.lit(step_hours)))
-    )
-    means = df.groupBy(*place, day.alias("date")).agg(F.avg("temp").alias("temp"))
-    wd = Window.partitionBy(*place).orderBy("date")
-    falls = (
-        means.select(
-            *place,
-            "date",
-            (F.lag("temp").over(wd) - F.col("temp")).alias("fall"),
-            F.date_diff("date", F.lag("date").over(wd)).alias("gap"),
-        )
-        .where((F.col("fall") > dtemp_min) & (F.col("gap") == 1))
-        .select(*place, "date")
-    )
-    return turns.join(falls, [*place, "date"], "left_semi").select(*place, "time")
+        & (F.col("day_before") - F.col("today") > dtemp_min)
+    ).select(*place, "time")
 
 
 def thin_by_refractory(df: DataFrame, place: Sequence[str], hours: int) -> DataFrame:

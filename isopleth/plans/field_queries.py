@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,13 +51,13 @@ def _land(spark: SparkSession, sf_dir: str, name: str) -> str:
     "field_scan",
     with_views(
         "grid_obs",
-        f"""SELECT {instant('time')} AS time, lat, {r(WRAP)} AS lon, {r('value')} AS value FROM grid_obs
+        f"""SELECT source, var, {big('level')} AS level, {instant('time')} AS time, lat, {r(WRAP)} AS lon, {r('value')} AS value FROM grid_obs
         WHERE time >= DATE '2024-01-05' AND time < DATE '2024-01-21'""",
     ),
 )
 def field_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fields.read_field(spark, _land(spark, sf_dir, "grid_obs"), start=D(2024, 1, 5), end=D(2024, 1, 20))
-    return rows.select("time", "lat", "lon", "value")
+    return rows.select("source", "var", "level", "time", "lat", "lon", "value")
 
 
 @query(
@@ -121,27 +122,53 @@ def partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     "file_inventory",
     with_views(
         "grid_obs",
-        """SELECT true AS exists, true AS ok, false AS stale, false AS fetch, count(*) AS n_rows FROM grid_obs
-        UNION ALL SELECT false, false, false, true, 0""",
+        """SELECT rule, true AS exists, ok, stale, NOT ok OR stale AS fetch, (SELECT count(*) FROM grid_obs) AS n_rows
+        FROM (VALUES ('fresh', true, false), ('late', true, true), ('small', false, false)) v(rule, ok, stale)
+        UNION ALL SELECT rule, false, false, false, true, 0 FROM (VALUES ('fresh'), ('late'), ('small')) v(rule)""",
     ),
 )
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """States of the landed field files and of one file that does not exist, with the rows they hold."""
+    """States of the landed field files and of one absent file under three rules, with the rows they hold."""
     path = _land(spark, sf_dir, "grid_obs")
     have = inventory.list_files(spark, path, "*.parquet")
-    wanted = have.select("path").union(have.agg(F.concat(F.min("path"), F.lit(".absent")).alias("path")))
-    now = dt.datetime(2024, 6, 1, tzinfo=dt.timezone.utc)
-    states = inventory.check_files(wanted, have, now, min_bytes=1000, max_age_hours=24.0)
-    local = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")  # noqa: E731 - schemes are spelt in two ways
-    held = fields.read_glob(spark, path).groupBy(local(F.col("file_path")).alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    plain = inventory.plain_path(F.col("path"))
+    wanted = have.select(plain.alias("path")).union(have.agg(F.concat(F.min(plain), F.lit(".absent")).alias("path")))
+    early, late = (dt.datetime(year, 6, 1, tzinfo=dt.timezone.utc) for year in (2024, 2200))
+    rules = {"fresh": (early, 1000), "late": (late, 1000), "small": (early, 1 << 40)}
+    checks = [
+        inventory.check_files(wanted, have, now, min_bytes=size, max_age_hours=24.0).withColumn("rule", F.lit(rule))
+        for rule, (now, size) in rules.items()
+    ]
+    held = fields.read_glob(spark, path).groupBy(inventory.plain_path(F.col("file_path")).alias("path")).agg(F.count(F.lit(1)).alias("n"))
     return (
-        states.withColumn("file", local(F.col("path")))
-        .join(held, "file", "left")
-        .groupBy("exists", "ok", "stale", "fetch")
+        reduce(DataFrame.unionByName, checks)
+        .join(held, "path", "left")
+        .groupBy("rule", "exists", "ok", "stale", "fetch")
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
     )
 
 
+@query(
+    "stored_units",
+    with_views(
+        "grid_obs",
+        """SELECT DISTINCT concat('source=', source, '/var=', var, '/level=', level, '/year=', year(time), '/month=', month(time)) AS path,
+        true AS has_rows, false AS pending FROM grid_obs""",
+    ),
+)
+def stored_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The units of a stored field, as the listing names them; recorded in a ledger, none is pending."""
+    path = _land(spark, sf_dir, "grid_obs")
+    stored = inventory.list_units(spark, path)
+    obs = views.grid_obs(spark, sf_dir)
+    name = work.unit_path("primary", F.col("var"), F.col("level"), F.year("time"), F.month("time"))
+    asked = obs.select(name.alias("name")).distinct().select(
+        "name", F.create_map(F.lit("last_day"), F.lit("all")).alias("params"), F.array("name").alias("outputs")
+    )
+    status = ledger.unit_status(asked, ledger.record_runs(asked.withColumn("run_at", F.lit(1))), stored)
+    return stored.join(status, F.col("path") == F.col("name")).select("path", (F.col("n_bytes") > 0).alias("has_rows"), "pending")
+
+
 # --- projections, filters, predicates -------------------------------------------
 
 
@@ -812,6 +839,26 @@ def mean_field_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "mean_fields_of_areas",
+    with_views(
+        "grid_missing",
+        f"""WITH c AS (SELECT CAST(time AS DATE) AS date, lat, {WRAP} AS lon, CASE WHEN isnan(value) OR value = -9999 THEN NULL ELSE value END AS value
+          FROM grid_missing WHERE time >= DATE '2024-01-05' AND time < DATE '2024-01-25'),
+        d AS (SELECT date, lat, lon, avg(value) AS value FROM c GROUP BY ALL),
+        p AS (SELECT lat, lon, avg(value) AS value, count(value) AS n_steps FROM d GROUP BY lat, lon)
+        SELECT 'west' AS area, lat, {r('lon')} AS lon, {r('value')} AS value, n_steps FROM p WHERE lat BETWEEN -40 AND 10 AND lon BETWEEN -80 AND 15
+        UNION ALL SELECT 'date line', lat, {r('lon')}, {r('value')}, n_steps FROM p WHERE lat BETWEEN -10 AND 20 AND (lon >= 150 OR lon <= -120)
+        UNION ALL SELECT 'tropics', lat, {r('lon')}, {r('value')}, n_steps FROM p WHERE lat BETWEEN -10 AND 10""",
+    ),
+)
+def mean_fields_of_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping areas, one of them across the date line, in one pass."""
+    areas = [("west", *tables.SAMPLE_AREA), ("date line", 20, 150, -10, -120), ("tropics", 10, -180, -10, 180)]
+    rows = views.grid_missing(spark, sf_dir)
+    return observed.mean_fields(rows, D(2024, 1, 5), D(2024, 1, 24), areas, fills=[-9999.0], cell=["lat", "lon"])
+
+
 @query(
     "daily_anomaly_flow",
     with_views(

@@ -6,10 +6,12 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from isopleth.operators import aggregate, cleaning, climatology, combine, coverage, neighbours, patterns, timeseries
-from isopleth.schema import Grid, with_cell_index
+from isopleth.schema import FIELD_SCHEMA, Grid, with_cell_index
 from isopleth.session import materialise
+from isopleth.sources import tables
 
 
 def clean(df: DataFrame, fills: Sequence[float] = (), limit: float | None = None) -> DataFrame:
@@ -31,6 +33,46 @@ def mean_field(
     return aggregate.period_mean(aggregate.daily_mean(rows, cell), start, end, cell, col="date")
 
 
+def mean_fields(
+    df: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    areas: Sequence[tuple[str, float, float, float, float]],
+    fills: Sequence[float] = (),
+    cell: Sequence[str] | None = None,
+) -> DataFrame:
+    """``mean_field`` of many named areas (name, north, west, south, east) in one pass, with a column ``area``.
+
+    Cells outside all areas are left out before the shuffle; each cell is reduced once and only
+    then given to every area that holds it.
+    """
+    rows = clean(cleaning.time_slice(df, start, end), fills)
+    rows = rows.where(F.size(aggregate.boxes_with_cell(areas)) > 0)
+    means = aggregate.period_mean(aggregate.daily_mean(rows, cell), start, end, cell, col="date")
+    return means.select(F.explode(aggregate.boxes_with_cell(areas)).alias("area"), "*")
+
+
+def normalise(
+    df: DataFrame, var_key: str, source: str = "primary", fills: Sequence[float] = (), limit: float | None = None
+) -> DataFrame:
+    """A field of one variable as it arrives, in the canonical schema.
+
+    Names, main variable, first level, missing marks, longitudes and the unit that the registry
+    states for ``var_key``; an unknown key is an error.  The level is dropped, so it is NULL.
+    """
+    entry = tables.get_variable(var_key)
+    rows = cleaning.squeeze_level(cleaning.pick_variable(cleaning.canonical_names(df)))
+    rows = clean(rows, fills, limit).withColumns(
+        {
+            "source": F.lit(source),
+            "var": F.lit(entry["var"]),
+            "level": F.lit(None).cast("int"),
+            "factor": F.lit(float(entry["factor"])),
+        }
+    )
+    return cleaning.convert_units(rows).select(*[F.col(f.name).cast(f.dataType) for f in FIELD_SCHEMA])
+
+
 def observed_period(
     primary: DataFrame,
     secondary: DataFrame,

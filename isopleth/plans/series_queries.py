@@ -444,14 +444,14 @@ def _observed_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fcst daily_series",
         f"""WITH {_LATEST_SQL}, o AS (SELECT date, avg(value) AS value FROM daily_series WHERE date <= DATE '2000-06-30' GROUP BY date),
         e AS (SELECT model, target AS date, avg(value) AS value FROM f WHERE lead_days > 0 GROUP BY model, target)
-        SELECT model, {day('date')} AS date, {r('o.value')} AS value, false AS is_forecast FROM o, (VALUES ('M0'), ('M1'), ('M2')) m(model)
-        UNION ALL SELECT model, {day('date')}, {r('value')}, true FROM e WHERE date > (SELECT max(date) FROM o)""",
+        SELECT model, {day('date')} AS date, {r('o.value')} AS value, false AS is_forecast FROM o, (VALUES ('M0'), ('M1')) m(model)
+        UNION ALL SELECT model, {day('date')}, {r('value')}, true FROM e WHERE date > (SELECT max(date) FROM o) OR model = 'M2'""",
     ),
 )
 def splice_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observed days followed, per model, by the mean forecast of all leads above zero."""
+    """Observed days followed, per model, by the mean forecast of all leads above zero; M2 has no observations."""
     observed = cleaning.time_slice(_observed_total(spark, sf_dir), None, D(2000, 6, 30), col="date")
-    models = F.explode(F.array(F.lit("M0"), F.lit("M1"), F.lit("M2")))
+    models = F.explode(F.array(F.lit("M0"), F.lit("M1")))
     rows = combine.splice_forecast(
         observed.select(models.alias("model"), "date", "value"),
         _latest(spark, sf_dir).withColumnRenamed("target", "date"),

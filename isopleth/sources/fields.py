@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isopleth.operators import cleaning
-from isopleth.schema import FIELD_SCHEMA
+from isopleth.schema import FIELD_SCHEMA, series_of
 
 MONTHLY = ("source", "var", "level", "year", "month")
 DAILY = (*MONTHLY, "day")
@@ -24,6 +24,7 @@ def _standardise(
     end: dt.date | None = None,
 ) -> DataFrame:
     out = _prune_months(cleaning.canonical_names(df), start, end)
+    out = restore_series(out)
     out = cleaning.time_slice(out, start, end)  # on the raw column, so the scan can skip row groups
     return cleaning.wrap_longitudes(out) if wrap and "lon" in out.columns else out
 
@@ -38,11 +39,28 @@ def _prune_months(df: DataFrame, start: dt.date | None, end: dt.date | None) ->
     return df.where(month <= end.year * 100 + end.month) if end is not None else df
 
 
+def restore_series(df: DataFrame) -> DataFrame:
+    """Canonical types of the series columns, whatever was made of their directory names; level ``none`` is NULL."""
+    level = F.col("level").cast("string")
+    kinds = {
+        "source": F.col("source").cast("string"),
+        "var": F.col("var").cast("string"),
+        "level": F.when(level != "none", level).cast("int"),
+    }
+    return df.withColumns({c: kinds[c] for c in series_of(df)})
+
+
 def read_field(
     spark: SparkSession, path: str, wrap: bool = True, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:
-    """One field: canonical names, wrapped longitude, optional period.  A missing path is an error."""
-    return _standardise(spark.read.parquet(path), wrap, start, end)
+    """One field: canonical names, wrapped longitude, optional period.  A missing path is an error.
+
+    A field that ``write_field`` stored comes back with the canonical schema: its unit columns
+    pick the directories of the period and are then dropped.
+    """
+    out = _standardise(spark.read.parquet(path), wrap, start, end)
+    stored = {*FIELD_SCHEMA.names, *MONTHLY} <= set(out.columns)
+    return out.select(*FIELD_SCHEMA.names, *[c for c in out.columns if c not in {*FIELD_SCHEMA.names, *DAILY}]) if stored else out
 
 
 def read_fields(
@@ -58,14 +76,23 @@ def read_fields(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fields) if concat else fields
 
 
-def read_glob(spark: SparkSession, pattern: str, wrap: bool = True, base: str | None = None) -> DataFrame:
+def read_glob(
+    spark: SparkSession,
+    pattern: str,
+    wrap: bool = True,
+    base: str | None = None,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    merge_schema: bool = False,
+) -> DataFrame:
     """All files that match a pattern as one field, with the file each row came from.
 
-    ``base`` is the root of a partitioned field; with it the unit columns are kept.
+    ``base`` is the root of a partitioned field; with it the unit columns are kept.  ``merge_schema``
+    is for files whose columns differ; it reads the footer of every file.
     """
-    reader = spark.read.option("mergeSchema", "true")
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
     raw = (reader.option("basePath", base) if base else reader).parquet(pattern)
-    return _standardise(raw.select("*", F.col("_metadata.file_path").alias("file_path")), wrap)
+    return _standardise(raw.select("*", F.col("_metadata.file_path").alias("file_path")), wrap, start, end)
 
 
 def read_delimited(
@@ -106,8 +133,6 @@ def write_field(df: DataFrame, path: str, units: Sequence[str] = MONTHLY) -> Non
 
 def read_written(spark: SparkSession, path: str, keep_units: bool = False) -> DataFrame:
     """Read what ``write_field`` stored; predicates on the unit columns prune directories."""
-    raw = spark.read.parquet(path)
-    level = F.when(F.col("level").cast("string") != "none", F.col("level").cast("string")).cast("int")
-    out = raw.withColumn("level", level)
-    extra = [c for c in ("year", "month", "day") if c in raw.columns] if keep_units else []
+    out = restore_series(spark.read.parquet(path))
+    extra = [c for c in ("year", "month", "day") if c in out.columns] if keep_units else []
     return out.select(*FIELD_SCHEMA.names, *extra)

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isopleth.sources import tables
+from isopleth.sources.fields import MONTHLY
+
+
+def plain_path(path: Column) -> Column:
+    """One spelling of a path: local paths without ``file:``, no slash at the end."""
+    return F.regexp_replace(F.regexp_replace(path, "^file:/+", "/"), "(?<=.)/+$", "")
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -22,6 +30,26 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return files.select("path", utc.alias("modified"), F.col("length").alias("n_bytes"))
 
 
+def list_units(spark: SparkSession, root: str, units: Sequence[str] = MONTHLY, pattern: str = "*.parquet") -> DataFrame:
+    """One row per stored unit below ``root``: path, n_files, n_bytes, oldest, modified (the newest).
+
+    ``path`` is the unit's directory relative to the root of the field, which is the name that
+    planned work gives its outputs.  Files that lie in no such directory are left out.
+    """
+    directory = "/".join(f"{u}=[^/]*" for u in units)
+    files = list_files(spark, root, pattern).withColumn("path", F.regexp_extract("path", f"({directory})/(?:[^/]+/)*[^/]+$", 1))
+    return (
+        files.where(F.col("path") != "")
+        .groupBy("path")
+        .agg(
+            F.count(F.lit(1)).alias("n_files"),
+            F.sum("n_bytes").alias("n_bytes"),
+            F.min("modified").alias("oldest"),
+            F.max("modified").alias("modified"),
+        )
+    )
+
+
 def check_files(
     wanted: DataFrame,
     inventory: DataFrame,
@@ -32,9 +60,11 @@ def check_files(
 ) -> DataFrame:
     """Each wanted path: does it exist, is it large enough, is it too old, must it be fetched?
 
-    An age of exactly ``max_age_hours`` is still fresh.  ``now`` is zone-aware.
+    An age of exactly ``max_age_hours`` is still fresh.  ``now`` is zone-aware.  Paths match
+    however they are spelt; the result has the wanted spelling.
     """
-    joined = wanted.select("path").join(inventory, "path", "left")
+    have = inventory.select(plain_path(F.col("path")).alias("__plain"), "modified", "n_bytes")
+    joined = wanted.select("path", plain_path(F.col("path")).alias("__plain")).join(have, "__plain", "left")
     exists = F.col("n_bytes").isNotNull()
     ok = F.coalesce(F.col("n_bytes") >= min_bytes, F.lit(False))
     age = (F.lit(now.timestamp()) - F.unix_micros("modified") / 1e6) / 3600.0
