@@ -27,8 +27,10 @@ MOST_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 BLOCK_DOCS = 256
 #: Blocks of all sources together, besides one for each source; bounds tickets and tree.
-MOST_BLOCKS = 65_536
+MOST_BLOCKS = 1 << 20
+#: Fewest shards, and the words of all documents for each; there are as many shards as the words need.
 SHARDS = 64
+SHARD_WORDS = 1 << 26
 SEED = 7
 FIT_ROUNDS = 4
 
@@ -113,10 +115,20 @@ def _draws(passes: DataFrame, quotas: DataFrame) -> DataFrame:
     return ranked.join(lots, ["s", "place"]).select("s", "block", "pass", "shard")
 
 
+def shards_for(words: int) -> int:
+    """Power of two, at least ``SHARDS``, at which a shard has at most ``SHARD_WORDS`` words on average."""
+    return max(SHARDS, 1 << (max(1, -(-words // SHARD_WORDS)) - 1).bit_length())
+
+
 class Mix:
-    """Stored plan of a mixture: ``sizes`` by row, ``sources`` by source, ``draws`` by block, ``fitted`` rows."""
+    """Stored plan of a mixture: ``sizes`` by row, ``sources`` by source, ``draws`` by block, ``fitted`` rows.
+
+    Without ``shards`` their number grows with the words, so that a shard stays of one size.
+    """
 
-    def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", shards: int = SHARDS):
+    def __init__(
+        self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", shards: int | None = None
+    ):
         own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"))
         self.sizes = store(own.select("doc_id", row_key().alias("rk"), "source", word_count().alias("size")), "sizes")
         targets = source_targets(self.sizes)
@@ -126,6 +138,9 @@ class Mix:
         targets = targets.withColumns({"blocks": blocks, "passes": passes.cast("int")})
         rest = F.col("target") - F.col("passes") * F.col("source_size")
         self.sources = store(targets.withColumn("rest", rest), "sources")
+        if shards is None:
+            shards = shards_for(self.sources.agg(F.sum("source_size")).first()[0] or 0)
+        self.shards = shards
 
         rows = self.placed(self.sizes)
         # rows of one id and text are taken together
@@ -184,12 +199,14 @@ def mix_amounts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
 
 
 def mix(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", shards: int = SHARDS
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", shards: int | None = None
 ) -> DataFrame:
     """The mixture: every row as often as it is taken, with its ``shard`` and ``copy``.
 
-    The columns of ``docs`` and two more; a clash of names raises.  Rows are gathered by shard
-    and lie in random order within it.  See ``mix_amounts`` for the defined cases.
+    The columns of ``docs`` and two more; a clash of names raises.  Rows are gathered by shard,
+    in as many partitions as there are shards, and lie in random order within it.  Unless
+    ``shards`` (a power of two) is given, it follows from the words.  See ``mix_amounts`` for the
+    defined cases.
     """
     if {"shard", "copy"} & {c.lower() for c in docs.columns}:
         raise ValueError("docs has a column shard or copy")
@@ -199,7 +216,7 @@ def mix(
     rows = rows.withColumn("rk", row_key(inner[doc_id], inner[text]))
     rows = plan.drawn(plan.placed(rows, inner[source]), inner[doc_id])
     taken = rows.select(*inner.values(), "rk", F.explode("draws").alias("d"))
-    placed = taken.repartition(F.col("d.shard")).sortWithinPartitions(
+    placed = taken.repartition(plan.shards, F.col("d.shard")).sortWithinPartitions(
         "d.shard", F.xxhash64(F.lit(SEED + 3), "rk", "d.pass"), "rk", "d.pass"
     )
     out = [F.col(n).alias(c) for c, n in inner.items()]

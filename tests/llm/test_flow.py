@@ -101,6 +101,11 @@ def test_tree_adds_up(spark):
         mixing.splitting_tree(tickets, 12)
 
 
+def test_shards_grow_with_the_words():
+    per = mixing.SHARD_WORDS
+    assert [mixing.shards_for(n) for n in (0, 1, 64 * per, 64 * per + 1, 1000 * per)] == [64, 64, 64, 128, 1024]
+
+
 def test_mix_edges(awkward, nothing):
     rows = mixing.mix_amounts(awkward).collect()
     assert len(rows) == awkward.count() and all(r.taken == 0 for r in rows if r.size == 0)
