@@ -10,6 +10,13 @@ agrees entirely and the one after it (cyclically) differs in at most one bit:
 So each fingerprint gets, for each of the three segments, the segment itself with
 every Golay key of the next one: at most 18 keys.  Fingerprints that share a key are
 candidates, and are verified by their Hamming distance.
+
+Two bits of 64 hold little more than exact copies.  With a ``similarity`` the texts are compared
+by the Jaccard similarity of their shingle sets instead.  Each set gets ``BANDS`` minimum
+hashes, and beside each a segment of 23 bits, each bit drawn from a minimum hash of its own: at
+similarity J a bit differs with probability (1 - J) / 2.  A minimum hash with each Golay key of its
+segment is a bucket key.  Pairs of a bucket whose sketches are near enough are candidates, and
+are verified by their whole sets.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isopleth.llm import golay
-from isopleth.llm.common import bounded, fresh, row_key, same, store
+from isopleth.llm.common import bounded, fresh, mix64, row_key, same, store
 from isopleth.llm.components import components
 
 
@@ -35,6 +42,13 @@ MAX_BITS = 2
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Fingerprints of a bucket that are compared pairwise; larger buckets go by midpoints, see ``links``.
 PAIRWISE = 64
+#: Minimum hashes of a shingle set that are bucketed, each with a segment of the sketch.
+BANDS = 8
+SKETCH_BITS = BANDS * golay.LENGTH
+#: Standard deviations by which the sketches of a candidate may differ more than the similarity lets expect.
+SPARE = 5.0
+#: Odd multipliers of the minimum hashes: first those that are bucketed, then one for each sketch bit.
+MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS + SKETCH_BITS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> list[bytes]:
@@ -45,9 +59,9 @@ def shingles(text: str | None, size: int = SHINGLE) -> list[bytes]:
     return [b" ".join(x) for x in zip(*(words[k:] for k in range(size)))]
 
 
-def fingerprint(text: str | None) -> int:
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     """Unsigned 64-bit SimHash; 0 for a text without words."""
-    parts = shingles(text)
+    parts = shingles(text, size)
     if not parts:
         return 0
     hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in parts), np.uint64, len(parts))
@@ -58,11 +72,16 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
-@F.pandas_udf(T.LongType())
-def fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Fingerprint of every text, as a signed long."""
-    for texts in batches:
-        yield pd.Series([int(np.uint64(fingerprint(t)).astype(np.int64)) for part in bounded(texts) for t in part], dtype="int64")
+def _fingerprints(size: int):
+    @F.pandas_udf(T.LongType())
+    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """Fingerprint of every text, as a signed long."""
+        for texts in batches:
+            yield pd.Series(
+                [int(np.uint64(fingerprint(t, size)).astype(np.int64)) for part in bounded(texts) for t in part], dtype="int64"
+            )
+
+    return prints
 
 
 def bucket_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,11 +157,173 @@ def links(prints: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
     return found.union(_midpoints(large)).distinct()
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprint and component of every whole text.
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles."""
+    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in set(shingles(text, size))], np.uint64))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sorted sets, not both empty."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def minimum_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Minimum of a set under each multiplier, mixed so that every bit may serve."""
+    low = np.full(len(MULTIPLIERS), np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(hashes), 512):
+        np.minimum(low, (hashes[None, k : k + 512] * MULTIPLIERS[:, None]).min(axis=1), out=low)
+    return mix64(low)
+
+
+def set_keys(minima: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n, keys) bucket keys of the sets' minimum hashes, which of them are not padding, and (n, words) sketches."""
+    n = len(minima)
+    bits = (minima[:, BANDS:] & np.uint64(1)).astype(np.uint8)
+    segments = bits.reshape(-1, golay.LENGTH) @ (1 << np.arange(golay.LENGTH))
+    index, real = golay.keys(segments)
+    heads = mix64(minima[:, :BANDS] + np.arange(BANDS, dtype=np.uint64)).reshape(-1, 1)
+    packed = np.zeros((n, -(-SKETCH_BITS // 64) * 8), np.uint8)
+    packed[:, : -(-SKETCH_BITS // 8)] = np.packbits(bits, axis=1)
+    return mix64(heads + index.astype(np.uint64)).reshape(n, -1), real.reshape(n, -1), packed.view(np.uint64)
+
+
+def _sketches(size: int):
+    @F.pandas_udf("node long, keys array<long>, sketch binary")
+    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        """Name of the shingle set (0: no words), bucket keys and sketch of every text."""
+        for texts in batches:
+            nodes, minima = [], []
+            for part in bounded(texts):
+                for t in part:
+                    own = shingle_set(t, size)
+                    nodes.append(xxhash.xxh3_64_intdigest(own.tobytes(), SEED) if len(own) else 0)
+                    minima.append(minimum_hashes(own))
+            if nodes:
+                keys, real, packed = set_keys(np.stack(minima))
+                out = {"node": np.array(nodes, np.uint64).view(np.int64)}
+                out["keys"] = [k[r].view(np.int64) if n else k[:0].view(np.int64) for n, k, r in zip(nodes, keys, real)]
+                yield pd.DataFrame(out | {"sketch": [x.tobytes() for x in packed]})
+            else:
+                yield pd.DataFrame({"node": np.zeros(0, np.int64), "keys": [], "sketch": []})
+
+    return sketch
+
+
+def most_bits(similarity: float) -> int:
+    """Bits in which the sketches of a candidate may differ."""
+    p = (1 - similarity) / 2
+    return int(SKETCH_BITS * p + SPARE * np.sqrt(SKETCH_BITS * p * (1 - p)))
+
+
+def _near_pairs(sketches: list[bytes], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, bits) with i < j and at most ``most`` bits, a bounded number of sketches at once."""
+    x = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+    step = max(1, (1 << 22) // len(x))
+    for k in range(0, len(x), step):
+        bits = sum(np.bitwise_count(x[k : k + step, w, None] ^ x[None, :, w]).astype(np.int64) for w in range(x.shape[1]))
+        i, j = np.nonzero(bits <= most)
+        ahead = i + k < j
+        yield i[ahead] + k, j[ahead], bits[i[ahead], j[ahead]]
+
+
+def _pairs_of(most: int, across: bool):
+    """Candidates of the buckets: a forest of the nearest pairs, or (``across``) all pairs of different roots."""
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for members in pdf["members"]:
+                node = np.array([m["node"] for m in members], np.int64)
+                parts = list(_near_pairs([m["sketch"] for m in members], most))
+                i, j, bits = (np.concatenate(p) for p in zip(*parts))
+                if across:
+                    root = np.array([m["root"] for m in members], np.int64)
+                    keep = root[i] != root[j]
+                else:
+                    keep = np.zeros(len(i), bool)
+                    up = list(range(len(node)))
+                    for k in np.argsort(bits, kind="stable"):
+                        x, y = i[k], j[k]
+                        while up[x] != x:
+                            up[x] = x = up[up[x]]
+                        while up[y] != y:
+                            up[y] = y = up[up[y]]
+                        if x != y:
+                            up[max(x, y)] = min(x, y)
+                            keep[k] = True
+                i, j = node[i[keep]], node[j[keep]]
+                yield pd.DataFrame({"u": np.minimum(i, j), "v": np.maximum(i, j)})
+
+    return pairs
+
+
+def _alike(similarity: float):
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            good = [
+                jaccard(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) >= similarity for a, b in zip(pdf["a"], pdf["b"])
+            ]
+            yield pdf.loc[np.array(good, bool), ["u", "v"]]
+
+    return check
+
+
+def _set_bytes(size: int):
+    @F.pandas_udf(T.BinaryType())
+    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([shingle_set(t, size).tobytes() for part in bounded(texts) for t in part], dtype=object)
+
+    return sets
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, own: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose whole shingle sets are similar enough; only texts of such pairs are shuffled."""
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    ends = store(ends.join(nodes.select("node", "one"), "node"), "ends")
+    rows = own.withColumn("one", F.struct(row_key().alias("rk"), F.col("doc_id").alias("id"))).join(ends, "one")
+    sets = rows.select("node", _set_bytes(size)("text").alias("own"))
+    sets = store(sets.groupBy("node").agg(F.any_value("own").alias("own")), "sets")
+    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("own").alias("a")), "u")
+    both = both.join(sets.select(F.col("node").alias("v"), F.col("own").alias("b")), "v")
+    return store(both.select("u", "v", "a", "b").mapInPandas(_alike(similarity), "u long, v long"), "links")
+
+
+def set_links(nodes: DataFrame, own: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Links (u, v) that join the shingle sets as all verified candidates would.
+
+    First each bucket's forest of nearest pairs is verified, then every candidate that those links
+    have not joined.  So a group of m near copies costs about m verifications in each
+    bucket, not m * m.
+    """
+    most = most_bits(similarity)
+    keyed = store(nodes.select("node", F.explode("keys").alias("key")), "golay")
+    shared = store(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "buckets")
+    shared = store(keyed.join(shared, "key").join(nodes.select("node", "sketch"), "node"), "candidates")
+
+    def candidates(rows: DataFrame, across: bool, *more: str) -> DataFrame:
+        members = F.array_sort(F.collect_list(F.struct("node", *more, "sketch"))).alias("members")
+        groups = rows.groupBy("key").agg(members, *[F.count_distinct(c).alias("roots") for c in more])
+        groups = groups.filter("roots > 1") if more else groups
+        return groups.select("members").distinct().mapInPandas(_pairs_of(most, across), "u long, v long").distinct()
+
+    first = store(candidates(shared, False), "pairs")
+    links = _verified(first, nodes, own, size, similarity)
+    roots = store(components(links), "roots")
+    rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = store(candidates(rooted, True, "root").join(first, ["u", "v"], "left_anti"), "pairs")
+    return links.union(_verified(rest, nodes, own, size, similarity))
+
+
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float | None = None
+) -> DataFrame:
+    """Fingerprint and component of every whole text, by shingles of ``size`` words.
 
     One row per input row: doc_id, rk (row key), fingerprint (16 hex digits), component_id (the
     smallest non-NULL id that steps of at most two bits lead to) and root (names the component).
+    With ``similarity`` a step leads to a text whose shingle set has at least that Jaccard
+    similarity, and the fingerprint names the shingle set.
 
     Texts that are NULL, empty or blank have fingerprint zero and are linked like any other.
     Documents of one fingerprint share a node, so copies cost nothing and repeated rows repeat
@@ -150,9 +331,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     fingerprints are shuffled, never texts.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    prints = store(own.select("doc_id", row_key().alias("rk"), fingerprints("text").alias("fp")), "prints")
-    nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(links(nodes)).withColumnsRenamed({"node": "fp"})
+    if similarity is None:
+        prints = store(own.select("doc_id", row_key().alias("rk"), _fingerprints(size)("text").alias("fp")), "prints")
+        nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+        joined = links(nodes)
+    else:
+        prints = own.select("doc_id", row_key().alias("rk"), _sketches(size)("text").alias("s"))
+        prints = store(prints.select("doc_id", "rk", F.col("s.node").alias("fp"), "s.keys", "s.sketch"), "prints")
+        one = F.min(F.struct("rk", F.col("doc_id").alias("id"))).alias("one")
+        same_set = [F.any_value(c).alias(c) for c in ("keys", "sketch")]
+        nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), one, *same_set), "nodes")
+        joined = set_links(nodes.withColumnRenamed("fp", "node"), own, size, similarity)
+    roots = components(joined).withColumnsRenamed({"node": "fp"})
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = store(rooted.select("fp", "root").join(firsts, "root").select("fp", "component_id", "root"), "classes")
@@ -161,14 +351,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float | None = None
+) -> DataFrame:
     """The rows of ``docs`` that are left if one document of each component stays.
 
     The document with the component's id stays; of repeated rows (same id and text) one.  Of
     rows with that id but other texts, and of a component without ids, the one with the
     smallest row key stays.  All columns are kept.  The texts are shuffled once.
     """
-    found = near_duplicates(docs, doc_id, text)
+    found = near_duplicates(docs, doc_id, text, size, similarity)
     best = found.filter(same(F.col("doc_id"), F.col("component_id"))).groupBy("root")
     key, pick = fresh(docs, "key"), fresh(docs, "pick")
     best = best.agg(F.min(F.struct("rk", "doc_id")).alias(pick))

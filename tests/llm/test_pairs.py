@@ -1,7 +1,9 @@
 """Fuzzy hashing, components, near duplicates and repeated passages against plain versions."""
 
 import hashlib
+import os
 import random
+import sys
 from collections import Counter
 
 import numpy as np
@@ -15,6 +17,9 @@ from isopleth.llm.common import table
 from isopleth.llm.components import components
 from isopleth.llm.queries import QUERIES
 
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+import corpus_pipeline  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -101,6 +106,72 @@ def test_near_duplicate_edges(awkward, nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.drop_near_duplicates(nothing).count() == 0
 
 
+def near_texts(seed, texts=60, copies=8):
+    """Texts and copies of them in which a few words are changed, one to three groups a text."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(4))
+    out = ["", None, "one two", "One  two", "one two three"]
+    for k in range(texts):
+        base = [word() for _ in range(rng.randrange(6, 400))]
+        out.append(" ".join(base))
+        for _ in range(copies if k % 3 else 1):
+            w = list(base)
+            for _ in range(rng.randrange(1 + len(w) // 25)):
+                w[rng.randrange(len(w))] = word()
+            out.append(" ".join(w))
+    return out
+
+
+def plain_sets(texts):
+    words = [(t or "").lower().split() for t in texts]
+    return [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in words]
+
+
+def alike(sets):
+    """All pairs of similarity 0.8 or more; texts without words are alike."""
+    return [(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+
+
+def test_set_keys_have_the_recall_of_all_pairs():
+    texts = near_texts(1, 150)
+    sets = plain_sets(texts)
+    keys, real, sketch = simhash.set_keys(np.stack([simhash.minimum_hashes(simhash.shingle_set(t, 5)) for t in texts]))
+    own = [set(k[r].tolist()) for k, r in zip(keys, real)]
+    bits = lambda i, j: int(np.bitwise_count(sketch[i] ^ sketch[j]).sum())
+    pairs = [(i, j) for i, j in alike(sets) if sets[i] != sets[j]]
+    found = [(i, j) for i, j in pairs if own[i] & own[j] and bits(i, j) <= simhash.most_bits(0.8)]
+    assert len(pairs) > 300 and len(found) >= 0.995 * len(pairs)
+
+
+def test_similar_texts_are_grouped_as_by_all_pairs(spark):
+    texts = near_texts(2)
+    sets = plain_sets(texts)
+    want = roots(alike(sets))
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(7, texts[7])], "doc_id long, text string").repartition(4)
+    rows = simhash.near_duplicates(docs, size=5, similarity=0.8).collect()
+    assert len(rows) == len(texts) + 1
+    assert {r.doc_id: r.component_id for r in rows} == {k: want.get(k, k) for k in range(len(texts))}
+    kept = simhash.drop_near_duplicates(docs, size=5, similarity=0.8)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({want.get(k, k) for k in range(len(texts))})
+
+
+def test_similar_edges(awkward, nothing):
+    rows = simhash.near_duplicates(awkward, size=5, similarity=0.8).collect()
+    assert len(rows) == awkward.count() and all(r.component_id == 0 for r in rows if r.doc_id in (0, 1, 2))
+    kept = simhash.drop_near_duplicates(awkward, size=5, similarity=0.8)
+    assert kept.columns == awkward.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([0, 4, 5, 7, 8, None], key=str)
+    assert simhash.drop_near_duplicates(nothing, size=5, similarity=0.8).count() == 0
+
+
+def test_pipeline_stage_drops_near_copies(spark):
+    texts = near_texts(3, 20)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
+    want = roots(alike(plain_sets(texts)))
+    assert kept == {want.get(k, k) for k in range(len(texts))}
+
+
 # -- repeated passages ------------------------------------------------------------------
 
 
