@@ -151,8 +151,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     copies = store(copies.filter("copies > 1"), "copies")
     counted = seeded.join(copies, ["d1", "d2"], "left").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
 
-    # of equal texts only the one row that stands for them takes part in the search
-    active = counted.filter("copies = 1 or row = one")
+    # of equal texts only the one row that stands for them takes part in the search, once if it is repeated
+    active = counted.filter("copies = 1 or row = one").dropDuplicates(["row"])
     hits = active.select(F.col("row.rk").alias("rk"), "copies", F.explode("anchors").alias("h"))
     # stored: beside a stored table Spark can split a hot hash of the other side of a join
     twice = hits.groupBy("h").agg(F.sum("copies").alias("n")).filter("n > 1").select("h")
@@ -162,7 +162,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     search = store(search.select("row", "copies", "seeds"), "seeds")
 
     placed = own.withColumn("row", row)
-    around = placed.join(search, "row").select("text", "row.rk", "row.id", "seeds", "copies")
+    around = placed.join(search, "row").dropDuplicates(["row"]).select("text", "row.rk", "row.id", "seeds", "copies")
     windows = store(around.mapInPandas(_extend, "a long, b long, rk long, id long, at int, copies long"), "windows")
     repeated = windows.groupBy("a", "b").agg(F.sum("copies").alias("n")).filter("n > 1").select("a", "b")
     repeated = store(repeated, "repeated_windows")

@@ -209,3 +209,19 @@ def test_repeats_edges(awkward, nothing):
     assert {r.n_removed for r in rows if r.doc_id == 5} == {60}
     assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in rows)
     assert substring.remove_repeats(nothing).count() == 0
+
+
+def test_repeated_rows_are_extended_once(spark, monkeypatch):
+    sizes = {}
+
+    def noted(df, label, keep=substring.store):
+        out = keep(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(substring, "store", noted)
+    text = " ".join(f"w{k}" for k in range(50))
+    rows = [(1, text)] * 5 + [(None, text + " end")] * 4
+    got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed) for r in got) == {(1, 50, 50): 5, (None, 51, 51): 4}
+    assert sizes["seeds"] == 2 and sizes["windows"] <= 16 + 17
