@@ -6,8 +6,11 @@ Bootstrapping: the checked base entities are seeds.  Each token that holds a dig
 is an instance; the word before it and the word after it are its patterns.  Patterns and
 instances form a graph.  Round by round, a pattern scores the share of its distinct
 instances that are believed to be of a kind (with ``DOUBT`` disbelieved ones added), and an
-instance the best score of its patterns.  Patterns with a high score and enough
-distinct seeds then mark the tokens that no base pattern has found.
+instance the best score of its patterns.  A pattern needs the support of enough distinct
+instances: seeds in the first round, from the second on also those that the round before
+believed.  So contexts of found instances find further ones, as many steps away as there
+are rounds after the first.  Patterns with a high score and enough support then mark the tokens that no base
+pattern has found.
 
 All of it is DataFrame expressions.  Positions count code points.  They follow from the lengths of the
 matches and of the pieces between them, which the same pattern splits.
@@ -43,6 +46,7 @@ RUN = 256
 ROUNDS = 3
 DOUBT = 1.0
 MIN_SCORE = 0.8
+#: Distinct instances, seeds or believed, that support a pattern at least.
 MIN_SEEDS = 3
 #: Characters that a context word is looked for in.
 CONTEXT = 64
@@ -118,7 +122,7 @@ def _seed_kind(token: str) -> Column:
 
 @dataclass(frozen=True)
 class Bootstrap:
-    """Occurrences of instances, and scored patterns (pattern, kind, score, seeds)."""
+    """Occurrences of instances, and scored patterns (pattern, kind, score, seeds: supporting instances)."""
 
     occurrences: DataFrame
     patterns: DataFrame
@@ -140,7 +144,10 @@ def bootstrap(entities: DataFrame, rounds: int = ROUNDS, doubt: float = DOUBT) -
     patterns = None
     for k in range(rounds):
         believed = edges.join(scored, "instance").groupBy("pattern", "kind")
-        seeds = F.count_if(F.col("seed") == F.col("kind")).alias("seeds")
+        support = F.col("seed") == F.col("kind")
+        if k:  # the seed column is NULL for instances without a seed
+            support = F.coalesce(support, F.lit(False)) | (F.col("score") >= MIN_SCORE)
+        seeds = F.count_if(support).alias("seeds")
         patterns = believed.agg(F.sum("score").alias("mass"), seeds).join(total, "pattern")
         patterns = patterns.select("pattern", "kind", (F.col("mass") / (F.col("n") + doubt)).alias("score"), "seeds")
         patterns = store(patterns.filter(F.col("seeds") >= MIN_SEEDS), "patterns")

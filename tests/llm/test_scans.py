@@ -145,6 +145,18 @@ def test_contexts_find_what_no_base_pattern_does(spark):
     assert got[3] == plain_pii(rows[3][1])
 
 
+def test_contexts_of_found_instances_find_more(spark):
+    rows = [(k, f"contact: user{k}@mail.example a{'x' * k}") for k in range(100)]
+    rows += [(200 + k, f"contact: name{k}(at)mail.example b{'x' * k}") for k in range(15)]
+    rows += [(300 + k, f"reach name{k}(at)mail.example c{'x' * k}") for k in range(14)]
+    rows += [(400, "reach hidden7(at)other.example dd"), (401, "ping name1(at)mail.example ee"), (402, "ping alone7 ff")]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.s for r in found.select("doc_id", pii.span_text("spans").alias("s")).collect()}
+    assert got[200] == "context_email:9:30"
+    assert got[400] == "context_email:6:30"  # its context holds no seed, only found instances
+    assert got[402] == ""  # one found instance is too little
+
+
 def test_masking(spark):
     d = spark.createDataFrame([(1, "a me@x.org b 1.2.3.4", 20, "k"), (2, None, 0, "k"), (3, "+1 2345678901 4111 1111 1111 1111", 9, "k")], "doc_id long, text string, n_chars long, spans string")
     a, b, c = pii.mask_pii(d, n_chars="n_chars").orderBy("doc_id").collect()
