@@ -90,6 +90,7 @@ class Automaton:
     depth: tuple[int, ...]
     last: int
     anchor: str  # a mandatory word (the longest): a text without it can't be accepted
+    before_anchor: int  # mandatory words before it
 
     def closure(self, states: set[int]) -> set[int]:
         todo = list(states)
@@ -162,8 +163,9 @@ def compile_template(label: str, template: str) -> Automaton:
         raise ValueError(f"{label}: beginOptional without endOptional")
     if not mandatory:
         raise ValueError(f"{label}: no mandatory words")
+    anchor = max(mandatory, key=len)
     return Automaton(
-        label, tuple(map(tuple, arcs)), tuple(map(tuple, skips)), tuple(depth), len(arcs) - 1, max(mandatory, key=len)
+        label, tuple(map(tuple, arcs)), tuple(map(tuple, skips)), tuple(depth), len(arcs) - 1, anchor, mandatory.index(anchor)
     )
 
 
@@ -184,7 +186,8 @@ def _scan(text: str | None, automata: list[Automaton], firsts: list[set[str | No
             last = place if last is None else max(last, place)
             base.add(label)
     for a, begin in zip(automata, firsts):
-        if a.anchor not in low:
+        # a text without the anchor can't be accepted, and no run of it gets past the anchor
+        if a.anchor not in low and a.before_anchor <= score * a.depth[a.last]:
             continue
         total = a.depth[a.last]
         for k, word in enumerate(tokens):

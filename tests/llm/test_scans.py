@@ -62,6 +62,15 @@ def test_license_edges(spark, awkward, nothing):
     assert c.labels == "mit,notice-mit" and c.score == 1.0
 
 
+def test_score_counts_what_matches_before_a_missing_word(spark):
+    text = licenses.TEMPLATES["text-mit"].replace("documentation", "").split("<<")[0]
+    d = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = licenses.scan_licenses(d, {"text-mit": licenses.TEMPLATES["text-mit"]}).first()
+    words = licenses.TEMPLATES["text-mit"].split()
+    total = licenses.compile_template("x", licenses.TEMPLATES["text-mit"]).depth[-1]
+    assert got.labels == "" and got.score == pytest.approx(words.index("documentation") / total)
+
+
 # -- quality ----------------------------------------------------------------------------
 
 
