@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isopleth.llm.common import LETTER, bounded, crc_bucket
@@ -27,8 +27,9 @@ HIDDEN = 8
 SPAN = 128
 #: Spans that are read side by side.
 BATCH = 4096
-# Bounds of the training sample: languages, documents of each, bytes of a document.
-MOST_LANGS = 64
+# Bounds of the training sample: documents of a language, languages with that many (of more
+# languages each has fewer documents), characters of a document.
+FULL_LANGS = 64
 DOCS_PER_LANG = 400
 DOC_BYTES = 2048
 TRAIN_SPAN = 64
@@ -211,23 +212,30 @@ def training_sample(
 ) -> tuple[list[str], list[str]]:
     """Spans and languages of labelled documents outside the held-out third.
 
-    About ``per_lang`` documents of each of the ``MOST_LANGS`` most frequent languages, chosen
-    by a hash of the text, and of each at most ``DOC_BYTES`` characters from a hashed place.
+    At most ``per_lang`` distinct texts of each language and at least one, chosen by a hash of the
+    text, and of each at most ``DOC_BYTES`` characters from a hashed place.  Copies count once.
+    With more than ``FULL_LANGS`` languages each has so many fewer that the sample grows no further.
     """
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     known = known.filter(F.col("lang").isNotNull() & (crc_bucket("doc_id", 3) != 1))
     known = known.filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
-    if not counts:
-        return [], []
     place = F.xxhash64(F.lit(SEED), "text")
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.3 * per_lang / r["count"]))])
     unit = F.pmod(place, F.lit(1 << 30)) / float(1 << 30)
-    picked = known.filter(unit < share[F.col("lang")])
+    distinct = known.select("lang", place.alias("h"), unit.alias("unit")).distinct()
+    counts = distinct.groupBy("lang").agg(F.count("*").alias("n"), F.min("unit").alias("least")).collect()
+    if not counts:
+        return [], []
+    per_lang = max(1, min(per_lang, per_lang * FULL_LANGS // len(counts)))
+    # thin out to a few more than wanted; the text of the least hash always stays
+    limit = {r["lang"]: max(r["least"], min(1.0, 1.3 * per_lang / r["n"])) for r in counts}
+    share = F.create_map(*[F.lit(x) for item in limit.items() for x in item])
+    picked = known.filter(unit <= share[F.col("lang")])
     start = F.pmod(F.xxhash64(F.lit(SEED + 1), "text"), F.greatest(F.length("text") - DOC_BYTES, F.lit(1))).cast("int") + 1
     rows = picked.select(F.substring("text", start, F.lit(DOC_BYTES)).alias("text"), "lang", place.alias("h"))
-    # the hash keeps to about this many anyway; the limit makes it a bound
-    rows = rows.orderBy("h", "lang", "text").limit(2 * per_lang * len(counts)).collect()
+    rows = rows.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    # after thinning a language has little more than per_lang rows
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    rows = rows.withColumn("rank", rank).filter(F.col("rank") <= per_lang).orderBy("h", "lang").collect()
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 

@@ -47,6 +47,19 @@ def test_language_query(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_copies_count_once_and_every_language_is_drawn(spark):
+    rows = [(3 * k, f"text number {'x' * (k % 50)} {k} of the first", "aa") for k in range(300)]
+    rows += [(3 * k, f"copied words {'y' * (k % 2)}", "bb") for k in range(300, 1500)]
+    rows += [(3 * k, f"a rare language {k}", f"l{k % 140:03d}") for k in range(2000, 2280)]
+    docs = spark.createDataFrame([(i, t, x) for i, t, x in rows], "doc_id long, text string, lang string").repartition(3)
+    docs = docs.filter(langid.crc_bucket("doc_id", 3) != 1)
+    want = {x: len({t for _, t, y in docs.collect() if y == x}) for x in {r.lang for r in docs.collect()}}
+    texts, langs = langid.training_sample(docs, per_lang=100)
+    got = {x: len([y for y in langs if y == x]) for x in want}
+    assert len(want) > 64 and len(set(zip(texts, langs))) == len(texts)
+    assert got == {x: min(n, 100 * 64 // len(want)) for x, n in want.items()}
+
+
 def test_language_edges(spark, awkward, nothing):
     net = langid.Network.fresh(["aa", "bb"])
     rows = langid.identify_languages(awkward, net=net).collect()
