@@ -67,7 +67,8 @@ def leading_by_iteration(
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """What ``leading_vectors`` gives, for vectors of any length, by distributed subspace iteration.
 
-    Only dim x (count + extra) numbers pass between tasks and driver in a round.
+    Only dim x (count + extra) numbers pass between tasks and driver in a round.  Raises
+    RuntimeError if the vectors still turn after ``rounds`` rounds.
     """
     width = min(count + extra, dim)
     stored = vectors_of_length(df, vector, dim)
@@ -103,9 +104,9 @@ def leading_by_iteration(
         turned = np.linalg.norm(now - leading @ (leading.T @ now))
         leading = now
         if turned < SETTLED:
-            break
+            return values[order][:count], leading, float(trace)
         basis, _ = np.linalg.qr(image)
-    return values[order][:count], leading, float(trace)
+    raise RuntimeError(f"the leading vectors have not settled: they turned by {turned:.1e} in the last of {rounds} rounds")
 
 
 def leading_vectors(gram: DataFrame, dim: int, count: int) -> tuple[np.ndarray, np.ndarray, float]:

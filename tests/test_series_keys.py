@@ -98,6 +98,19 @@ def test_either_way_gives_the_same_combined_patterns(spark):
     assert [r["e1"] for r in one] == pytest.approx([r["e1"] for r in two], abs=1e-6)
 
 
+def test_iteration_on_a_slowly_decaying_spectrum(spark):
+    rng = np.random.default_rng(6)
+    left, right = (np.linalg.qr(rng.normal(size=(60, 40)))[0] for _ in range(2))
+    x = left @ np.diag(10 * 0.97 ** np.arange(40)) @ right.T
+    df = spark.createDataFrame([(list(map(float, r)),) for r in x], "x array<double>").coalesce(1)
+    values, vectors, trace = patterns.leading_by_iteration(df, "x", 60, 2)
+    want, square, whole = patterns.leading_vectors(patterns.gram_matrix(df, "x", 60), 60, 2)
+    assert values == pytest.approx(want) and trace == pytest.approx(whole)
+    assert np.abs(np.sum(vectors * square, axis=0)) == pytest.approx([1.0, 1.0], abs=1e-9)
+    with pytest.raises(RuntimeError, match="not settled"):
+        patterns.leading_by_iteration(df, "x", 60, 2, rounds=4)
+
+
 def test_a_stray_month_costs_no_cell(spark):
     rng = np.random.default_rng(3)
     rows = [(float(c), D(2024, m, 1), float(rng.normal())) for c in range(4) for m in range(1, 7)] + [(0.0, D(2025, 1, 1), 9.0)]
