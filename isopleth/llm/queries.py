@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isopleth.llm import decontam, langid, licenses, mixing, pii, quality, simhash, substring, toxicity, warc
+from isopleth.llm import decontam, langid, licenses, mixing, pii, quality, simhash, substring, toxicity, trie, warc
 from isopleth.llm.common import table
 from isopleth.llm.twins import TWINS
 
@@ -57,6 +57,10 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.share_openings(trie.encode_turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_license_scan,
         op10_substring,
+        op11_prefix_trie,
     )
 }
 ORACLES: dict[str, str] = TWINS

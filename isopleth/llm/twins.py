@@ -55,4 +55,43 @@ SELECT doc_id, len(words)::BIGINT AS n_words, len(cut)::BIGINT AS n_removed,
 FROM pos
 """
 
-TWINS: dict[str, str] = {"op5_quality": QUALITY, "op8_warc": WARC, "op10_substring": REPEATS}
+TRIE = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, conv_id::VARCHAR AS s FROM t),
+h AS (
+  SELECT conv_id, base, list_reduce(
+      list_prepend(4294967295, flatten(list_transform(range(1, len(s) + 1), lambda i: [256 + ord(s[i]), 0, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda a, x: CASE WHEN x >= 256 THEN xor(a, x - 256) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS crc
+  FROM c),
+o AS (SELECT conv_id, base, xor(crc, 4294967295) % 4 AS h FROM h),
+r AS (
+  SELECT o.conv_id, t.role, t.text, 0 AS part, t.p FROM o JOIN t ON t.conv_id = o.base AND t.p <= o.h
+  UNION ALL SELECT o.conv_id, t.role, t.text, 1, t.p FROM o JOIN t ON t.conv_id = o.conv_id AND t.p > o.h),
+n AS (
+  SELECT conv_id, role, text, row_number() OVER w AS d, string_agg(md5(len(role) || ' ' || role || text), '') OVER w AS path
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, p ROWS UNBOUNDED PRECEDING)),
+a AS (
+  SELECT conv_id, 0 AS d, '' AS path, '' AS text FROM c
+  UNION ALL SELECT conv_id, d, md5(path), text FROM n),
+node AS (
+  SELECT d, path, min(conv_id) AS first, count(*) AS members, (count(*) - 1) * len(any_value({WORDS})) AS saved FROM a GROUP BY d, path),
+link AS (SELECT x.d, x.path, y.path AS up FROM node x JOIN a y ON y.conv_id = x.first AND y.d = x.d - 1),
+kids AS (SELECT d - 1 AS d, up AS path, count(*) AS n FROM link GROUP BY ALL),
+own AS (SELECT node.*, coalesce(n, 0) AS children FROM node LEFT JOIN kids USING (d, path)),
+sums AS (
+  SELECT a.d, a.path, sum(CASE WHEN children = 0 THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved
+  FROM own JOIN a ON a.conv_id = own.first AND a.d <= own.d GROUP BY ALL),
+last AS (SELECT conv_id, max(d) AS d FROM a GROUP BY conv_id),
+ends AS (
+  SELECT d, path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS sha FROM a JOIN last USING (conv_id, d) GROUP BY ALL)
+SELECT own.first AS conv_id, own.d::BIGINT AS depth, p.first AS parent_conv_id, own.members::BIGINT AS n_convs,
+  own.children::BIGINT AS n_children, sums.leaves::BIGINT AS n_leaves, sums.saved::BIGINT AS saved_tokens,
+  coalesce(sha, sha256('')) AS ends_sha256
+FROM own JOIN sums USING (d, path) LEFT JOIN link USING (d, path)
+  LEFT JOIN node p ON p.d = own.d - 1 AND p.path = link.up LEFT JOIN ends ON ends.d = own.d AND ends.path = own.path
+"""
+
+TWINS: dict[str, str] = {"op5_quality": QUALITY, "op8_warc": WARC, "op10_substring": REPEATS, "op11_prefix_trie": TRIE}
