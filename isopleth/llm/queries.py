@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isopleth.llm import decontam, langid, licenses, mixing, pii, quality, simhash, substring, toxicity, trie, warc
+from isopleth.llm import decontam, langid, licenses, mixing, pii, planes, quality, simhash, substring, toxicity, trie, warc
 from isopleth.llm.common import table
 from isopleth.llm.twins import TWINS
 
@@ -61,6 +61,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(trie.share_openings(trie.encode_turns(table(spark, sf_dir, "conversations"))))
 
 
+def op12_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planes.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_license_scan,
         op10_substring,
         op11_prefix_trie,
+        op12_token_planes,
     )
 }
 ORACLES: dict[str, str] = TWINS
