@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isopleth.llm import decontam, langid, licenses, mixing, pii, planes, quality, simhash, substring, toxicity, trie, warc
+from isopleth.llm import align, decontam, langid, licenses, mixing, pii, planes, quality, simhash, substring, toxicity, trie, warc
 from isopleth.llm.common import table
 from isopleth.llm.twins import TWINS
 
@@ -65,6 +65,10 @@ def op12_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_substring,
         op11_prefix_trie,
         op12_token_planes,
+        op13_token_alignment,
     )
 }
 ORACLES: dict[str, str] = TWINS
