@@ -279,7 +279,7 @@ class Blocks:
             own, n = np.unique(np.searchsorted(distinct, pairs), return_counts=True)
             times_kind = "<u1" if not len(n) or n.max() < 256 else "<u4"
             row |= {"block": name, "head": False, "pairs": own.astype(small).tobytes(), "counts": n.astype(times_kind).tobytes()}
-        head = {"block": name, "head": True, "pairs": distinct.astype("<i8").tobytes(), "counts": times.astype("<i8").tobytes()}
+        head = {"block": name, "head": True, "digest": None, "pairs": distinct.astype("<i8").tobytes(), "counts": times.astype("<i8").tobytes()}
         out = _typed(pd.DataFrame([head, *self.rows], columns=list(PART)), PART)
         self.n += 1
         self._clear()
@@ -303,7 +303,13 @@ def _ddl(columns: dict[str, str]) -> str:
 
 def _typed(pdf: pd.DataFrame, columns: dict[str, str]) -> pd.DataFrame:
     kinds = {"long": "Int64", "int": "Int32", "boolean": "boolean"}
-    return pdf.astype({c: kinds[t] for c, t in columns.items() if t in kinds})
+    return pd.DataFrame({c: pdf[c].astype(kinds[t]) if t in kinds else _or_none(pdf[c]) for c, t in columns.items()})
+
+
+def _or_none(column: pd.Series) -> pd.Series:
+    """Objects, with None where a row had no value (a column of NaN alone is not taken for strings)."""
+    column = column.astype(object)
+    return column.where(column.notna(), None)
 
 
 def _align_whole(left: str, right: str):
@@ -369,12 +375,15 @@ def _unpack(row) -> Fragment:
 
 
 def compose(fragments: list[tuple[Fragment, int]]) -> tuple[Fragment, int, list[tuple[int, tuple]]]:
-    """Composition of neighbours, each with the range in which its prefix closes, and the groups closed between them."""
-    (whole, at), closed = fragments[0], []
+    """Composition of neighbours, each with the range in which its prefix closes, and the groups closed between them.
+
+    The groups closed within the fragments are left out; they stay where they are.
+    """
+    whole, at, closed = replace(fragments[0][0], closed=()), fragments[0][1], []
     for f, f_at in fragments[1:]:
         now = whole + f
         if whole.met and f.met:
-            closed.append((f_at, now.closed[-1]))
+            closed.append((f_at, now.closed[0]))
         if not whole.met:
             at = f_at
         whole = replace(now, closed=())
@@ -426,7 +435,7 @@ def _block_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for u, n_a, n_b, n_groups, codes in zip(*(pdf[c] for c in ("u", "n_a", "n_b", "n_groups", "codes"))):
             pairs = np.frombuffer(codes, np.int64)
-            blocks.add({"u": u, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": len(pairs)}, pairs, 4 * len(pairs))
+            blocks.add({"u": u, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": len(pairs), "digest": None}, pairs, 4 * len(pairs))
             if blocks.size >= BLOCK_CHARS:
                 yield blocks.finish()
     if blocks.rows:

@@ -268,7 +268,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, plane: int, file_ids: int)
                     out = PlaneWriter(files.open_output_stream(f"{base}/{name}"), plane)
                 n = sum(out.add(x) for x in encode(None if pd.isna(text) else text, ids)) + out.add(end)
                 out.document(None if pd.isna(doc) else int(doc), n)
-                if out.ids >= file_ids:
+                if out.ids + out.waiting >= file_ids:
                     yield finish()
                     out, seq = None, seq + 1
         if out is not None:
