@@ -8,21 +8,25 @@ Composition is associative, so the fragments of a text may be composed in any br
 a task they are folded, and the parts of very long documents, which different tasks encode,
 are composed by a tree reduction.
 
-Texts are cut where both tokenizers start anew: before a space that follows no space and precedes
-no blank, and before a line feed that follows no blank.  What stands between two cuts (a unit) has
-the same tokens wherever it occurs, so a worker encodes and aligns it once.
+Both tokenizers start anew before a space that follows no space and precedes no blank, and before
+a line feed that follows no blank.  What stands between two such cuts (a unit) has the same
+tokens wherever it occurs, so a byte range needs no more of its text than the units it touches,
+and a worker remembers what it made of recent strings.
 
-A block is the run of units that a worker handles together.  It names its distinct linked
+A block is the run of documents that a worker handles together.  It names its distinct linked
 id pairs once, parts refer to them by number, and only these tables meet the corpus-wide counts.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import cache, reduce
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -31,100 +35,122 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isopleth.llm.common import store
-from isopleth.llm.planes import tokenizer_path
+from isopleth.llm.planes import LETTERS, Remembered, byte_alphabet, byte_letters, tokenizer_path
 
+#: What the piece model writes for a blank.
+BLANK_SIGN = chr(0x2581)
 LEFT, RIGHT = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a byte range of a very long document, how far from its end a cut is looked for, and of a block.
 PART_CHARS, CONTEXT_CHARS, BLOCK_CHARS = 1 << 16, 1 << 12, 1 << 22
-#: Units that a worker remembers, and the longest that it does.
-CACHE_UNITS, CACHE_LENGTH = 100_000, 200
+#: Units that a worker remembers (and as many less recent ones).
+CACHE_UNITS = 200_000
 #: Neighbouring fragments that one step of the tree reduction composes.
 FAN_IN = 16
 #: Letters that count as blanks in some tables only.
 UNSURE = chr(0x180E) + chr(0x200B)
+UNIT = re.compile(rf"(?: |\n+)[^\s{UNSURE}]+")
 CUT = re.compile(rf"(?<! )(?= [^\s{UNSURE}])|(?<=[^\s{UNSURE}])(?=\n)")
 
+#: The byte-level pattern for plain characters: ASCII and the Latin-1 letters, whose kinds are beyond dispute.
+PLAIN = re.compile(rf"[ \t\n\r!-~{LETTERS}]+")
+PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
+
 Token = tuple[int, int]  # id, length in bytes
+Side = tuple[Token, ...]
+
+
+class Closed(NamedTuple):
+    """Closed groups: as text, how many, and their links as 64-bit codes (left id << 32 | right id)."""
+
+    text: str = ""
+    n: int = 0
+    codes: bytes = b""
+
+
+def joined(*parts: Closed) -> Closed:
+    return Closed(";".join(p.text for p in parts if p.n), sum(p.n for p in parts), b"".join(p.codes for p in parts))
+
+
+def one_group(group: tuple[Side, Side]) -> Closed:
+    """A single group from its tokens."""
+    ids, sizes = zip(*(([t for t, _ in side], [n for _, n in side]) for side in group))
+    codes = link_codes(*(np.array(x, np.int64) for x in ids), *(np.cumsum(x, dtype=np.int64) for x in sizes))
+    return Closed("|".join(",".join(map(str, x)) for x in ids), 1, codes.tobytes())
 
 
 @dataclass(frozen=True)
 class Fragment:
-    """Alignment of a byte range: ``a`` and ``b`` are lists of (id, bytes) left open at an end.
+    """Alignment of a byte range.
 
     ``met`` says whether tokens of both sides end at a common byte within the range (its start does
     not count).  If not, everything is prefix.  ``closed`` holds the groups between.
     """
 
     met: bool
-    prefix: tuple[tuple[Token, ...], tuple[Token, ...]]
-    closed: tuple[tuple[tuple[Token, ...], tuple[Token, ...]], ...] = ()
-    suffix: tuple[tuple[Token, ...], tuple[Token, ...]] = ((), ())
+    prefix: tuple[Side, Side]
+    closed: Closed = Closed()
+    suffix: tuple[Side, Side] = ((), ())
 
     def __add__(self, other: Fragment) -> Fragment:
         if not self.met:
-            joined = (self.prefix[0] + other.prefix[0], self.prefix[1] + other.prefix[1])
-            return Fragment(other.met, joined, other.closed, other.suffix)
+            prefix = (self.prefix[0] + other.prefix[0], self.prefix[1] + other.prefix[1])
+            return Fragment(other.met, prefix, other.closed, other.suffix)
         between = (self.suffix[0] + other.prefix[0], self.suffix[1] + other.prefix[1])
         if not other.met:
             return Fragment(True, self.prefix, self.closed, between)
-        return Fragment(True, self.prefix, (*self.closed, between, *other.closed), other.suffix)
+        return Fragment(True, self.prefix, joined(self.closed, one_group(between), other.closed), other.suffix)
 
 
 EMPTY = Fragment(False, ((), ()))
 
 
-def fragment(a: list[Token], b: list[Token], a_from: int = 0, b_from: int = 0) -> Fragment:
-    """Fragment of the tokens that end in a byte range; ``a_from`` and ``b_from`` are where their first ones begin."""
-    ends = [start + np.cumsum([n for _, n in side], dtype=np.int64) for side, start in ((a, a_from), (b, b_from))]
-    common = np.intersect1d(*ends)
-    if not len(common):
-        return Fragment(False, (tuple(a), tuple(b)))
-    cuts = [np.searchsorted(e, common, "right") for e in ends]
-    sides = [np.split(np.arange(len(side)), cut) for side, cut in zip((a, b), cuts)]
-    groups = [tuple(tuple(side[i] for i in part) for side, part in zip((a, b), pair)) for pair in zip(*sides)]
-    return Fragment(True, groups[0], tuple(groups[1:-1]), groups[-1])
-
-
-def ids_of(group: tuple[tuple[Token, ...], tuple[Token, ...]]) -> tuple[tuple[int, ...], tuple[int, ...]]:
-    return tuple(t for t, _ in group[0]), tuple(t for t, _ in group[1])
+def link_codes(a: np.ndarray, b: np.ndarray, a_end: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Codes of all token pairs that share bytes, in order.
 
+    Both sides spell the same bytes.  Between two neighbouring ends of any token lies one pair,
+    and each linked pair lies between one such two.
+    """
+    ends = np.union1d(a_end, b_end)
+    return (a[np.searchsorted(a_end, ends)] << 32) | b[np.searchsorted(b_end, ends)]
 
-def groups_of(whole: Fragment) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
-    """Groups of a fragment that spans a whole text; its start is a common end too."""
-    return [ids_of(g) for g in (whole.prefix, *whole.closed)] if whole.met else []
 
+@cache
+def _written(vocabulary: int) -> tuple[np.ndarray, ...]:
+    """Ids as text with each of the three signs that may follow one."""
+    return tuple(np.array([f"{i}{sign}" for i in range(vocabulary)], object) for sign in ",|;")
 
-def group_text(group: tuple[tuple[int, ...], tuple[int, ...]]) -> str:
-    return ",".join(map(str, group[0])) + "|" + ",".join(map(str, group[1]))
 
+def close_groups(a: np.ndarray, b: np.ndarray, a_end: np.ndarray, b_end: np.ndarray, common: np.ndarray) -> Closed:
+    """Groups of tokens that begin and end at common ends; ``common`` are the ends of the groups."""
+    if not len(common):
+        return Closed()
+    comma, bar, semicolon = _written(1 << int(max(a.max(initial=0), b.max(initial=0), 1)).bit_length())
+    group = [np.searchsorted(common, end) for end in (a_end, b_end)]
+    words = [np.where(common[g] == end, last[ids], comma[ids]) for g, end, ids, last in zip(group, (a_end, b_end), (a, b), (bar, semicolon))]
+    order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
+    return Closed("".join(np.concatenate(words)[order].tolist())[:-1], len(common), link_codes(a, b, a_end, b_end).tobytes())
 
-def links_of(a: list[Token], b: list[Token]) -> list[tuple[int, int]]:
-    """Id pairs of all tokens whose byte ranges overlap; tokens without bytes overlap nothing."""
-    out, i, j, a_end, b_end = [], 0, 0, 0, 0
-    a, b = [t for t in a if t[1]], [t for t in b if t[1]]
-    a_end, b_end = (a[0][1] if a else 0), (b[0][1] if b else 0)
-    while i < len(a) and j < len(b):
-        out.append((a[i][0], b[j][0]))
-        step_a, step_b = a_end <= b_end, b_end <= a_end
-        if step_a:
-            i += 1
-            a_end += a[i][1] if i < len(a) else 0
-        if step_b:
-            j += 1
-            b_end += b[j][1] if j < len(b) else 0
-    return out
 
+def fragment(
+    a: np.ndarray, b: np.ndarray, a_len: np.ndarray, b_len: np.ndarray, a_from: int = 0, b_from: int = 0, whole: bool = False
+) -> Fragment:
+    """Fragment of the tokens (ids and lengths) that end in a byte range; ``a_from`` and ``b_from`` are where the first ones begin.
 
-def byte_alphabet() -> dict[str, int]:
-    """Letters by which byte-level vocabularies write bytes: printable ones stand for themselves,
-    the others for the letters from 256 on, in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+    With ``whole`` the range is a whole text: its start is a common end, and the first group is closed too.
+    """
+    a_end, b_end = a_from + np.cumsum(a_len, dtype=np.int64), b_from + np.cumsum(b_len, dtype=np.int64)
+    common = np.intersect1d(a_end, b_end, assume_unique=True)
+    tokens = lambda i, j, k, m: (tuple(zip(a[i:j].tolist(), a_len[i:j].tolist())), tuple(zip(b[k:m].tolist(), b_len[k:m].tolist())))
+    if not len(common):
+        return Fragment(False, tokens(0, len(a), 0, len(b)))
+    i, k = (0, 0) if whole else (int(np.searchsorted(e, common[0], "right")) for e in (a_end, b_end))
+    j, m = (int(np.searchsorted(e, common[-1], "right")) for e in (a_end, b_end))
+    closed = close_groups(a[i:j], b[k:m], a_end[i:j], b_end[k:m], common if whole else common[1:])
+    return Fragment(True, tokens(0, i, 0, k), closed, tokens(j, len(a), m, len(b)))
 
 
 class Tokenizers:
-    """Both tokenizers of a worker, with the bytes of their tokens."""
+    """Both tokenizers of a worker, with the bytes of their tokens and what they made of recent strings."""
 
     def __init__(self, left: str, right: str) -> None:
         import sentencepiece
@@ -132,82 +158,69 @@ class Tokenizers:
 
         self.left = Tokenizer.from_file(left)
         self.left.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.left.model
         self.right = sentencepiece.SentencePieceProcessor(model_file=right)
         letters = byte_alphabet()
-        self.left_bytes = {
-            i: bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-            for token, i in self.left.get_vocab().items()
-        }
+        self.letters = byte_letters()
+        # another kind of left tokenizer gets whole units
+        config = json.loads(self.left.to_str())
+        before = config["pre_tokenizer"]
+        self.known = config["normalizer"] is None and before == before | {"type": "ByteLevel", "use_regex": True, "add_prefix_space": False}
+        spelt = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.left.get_vocab().items()}
+        self.left_bytes = [spelt.get(i, b"") for i in range(max(spelt) + 1)]
         self.right_bytes = []
         for i in range(self.right.get_piece_size()):
             piece = self.right.id_to_piece(i)
-            raw = bytes([int(piece[3:5], 16)]) if self.right.is_byte(i) else piece.replace("▁", " ").encode()
+            raw = bytes([int(piece[3:5], 16)]) if self.right.is_byte(i) else piece.replace(BLANK_SIGN, " ").encode()
             self.right_bytes.append(raw)
-        self.blank = self.right.piece_to_id("▁")
-
-    def right_ids(self, unit: str) -> list[int]:
-        """Ids of a unit, which begins with a space or a line feed; the piece model adds a space of its own."""
-        if unit == " ":
-            return [self.blank]
-        ids = self.right.encode(unit[1:] if unit[0] == " " else unit, num_threads=1)
-        return ids if unit[0] == " " else ids[1:]
-
-    def encode(self, unit: str) -> tuple[list[Token], list[Token]] | None:
-        """Tokens (id, bytes) of both sides; None if one of them does not spell the unit."""
-        raw = unit.encode()
-        sides = []
-        for ids, spell in ((self.left.encode(unit, add_special_tokens=False).ids, self.left_bytes), (self.right_ids(unit), self.right_bytes)):
-            parts = [spell[i] for i in ids]
-            if b"".join(parts) != raw:
+        self.left_len, self.right_len = (np.array([len(x) for x in side], np.int64) for side in (self.left_bytes, self.right_bytes))
+        self.blank = self.right.piece_to_id(BLANK_SIGN)
+        self.pieces = Remembered(self._piece, CACHE_UNITS)
+        self.left_units = Remembered(lambda x: tuple(self.left.encode(x, add_special_tokens=False).ids), CACHE_UNITS // 4)
+        self.right_units = Remembered(lambda x: self._right([x])[0], CACHE_UNITS)
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        return tuple([t.id for t in self.model.tokenize(piece.translate(self.letters))])
+
+    def _right(self, units: list[str]) -> list[tuple[int, ...]]:
+        """Ids of units, which begin with a space or a line feed; the piece model adds a space of its own."""
+        out = self.right.encode([x[1:] if x[0] == " " else x for x in units], num_threads=1)
+        return [(self.blank,) if x == " " else tuple(ids if x[0] == " " else ids[1:]) for x, ids in zip(units, out)]
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both sides for a text made of whole units; None if one of them does not spell it."""
+        units = units_of(text)
+        if self.known and PLAIN.fullmatch(text):  # cut here, so that only the merges of a piece are the tokenizer's work
+            left = list(chain.from_iterable(map(self.pieces.__getitem__, PIECE.findall(text))))
+        else:
+            left = list(chain.from_iterable(map(self.left_units.__getitem__, units)))
+        known = self.right_units
+        new = [x for x in dict.fromkeys(units) if x not in known and x not in known.older]
+        made = dict(zip(new, self._right(new))) if new else {}
+        right = list(chain.from_iterable([made[x] if x in made else known[x] for x in units]))
+        for x, ids in made.items():
+            known.learn(x, ids)
+        raw = text.encode()
+        for ids, spell in ((left, self.left_bytes), (right, self.right_bytes)):
+            if b"".join(map(spell.__getitem__, ids)) != raw:
                 return None
-            sides.append([(i, len(p)) for i, p in zip(ids, parts)])
-        return sides[0], sides[1]
-
-
-@dataclass(frozen=True)
-class Unit:
-    """An aligned unit: its fragment's groups as text, token and group counts, and its linked pairs (a << 32 | b)."""
-
-    text: str
-    n_a: int
-    n_b: int
-    n_groups: int
-    pairs: np.ndarray
-
-
-class Units(dict):
-    """Aligned units by their text; forgets all when it is full.  None: the tokens do not spell it."""
+        return np.array(left, np.int64), np.array(right, np.int64)
 
-    def __init__(self, left: str, right: str) -> None:
-        super().__init__()
-        self.both = Tokenizers(left, right)
-
-    def __missing__(self, unit: str) -> Unit | None:
-        sides = self.both.encode(unit)
-        out = None
-        if sides is not None:
-            groups = groups_of(fragment(*sides))
-            pairs = np.array([(a << 32) | b for a, b in links_of(*sides)], np.int64)
-            out = Unit(";".join(map(group_text, groups)), len(sides[0]), len(sides[1]), len(groups), pairs)
-        if len(unit) <= CACHE_LENGTH:
-            if len(self) >= CACHE_UNITS:
-                self.clear()
-            self[unit] = out
-        return out
 
+_workers: dict[tuple[str, str], Tokenizers] = {}
 
-_workers: dict[tuple[str, str], Units] = {}
 
-
-def _units(left: str, right: str) -> Units:
+def tokenizers(left: str, right: str) -> Tokenizers:
+    """The worker's pair of tokenizers."""
     if (left, right) not in _workers:
-        _workers[left, right] = Units(left, right)
+        _workers[left, right] = Tokenizers(tokenizer_path(left), tokenizer_path(right))
     return _workers[left, right]
 
 
 def units_of(text: str) -> list[str]:
     """The units of a text that begins with a space or a line feed."""
-    return [x for x in CUT.split(text) if x]
+    units = UNIT.findall(text)  # enough where blanks are single spaces and runs of line feeds
+    return units if sum(map(len, units)) == len(text) else [x for x in CUT.split(text) if x]
 
 
 def text_parts(text: str, limit: int = PART_CHARS, context: int = CONTEXT_CHARS) -> Iterator[tuple[str, int, int]]:
@@ -232,25 +245,18 @@ def text_parts(text: str, limit: int = PART_CHARS, context: int = CONTEXT_CHARS)
         start, window = end, after
 
 
-def range_tokens(
-    window: str, skip: int, take: int, sides_of: Callable[[str], tuple[list[Token], list[Token]] | None]
-) -> tuple[tuple[list[Token], int], tuple[list[Token], int]] | None:
-    """Tokens that end in the range, and where the first begins, for both sides; None if a unit is not spelt."""
-    units = [sides_of(x) for x in units_of(window)]
-    if None in units:
+def range_fragment(both: Tokenizers, window: str, skip: int, take: int) -> tuple[Fragment, int, int] | None:
+    """Fragment of a range and its numbers of tokens; None if the window is not spelt."""
+    sides = both.encode(window)
+    if sides is None:
         return None
-    out = []
-    for side in (0, 1):
-        tokens = [t for unit in units for t in unit[side]]
-        ends = np.cumsum([n for _, n in tokens], dtype=np.int64)
+    cut = []
+    for ids, sizes in zip(sides, (both.left_len, both.right_len)):
+        ends = np.cumsum(sizes[ids])
         a, b = np.searchsorted(ends, [skip, skip + take], "right")
-        out.append((tokens[a:b], int(ends[a - 1]) if a else 0))
-    return out[0], out[1]
-
-
-def pair_codes(groups: Iterable[tuple[tuple[Token, ...], tuple[Token, ...]]]) -> np.ndarray:
-    """Links of the groups as codes a << 32 | b."""
-    return np.array([(a << 32) | b for g in groups for a, b in links_of(*map(list, g))], np.int64)
+        cut.append((ids[a:b], sizes[ids[a:b]], int(ends[a - 1]) if a else 0))
+    (a, a_len, a_from), (b, b_len, b_from) = cut
+    return fragment(a, b, a_len, b_len, a_from, b_from), len(a), len(b)
 
 
 class Blocks:
@@ -314,17 +320,19 @@ def _or_none(column: pd.Series) -> pd.Series:
 
 def _align_whole(left: str, right: str):
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Documents of one part, by their remembered units."""
-        units, blocks = _units(tokenizer_path(left), tokenizer_path(right)), Blocks("w")
+        """Documents that are a range of their own."""
+        both, blocks = tokenizers(left, right), Blocks("w")
         for pdf in batches:
             for doc, u, text in zip(pdf["doc_id"], pdf["u"], pdf["text"]):
-                found = [units[x] for x in units_of(" " + text)] if text else []
                 row = {"doc_id": None if pd.isna(doc) else int(doc), "u": u, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "digest": ""}
                 pairs = np.zeros(0, np.int64)
-                if found and None not in found:
-                    pairs = np.concatenate([x.pairs for x in found])
-                    row |= {c: sum(getattr(x, c) for x in found) for c in ("n_a", "n_b", "n_groups")}
-                    row |= {"n_links": len(pairs), "digest": hashlib.sha256(";".join([x.text for x in found]).encode()).hexdigest()}
+                sides = both.encode(" " + text) if text else None
+                if sides is not None:
+                    a, b = sides
+                    closed = fragment(a, b, both.left_len[a], both.right_len[b], whole=True).closed
+                    pairs = np.frombuffer(closed.codes, np.int64)
+                    row |= {"n_a": len(a), "n_b": len(b), "n_groups": closed.n, "n_links": len(pairs)}
+                    row["digest"] = hashlib.sha256(closed.text.encode()).hexdigest()
                 blocks.add(row, pairs, len(text or ""))
                 if blocks.size >= BLOCK_CHARS:
                     yield blocks.finish()
@@ -337,27 +345,17 @@ def _align_whole(left: str, right: str):
 def _align_ranges(left: str, right: str):
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Fragment and closed groups of each byte range; ``ok`` is false if the tokens do not spell it."""
-        both, known = Tokenizers(tokenizer_path(left), tokenizer_path(right)), {}
-
-        def sides_of(unit: str):
-            if unit not in known:
-                if len(known) >= CACHE_UNITS // 4:
-                    known.clear()
-                known[unit] = both.encode(unit)
-            return known[unit]
-
+        both = tokenizers(left, right)
         columns = FRAGMENT | GROUPS | {"ok": "boolean"}
         for pdf in batches:
             rows = []
             for u, part, window, skip, take in zip(*(pdf[c] for c in ("u", "part", "window", "skip", "take"))):
                 row = {"u": u, "part": part, "at": part, "kind": 1, "ok": False}
-                tokens = range_tokens(window, skip, take, sides_of)
-                if tokens is not None:
-                    (a, a_from), (b, b_from) = tokens
-                    f = fragment(a, b, a_from, b_from)
-                    text = ";".join(group_text(ids_of(g)) for g in f.closed)
-                    row |= {"ok": True, "met": f.met, "n_a": len(a), "n_b": len(b), "n_groups": len(f.closed), "text": text}
-                    row |= {"codes": pair_codes(f.closed).tobytes()} | _pack(f)
+                made = range_fragment(both, window, skip, take)
+                if made is not None:
+                    f, n_a, n_b = made
+                    row |= {"ok": True, "met": f.met, "n_a": n_a, "n_b": n_b, "n_groups": f.closed.n, "text": f.closed.text}
+                    row |= {"codes": f.closed.codes} | _pack(f)
                 rows.append(row)
             yield _typed(pd.DataFrame(rows, columns=list(columns)), columns)
 
@@ -371,28 +369,28 @@ def _pack(f: Fragment) -> dict[str, bytes]:
 
 def _unpack(row) -> Fragment:
     pa, pb, sa, sb = (tuple(map(tuple, np.frombuffer(row[c], "<i4").reshape(-1, 2).tolist())) for c in ("pa", "pb", "sa", "sb"))
-    return Fragment(bool(row["met"]), (pa, pb), (), (sa, sb))
+    return Fragment(bool(row["met"]), (pa, pb), Closed(), (sa, sb))
 
 
-def compose(fragments: list[tuple[Fragment, int]]) -> tuple[Fragment, int, list[tuple[int, tuple]]]:
+def compose(fragments: list[tuple[Fragment, int]]) -> tuple[Fragment, int, list[tuple[int, Closed]]]:
     """Composition of neighbours, each with the range in which its prefix closes, and the groups closed between them.
 
     The groups closed within the fragments are left out; they stay where they are.
     """
-    whole, at, closed = replace(fragments[0][0], closed=()), fragments[0][1], []
+    whole, at, closed = replace(fragments[0][0], closed=Closed()), fragments[0][1], []
     for f, f_at in fragments[1:]:
-        now = whole + f
-        if whole.met and f.met:
-            closed.append((f_at, now.closed[0]))
+        now = whole + replace(f, closed=Closed())
+        if now.closed.n:
+            closed.append((f_at, now.closed))
         if not whole.met:
             at = f_at
-        whole = replace(now, closed=())
+        whole = replace(now, closed=Closed())
     return whole, at, closed
 
 
-def _group_row(u: int, at: int, group: tuple) -> dict:
-    counts = {"n_groups": 1, "n_a": 0, "n_b": 0}  # the tokens are counted with their ranges
-    return {"u": u, "at": at, "kind": 0, **counts, "text": group_text(ids_of(group)), "codes": pair_codes([group]).tobytes()}
+def _group_row(u: int, at: int, group: Closed) -> dict:
+    # the tokens are counted with their ranges
+    return {"u": u, "at": at, "kind": 0, "n_groups": 1, "n_a": 0, "n_b": 0, "text": group.text, "codes": group.codes}
 
 
 def _tree_step(last: bool):
@@ -405,7 +403,7 @@ def _tree_step(last: bool):
         whole, at, closed = compose([(_unpack(r), int(r["at"])) for r in pdf.to_dict("records")])
         rows = [_group_row(u, k, g) for k, g in closed]
         if last:
-            rows += [_group_row(u, at, whole.prefix)] if whole.met else []
+            rows += [_group_row(u, at, one_group(whole.prefix))] if whole.met else []
         else:
             rows.append({"u": u, "part": up, "at": at, "met": whole.met, **_pack(whole)})
         return _typed(pd.DataFrame(rows, columns=list(columns)), columns)

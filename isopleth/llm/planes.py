@@ -18,8 +18,9 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -41,12 +42,19 @@ LEVEL = 3
 END_ID = 2
 #: Tokenizer file; a name is looked up among the installed public tokenizers.
 TOKENIZER = "word_bpe_49k.json"
-#: Characters that are encoded at once, words that a worker remembers, and longest word remembered.
-STEP_CHARS, CACHE_WORDS, CACHE_LENGTH = 1 << 20, 400_000, 100
+#: Characters that are encoded at once, words that a worker remembers (and as many less recent ones), longest of them.
+STEP_CHARS, CACHE_WORDS, CACHE_LENGTH = 1 << 20, 200_000, 100
 #: Files of one step of the running sum over files.
 SUM_STEP = 1024
 #: Blanks that the tokenizer drops and that no token spans.
 WORD = re.compile(r"[^ \t\n\r]+")
+# The steps of the word tokenizer before its merges.
+STEPS = ["NFC", "Replace", "Lowercase"]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Printable ASCII and the Latin-1 letters: normal form already, one lower-case letter each, kinds beyond dispute.
+LETTERS = "A-Za-z" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0xFF)))
+PLAIN = re.compile(rf"[ \t\n\r!-~{LETTERS}]*")
+PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^ \t\n\r{LETTERS}0-9]+")
 
 
 def tokenizer_path(name: str) -> str:
@@ -57,22 +65,80 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class WordIds(dict):
-    """Ids of words, encoded when first met; forgets all when it is full."""
+def byte_alphabet() -> dict[str, int]:
+    """Letters by which byte-level vocabularies write bytes: printable ones stand for themselves,
+    the others for the letters from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
-    def __init__(self, path: str) -> None:
+
+def byte_letters() -> dict[int, str]:
+    """Translation table of the characters below 256 to the letters of their bytes in UTF-8."""
+    letter = {b: c for c, b in byte_alphabet().items()}
+    return {k: "".join(letter[b] for b in chr(k).encode()) for k in range(256)}
+
+
+class Remembered(dict):
+    """What ``make`` gives for a string, made when first met.
+
+    When ``limit`` strings are held they become the less recent half, which goes when the limit is
+    reached again; a string in use moves back, so frequent ones stay.
+    """
+
+    def __init__(self, make: Callable[[str], Any], limit: int, longest: int = CACHE_LENGTH) -> None:
         super().__init__()
+        self.make, self.limit, self.longest, self.older = make, limit, longest, {}
+
+    def __missing__(self, key: str) -> Any:
+        value = self.older.get(key, self)
+        if value is self:
+            value = self.make(key)
+        self.learn(key, value)
+        return value
+
+    def learn(self, key: str, value: Any) -> None:
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+
+
+class WordIds:
+    """Ids of words under a tokenizer file.
+
+    Where the file has the steps that are known here, plain text is cut into pieces without it and
+    only the merges of a piece are its work; all else goes through the whole tokenizer word by word.
+    """
+
+    def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(word) <= CACHE_LENGTH:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        config = json.loads(self.tokenizer.to_str())
+        steps = [x["type"] for x in (config["normalizer"] or {}).get("normalizers", [])]
+        before = (config["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {})
+        self.known = steps == STEPS and before == {"Regex": PATTERN}
+        self.letters = byte_letters()
+        self.pieces = Remembered(self._piece, CACHE_WORDS)
+        self.words = Remembered(self._word, CACHE_WORDS // 4)
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        return tuple([t.id for t in self.model.tokenize(piece.translate(self.letters))])
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def ids(self, text: str) -> np.ndarray:
+        """Ids of a text that begins and ends with whole words."""
+        if self.known and PLAIN.fullmatch(text) and not any(x in text for x in self.special):
+            found = map(self.pieces.__getitem__, PIECE.findall(text.lower()))
+        else:
+            found = map(self.words.__getitem__, WORD.findall(text))
+        return np.fromiter(chain.from_iterable(found), np.uint32)
 
 
 _encoders: dict[str, WordIds] = {}
@@ -107,7 +173,7 @@ def encode(text: str | None, ids: WordIds) -> Iterator[np.ndarray]:
     words in turn, and a word's ids do not depend on its neighbours.
     """
     for part in pieces(text or ""):
-        yield np.fromiter(chain.from_iterable(map(ids.__getitem__, WORD.findall(part))), np.uint32)
+        yield ids.ids(part)
 
 
 def to_planes(ids: np.ndarray, plane: int = 1) -> list[bytes]:
@@ -127,10 +193,9 @@ def from_planes(planes: list[bytes], n: int, plane: int = 1) -> np.ndarray:
         for k, p in enumerate(planes):
             octets[:, k] = np.frombuffer(p, np.uint8)
     elif planes:
-        bits = np.zeros((32, n), np.uint8)
-        for k, p in enumerate(planes):
-            bits[k] = np.unpackbits(np.frombuffer(p, np.uint8), count=n, bitorder="little")
-        octets = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")
+        bits = np.unpackbits(np.frombuffer(b"".join(planes), np.uint8).reshape(len(planes), -1), axis=1, count=n, bitorder="little")
+        for k, bit in enumerate(bits):
+            octets[:, k // 8] |= bit << (k % 8)
     return np.ascontiguousarray(octets).view("<u4").reshape(-1)
 
 

@@ -229,6 +229,10 @@ def plain_sides(both, text):
     return sides if spelt else None
 
 
+def group_text(group):
+    return ",".join(map(str, group[0])) + "|" + ",".join(map(str, group[1]))
+
+
 def plain_groups(a, b):
     ends = [np.cumsum([n for _, n in side]).tolist() for side in (a, b)]
     out, i, j = [], 0, 0
@@ -265,25 +269,33 @@ def plain_alignment(both, docs):
             out.append((d, 0, 0, 0, 0, 0, 0, ""))
             continue
         n_a, n_b, groups, links = linked[k]
-        sha = hashlib.sha256(";".join(map(align.group_text, groups)).encode()).hexdigest()
+        sha = hashlib.sha256(";".join(map(group_text, groups)).encode()).hexdigest()
         best = sum(counts[x] == most[x[1]] for x in links)
         out.append((d, n_a, n_b, len(groups), len(links), best, sum(counts[x] for x in links), sha))
     return out
 
 
+def arrays(*sides):
+    return [np.array([t for t, _ in s], np.int64) for s in sides] + [np.array([n for _, n in s], np.int64) for s in sides]
+
+
+def codes_of(pairs):
+    return np.array([(a << 32) | b for a, b in pairs], np.int64).tobytes()
+
+
 @given(TEXT)
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=400, deadline=None)
 def test_units_have_the_tokens_of_the_whole_text(both, text):
     if not text:
         return
-    units = align.units_of(" " + text)
-    assert "".join(units) == " " + text
-    sides = [both.encode(x) for x in units]
-    whole = plain_sides(both, text)
-    assert (None in sides) == (whole is None)
+    assert "".join(align.units_of(" " + text)) == " " + text
+    found, whole = both.encode(" " + text), plain_sides(both, text)
+    assert (found is None) == (whole is None)
     if whole is not None:
-        assert [[t for s in sides for t in s[k]] for k in (0, 1)] == whole
-        assert align.links_of(*whole) == plain_links(*whole)
+        assert [x.tolist() for x in found] == [[t for t, _ in side] for side in whole]
+        closed = align.fragment(*arrays(*whole), whole=True).closed
+        groups = plain_groups(*whole)
+        assert closed == align.Closed(";".join(map(group_text, groups)), len(groups), codes_of(plain_links(*whole)))
 
 
 @given(st.lists(st.integers(1, 4), min_size=1, max_size=12), st.lists(st.integers(1, 4), max_size=12), st.lists(st.integers(0, 40), max_size=5))
@@ -298,32 +310,36 @@ def test_fragments_are_a_monoid(a, b, cuts):
     for lo, hi in zip(edges, edges[1:]):
         at = [np.searchsorted(e, [lo, hi], "right") for e in ends]
         begins = [int(e[x[0] - 1]) if x[0] else 0 for e, x in zip(ends, at)]
-        parts.append(align.fragment(*[side[x[0] : x[1]] for side, x in zip(sides, at)], *begins))
-    left = align.EMPTY
+        parts.append(align.fragment(*arrays(*[side[x[0] : x[1]] for side, x in zip(sides, at)]), *begins))
+    left = right = align.EMPTY
     for p in parts:
         left = left + p
-    right = align.EMPTY
     for p in reversed(parts):
         right = p + right
-    whole = align.fragment(*sides)
+    whole = align.fragment(*arrays(*sides))
     assert left == right == whole == whole + align.EMPTY and whole.suffix == ((), ())
-    assert align.groups_of(whole) == plain_groups(*sides)
-    pairs = list(enumerate(parts))
-    made, at, closed = align.compose([(p, k) for k, p in pairs])
-    inner = [(k, 1, g) for k, p in pairs for g in p.closed] + [(k, 0, g) for k, g in closed] + [(at, 0, made.prefix)]
-    assert [align.ids_of(g) for *_, g in sorted(inner, key=lambda x: x[:2])] == plain_groups(*sides)
+    groups = plain_groups(*sides)
+    every = align.joined(align.one_group(whole.prefix), whole.closed)
+    assert every == align.fragment(*arrays(*sides), whole=True).closed
+    assert every == align.Closed(";".join(map(group_text, groups)), len(groups), codes_of(plain_links(*sides)))
+    made, at, closed = align.compose([(p, k) for k, p in enumerate(parts)])
+    inner = [(k, 1, p.closed) for k, p in enumerate(parts)] + [(k, 0, g) for k, g in closed] + [(at, 0, align.one_group(made.prefix))]
+    assert align.joined(*[g for *_, g in sorted(inner, key=lambda x: x[:2])]) == every
 
 
 @given(st.text(st.sampled_from("ab  \nü,"), min_size=1, max_size=200), st.integers(3, 40), st.integers(0, 12))
 @settings(max_examples=200, deadline=None)
 def test_ranges_cover_the_text(both, text, limit, context):
+    whole = plain_sides(both, text)
     text = " " + text
     parts = list(align.text_parts(text, limit, context))
-    raw = b"".join(w.encode()[s : s + t] for w, s, t in parts)
-    assert raw == text.encode()
-    got = [align.range_tokens(*p, both.encode) for p in parts]
-    whole = plain_sides(both, text[1:])
-    assert [[t for g in got for t in g[k][0]] for k in (0, 1)] == whole
+    assert b"".join(w.encode()[s : s + t] for w, s, t in parts) == text.encode()
+    made = [align.range_fragment(both, *p) for p in parts]
+    assert [sum(m[k] for m in made) for k in (1, 2)] == list(map(len, whole))
+    folded = align.EMPTY
+    for f, *_ in made:
+        folded = folded + f
+    assert folded == align.fragment(*arrays(*whole))
 
 
 @pytest.mark.parametrize("limit", [align.PART_CHARS, 300])
