@@ -60,12 +60,13 @@ def boxes_with_cell(boxes: Sequence[tuple[str, float, float, float, float]]) ->
 def box_means(
     df: DataFrame,
     boxes: Sequence[tuple[str, float, float, float, float]],
-    keys: Sequence[str] = ("date",),
+    keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    """cos(latitude)-weighted mean per named box (name, north, west, south, east).
+    """cos(latitude)-weighted mean per named box (name, north, west, south, east), by default for each series and date.
 
     NULL cells carry no weight.  A cell inside several boxes counts in each.
     """
+    keys = [*series_of(df), "date"] if keys is None else keys
     w = scalars.cos_weight(F.col("lat"))
     return (
         df.where(F.col("value").isNotNull())

@@ -133,10 +133,14 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return best.select(*keys, *[F.col(f"best.{c}").alias(c) for c in rest])
 
 
+def latest_forecasts(records: DataFrame) -> DataFrame:
+    """Latest record per (model, init, target)."""
+    return keep_latest(records, ["model", "init", "target"], [F.col("loaded_at"), F.col("value")])
+
+
 def upsert_forecasts(archive: DataFrame) -> DataFrame:
     """Verification archive: latest record per (model, init, target), with its lead."""
-    latest = keep_latest(archive, ["model", "init", "target"], [F.col("loaded_at"), F.col("value")])
-    return latest.withColumn("lead_days", F.date_diff("target", "init"))
+    return latest_forecasts(archive).withColumn("lead_days", F.date_diff("target", "init"))
 
 
 def upsert_observed(archive: DataFrame, best_source: str = "primary") -> DataFrame:

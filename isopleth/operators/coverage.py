@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.schema import key_join
+from isopleth.schema import Grid, key_join, series_of
 
 
 
@@ -81,13 +81,23 @@ def missing_days(df: DataFrame, start: dt.date, end: dt.date, keys: Sequence[str
     return key_join(spine, present, [*keys, "day"], "left_anti")
 
 
-def missing_longitudes(df: DataFrame, west: float = 175.0, east: float = 181.0) -> DataFrame:
-    """Longitudes of the window that hold at least one missing value, with the counts."""
-    return (
-        df.where(F.col("lon").between(west, east))
-        .groupBy("lon")
-        .agg(F.count_if(F.col("value").isNull()).alias("n_missing"), F.count(F.lit(1)).alias("n_rows"))
-        .where(F.col("n_missing") > 0)
-    )
-
+def missing_longitudes(df: DataFrame, west: float = 175.0, east: float = 181.0, grid: Grid | None = None) -> DataFrame:
+    """Longitudes of the window that hold at least one missing value, for each series, with the counts.
 
+    The window is in degrees east (0 to 360); longitudes meet it however they are wrapped, and are given
+    as the field has them.  With ``grid``, its columns that a series has no row of are reported too
+    (``n_rows`` 0), with the grid's longitude.
+    """
+    series = series_of(df)
+    rows = df.select(*series, "lon", F.col("value").isNull().cast("int").alias("gap"), F.lit(1).alias("row"))
+    if grid is not None:
+        columns = F.explode(F.array(*[F.lit(float(x)) for x in grid.lons]))
+        spine = df.select(*series).distinct() if series else df.select(F.lit(1).alias("one")).limit(1)
+        rows = rows.unionByName(spine.select(*series, columns.alias("lon"), F.lit(0).alias("gap"), F.lit(0).alias("row")))
+    at = F.pmod(F.round("lon", 6), F.lit(360.0))
+    found = rows.where(at.between(west, east)).groupBy(*series, at.alias("at")).agg(
+        F.coalesce(F.min(F.when(F.col("row") == 1, F.col("lon"))), F.min("lon")).alias("lon"),
+        F.sum("gap").alias("n_missing"),
+        F.sum("row").alias("n_rows"),
+    )
+    return found.where("n_missing > 0 or n_rows = 0").drop("at")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isopleth.schema import epoch_day
 
@@ -45,30 +48,52 @@ def front_candidates(
 def thin_by_refractory(df: DataFrame, place: Sequence[str], hours: int) -> DataFrame:
     """Greedy thinning: an event counts iff ``hours`` have passed since the last counted one.
 
-    A candidate that follows its predecessor by ``hours`` or more always counts, so
-    the candidates fall into independent runs there and the order-dependent fold
-    sees one run at a time, never a whole place.
+    Every place is sorted once and passed once: the rows of a partition stream by in order, and
+    all that is carried is the place and the last counted instant.  Runs of any length cost
+    time in proportion, and no place is held in memory.  Repeated instants count once.
     """
-    w = Window.partitionBy(*place).orderBy("h")
     origin, gap = F.lit("1970-01-01").cast("timestamp_ntz"), hours * 3_600_000_000
-    timed = df.select(*place, F.timestamp_diff("MICROSECOND", origin, F.col("time")).alias("h"))  # the instant itself
-    starts = F.coalesce(F.col("h") - F.lag("h").over(w) >= gap, F.lit(True))
-    runs = timed.withColumn("new_run", starts.cast("int")).withColumn(
-        "run", F.sum("new_run").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    fold = F.aggregate(
-        F.array_sort(F.collect_list("h")),
-        F.array().cast("array<bigint>"),
-        lambda acc, h: F.when(
-            (F.size(acc) == 0) | (h - F.element_at(acc, -1) >= gap), F.array_append(acc, h)
-        ).otherwise(acc),
-    )
-    return (
-        runs.groupBy(*place, "run")
-        .agg(fold.alias("kept"))
-        .select(*place, F.explode("kept").alias("h"))
-        .select(*place, F.timestamp_add("MICROSECOND", F.col("h"), origin).alias("time"))
-    )
+    keys = list(place)
+    timed = df.where(F.col("time").isNotNull()).select(*keys, F.timestamp_diff("MICROSECOND", origin, F.col("time")).alias("h"))
+    # a name for the place that compares fast; the place itself decides, so a clash of names does no harm
+    name = F.xxhash64(*keys)
+    placed = timed.withColumn("__p", name).repartition(*keys).sortWithinPartitions("__p", *keys, "h")
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, last = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h = batch.column("h").to_numpy()
+            columns = [batch.column(k) for k in keys]
+            starts = [0, *_changes([batch.column("__p"), *columns]), batch.num_rows]
+            keep: list[int] = []
+            for lo, hi in zip(starts, starts[1:]):
+                place_now = repr(tuple(c[lo].as_py() for c in columns))  # as text, since NaN differs from itself
+                if place_now != here:
+                    here, last = place_now, None
+                k = lo
+                while k < hi:
+                    if last is not None:  # jump to the first row that is late enough
+                        k = lo + int(np.searchsorted(h[lo:hi], last + gap))
+                    if k < hi:
+                        keep.append(k)
+                        last = int(h[k])
+                        k += 1
+            yield batch.take(pa.array(keep, pa.int64())).select([*keys, "h"])
+
+    schema = T.StructType([timed.schema[c] for c in (*keys, "h")])
+    kept = placed.select(*keys, "h", "__p").mapInArrow(thin, schema)
+    return kept.select(*keys, F.timestamp_add("MICROSECOND", F.col("h"), origin).alias("time"))
+
+
+def _changes(columns: Sequence[pa.Array]) -> list[int]:
+    """Rows at which any of the columns differs from the row before; NULL equals NULL, NaN equals NaN."""
+    changed = np.zeros(max(0, len(columns[0]) - 1), bool)
+    for c in columns:
+        codes = c.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        changed |= codes[1:] != codes[:-1]
+    return (np.flatnonzero(changed) + 1).tolist()
 
 
 def front_passages(

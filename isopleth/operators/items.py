@@ -84,6 +84,57 @@ def map_items_strict(df: DataFrame, func: Callable[[dict], dict | None], key: st
     return df.mapInArrow(run, schema)
 
 
+def map_groups(
+    df: DataFrame,
+    func: Callable[[Any, Iterator[pa.RecordBatch]], Iterator[dict]],
+    keys: list[str],
+    result: T.StructType,
+) -> DataFrame:
+    """Run ``func(key, batches) -> rows`` per group; an exception becomes one row of its group, the others go on.
+
+    ``func`` gets the key values as a tuple and the group's rows as Arrow batches one after the other, so
+    a group need not fit in memory (a group is still one task's work; use ``map_items`` where rows stand
+    alone).  It yields result rows as dicts.  Rows that a group yields are passed on as they come, those
+    yielded before an exception too; the failure row follows them, with NULL results.  A result that
+    does not fit its type is a failure.  Groups without result rows leave one row with ``ok`` and
+    NULL results, so every group is accounted for.  No rows give no rows; NULL keys are a group.
+    """
+    schema = T.StructType([*[df.schema[k] for k in keys], *result.fields, *OUTCOME.fields])
+    arrow, names = to_arrow_schema(schema), result.fieldNames()
+    chunk = 1000
+
+    def failure(exc: Exception) -> dict[str, Any]:
+        return {"ok": False, "error_type": type(exc).__name__, "error_msg": str(exc), "traceback": traceback.format_exc()}
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values = tuple(k.as_py() for k in key)
+        fixed, held, sent = dict(zip(keys, values)), [], 0
+        try:
+            for out in func(values, batches):
+                held.append({**fixed, **{n: out.get(n) for n in names}, "ok": True})
+                if len(held) >= chunk:
+                    ready = pa.RecordBatch.from_pylist(held, schema=arrow)
+                    sent, held = sent + len(held), []
+                    yield ready
+            ready = pa.RecordBatch.from_pylist(held or ([] if sent else [{**fixed, "ok": True}]), schema=arrow)
+            held = []
+            yield ready
+        except Exception as exc:  # noqa: BLE001 - every failure is data here
+            error = failure(exc)
+            try:
+                before = pa.RecordBatch.from_pylist(held, schema=arrow)
+            except (pa.ArrowException, TypeError, ValueError, OverflowError) as bad:
+                error, before = failure(bad), None
+            if before is not None and len(held):
+                yield before
+            yield pa.RecordBatch.from_pylist([{**fixed, **error}], schema=arrow)
+        finally:
+            for _ in batches:  # what the function left unread
+                pass
+
+    return df.groupBy(*keys).applyInArrow(run, schema)
+
+
 def outcome_summary(outcomes: DataFrame) -> DataFrame:
     """Counts of good and failed items and their total."""
     return outcomes.agg(

@@ -83,15 +83,34 @@ def regrid_bilinear(
     )
 
 
+def cell_corners(df: DataFrame, grid: Grid, slice_keys: Sequence[str]) -> DataFrame:
+    """Corner table of a field: for each cell with all four corners their values, named by the lower left index.
+
+    Columns: slice keys, i, j and v00, v10, v01, v11 (first digit: one column east, second: one row up).
+    The field is placed once by slice; every value goes to the four cells that it is a corner of
+    within that placement.  On a cyclic grid the cells of the seam reach around.
+    """
+    placed = df.where(F.col("value").isNotNull()).select(*slice_keys, grid.i().alias("i"), grid.j().alias("j"), "value")
+    placed = placed.repartition(*slice_keys) if slice_keys else placed
+    names = [(di, dj, f"v{di}{dj}") for dj in (0, 1) for di in (0, 1)]
+    corners = F.array(
+        *[F.struct(_shift(F.col("i"), -di, grid.nlon, grid.cyclic).alias("i"), (F.col("j") - dj).alias("j"), F.lit(n).alias("n")) for di, dj, n in names]
+    )
+    sent = placed.select(*slice_keys, "value", F.explode(corners).alias("c")).select(*slice_keys, "value", "c.i", "c.j", "c.n")
+    cells = sent.groupBy(*slice_keys, "i", "j").agg(*[F.max(F.when(F.col("n") == n, F.col("value"))).alias(n) for *_, n in names])
+    return cells.where(" and ".join(f"{n} is not null" for *_, n in names))
+
+
 def interpolate_at_points(
-    df: DataFrame, grid: Grid, points: DataFrame, point: str, slice_keys: Sequence[str] = ("time",)
+    df: DataFrame, grid: Grid, points: DataFrame, point: str, slice_keys: Sequence[str] | None = None
 ) -> DataFrame:
     """Bilinear interpolation at scattered points (``point``, lat, lon), with the rules of ``regrid_bilinear``.
 
-    Each point names its four cells by arithmetic; field and points meet in one
-    equi-join on the cell indices, and the optimiser broadcasts the points when they
-    are few.
+    Slices are by default those of series and time.  Each point names its cell by arithmetic and
+    meets the corner table in one equi-join, after which the value is a sum of four products:
+    nothing is grouped or shuffled behind the join, and the optimiser broadcasts the points when they are few.
     """
+    slice_keys = [*series_of(df), "time"] if slice_keys is None else list(slice_keys)
     x = (F.col("lon") - grid.lon0) / grid.dlon
     x = F.pmod(x, F.lit(float(grid.nlon))) if grid.cyclic else x
     y = (F.col("lat") - grid.lat0) / grid.dlat
@@ -101,31 +120,15 @@ def interpolate_at_points(
         .where(F.col("y").between(0.0, grid.nlat - 1.0) & F.col("x").between(0.0, float(grid.nlon if grid.cyclic else grid.nlon - 1)))
         .withColumns(
             {
-                "i0": F.least(F.floor("x"), F.lit(last_x)).cast("int"),
-                "j0": F.least(F.floor("y"), F.lit(grid.nlat - 2)).cast("int"),
+                "i": F.least(F.floor("x"), F.lit(last_x)).cast("int"),
+                "j": F.least(F.floor("y"), F.lit(grid.nlat - 2)).cast("int"),
             }
         )
-        .withColumns({"fx": F.col("x") - F.col("i0"), "fy": F.col("y") - F.col("j0")})
-    )
-
-    def corner(di: int, dj: int) -> Column:
-        wx = F.col("fx") if di else 1.0 - F.col("fx")
-        wy = F.col("fy") if dj else 1.0 - F.col("fy")
-        i = _shift(F.col("i0"), di, grid.nlon, grid.cyclic)
-        return F.struct(i.alias("i"), (F.col("j0") + dj).alias("j"), (wx * wy).alias("w"))
-
-    corners = F.array(*[corner(di, dj) for di in (0, 1) for dj in (0, 1)])
-    taps = placed.select(point, "lat", "lon", F.explode(corners).alias("c")).select(
-        point, "lat", "lon", F.col("c.i").alias("i"), F.col("c.j").alias("j"), F.col("c.w").alias("w")
-    )
-    field = df.select(*slice_keys, grid.i().alias("i"), grid.j().alias("j"), "value")
-    return (
-        field.join(taps, ["i", "j"])
-        .groupBy(*slice_keys, point, "lat", "lon")
-        .agg(F.sum(F.col("w") * F.col("value")).alias("value"), F.count("value").alias("corners"))
-        .where(F.col("corners") == 4)
-        .drop("corners")
+        .select(point, "lat", "lon", "i", "j", (F.col("x") - F.col("i")).alias("fx"), (F.col("y") - F.col("j")).alias("fy"))
     )
+    wx, wy = (1.0 - F.col("fx"), F.col("fx")), (1.0 - F.col("fy"), F.col("fy"))
+    value = sum((wx[di] * wy[dj] * F.col(f"v{di}{dj}") for dj in (0, 1) for di in (0, 1)), F.lit(0.0))
+    return cell_corners(df, grid, slice_keys).join(placed, ["i", "j"]).select(*slice_keys, point, "lat", "lon", value.alias("value"))
 
 
 def _shift(index: Column, by: Column | int, n: int, cyclic: bool) -> Column:

@@ -8,7 +8,9 @@ field, samples of a table) stays distributed.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -142,9 +144,12 @@ def _steps_by_cell(anomalies: DataFrame, cell: Sequence[str]) -> DataFrame:
     return anomalies.where(F.col("value").isNotNull()).groupBy(*cell).agg(by_month.alias("steps"))
 
 
-def _common_months(stored: DataFrame) -> list:
-    """Months that at least half of the cells have; one row a month reaches the driver."""
-    cells = stored.count()
+def _months(stored: DataFrame, base: tuple[dt.date, dt.date] | None, majority: bool) -> list[dt.date]:
+    """Months of the analysis, in order: those of the base period, else all that some cell has."""
+    if base is not None:
+        first, last = (d.year * 12 + d.month - 1 for d in base)
+        return [dt.date(k // 12, k % 12 + 1, 1) for k in range(first, last + 1)]
+    cells = stored.count() if majority else 0
     months = stored.select(F.explode("steps.month").alias("month")).groupBy("month").count().collect()
     return sorted(r["month"] for r in months if 2 * r["count"] >= cells)
 
@@ -154,29 +159,44 @@ def _of_months(stored: DataFrame, months: list) -> DataFrame:
     return stored.withColumn("steps", F.filter("steps", lambda s: F.array_contains(wanted, s["month"])))
 
 
-def incomplete_cells(anomalies: DataFrame, cell: Sequence[str]) -> DataFrame:
-    """Cells that ``leading_patterns`` leaves out, with the months that they have and those wanted."""
-    stored = materialise(_steps_by_cell(anomalies, cell), "patterns")
-    months = _common_months(stored)
-    own = _of_months(stored, months).select(*cell, F.size("steps").alias("n_months"), F.lit(len(months)).alias("wanted"))
-    return own.where(F.col("n_months") < F.col("wanted"))
+class Patterns(NamedTuple):
+    """Loadings (cell, mode, loading), deviations of the monthly indices, explained fractions, and what was left out:
+    cells (cell, n_months, wanted) that lack a month, months (month, n_cells) of the data that are not analysed."""
 
+    table: DataFrame
+    stds: list[float]
+    explained: list[float]
+    cells_left_out: DataFrame
+    months_left_out: DataFrame
 
-def leading_patterns(anomalies: DataFrame, cell: Sequence[str], count: int = 1) -> tuple[DataFrame, list[float], list[float]]:
+
+def leading_patterns(
+    anomalies: DataFrame,
+    cell: Sequence[str],
+    count: int = 1,
+    base: tuple[dt.date, dt.date] | None = None,
+    majority: bool = False,
+) -> Patterns:
     """EOFs of monthly anomalies (cell, month, value).
 
-    Returns the pattern table (cell, mode, loading), the standard deviation of each
-    monthly index and the explained fractions.  The months are the bounded side (one cell's
-    months fit one row): those that at least half of the cells have, so that a stray month costs no cell.
-    Cells without all of them cannot be projected; ``incomplete_cells`` names them.
-    The vectors are stored once for the jobs that follow.  The largest loading of each mode is positive.
+    The months are those of ``base`` (first and last day), else all that occur; with ``majority``
+    those that at least half of the cells have, so that a stray month costs no cell.  Cells without all
+    of them cannot be projected.  Cells and months that are left out are returned beside the result;
+    if no cell is left, that is an error.  A cell's months fit one row; the vectors are stored
+    once for the jobs that follow.  The largest loading of each mode is positive.
     """
     stored = materialise(_steps_by_cell(anomalies, cell), "patterns")
-    months = _common_months(stored)
+    months = _months(stored, base, majority)
+    own = _of_months(stored, months).select(*cell, F.size("steps").alias("n_months"), F.lit(len(months)).alias("wanted"))
+    cells_left_out = own.where(F.col("n_months") < F.col("wanted"))
+    by_month = stored.select(F.explode("steps.month").alias("month")).groupBy("month").agg(F.count(F.lit(1)).alias("n_cells"))
+    months_left_out = by_month.where(~F.col("month").isin(months)) if months else by_month
     dim = len(months)
     vectors = _of_months(stored, months).where(F.size("steps") == dim).select(*cell, F.col("steps.value").alias("x"))
     gram = gram_matrix(vectors, "x", dim)
     values, u, trace = leading_vectors(gram, dim, count)
+    if not trace > 0:
+        raise ValueError(f"no cell has all of the {dim} months and varies")
     loadings = [_dot(F.col("x"), u[:, k] / np.sqrt(values[k])) for k in range(count)]
     modes = F.array(*[F.struct(F.lit(k + 1).alias("mode"), loadings[k].alias("loading")) for k in range(count)])
     table = vectors.select(*cell, F.explode(modes).alias("m")).select(*cell, "m.mode", "m.loading")
@@ -187,7 +207,7 @@ def leading_patterns(anomalies: DataFrame, cell: Sequence[str], count: int = 1)
     sign = F.lit([signs.get(k + 1, 1.0) for k in range(count)])[F.col("mode") - 1]
     table = materialise(table.withColumn("loading", F.col("loading") * sign), "loadings")
     stds = [float(np.std(np.sqrt(values[k]) * u[:, k])) for k in range(count)]
-    return table, stds, [float(v / trace) for v in values]
+    return Patterns(table, stds, [float(v / trace) for v in values], cells_left_out, months_left_out)
 
 
 def project(

@@ -34,7 +34,7 @@ def repair_units_by_slice(df: DataFrame, threshold: float, slice_keys: Sequence[
 
 def degenerate_days(
     df: DataFrame,
-    series: Sequence[str] = ("var",),
+    series: Sequence[str] | None = None,
     date: str = "date",
     min_fraction: float = 0.02,
     relative: float = 0.5,
@@ -45,6 +45,7 @@ def degenerate_days(
     share falls below ``relative`` times the median share of the series.  The medians
     run over the day shares, one row per day of the calendar, never over the cells.
     """
+    series = series_of(df) if series is None else series
     shares = df.where(F.col("value").isNotNull()).groupBy(*series, date).agg(
         (F.count_if(F.col("value") < 0) / F.count("value")).alias("frac_neg"),
         (F.count_if(F.col("value") > 0) / F.count("value")).alias("frac_pos"),
@@ -58,8 +59,9 @@ def degenerate_days(
     return shares.withColumn("degenerate", bad)
 
 
-def drop_degenerate_days(df: DataFrame, series: Sequence[str] = ("var",), date: str = "date", **limits: float) -> DataFrame:
+def drop_degenerate_days(df: DataFrame, series: Sequence[str] | None = None, date: str = "date", **limits: float) -> DataFrame:
     """Rows of the sound days; fails for a series that has days but no sound one."""
+    series = series_of(df) if series is None else series
     days = degenerate_days(df, series, date, **limits)
     n_sound = F.count_if(~F.col("degenerate")).over(Window.partitionBy(*series))
     none_left = F.raise_error(F.lit("every day of a series is degenerate")).cast("boolean")

@@ -68,14 +68,33 @@ def remove_preceding_mean(
     """Value minus the mean of the preceding ``days`` days (the day itself left out).
 
     All of these days must have a value unless ``min_days`` asks for fewer.
+
+    The sum over a window is the difference of two running sums, at its end and at its begin.
+    Each day therefore stands in the order twice, and one growing frame answers for both places,
+    so the work does not depend on the length of the window.  The sums are those of deviations
+    from the first value of the series, which keeps their differences precise.  NaN counts as missing.
     """
-    w = Window.partitionBy(*cell).orderBy(epoch_day(date)).rangeBetween(-days, -1)
-    return (
-        df.select(
-            *cell, date, F.col(value).alias("v"), F.avg(value).over(w).alias("past"), F.count(value).over(w).alias("n")
-        )
-        .where((F.col("n") >= (days if min_days is None else min_days)) & F.col("v").isNotNull())
-        .select(*cell, date, (F.col("v") - F.col("past")).alias("value"))
+    series = Window.partitionBy(*cell)
+    v = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    rows = df.select(*cell, F.col(date).alias("__date"), epoch_day(date).alias("__day"), v.alias("__v"))
+    whole = series.orderBy("__day").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("__base", F.first("__v", ignorenulls=True).over(whole))
+    # every day stands at its own place, and once more where its window begins, as a question only
+    places = F.array(
+        F.struct(F.col("__day").alias("at"), (F.col("__v") - F.col("__base")).alias("dev"), F.lit(False).alias("begin")),
+        F.struct((F.col("__day") - days).alias("at"), F.lit(None).cast("double").alias("dev"), F.lit(True).alias("begin")),
+    )
+    before = series.orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    asked = rows.select("*", F.inline(places)).withColumns(
+        {"s": F.coalesce(F.sum("dev").over(before), F.lit(0.0)), "n": F.count("dev").over(before)}
+    )
+    own_day = series.orderBy("__day").rangeBetween(0, 0)
+    begin = {c: F.max(F.when(F.col("begin"), F.col(c))).over(own_day) for c in ("s", "n")}
+    found = asked.withColumns({"s0": begin["s"], "n0": begin["n"]}).where(~F.col("begin"))
+    n = F.col("n") - F.col("n0")
+    past = F.col("__base") + (F.col("s") - F.col("s0")) / n
+    return found.where((n >= max(1, days if min_days is None else min_days)) & F.col("__v").isNotNull()).select(
+        *cell, F.col("__date").alias(date), (F.col("__v") - past).alias("value")
     )
 
 

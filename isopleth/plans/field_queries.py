@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +30,7 @@ from isopleth.plans.registry import big, day, instant, query, r
 from isopleth.plans.views import with_views
 from isopleth.session import materialise, new_dir
 from isopleth.sources.tables import literal_table
-from isopleth.sources import fields, inventory, tables
+from isopleth.sources import fields, inventory, published, tables
 
 D = dt.date
 WRAP = "((lon + 180) % 360 + 360) % 360 - 180"
@@ -118,6 +121,58 @@ def partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.read_written(spark, path)
 
 
+_PUBLISHED_VAR_SQL = "CASE WHEN lat < 0 THEN 'south' WHEN lat > 0 THEN 'north' ELSE 'line' END"
+
+
+def _publish_twice(spark: SparkSession, sf_dir: str) -> str:
+    """Publish a field of three variables by day, replace its first ten days, and stage a third version that fails its check."""
+    root = new_dir(spark, "published")
+    lat = F.col("lat")
+    obs = views.grid_obs(spark, sf_dir).withColumn("var", F.when(lat < 0, "south").when(lat > 0, "north").otherwise("line"))
+    published.publish(published.stage(obs, root, fields.DAILY), published.require_units(1))
+    redone = cleaning.time_slice(obs, None, D(2024, 1, 10)).withColumn("value", F.col("value") * 2)
+    published.publish(published.stage(redone, root, fields.DAILY))
+    try:
+        late = published.stage(obs.withColumn("value", F.col("value") * 100), root, fields.DAILY)
+        published.publish(late, published.require_units(10**12))
+    except ValueError:
+        return root
+    raise AssertionError("a version that falls short was published")
+
+
+@query(
+    "published_units",
+    with_views(
+        "grid_obs",
+        f"""SELECT source, {_PUBLISHED_VAR_SQL} AS var, {big('level')} AS level, {instant('time')} AS time, lat, lon,
+        {r("CASE WHEN time < DATE '2024-01-11' THEN value * 2 ELSE value END")} AS value FROM grid_obs""",
+    ),
+)
+def published_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see after two publications and a failed one."""
+    return published.read_published_field(spark, _publish_twice(spark, sf_dir)).select(*fields.FIELD_SCHEMA.names)
+
+
+@query(
+    "published_coverage",
+    with_views(
+        "grid_obs",
+        f"""WITH d AS (SELECT DISTINCT source, {_PUBLISHED_VAR_SQL} AS var, CAST(time AS DATE) AS d FROM grid_obs),
+        a AS (SELECT source, var, min(d) AS first_day, max(d) AS last_day, count(*) FILTER (d BETWEEN DATE '2024-01-02' AND DATE '2024-02-02') AS n FROM d GROUP BY ALL)
+        SELECT source, var, {day('first_day')} AS first_day, {day('last_day')} AS last_day, n AS days_present, {big('32')} AS days_expected,
+        CASE WHEN first_day > DATE '2024-01-02' OR last_day < DATE '2024-02-02' THEN 'out_of_range' WHEN n < 32 THEN 'gaps' ELSE 'ok' END AS status,
+        32 - n AS n_missing FROM a""",
+    ),
+)
+def published_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of the published field from the statistics of its units; no field is read."""
+    days = published.unit_days(published.pointers(spark, _publish_twice(spark, sf_dir)), ["source", "var"])
+    period = (D(2024, 1, 2), D(2024, 2, 2), ["source", "var"])
+    report = coverage.coverage_report(days, *period)
+    missing = coverage.missing_days(days, *period).groupBy("source", "var").agg(F.count(F.lit(1)).alias("n_missing"))
+    return report.join(missing, ["source", "var"], "left").withColumn("n_missing", F.coalesce("n_missing", F.lit(0).cast("long")))
+
+
 @query(
     "file_inventory",
     with_views(
@@ -576,13 +631,19 @@ def period_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     "missing_longitudes",
     with_views(
         "grid_missing",
-        """SELECT lon, count(*) FILTER (isnan(value) OR value = -9999) AS n_missing, count(*) AS n_rows FROM grid_missing
-        WHERE lon BETWEEN 150 AND 210 GROUP BY lon HAVING count(*) FILTER (isnan(value) OR value = -9999) > 0""",
+        f"""WITH g AS (SELECT source, s.var, s.level, lon, isnan(value) OR value = -9999 AS gap FROM grid_missing, {_SERIES_SQL} WHERE lon <> 240),
+        n AS (SELECT source, var, level, lon, count(*) FILTER (gap) AS n_missing, count(*) AS n_rows FROM g GROUP BY ALL),
+        c AS (SELECT DISTINCT source, var, level, unnest([150, 180, 210, 240])::DOUBLE AS lon FROM g)
+        SELECT c.source, c.var, {big('c.level')} AS level, {r('((c.lon + 180) % 360) - 180')} AS lon, {big('coalesce(n_missing, 0)')} AS n_missing,
+        {big('coalesce(n_rows, 0)')} AS n_rows FROM c LEFT JOIN n ON n.source = c.source AND n.var = c.var AND n.level IS NOT DISTINCT FROM c.level AND n.lon = c.lon
+        WHERE n_rows IS NULL OR n_missing > 0""",
     ),
 )
 def missing_longitudes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cleaning.null_missing(views.grid_missing(spark, sf_dir), fills=[-9999.0])
-    return coverage.missing_longitudes(rows, 150.0, 210.0)
+    """Four series in canonical longitudes, with a window over the date line and one column that is not there at all."""
+    rows = cleaning.null_missing(views.grid_missing(spark, sf_dir).where("lon <> 240"), fills=[-9999.0])
+    found = coverage.missing_longitudes(cleaning.wrap_longitudes(_many_series(rows)), 150.0, 240.0, views.GRID)
+    return found.withColumn("lon", scalars.wrap_longitude(F.col("lon")))
 
 
 # --- set operations and source combination --------------------------------------
@@ -788,6 +849,33 @@ def map_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "map_groups",
+    f"""WITH u AS (SELECT user_id, count(*) AS n, max(value) AS peak, sum(CAST(round(value * 100) AS BIGINT)) AS cents,
+      count(*) FILTER (event_type = 'error' AND value > 95) AS n_bad FROM events GROUP BY user_id)
+    SELECT user_id, CASE WHEN n_bad = 0 THEN n END AS n_events, {r('CASE WHEN n_bad = 0 THEN peak END')} AS peak,
+    {big('CASE WHEN n_bad = 0 THEN cents END')} AS cents, n_bad = 0 AS ok, CASE WHEN n_bad > 0 THEN 'ValueError' END AS error_type FROM u""",
+)
+def map_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of each user's events, batch by batch; users with a large error fail, the others go on."""
+
+    def totals(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        n, peak, cents = 0, None, 0
+        for batch in batches:
+            value, kind = batch.column("value"), batch.column("event_type")
+            if pc.any(pc.and_(pc.equal(kind, "error"), pc.greater(value, 95.0))).as_py():
+                raise ValueError(f"user {key[0]}: error out of range")
+            n += batch.num_rows
+            top = pc.max(value).as_py()
+            peak = top if peak is None else max(peak, top)
+            cents += pc.sum(pc.cast(pc.round(pc.multiply(value, 100.0)), pa.int64())).as_py()
+        yield {"n_events": n, "peak": peak, "cents": cents}
+
+    result = T.StructType([T.StructField(c, k) for c, k in (("n_events", T.LongType()), ("peak", T.DoubleType()), ("cents", T.LongType()))])
+    rows = views.table(spark, sf_dir, "events").select("user_id", "event_type", "value")
+    return items.map_groups(rows, totals, ["user_id"], result).drop("error_msg", "traceback")
+
+
 @query(
     "outcome_summary",
     f"""WITH {_ITEM_SQL} SELECT count(*) FILTER (n > 0) AS n_ok, count(*) FILTER (n = 0) AS n_failed, count(*) AS n_total FROM u""",

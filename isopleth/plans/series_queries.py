@@ -24,8 +24,8 @@ from isopleth.plans import views
 from isopleth.plans.registry import big, day, instant, query, r
 from isopleth.plans.views import with_views
 from isopleth.schema import with_cell_index
-from isopleth.session import materialise
-from isopleth.sources import tables
+from isopleth.session import materialise, new_dir
+from isopleth.sources import published, tables
 
 D = dt.date
 WRAP = "((lon + 180) % 360 + 360) % 360 - 180"
@@ -471,6 +471,24 @@ def upsert_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest(spark, sf_dir)
 
 
+@query(
+    "archive_batches",
+    with_views(
+        "fcst",
+        f"WITH {_LATEST_SQL} SELECT model, {day('init')} AS init, {day('target')} AS target, {r('value')} AS value, loaded_at, lead_days FROM f",
+    ),
+)
+def archive_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verification archive from three batches by load number, the second of them delivered twice."""
+    root = new_dir(spark, "archive")
+    records = views.fcst(spark, sf_dir)
+    for k in (0, 1, 1, 2):
+        batch = records.where(F.col("loaded_at") % 3 == k)
+        published.merge_batch(spark, root, batch, combine.latest_forecasts, ["year"], "target", f"batch-{k}")
+    archive = published.read_published(spark, root).drop("year")
+    return archive.withColumn("lead_days", F.date_diff("target", "init"))
+
+
 @query(
     "upsert_observed",
     f"""WITH a AS (SELECT CAST(ts AS DATE) AS date, CASE WHEN event_type = 'view' THEN 'primary' ELSE 'secondary' END AS source, value, event_id AS loaded_at FROM events)
@@ -602,7 +620,7 @@ def _leading_vector_sql(name: str, matrix: str, squarings: int = 12) -> str:
         f"""WITH base AS MATERIALIZED (SELECT * FROM long_grid WHERE date BETWEEN DATE '1995-02-01' AND DATE '2001-10-31'),
         mon AS (SELECT lat, lon, date_trunc('month', date) AS m, avg(value) AS v FROM base GROUP BY ALL),
         x0 AS MATERIALIZED (SELECT lat, lon, m, (v - avg(v) OVER (PARTITION BY lat, lon, month(m))) * sqrt(cos(radians(lat))) AS x FROM mon),
-        mths AS MATERIALIZED (SELECT m FROM x0 GROUP BY m HAVING 2 * count(*) >= (SELECT count(*) FROM (SELECT DISTINCT lat, lon FROM x0))),
+        mths AS MATERIALIZED (SELECT CAST(unnest(generate_series(DATE '1995-02-01', DATE '2001-10-01', INTERVAL 1 MONTH)) AS DATE) AS m),
         x1 AS MATERIALIZED (SELECT x0.* FROM x0 JOIN mths USING (m)),
         whole AS MATERIALIZED (SELECT lat, lon, row_number() OVER (ORDER BY lat, lon) AS id FROM x1 GROUP BY lat, lon
           HAVING count(*) = (SELECT count(*) FROM mths)),
@@ -622,7 +640,8 @@ def pattern_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = views.long_grid(spark, sf_dir)
     cell = ["lat", "lon"]
     base = cleaning.time_slice(field, D(1995, 2, 1), D(2001, 10, 31), col="date")
-    table, stds, _ = patterns.leading_patterns(patterns.monthly_anomalies(base, cell), cell, 1)
+    found = patterns.leading_patterns(patterns.monthly_anomalies(base, cell), cell, 1, (D(1995, 2, 1), D(2001, 10, 31)))
+    table, stds = found.table, found.stds
     clim = materialise(climatology.daily_climatology(field, D(1995, 2, 1), D(2001, 10, 31), cell), "climatology")
     days = climatology.anomaly(field, clim, cell).select("date", *cell, F.col("anomaly").alias("value"))
     return patterns.project(days, table, cell, stds)

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders chosen for local sessions that name none, by application.
+_chosen: dict[str, str] = {}
+#: Folders made below each open ``scratch``.
+_scratch: list[list[str]] = []
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """Small local session for tests and the benchmark; a cluster brings its own."""
@@ -24,21 +31,57 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a fresh temporary folder is
-    made and remembered in the session.
+    Only a local session that names none gets a fresh temporary folder, the same one for
+    its whole life; the setting itself is static and stays unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="isopleth-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.applicationId not in _chosen:
+        _chosen[context.applicationId] = tempfile.mkdtemp(prefix="isopleth-")
+    return _chosen[context.applicationId]
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
     """Unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return bool(files.exists(where))
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediates; one that is gone already does no harm."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediates stored inside the block are deleted at its end.
+
+    Frames that read them cannot be used after it: write what is to stay to a folder that was
+    named outside the block.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove_dir(spark, path)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

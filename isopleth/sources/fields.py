@@ -131,8 +131,21 @@ def write_field(df: DataFrame, path: str, units: Sequence[str] = MONTHLY) -> Non
     )
 
 
+def stored_schema(columns: Sequence[str]) -> T.StructType:
+    """Schema of a stored field with the given columns; names of directories are taken as they are, not guessed at."""
+    kinds = {f.name: f.dataType for f in FIELD_SCHEMA.fields} | {"level": T.StringType()}
+    kinds |= {c: T.IntegerType() for c in ("year", "month", "day")}
+    return T.StructType([T.StructField(c, kinds[c]) for c in columns])
+
+
 def read_written(spark: SparkSession, path: str, keep_units: bool = False) -> DataFrame:
-    """Read what ``write_field`` stored; predicates on the unit columns prune directories."""
-    out = restore_series(spark.read.parquet(path))
+    """Read what ``write_field`` stored; predicates on the unit columns prune directories.
+
+    A source or variable made of digits keeps its leading zeros.
+    """
+    columns = spark.read.parquet(path).columns
+    known = {*FIELD_SCHEMA.names, "year", "month", "day"}
+    plain = spark.read.schema(stored_schema(columns)).parquet(path) if set(columns) <= known else spark.read.parquet(path)
+    out = restore_series(plain)
     extra = [c for c in ("year", "month", "day") if c in out.columns] if keep_units else []
     return out.select(*FIELD_SCHEMA.names, *extra)

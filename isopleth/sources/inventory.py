@@ -30,6 +30,16 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return files.select("path", utc.alias("modified"), F.col("length").alias("n_bytes"))
 
 
+def directory_names(path: Column) -> Column:
+    """Names behind the escapes of a file listing: the URI's, then those that a partitioned sink writes.
+
+    Both write a character as % and two hexadecimal digits; a plus sign stands for itself.
+    """
+    for _ in range(2):
+        path = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    return path
+
+
 def list_units(spark: SparkSession, root: str, units: Sequence[str] = MONTHLY, pattern: str = "*.parquet") -> DataFrame:
     """One row per stored unit below ``root``: path, n_files, n_bytes, oldest, modified (the newest).
 
@@ -38,6 +48,7 @@ def list_units(spark: SparkSession, root: str, units: Sequence[str] = MONTHLY, p
     """
     directory = "/".join(f"{u}=[^/]*" for u in units)
     files = list_files(spark, root, pattern).withColumn("path", F.regexp_extract("path", f"({directory})/(?:[^/]+/)*[^/]+$", 1))
+    files = files.withColumn("path", directory_names(F.col("path")))
     return (
         files.where(F.col("path") != "")
         .groupBy("path")
