@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isopleth.session import materialise
+from isopleth.session import materialise, remove_dir
 
 #: The six ASCII blanks that separate words, as a character class body (Java and Python).
 BLANK = r"\x20\x09-\x0D"
@@ -110,3 +110,9 @@ def store(df: DataFrame, label: str) -> DataFrame:
             spark.conf.unset(setting)
         else:
             spark.conf.set(setting, before)
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete what ``store`` wrote for this frame; nothing may read it any more."""
+    for path in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
+        remove_dir(stored.sparkSession, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.llm.common import store
+from isopleth.llm.common import discard, store
 
 #: Far above the rounds that any real graph needs (they grow with the logarithm of its size).
 MAX_ROUNDS = 60
@@ -40,7 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = store(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     seen = None
     for _ in range(MAX_ROUNDS):
-        now = store(_small_star(_large_star(now)), "edges")
+        before, now = now, store(_small_star(_large_star(now)), "edges")
+        discard(before)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             return _with_roots(now)

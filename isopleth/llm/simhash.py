@@ -15,13 +15,14 @@ Two bits of 64 hold little more than exact copies.  With a ``similarity`` the te
 by the Jaccard similarity of their shingle sets instead.  Each set gets ``BANDS`` minimum
 hashes, and beside each a segment of 23 bits, each bit drawn from a minimum hash of its own: at
 similarity J a bit differs with probability (1 - J) / 2.  A minimum hash with each Golay key of its
-segment is a bucket key.  Pairs of a bucket whose sketches are near enough are candidates, and
-are verified by their whole sets.
+segment is a bucket key.  Members of a bucket meet its representatives, see ``candidates``; pairs
+whose sketches are near enough are verified by their whole sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isopleth.llm import golay
-from isopleth.llm.common import bounded, fresh, mix64, row_key, same, store
+from isopleth.llm.common import bounded, discard, fresh, mix64, row_key, same, store
 from isopleth.llm.components import components
 
 
@@ -45,8 +46,13 @@ PAIRWISE = 64
 #: Minimum hashes of a shingle set that are bucketed, each with a segment of the sketch.
 BANDS = 8
 SKETCH_BITS = BANDS * golay.LENGTH
+SKETCH_WORDS = -(-SKETCH_BITS // 64)
+#: Members of a bucket up to which all pairs are candidates; further rounds of larger ones; minimum hashes that refine them.
+SMALL, ROUNDS, REFINING = 6, 3, 3
 #: Standard deviations by which the sketches of a candidate may differ more than the similarity lets expect.
 SPARE = 5.0
+#: Which member represents a bucket in the rounds after the first: the smallest after an exclusive or.
+SALTS = tuple(int(x) for x in np.random.default_rng(SEED + 1).integers(-(1 << 63), 1 << 63, ROUNDS - 1))
 #: Odd multipliers of the minimum hashes: first those that are bucketed, then one for each sketch bit.
 MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS + SKETCH_BITS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -183,15 +189,17 @@ def set_keys(minima: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     segments = bits.reshape(-1, golay.LENGTH) @ (1 << np.arange(golay.LENGTH))
     index, real = golay.keys(segments)
     heads = mix64(minima[:, :BANDS] + np.arange(BANDS, dtype=np.uint64)).reshape(-1, 1)
-    packed = np.zeros((n, -(-SKETCH_BITS // 64) * 8), np.uint8)
+    packed = np.zeros((n, SKETCH_WORDS * 8), np.uint8)
     packed[:, : -(-SKETCH_BITS // 8)] = np.packbits(bits, axis=1)
     return mix64(heads + index.astype(np.uint64)).reshape(n, -1), real.reshape(n, -1), packed.view(np.uint64)
 
 
 def _sketches(size: int):
-    @F.pandas_udf("node long, keys array<long>, sketch binary")
+    words = [f"w{k}" for k in range(SKETCH_WORDS)]
+
+    @F.pandas_udf("node long, keys array<long>, heads array<long>, " + ", ".join(f"{w} long" for w in words))
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        """Name of the shingle set (0: no words), bucket keys and sketch of every text."""
+        """Name of the shingle set (0: no words), bucket keys, minimum hashes and sketch of every text."""
         for texts in batches:
             nodes, minima = [], []
             for part in bounded(texts):
@@ -199,13 +207,12 @@ def _sketches(size: int):
                     own = shingle_set(t, size)
                     nodes.append(xxhash.xxh3_64_intdigest(own.tobytes(), SEED) if len(own) else 0)
                     minima.append(minimum_hashes(own))
-            if nodes:
-                keys, real, packed = set_keys(np.stack(minima))
-                out = {"node": np.array(nodes, np.uint64).view(np.int64)}
-                out["keys"] = [k[r].view(np.int64) if n else k[:0].view(np.int64) for n, k, r in zip(nodes, keys, real)]
-                yield pd.DataFrame(out | {"sketch": [x.tobytes() for x in packed]})
-            else:
-                yield pd.DataFrame({"node": np.zeros(0, np.int64), "keys": [], "sketch": []})
+            minima = np.stack(minima) if nodes else np.zeros((0, len(MULTIPLIERS)), np.uint64)
+            keys, real, packed = set_keys(minima)
+            out = {"node": np.array(nodes, np.uint64).view(np.int64)}
+            out["keys"] = [k[r].view(np.int64) if n else k[:0].view(np.int64) for n, k, r in zip(nodes, keys, real)]
+            out["heads"] = list(minima[:, :REFINING].view(np.int64))
+            yield pd.DataFrame(out | {w: packed[:, k].view(np.int64) for k, w in enumerate(words)})
 
     return sketch
 
@@ -216,45 +223,50 @@ def most_bits(similarity: float) -> int:
     return int(SKETCH_BITS * p + SPARE * np.sqrt(SKETCH_BITS * p * (1 - p)))
 
 
-def _near_pairs(sketches: list[bytes], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, bits) with i < j and at most ``most`` bits, a bounded number of sketches at once."""
-    x = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
-    step = max(1, (1 << 22) // len(x))
-    for k in range(0, len(x), step):
-        bits = sum(np.bitwise_count(x[k : k + step, w, None] ^ x[None, :, w]).astype(np.int64) for w in range(x.shape[1]))
-        i, j = np.nonzero(bits <= most)
-        ahead = i + k < j
-        yield i[ahead] + k, j[ahead], bits[i[ahead], j[ahead]]
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Pairs of two nodes, the smaller first, each once."""
+    return pairs.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def _pairs_of(most: int, across: bool):
-    """Candidates of the buckets: a forest of the nearest pairs, or (``across``) all pairs of different roots."""
+def _near(pairs: DataFrame, sketches: DataFrame, most: int) -> DataFrame:
+    """The pairs whose sketches differ in at most ``most`` bits."""
+    words = [c for c in sketches.columns if c != "node"]
+    for end in ("u", "v"):
+        pairs = pairs.join(sketches.select(F.col("node").alias(end), *[F.col(w).alias(end + w) for w in words]), end)
+    bits = sum((F.bit_count(F.col("u" + w).bitwiseXOR(F.col("v" + w))) for w in words), F.lit(0))
+    return pairs.filter(bits <= most).select("u", "v")
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for members in pdf["members"]:
-                node = np.array([m["node"] for m in members], np.int64)
-                parts = list(_near_pairs([m["sketch"] for m in members], most))
-                i, j, bits = (np.concatenate(p) for p in zip(*parts))
-                if across:
-                    root = np.array([m["root"] for m in members], np.int64)
-                    keep = root[i] != root[j]
-                else:
-                    keep = np.zeros(len(i), bool)
-                    up = list(range(len(node)))
-                    for k in np.argsort(bits, kind="stable"):
-                        x, y = i[k], j[k]
-                        while up[x] != x:
-                            up[x] = x = up[up[x]]
-                        while up[y] != y:
-                            up[y] = y = up[up[y]]
-                        if x != y:
-                            up[max(x, y)] = min(x, y)
-                            keep[k] = True
-                i, j = node[i[keep]], node[j[keep]]
-                yield pd.DataFrame({"u": np.minimum(i, j), "v": np.maximum(i, j)})
-
-    return pairs
+
+def _with_representatives(rows: DataFrame, salt: int) -> DataFrame:
+    """Every member of a bucket (key, node) with the bucket's representative of this round: a row for each member."""
+    mixed = F.col("node").bitwiseXOR(F.lit(salt))
+    heads = rows.groupBy("key").agg(F.min(mixed).bitwiseXOR(F.lit(salt)).alias("v"))
+    return rows.join(heads, "key").select(F.col("node").alias("u"), "v")
+
+
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(first, later) candidate pairs (u, v) of the nodes (node, keys, heads), a number in proportion to the bucket entries.
+
+    Buckets of up to ``SMALL`` members give all their pairs.  In a larger one every member meets the bucket's
+    representative, another one in each of ``ROUNDS`` rounds; beside it stand the finer buckets
+    of members that share one of ``REFINING`` further minimum hashes too, in which texts that are
+    alike stay together and others part.  So m copies of a text make about m rows a round, and no bucket
+    is dropped, cut or collected.  The first round is ``first``, the others are ``later``.
+    """
+    keyed = store(nodes.select("node", F.explode("keys").alias("key")), "golay")
+    sums = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("u"), F.max("node").alias("v"))
+    sums = store(sums.filter("n > 1"), "buckets")
+    more = store(keyed.join(sums.filter("n > 2").select("key", "n"), "key"), "members")
+    discard(keyed)
+    few = more.filter(F.col("n") <= SMALL).select("key", F.col("node").alias("u"))
+    within = few.join(few.withColumnRenamed("u", "v"), "key").filter("u < v").select("u", "v")
+    large = more.filter(F.col("n") > SMALL).select("key", "node")
+    finer = large.join(nodes.select("node", F.posexplode("heads").alias("k", "head")), "node")
+    finer = finer.select(F.xxhash64("key", "k", "head").alias("key"), "node")
+    large = store(large.union(finer), "large_buckets")
+    first = sums.filter("n = 2").select("u", "v").union(within).union(_with_representatives(large, 0))
+    later = reduce(DataFrame.union, [_with_representatives(large, salt) for salt in SALTS])
+    return store(_ordered(first), "pairs"), store(_ordered(later), "pairs")
 
 
 def _alike(similarity: float):
@@ -290,28 +302,24 @@ def _verified(pairs: DataFrame, nodes: DataFrame, own: DataFrame, size: int, sim
 
 
 def set_links(nodes: DataFrame, own: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Links (u, v) that join the shingle sets as all verified candidates would.
+    """Verified links (u, v) that join the shingle sets.
 
-    First each bucket's forest of nearest pairs is verified, then every candidate that those links
-    have not joined.  So a group of m near copies costs about m verifications in each
-    bucket, not m * m.
+    The candidates of the first round are verified, then those of the later rounds whose ends the
+    first links have not joined.  So m near copies cost about m verifications a round, not m * m.
     """
+    sketches = nodes.select("node", *[f"w{k}" for k in range(SKETCH_WORDS)])
     most = most_bits(similarity)
-    keyed = store(nodes.select("node", F.explode("keys").alias("key")), "golay")
-    shared = store(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "buckets")
-    shared = store(keyed.join(shared, "key").join(nodes.select("node", "sketch"), "node"), "candidates")
-
-    def candidates(rows: DataFrame, across: bool, *more: str) -> DataFrame:
-        members = F.array_sort(F.collect_list(F.struct("node", *more, "sketch"))).alias("members")
-        groups = rows.groupBy("key").agg(members, *[F.count_distinct(c).alias("roots") for c in more])
-        groups = groups.filter("roots > 1") if more else groups
-        return groups.select("members").distinct().mapInPandas(_pairs_of(most, across), "u long, v long").distinct()
-
-    first = store(candidates(shared, False), "pairs")
-    links = _verified(first, nodes, own, size, similarity)
+    first, later = candidates(nodes)
+    links = _verified(store(_near(first, sketches, most), "near"), nodes, own, size, similarity)
     roots = store(components(links), "roots")
-    rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = store(candidates(rooted, True, "root").join(first, ["u", "v"], "left_anti"), "pairs")
+    apart = later.join(first, ["u", "v"], "left_anti")
+    discard_after = [first, later]
+    for end in ("u", "v"):
+        apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias("root_" + end)), end, "left")
+    apart = apart.filter(~same(F.coalesce("root_u", "u"), F.coalesce("root_v", "v"))).select("u", "v")
+    rest = store(_near(apart, sketches, most), "near")
+    for table in discard_after:
+        discard(table)
     return links.union(_verified(rest, nodes, own, size, similarity))
 
 
@@ -337,9 +345,10 @@ def near_duplicates(
         joined = links(nodes)
     else:
         prints = own.select("doc_id", row_key().alias("rk"), _sketches(size)("text").alias("s"))
-        prints = store(prints.select("doc_id", "rk", F.col("s.node").alias("fp"), "s.keys", "s.sketch"), "prints")
+        sketch = ["keys", "heads", *[f"w{k}" for k in range(SKETCH_WORDS)]]
+        prints = store(prints.select("doc_id", "rk", F.col("s.node").alias("fp"), *[f"s.{c}" for c in sketch]), "prints")
         one = F.min(F.struct("rk", F.col("doc_id").alias("id"))).alias("one")
-        same_set = [F.any_value(c).alias(c) for c in ("keys", "sketch")]
+        same_set = [F.any_value(c).alias(c) for c in sketch]
         nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), one, *same_set), "nodes")
         joined = set_links(nodes.withColumnRenamed("fp", "node"), own, size, similarity)
     roots = components(joined).withColumnsRenamed({"node": "fp"})

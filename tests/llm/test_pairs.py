@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -155,6 +156,40 @@ def test_similar_texts_are_grouped_as_by_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({want.get(k, k) for k in range(len(texts))})
 
 
+def _changed(rng, base, n, vocabulary=5000):
+    out = list(base)
+    for k in rng.sample(range(len(base)), n):
+        out[k] = f"w{rng.randrange(vocabulary)}"
+    return " ".join(out)
+
+
+def test_large_groups_give_candidates_in_proportion(spark):
+    """Texts that differ a little too much: their buckets are large, no pair passes, and still no square of them meets."""
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(200)]
+    counts = {}
+    for m in (800, 1600):
+        docs = spark.createDataFrame([(k, _changed(rng, base, 7)) for k in range(m)], "doc_id long, text string")
+        s = docs.select("doc_id", simhash._sketches(5)("text").alias("s")).select("doc_id", F.col("s.node").alias("node"), "s.keys", "s.heads")
+        first, later = simhash.candidates(simhash.store(s, "nodes"))
+        counts[m] = first.count() + later.count()
+    assert counts[1600] <= 2.6 * counts[800] and counts[1600] < 0.15 * 1600 * 1599 / 2
+
+
+def test_pairs_in_large_buckets_are_found(spark):
+    """Pairs of near copies that stand among many texts with much of the same wording."""
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(200)]
+    texts = []
+    for _ in range(150):
+        one = _changed(rng, base, 16).split()
+        texts += [" ".join(one), " ".join([*one[:100], "changed", *one[101:]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, size=5, similarity=0.8).collect()}
+    found = sum(got[2 * k] == got[2 * k + 1] for k in range(150))
+    assert found >= 0.95 * 150
+
+
 def test_similar_edges(awkward, nothing):
     rows = simhash.near_duplicates(awkward, size=5, similarity=0.8).collect()
     assert len(rows) == awkward.count() and all(r.component_id == 0 for r in rows if r.doc_id in (0, 1, 2))
