@@ -1,8 +1,9 @@
 """Removal of repeated passages by seed and extend.
 
 Seed: every document is winnowed.  Of each run of consecutive 18-word hashes the smallest
-is an anchor, so any 35 words that stand in two places hold an anchor that stands in both.
-Anchors that occur only once are dropped.
+is an anchor, so any 35 words that stand in two places hold an anchor that stands in both, and
+nine words more on one side of it at least.  Anchors are looked up with those nine words, once for
+each side; those that occur only once are dropped.
 
 Extend: each shared anchor is extended both ways to the 35-word windows around it, as far
 as a match can reach, and a window counts if its words stand elsewhere too.  Overlapping
@@ -26,6 +27,8 @@ from isopleth.llm.common import bounded, mix64, row_key, store, words
 
 WINDOW = 35
 ANCHOR = 18
+#: Words by which an anchor is widened to either side before it is looked up elsewhere.
+FLANK = (WINDOW - ANCHOR + 1) // 2
 #: Odd multipliers of the rolling hashes and their inverses modulo 2^64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
@@ -64,19 +67,31 @@ def anchors(tokens: list[bytes], window: int = WINDOW, size: int = ANCHOR) -> tu
     return at, h[at]
 
 
+def flanks(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the anchors with ``FLANK`` more words to the left, and to the right.
+
+    A 35-word window around an anchor reaches nine words beyond it on one side at least, so it holds
+    one of the two, and a window that stands twice holds one that stands twice.
+    """
+    at = anchors(tokens)[0]
+    at = np.unique(np.concatenate([at - FLANK, at]))
+    at = at[(at >= 0) & (at + ANCHOR + FLANK <= len(tokens))]
+    return at, Roller(tokens).hashes(ANCHOR + FLANK, at) if len(at) else np.zeros(0, np.uint64)
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
-def anchor_hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Anchor hashes of every text, repeats included."""
+def flank_hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Hashes of the widened anchors of every text, repeats included."""
     for texts in batches:
-        yield pd.Series([anchors(words(t))[1].view(np.int64) for part in bounded(texts) for t in part])
+        yield pd.Series([flanks(words(t))[1].view(np.int64) for part in bounded(texts) for t in part])
 
 
 def window_starts(tokens: list[bytes], seeds: np.ndarray) -> np.ndarray:
-    """Starts of the windows that hold an anchor whose hash is among ``seeds``."""
-    at, h = anchors(tokens)
+    """Starts of the windows that hold a widened anchor whose hash is among ``seeds``."""
+    at, h = flanks(tokens)
     at = at[np.isin(h.view(np.int64), seeds)]
     cover = np.zeros(max(0, len(tokens) - WINDOW + 1) + 1, np.int64)  # 1 where a run of starts begins, -1 after it
-    np.add.at(cover, np.maximum(at - (WINDOW - ANCHOR), 0), 1)
+    np.add.at(cover, np.minimum(np.maximum(at - (WINDOW - ANCHOR - FLANK), 0), len(cover) - 1), 1)
     np.add.at(cover, np.minimum(at + 1, len(cover) - 1), -1)
     return np.flatnonzero(np.cumsum(cover)[:-1])
 
@@ -144,7 +159,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         row.alias("row"),
         F.xxhash64(F.lit(1), "text").alias("d1"),  # d1 and d2 name the text by 124 bits
         F.conv(F.substring(F.md5(F.col("text").cast("binary")), 1, 15), 16, 10).cast("long").alias("d2"),
-        anchor_hashes("text").alias("anchors"),
+        flank_hashes("text").alias("anchors"),
     )
     seeded = store(seeded.filter(F.size("anchors") > 0), "anchors")
     copies = seeded.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.min("row").alias("one"))
@@ -152,7 +167,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     counted = seeded.join(copies, ["d1", "d2"], "left").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
 
     # of equal texts only the one row that stands for them takes part in the search, once if it is repeated
-    active = counted.filter("copies = 1 or row = one").dropDuplicates(["row"])
+    ones = counted.filter("copies > 1 and row = one").dropDuplicates(["row"])
+    active = counted.filter("copies = 1").union(ones)
     hits = active.select(F.col("row.rk").alias("rk"), "copies", F.explode("anchors").alias("h"))
     # stored: beside a stored table Spark can split a hot hash of the other side of a join
     twice = hits.groupBy("h").agg(F.sum("copies").alias("n")).filter("n > 1").select("h")
@@ -162,7 +178,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     search = store(search.select("row", "copies", "seeds"), "seeds")
 
     placed = own.withColumn("row", row)
-    around = placed.join(search, "row").dropDuplicates(["row"]).select("text", "row.rk", "row.id", "seeds", "copies")
+    # only rows with copies can be repeated; sorting all the others to find none out would cost far more
+    around = placed.join(search.filter("copies = 1"), "row")
+    around = around.union(placed.join(search.filter("copies > 1"), "row").dropDuplicates(["row"]))
+    around = around.select("text", "row.rk", "row.id", "seeds", "copies")
     windows = store(around.mapInPandas(_extend, "a long, b long, rk long, id long, at int, copies long"), "windows")
     repeated = windows.groupBy("a", "b").agg(F.sum("copies").alias("n")).filter("n > 1").select("a", "b")
     repeated = store(repeated, "repeated_windows")
