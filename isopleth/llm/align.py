@@ -25,7 +25,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import cache, reduce
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isopleth.llm.common import store
-from isopleth.llm.planes import LETTERS, Remembered, byte_alphabet, byte_letters, tokenizer_path
+from isopleth.llm.planes import LETTERS, Remembered, byte_alphabet, byte_letters, packed, tokenizer_path
 
-#: What the piece model writes for a blank.
-BLANK_SIGN = chr(0x2581)
+#: What the piece model and byte-level vocabularies write for a space.
+BLANK_SIGN, SPACE_LETTER = chr(0x2581), chr(0x120)
 LEFT, RIGHT = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a byte range of a very long document, how far from its end a cut is looked for, and of a block.
 PART_CHARS, CONTEXT_CHARS, BLOCK_CHARS = 1 << 16, 1 << 12, 1 << 22
@@ -175,36 +174,50 @@ class Tokenizers:
             self.right_bytes.append(raw)
         self.left_len, self.right_len = (np.array([len(x) for x in side], np.int64) for side in (self.left_bytes, self.right_bytes))
         self.blank = self.right.piece_to_id(BLANK_SIGN)
+        # where every byte has a letter of its own, plain text is always spelt
+        self.known = self.known and set(letters.values()) <= {x[0] for x in self.left_bytes if len(x) == 1}
         self.pieces = Remembered(self._piece, CACHE_UNITS)
-        self.left_units = Remembered(lambda x: tuple(self.left.encode(x, add_special_tokens=False).ids), CACHE_UNITS // 4)
+        self.left_units = Remembered(self._left, CACHE_UNITS // 4)
         self.right_units = Remembered(lambda x: self._right([x])[0], CACHE_UNITS)
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        return tuple([t.id for t in self.model.tokenize(piece.translate(self.letters))])
+    def _piece(self, piece: str) -> bytes:
+        if piece[0] == " " and piece.isascii() and not piece.isspace():
+            return packed([t.id for t in self.model.tokenize(SPACE_LETTER + piece[1:])])
+        return packed([t.id for t in self.model.tokenize(piece.translate(self.letters))])
 
-    def _right(self, units: list[str]) -> list[tuple[int, ...]]:
+    def _left(self, unit: str) -> bytes:
+        return packed(self._spelt(unit, self.left.encode(unit, add_special_tokens=False).ids, self.left_bytes))
+
+    def _right(self, units: list[str]) -> list[bytes]:
         """Ids of units, which begin with a space or a line feed; the piece model adds a space of its own."""
         out = self.right.encode([x[1:] if x[0] == " " else x for x in units], num_threads=1)
-        return [(self.blank,) if x == " " else tuple(ids if x[0] == " " else ids[1:]) for x, ids in zip(units, out)]
+        out = [[self.blank] if x == " " else ids if x[0] == " " else ids[1:] for x, ids in zip(units, out)]
+        return [packed(self._spelt(x, ids, self.right_bytes)) for x, ids in zip(units, out)]
+
+    @staticmethod
+    def _spelt(unit: str, ids: list[int], spell: list[bytes]) -> list[int]:
+        """The ids if their bytes are those of the unit, else none."""
+        return ids if b"".join([spell[i] for i in ids]) == unit.encode() else []
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both sides for a text made of whole units; None if one of them does not spell it."""
         units = units_of(text)
         if self.known and PLAIN.fullmatch(text):  # cut here, so that only the merges of a piece are the tokenizer's work
-            left = list(chain.from_iterable(map(self.pieces.__getitem__, PIECE.findall(text))))
+            left = list(map(self.pieces.__getitem__, PIECE.findall(text)))
         else:
-            left = list(chain.from_iterable(map(self.left_units.__getitem__, units)))
-        known = self.right_units
-        new = [x for x in dict.fromkeys(units) if x not in known and x not in known.older]
-        made = dict(zip(new, self._right(new))) if new else {}
-        right = list(chain.from_iterable([made[x] if x in made else known[x] for x in units]))
-        for x, ids in made.items():
-            known.learn(x, ids)
-        raw = text.encode()
-        for ids, spell in ((left, self.left_bytes), (right, self.right_bytes)):
-            if b"".join(map(spell.__getitem__, ids)) != raw:
-                return None
-        return np.array(left, np.int64), np.array(right, np.int64)
+            left = list(map(self.left_units.__getitem__, units))
+        right = list(map(self.right_units.get, units))
+        if None in right:
+            lacking = list(dict.fromkeys(x for x, ids in zip(units, right) if ids is None))
+            old = {x: ids for x in lacking if (ids := self.right_units.older.get(x)) is not None}
+            new = [x for x in lacking if x not in old]
+            made = old | dict(zip(new, self._right(new)))
+            right = [made[x] if ids is None else ids for x, ids in zip(units, right)]
+            for x, ids in made.items():
+                self.right_units.learn(x, ids)
+        if b"" in left or b"" in right:
+            return None
+        return tuple(np.frombuffer(b"".join(side), np.uint32).astype(np.int64) for side in (left, right))
 
 
 _workers: dict[tuple[str, str], Tokenizers] = {}

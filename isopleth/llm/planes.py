@@ -18,8 +18,8 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -91,8 +91,8 @@ class Remembered(dict):
         self.make, self.limit, self.longest, self.older = make, limit, longest, {}
 
     def __missing__(self, key: str) -> Any:
-        value = self.older.get(key, self)
-        if value is self:
+        value = self.older.get(key)
+        if value is None:
             value = self.make(key)
         self.learn(key, value)
         return value
@@ -105,6 +105,11 @@ class Remembered(dict):
             self[key] = value
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as 32-bit integers; what is remembered is put together without touching single ids."""
+    return array("I", ids).tobytes()
+
+
 class WordIds:
     """Ids of words under a tokenizer file.
 
@@ -126,11 +131,11 @@ class WordIds:
         self.pieces = Remembered(self._piece, CACHE_WORDS)
         self.words = Remembered(self._word, CACHE_WORDS // 4)
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        return tuple([t.id for t in self.model.tokenize(piece.translate(self.letters))])
+    def _piece(self, piece: str) -> bytes:
+        return packed([t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))])
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+    def _word(self, word: str) -> bytes:
+        return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text that begins and ends with whole words."""
@@ -138,7 +143,7 @@ class WordIds:
             found = map(self.pieces.__getitem__, PIECE.findall(text.lower()))
         else:
             found = map(self.words.__getitem__, WORD.findall(text))
-        return np.fromiter(chain.from_iterable(found), np.uint32)
+        return np.frombuffer(b"".join(found), np.uint32)
 
 
 _encoders: dict[str, WordIds] = {}
