@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import cache, reduce
@@ -109,7 +110,8 @@ def link_codes(a: np.ndarray, b: np.ndarray, a_end: np.ndarray, b_end: np.ndarra
     Both sides spell the same bytes.  Between two neighbouring ends of any token lies one pair,
     and each linked pair lies between one such two.
     """
-    ends = np.union1d(a_end, b_end)
+    at = np.minimum(np.searchsorted(a_end, b_end), len(a_end) - 1)
+    ends = np.sort(np.concatenate([a_end, b_end[a_end[at] != b_end]]), kind="stable")
     return (a[np.searchsorted(a_end, ends)] << 32) | b[np.searchsorted(b_end, ends)]
 
 
@@ -138,7 +140,8 @@ def fragment(
     With ``whole`` the range is a whole text: its start is a common end, and the first group is closed too.
     """
     a_end, b_end = a_from + np.cumsum(a_len, dtype=np.int64), b_from + np.cumsum(b_len, dtype=np.int64)
-    common = np.intersect1d(a_end, b_end, assume_unique=True)
+    at = np.minimum(np.searchsorted(b_end, a_end), len(b_end) - 1)
+    common = a_end[b_end[at] == a_end] if len(b_end) else b_end
     tokens = lambda i, j, k, m: (tuple(zip(a[i:j].tolist(), a_len[i:j].tolist())), tuple(zip(b[k:m].tolist(), b_len[k:m].tolist())))
     if not len(common):
         return Fragment(False, tokens(0, len(a), 0, len(b)))
@@ -192,7 +195,10 @@ class Tokenizers:
         """Ids of units, which begin with a space or a line feed; the piece model adds a space of its own."""
         out = self.right.encode([x[1:] if x[0] == " " else x for x in units], num_threads=1)
         out = [[self.blank] if x == " " else ids if x[0] == " " else ids[1:] for x, ids in zip(units, out)]
-        return [packed(self._spelt(x, ids, self.right_bytes)) for x, ids in zip(units, out)]
+        spell = self.right_bytes.__getitem__
+        if b"".join([b"".join(map(spell, ids)) for ids in out]) != "".join(units).encode():
+            out = [self._spelt(x, ids, self.right_bytes) for x, ids in zip(units, out)]
+        return [array("I", ids).tobytes() for ids in out]
 
     @staticmethod
     def _spelt(unit: str, ids: list[int], spell: list[bytes]) -> list[int]:
@@ -206,15 +212,14 @@ class Tokenizers:
             left = list(map(self.pieces.__getitem__, PIECE.findall(text)))
         else:
             left = list(map(self.left_units.__getitem__, units))
-        right = list(map(self.right_units.get, units))
-        if None in right:
-            lacking = list(dict.fromkeys(x for x, ids in zip(units, right) if ids is None))
-            old = {x: ids for x in lacking if (ids := self.right_units.older.get(x)) is not None}
-            new = [x for x in lacking if x not in old]
-            made = old | dict(zip(new, self._right(new)))
-            right = [made[x] if ids is None else ids for x, ids in zip(units, right)]
-            for x, ids in made.items():
-                self.right_units.learn(x, ids)
+        known = self.right_units
+        lacking = [x for x in set(units) if x not in known]
+        if lacking:  # encoded together; what is too long to be remembered is met again below
+            old = known.older
+            made = {x: old[x] for x in lacking if x in old}
+            new = [x for x in lacking if x not in made and len(x) <= known.longest]
+            known.learn_all(made | dict(zip(new, self._right(new))))
+        right = list(map(known.__getitem__, units))
         if b"" in left or b"" in right:
             return None
         return tuple(np.frombuffer(b"".join(side), np.uint32).astype(np.int64) for side in (left, right))

@@ -105,6 +105,13 @@ class Remembered(dict):
             self[key] = value
 
 
+    def learn_all(self, made: dict[str, Any]) -> None:
+        if len(self) + len(made) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        self.update(made)
+
+
 def packed(ids: list[int]) -> bytes:
     """Ids as 32-bit integers; what is remembered is put together without touching single ids."""
     return array("I", ids).tobytes()
