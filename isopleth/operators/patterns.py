@@ -195,8 +195,6 @@ def leading_patterns(
     vectors = _of_months(stored, months).where(F.size("steps") == dim).select(*cell, F.col("steps.value").alias("x"))
     gram = gram_matrix(vectors, "x", dim)
     values, u, trace = leading_vectors(gram, dim, count)
-    if not trace > 0:
-        raise ValueError(f"no cell has all of the {dim} months and varies")
     loadings = [_dot(F.col("x"), u[:, k] / np.sqrt(values[k])) for k in range(count)]
     modes = F.array(*[F.struct(F.lit(k + 1).alias("mode"), loadings[k].alias("loading")) for k in range(count)])
     table = vectors.select(*cell, F.explode(modes).alias("m")).select(*cell, "m.mode", "m.loading")

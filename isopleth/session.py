@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -58,6 +59,18 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def ship_package(spark: SparkSession, root: str) -> None:
+    """Let the Python workers of this session import what lies in ``root``, from whatever folder it was started.
+
+    For workers that see the driver's files (local sessions, shared installations); elsewhere give
+    the package to Spark with ``--py-files`` or install it on the executors.
+    """
+    own = spark.sparkContext.environment
+    paths = [p for p in own.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths and root not in os.environ.get("PYTHONPATH", "").split(":"):
+        own["PYTHONPATH"] = ":".join([root, *paths])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, where = _file_system(spark, path)
     return bool(files.exists(where))

@@ -111,14 +111,21 @@ def test_iteration_on_a_slowly_decaying_spectrum(spark):
         patterns.leading_by_iteration(df, "x", 60, 2, rounds=4)
 
 
-def test_a_stray_month_costs_no_cell(spark):
+def test_months_and_cells_left_out_are_returned(spark):
     rng = np.random.default_rng(3)
     rows = [(float(c), D(2024, m, 1), float(rng.normal())) for c in range(4) for m in range(1, 7)] + [(0.0, D(2025, 1, 1), 9.0)]
     rows = [r for r in rows if r[:2] != (3.0, D(2024, 2, 1))]
     df = spark.createDataFrame(rows, "lat double, month date, value double")
-    table, _, _ = patterns.leading_patterns(df, ["lat"])
-    assert {r["lat"] for r in table.collect()} == {0.0, 1.0, 2.0}
-    assert [tuple(r) for r in patterns.incomplete_cells(df, ["lat"]).collect()] == [(3.0, 5, 6)]
+    for how in ({"base": (D(2024, 1, 1), D(2024, 6, 30))}, {"majority": True}):
+        found = patterns.leading_patterns(df, ["lat"], **how)
+        assert {r["lat"] for r in found.table.collect()} == {0.0, 1.0, 2.0}
+        assert [tuple(r) for r in found.cells_left_out.collect()] == [(3.0, 5, 6)]
+        assert [tuple(r) for r in found.months_left_out.collect()] == [(D(2025, 1, 1), 1)]
+    # every month that occurs is wanted unless something else is said
+    every = patterns.leading_patterns(df.where("lat < 1 or month < date'2025-01-01'"), ["lat"])
+    assert {r["lat"] for r in every.table.collect()} == {0.0} and every.cells_left_out.count() == 3
+    with pytest.raises(ValueError, match="no complete vector"):
+        patterns.leading_patterns(df, ["lat"], base=(D(2023, 1, 1), D(2023, 3, 31)))
 
 
 def test_incomplete_days_have_no_index(spark):

@@ -209,7 +209,7 @@ def test_leading_pattern_matches_a_full_decomposition(spark):
     rows = [(lat, lon, m.to_timestamp().date(), float(base[t, c])) for t, m in enumerate(months) for c, (lat, lon) in enumerate(cells)]
     df = spark.createDataFrame(rows, "lat double, lon double, date date, value double")
     anomalies = patterns.monthly_anomalies(df, ["lat", "lon"])
-    table, stds, explained = patterns.leading_patterns(anomalies, ["lat", "lon"], 2)
+    table, stds, explained, *_ = patterns.leading_patterns(anomalies, ["lat", "lon"], 2)
     grouped = base.reshape(3, 12, -1)
     x = (grouped - grouped.mean(axis=0)).reshape(36, -1) * np.sqrt(np.cos(np.radians([c[0] for c in cells])))
     _, s, vt = np.linalg.svd(x, full_matrices=False)
