@@ -178,9 +178,10 @@ def _scan(text: str | None, automata: list[Automaton], firsts: list[set[str | No
         if phrase.split(" ", 1)[0] not in low:
             continue
         joined = joined or f" {' '.join(tokens)} "
-        needle, at = f" {phrase} ", -1
+        needle, at, place, past = f" {phrase} ", -1, 0, 0
         while (at := joined.find(needle, at + 1)) >= 0:
-            place = joined.count(" ", 0, at)
+            place += joined.count(" ", past, at)  # counted on from the last place
+            past = at
             n_base += 1
             first = place if first is None else min(first, place)
             last = place if last is None else max(last, place)

@@ -62,6 +62,12 @@ def test_license_edges(spark, awkward, nothing):
     assert c.labels == "mit,notice-mit" and c.score == 1.0
 
 
+def test_many_places_of_one_text():
+    text = "mit license x cc by " * 3000 + "apache license"
+    got = licenses._scan(text, [], [])
+    assert got[:5] == plain_licenses(text)
+
+
 def test_score_counts_what_matches_before_a_missing_word(spark):
     text = licenses.TEMPLATES["text-mit"].replace("documentation", "").split("<<")[0]
     d = spark.createDataFrame([(1, text)], "doc_id long, text string")
