@@ -2,8 +2,10 @@
 
 Base: leftmost non-overlapping matches of four patterns with their checks.
 
-Bootstrapping: the checked base entities are seeds.  Each token that holds a digit or "@"
-is an instance; the word before it and the word after it are its patterns.  Patterns and
+Bootstrapping: the checked base entities, written with blanks or without, are seeds.  Each other
+token that holds a digit, "@" or an opening bracket after a letter is an instance too.  Its patterns are
+the word before it, the two words before it, the word after it, both neighbours, and the word
+before it together with its shape (runs of letters, each digit, the signs).  Patterns and
 instances form a graph.  Round by round, a pattern scores the share of its distinct
 instances that are believed to be of a kind (with ``DOUBT`` disbelieved ones added), and an
 instance the best score of its patterns.  A pattern needs the support of enough distinct
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.llm.common import BLANK, fresh, row_key, store
+from isopleth.llm.common import BLANK, row_key, store
 
 KINDS = ("email", "ip", "card", "phone")
 #: Kind of a span that the contexts found.
@@ -39,7 +41,9 @@ PATTERNS = {
 }
 #: What a text must hold before the pattern is tried.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-TOKEN = rf"(?<![^{BLANK}])[^{BLANK}0-9@]*+[0-9@][^{BLANK}]*+"
+#: What a token must hold to be an instance, and such a token.
+TELLING = r"[0-9@]|[A-Za-z][(\[{<]"
+TOKEN = rf"(?<![^{BLANK}])(?=[^{BLANK}]*(?:{TELLING}))[^{BLANK}]++"
 #: Matches whose lengths one step adds up, see ``_starts``.
 RUN = 256
 
@@ -48,8 +52,10 @@ DOUBT = 1.0
 MIN_SCORE = 0.8
 #: Distinct instances, seeds or believed, that support a pattern at least.
 MIN_SEEDS = 3
-#: Characters that a context word is looked for in.
+#: Characters that context words are looked for in.
 CONTEXT = 64
+#: Fields of a span.
+SPAN = "start: int, ord: int, end: int, kind: string"
 
 
 def _valid(kind: str, match: str) -> str:
@@ -73,7 +79,7 @@ def _matches(df: DataFrame, name: str, pattern: str, text: str, needs: str | Non
     if needs:
         test = f"contains({text}, '{needs}')" + (" and has_digit" if needs == "." else "")
     else:
-        test = "has_digit" if name == "card" else f"(has_digit or contains({text}, '@'))"
+        test = "has_digit" if name == "card" else f"{text} rlike {_sql(TELLING)}"
     df = df.withColumn(m, F.expr(f"case when {test} then regexp_extract_all({text}, {_sql(pattern)}, 0) end"))
     df = df.withColumn(g, F.expr(f"case when size({m}) > 0 then split({text}, {_sql(pattern)}, -1) end"))
     df = df.withColumn(n, F.expr(f"transform({m}, (x, i) -> char_length(x) + char_length({g}[i]))"))
@@ -87,37 +93,43 @@ def _matches(df: DataFrame, name: str, pattern: str, text: str, needs: str | Non
     return df.withColumn(name, F.expr(spans)).drop(m, g, n, p)
 
 
-def _entities(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows (doc_id, rk, spans, tokens): base spans of all kinds, and tokens with their context."""
+def _base(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows (row, doc_id, text, rk, has_digit, found): whole rows with their base entities and the pieces around these."""
     now = docs.select(
+        F.struct("*").alias("row"),
         F.col(doc_id).alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         row_key(doc_id, text).alias("rk"),
     ).withColumn("has_digit", F.expr("text rlike '[0-9]'"))
-    for kind in KINDS:
+    for k, kind in enumerate(KINDS):
         now = _matches(now, kind, PATTERNS[kind], "text", NEEDS[kind])
-        span = (
-            f"transform(filter({kind}, m -> {_valid(kind, 'm.text')}), m -> named_struct('start', m.start, "
-            f"'ord', {KINDS.index(kind)}, 'end', m.start + char_length(m.text), 'kind', '{kind}'))"
+        entity = (
+            f"named_struct('start', m.start, 'ord', {k}, 'end', m.start + char_length(m.text), 'kind', '{kind}', "
+            f"'text', m.text, 'left', right(m.left, {CONTEXT}), 'right', left(m.right, {CONTEXT}))"
         )
-        now = now.withColumn(kind, F.expr(span))
-    now = _matches(now, "token", TOKEN, "text", None)
-    blanks, spaces = r"'\t\n\u000b\u000c\r'", "'     '"
-    before = f"lower(substring_index(rtrim(translate(right(m.left, {CONTEXT}), {blanks}, {spaces})), ' ', -1))"
-    after = f"lower(substring_index(ltrim(translate(left(m.right, {CONTEXT}), {blanks}, {spaces})), ' ', 1))"
-    tokens = f"transform(token, m -> named_struct('start', m.start, 'text', m.text, 'before', {before}, 'after', {after}))"
-    empty = "cast(array() as array<struct<start: int, ord: int, end: int, kind: string>>)"
-    spans = f"array_sort(concat({', '.join(f'coalesce({k}, {empty})' for k in KINDS)}))"
-    return now.select("doc_id", "rk", F.expr(spans).alias("spans"), F.expr(tokens).alias("tokens"))
-
-
-def _seed_kind(token: str) -> Column:
-    """Kind of a token that is itself a checked base entity, or holds one."""
-    branches = []
-    for kind in ("email", "ip", "phone", "card"):
-        found = f"regexp_extract({token}, {_sql(PATTERNS[kind])}, 0)"
-        branches.append(f"when {found} <> '' and {_valid(kind, found)} then '{kind}'")
-    return F.expr(f"case {' '.join(branches)} end")
+        now = now.withColumn(kind, F.expr(f"transform(filter({kind}, m -> {_valid(kind, 'm.text')}), m -> {entity})"))
+    empty = f"cast(array() as array<struct<{SPAN}, text: string, left: string, right: string>>)"
+    found = F.expr(f"concat({', '.join(f'coalesce({k}, {empty})' for k in KINDS)})")
+    return now.select("row", "doc_id", "text", "rk", "has_digit", found.alias("found"))
+
+
+#: All base entities of a row without what is around them.
+BASE_SPANS = "array_sort(transform(found, m -> named_struct('start', m.start, 'ord', m.ord, 'end', m.end, 'kind', m.kind)))"
+
+
+def _entities(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows (doc_id, rk, spans, seeds, tokens): base spans of all kinds, and seeds and tokens with the words around them.
+
+    ``glued`` is how many characters of a seed's first token stand before it.
+    """
+    now = _matches(_base(docs, doc_id, text), "token", TOKEN, "text", None)
+    words = lambda piece: rf"trim(regexp_replace(lower({piece}), r'[^\p{{L}}\p{{N}}]+', ' '))"
+    before, after = (words(x) for x in (f"right(m.left, {CONTEXT})", f"left(m.right, {CONTEXT})"))
+    around = f"'two', substring_index({before}, ' ', -2), 'after', substring_index({after}, ' ', 1)"
+    glued = f"char_length(regexp_extract(m.left, r'[^{BLANK}]*$', 0))"
+    seeds = f"transform(found, m -> named_struct('start', m.start, 'text', m.text, {around}, 'kind', m.kind, 'end', m.end, 'glued', {glued}))"
+    tokens = f"transform(token, m -> named_struct('start', m.start, 'text', m.text, {around}))"
+    return now.select("doc_id", "rk", F.expr(BASE_SPANS).alias("spans"), F.expr(seeds).alias("seeds"), F.expr(tokens).alias("tokens"))
 
 
 @dataclass(frozen=True)
@@ -129,12 +141,27 @@ class Bootstrap:
 
 
 def bootstrap(entities: DataFrame, rounds: int = ROUNDS, doubt: float = DOUBT) -> Bootstrap:
-    """Score the pattern-instance graph of the tokens of ``entities``."""
-    one = entities.select("doc_id", "rk", F.explode("tokens").alias("t")).select("doc_id", "rk", "t.*")
-    core = F.regexp_replace(F.lower("text"), r"^[^a-z0-9@+]+|[^a-z0-9]+$", "")
-    around = F.expr("array(concat('<', before), concat('>', after), concat(before, ' _ ', after))")
-    one = one.withColumns({"instance": core, "kind": _seed_kind("text"), "patterns": around})
-    one = store(one.drop("before", "after"), "occurrences")
+    """Score the pattern-instance graph of the seeds and tokens of ``entities``.
+
+    Tokens that a seed covers, wholly or in part, are no instances of their own.
+    """
+    listed = lambda name: entities.select("doc_id", "rk", F.explode(name).alias("t")).select("doc_id", "rk", "t.*")
+    place = F.struct("rk", "doc_id", "start").alias("place")
+    seeds = listed("seeds")
+    covered = seeds.select("rk", "doc_id", F.explode(F.sequence(F.col("start") - F.col("glued"), F.col("end") - 1)).alias("start"))
+    covered = store(covered.select(place), "covered")
+    tokens = listed("tokens").withColumn("place", place).join(covered, "place", "left_anti").drop("place")
+    one = seeds.drop("end", "glued").unionByName(tokens, allowMissingColumns=True)
+
+    core = F.regexp_replace(F.regexp_replace(F.lower("text"), rf"[{BLANK}]+", " "), r"^[^a-z0-9@+]+|[^a-z0-9]+$", "")
+    shape = F.regexp_replace(F.regexp_replace("instance", "[a-z]+", "a"), "[0-9]", "9")
+    one = one.withColumns({"instance": core, "before": F.substring_index("two", " ", -1)}).withColumn("shape", shape)
+    patterns = (
+        "array(if(before <> '', '<' || before, null), if(contains(two, ' '), '<' || two, null), if(after <> '', '>' || after, null), "
+        "if(before <> '' and after <> '', before || ' _ ' || after, null), if(before <> '', before || ' = ' || shape, null))"
+    )
+    one = one.withColumn("patterns", F.array_compact(F.expr(patterns)))
+    one = store(one.drop("before", "two", "after", "shape"), "occurrences")
     edges = one.select("instance", "kind", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance")
     edges = store(edges.agg(F.max("kind").alias("seed")), "edges")
 
@@ -176,6 +203,19 @@ def _discovered(found: Bootstrap, min_score: float) -> DataFrame:
     return marked.groupBy("doc_id", "rk").agg(F.collect_set(span).alias("added"))
 
 
+def _added(entities: DataFrame, min_score: float) -> DataFrame:
+    """Stored rows (key, added) of the documents in which contexts found spans; key is (rk, doc_id)."""
+    added = store(_discovered(bootstrap(entities), min_score), "added")
+    return added.select(F.struct("rk", "doc_id").alias("key"), "added")
+
+
+#: Base spans and the added ones that overlap none of them.
+WITH_ADDED = (
+    "case when added is null then spans else array_sort(concat(spans, "
+    "filter(added, a -> not exists(spans, s -> s.start < a.end and a.start < s.end)))) end"
+)
+
+
 def find_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """Spans of personal data in every whole text.
 
@@ -188,13 +228,9 @@ def find_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_sc
     are read once and never shuffled.
     """
     entities = store(_entities(docs, doc_id, text), "entities")
-    found = bootstrap(entities)
-    added = store(_discovered(found, min_score), "added")
-    own = added.select(F.struct("rk", "doc_id").alias("key"), "added")
-    rows = entities.select("doc_id", "rk", "spans", F.struct("rk", "doc_id").alias("key")).join(own, "key", "left")
-    free = "filter(added, a -> not exists(spans, s -> s.start < a.end and a.start < s.end))"
-    every = F.expr(f"case when added is null then spans else array_sort(concat(spans, {free})) end")
-    return rows.select("doc_id", "rk", F.col("spans").alias("base"), every.alias("spans"))
+    rows = entities.select("doc_id", "rk", "spans", F.struct("rk", "doc_id").alias("key"))
+    rows = rows.join(_added(entities, min_score), "key", "left")
+    return rows.select("doc_id", "rk", F.col("spans").alias("base"), F.expr(WITH_ADDED).alias("spans"))
 
 
 def span_text(spans: str) -> Column:
@@ -205,12 +241,13 @@ def span_text(spans: str) -> Column:
 def mask_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = None) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become one.
 
-    All rows and columns stay; ``n_chars`` names a column to hold the new length.  Only rows
-    with spans are looked up; the texts are shuffled once if that table is large.
+    All rows and columns stay, repeated rows too; ``n_chars`` names a column to hold the new length.  NULL
+    and empty texts stay as they are.  Base spans are masked where the row is read.  Only the spans that
+    contexts added are looked up, in a stored table: it is broadcast if small, else the rows are shuffled once.
     """
-    found = find_pii(docs, doc_id, text).filter(F.size("spans") > 0)
-    key, own = fresh(docs, "key"), fresh(docs, "own_key")
-    spans = fresh(docs, "spans")
+    added = _added(store(_entities(docs, doc_id, text), "entities"), MIN_SCORE)
+    rows = _base(docs, doc_id, text).select("row", F.struct("rk", "doc_id").alias("key"), F.expr(BASE_SPANS).alias("spans"))
+    rows = rows.join(added, "key", "left").withColumn("spans", F.expr(WITH_ADDED))
     merged = F.expr(
         "aggregate(spans, cast(array() as array<struct<start: int, end: int, kind: string>>), (a, s) -> "
         "case when size(a) > 0 and element_at(a, -1).end > s.start then concat(slice(a, 1, size(a) - 1), "
@@ -218,16 +255,18 @@ def mask_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_char
         "'kind', element_at(a, -1).kind))) else concat(a, array(named_struct('start', s.start, 'end', s.end, "
         "'kind', s.kind))) end)"
     )
-    found = found.select(F.struct("rk", "doc_id").alias(own), merged.alias(spans)).dropDuplicates([own])
-    found = store(found, "masks")
-    rows = docs.withColumn(key, F.struct(row_key(doc_id, text).alias("rk"), F.col(doc_id).alias("doc_id")))
-    rows = rows.join(found, rows[key] == found[own], "left")
+    own = f"row.`{text}`"
+    rows = rows.withColumn("spans", merged)
     pieces = (
-        f"concat(array_join(transform(`{spans}`, (s, i) -> concat(substring(`{text}`, case when i = 0 then 1 else "
-        f"`{spans}`[i - 1].end + 1 end, s.start - case when i = 0 then 0 else `{spans}`[i - 1].end end), "
-        f"'[', upper(s.kind), ']')), ''), substring(`{text}`, element_at(`{spans}`, -1).end + 1))"
+        f"concat(array_join(transform(spans, (s, i) -> concat(substring({own}, case when i = 0 then 1 else "
+        f"spans[i - 1].end + 1 end, s.start - case when i = 0 then 0 else spans[i - 1].end end), "
+        f"'[', upper(s.kind), ']')), ''), substring({own}, element_at(spans, -1).end + 1))"
     )
-    rows = rows.withColumn(text, F.expr(f"case when `{spans}` is null then `{text}` else {pieces} end"))
+    rows = rows.withColumn("masked", F.expr(f"case when size(spans) > 0 then {pieces} else {own} end"))
+    new = {text.lower(): F.col("masked")}
     if n_chars:
-        rows = rows.withColumn(n_chars, F.char_length(text).cast("long"))
-    return rows.drop(key, own, spans)
+        length = F.char_length("masked").cast("long")
+        changed = F.when(F.size("spans") > 0, length).otherwise(F.col(f"row.`{n_chars}`")) if n_chars in docs.columns else length
+        new[n_chars.lower()] = changed
+    out = [new.pop(c.lower(), F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+    return rows.select(*out, *[c.alias(n_chars) for c in new.values()])
