@@ -36,7 +36,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    found = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), sentences=True)
+    places = F.expr("array_join(transform(offending, s -> concat(s.start, ':', s.end)), ',')")
+    return found.withColumn("offending", places)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,8 +200,8 @@ def score_toxicity(
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = pd.DataFrame({"score": np.array([model.score(t) for t in texts], float)})
-            if sentences:
-                found = [[x for x in model.sentences(t or "") if x[2] >= CUT] for t in texts]
+            if sentences:  # a noisy-or is no less than its largest term, so others have none
+                found = [[x for x in model.sentences(t or "") if x[2] >= CUT] if s >= CUT else [] for t, s in zip(texts, out["score"])]
                 out["offending"] = [[dict(zip(("start", "end", "score"), x)) for x in f] for f in found]
             yield out
 
