@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -34,63 +35,94 @@ BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def _made_powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
 
 
+#: Powers that a worker keeps; longer texts get their own.
+KEPT_POWERS = 1 << 17
+_kept = cache(lambda base: _made_powers(base, KEPT_POWERS))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return _kept(base)[:n] if n <= KEPT_POWERS else _made_powers(base, n)
+
+
 class Roller:
-    """Rolling hashes over the words of one document, for any window length."""
+    """Rolling hashes over the words of one document, for any window length.
+
+    The words are hashed once.  ``other`` rolls another mix of the same word hashes by another base.
+    """
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.tokens = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+        self._roll(self.tokens, 0)
 
-    def __init__(self, tokens: list[bytes], which: int = 0) -> None:
-        n = len(tokens)
-        h = np.fromiter((xxhash.xxh3_64_intdigest(w, which) for w in tokens), np.uint64, n)
-        sums = np.zeros(n + 1, np.uint64)
-        np.add.accumulate(h * _powers(INVERSES[which], n), out=sums[1:])
-        self.sums, self.powers = sums, _powers(BASES[which], n)
+    def _roll(self, h: np.ndarray, which: int) -> None:
+        self.sums = np.zeros(len(h) + 1, np.uint64)
+        np.add.accumulate(h * _powers(INVERSES[which], len(h)), out=self.sums[1:])
+        self.powers = _powers(BASES[which], len(h))
+
+    def other(self) -> Roller:
+        out = object.__new__(Roller)
+        out.tokens = mix64(self.tokens ^ np.uint64(BASES[1]))
+        out._roll(out.tokens, 1)
+        return out
 
     def hashes(self, size: int, at: np.ndarray | None = None) -> np.ndarray:
         """Hashes of the windows of ``size`` words that start at ``at`` (default: all)."""
-        at = np.arange(max(0, len(self.sums) - size)) if at is None else at
+        if at is None:
+            n = max(0, len(self.sums) - size)
+            return mix64((self.sums[size : size + n] - self.sums[:n]) * self.powers[:n])
         return mix64((self.sums[at + size] - self.sums[at]) * self.powers[at])
 
 
-def anchors(tokens: list[bytes], window: int = WINDOW, size: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, hashes) of the winnowed anchors: the rightmost smallest hash of each run."""
-    if len(tokens) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = Roller(tokens).hashes(size)
-    run = window - size + 1
-    runs = np.lib.stride_tricks.sliding_window_view(h, run)
-    at = np.unique(run - 1 - np.argmin(runs[:, ::-1], axis=1) + np.arange(len(runs)))
-    return at, h[at]
+def smallest(h: np.ndarray, run: int) -> np.ndarray:
+    """Places of the rightmost smallest value of each run of ``run`` values, ascending.
+
+    Runs of twice the length are made of two shorter ones, the last ones of two that overlap.
+    """
+    at, size = np.arange(len(h)), 1
+    while size < run:
+        step = min(size, run - size)
+        left, right = at[:-step], at[step:]
+        at, size = np.where(h[right] <= h[left], right, left), size + step
+    return at[np.flatnonzero(np.diff(at, prepend=-1))]
+
+
+def anchors(roller: Roller, window: int = WINDOW, size: int = ANCHOR) -> np.ndarray:
+    """Starts of the winnowed anchors: the rightmost smallest hash of each run."""
+    if len(roller.tokens) < window:
+        return np.zeros(0, np.int64)
+    return smallest(roller.hashes(size), window - size + 1)
 
 
-def flanks(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def flanks(roller: Roller) -> tuple[np.ndarray, np.ndarray]:
     """(starts, hashes) of the anchors with ``FLANK`` more words to the left, and to the right.
 
     A 35-word window around an anchor reaches nine words beyond it on one side at least, so it holds
     one of the two, and a window that stands twice holds one that stands twice.
     """
-    at = anchors(tokens)[0]
+    at = anchors(roller)
     at = np.unique(np.concatenate([at - FLANK, at]))
-    at = at[(at >= 0) & (at + ANCHOR + FLANK <= len(tokens))]
-    return at, Roller(tokens).hashes(ANCHOR + FLANK, at) if len(at) else np.zeros(0, np.uint64)
+    at = at[(at >= 0) & (at + ANCHOR + FLANK <= len(roller.tokens))]
+    return at, roller.hashes(ANCHOR + FLANK, at) if len(at) else np.zeros(0, np.uint64)
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def flank_hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Hashes of the widened anchors of every text, repeats included."""
     for texts in batches:
-        yield pd.Series([flanks(words(t))[1].view(np.int64) for part in bounded(texts) for t in part])
+        yield pd.Series([flanks(Roller(words(t)))[1].view(np.int64) for part in bounded(texts) for t in part])
 
 
-def window_starts(tokens: list[bytes], seeds: np.ndarray) -> np.ndarray:
+def window_starts(roller: Roller, seeds: np.ndarray) -> np.ndarray:
     """Starts of the windows that hold a widened anchor whose hash is among ``seeds``."""
-    at, h = flanks(tokens)
+    at, h = flanks(roller)
     at = at[np.isin(h.view(np.int64), seeds)]
-    cover = np.zeros(max(0, len(tokens) - WINDOW + 1) + 1, np.int64)  # 1 where a run of starts begins, -1 after it
+    cover = np.zeros(max(0, len(roller.tokens) - WINDOW + 1) + 1, np.int64)  # 1 where a run of starts begins, -1 after it
     np.add.at(cover, np.minimum(np.maximum(at - (WINDOW - ANCHOR - FLANK), 0), len(cover) - 1), 1)
     np.add.at(cover, np.minimum(at + 1, len(cover) - 1), -1)
     return np.flatnonzero(np.cumsum(cover)[:-1])
@@ -100,11 +132,11 @@ def _extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Both hashes of the windows around the shared anchors (column ``seeds``) of every text."""
     for pdf in batches:
         for text, rk, doc, seeds, copies in zip(pdf["text"], pdf["rk"], pdf["id"], pdf["seeds"], pdf["copies"]):
-            tokens = words(text)
-            at = window_starts(tokens, np.asarray(seeds, np.int64))
+            roller = Roller(words(text))
+            at = window_starts(roller, np.asarray(seeds, np.int64))
             out = pd.DataFrame({"at": at.astype(np.int32), "rk": rk, "copies": copies})
-            for which, name in enumerate("ab"):
-                out[name] = Roller(tokens, which).hashes(WINDOW, at).view(np.int64)
+            for name, r in (("a", roller), ("b", roller.other())):
+                out[name] = r.hashes(WINDOW, at).view(np.int64)
             out["id"] = pd.array([None if pd.isna(doc) else int(doc)] * len(at), "Int64")
             yield out[["a", "b", "rk", "id", "at", "copies"]]
 
