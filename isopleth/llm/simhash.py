@@ -261,7 +261,7 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     few = more.filter(F.col("n") <= SMALL).select("key", F.col("node").alias("u"))
     within = few.join(few.withColumnRenamed("u", "v"), "key").filter("u < v").select("u", "v")
     large = more.filter(F.col("n") > SMALL).select("key", "node")
-    finer = large.join(nodes.select("node", F.posexplode("heads").alias("k", "head")), "node")
+    finer = large.join(nodes.select("node", "heads"), "node").select("key", "node", F.posexplode("heads").alias("k", "head"))
     finer = finer.select(F.xxhash64("key", "k", "head").alias("key"), "node")
     large = store(large.union(finer), "large_buckets")
     first = sums.filter("n = 2").select("u", "v").union(within).union(_with_representatives(large, 0))
