@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from isopleth.llm import licenses, pii, quality
 from isopleth.llm.common import table
@@ -172,9 +173,25 @@ def test_contexts_of_found_instances_find_more(spark):
     assert got[402] == ""  # one found instance is too little
 
 
+def test_written_with_blanks_seeds_too(spark):
+    rows = [(k, f"card number: 4111 1111 1111 1111 ref{'x' * k}") for k in range(3)]
+    rows += [(10 + k, f"card number: 5500 0000 0000 {n} paid{'y' * k}") for k, n in enumerate(("0004", "0012", "0020"))]
+    rows += [(20 + k, f"call phone: +49 30 1234 56{k}0 z{'z' * k}") for k in range(9)]
+    rows += [(40, "call phone: 0049-30-987654 tomorrow"), (41, "call at 7 or 8"), (42, "see table(4) and fig(2)")]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r for r in found.select("doc_id", pii.span_text("base").alias("b"), pii.span_text("spans").alias("s")).collect()}
+    for k, text in rows:
+        assert got[k].b == plain_pii(text)
+        assert got[k].s == ("context_phone:12:26" if k == 40 else got[k].b)  # found, and nothing else is
+
+
 def test_masking(spark):
     d = spark.createDataFrame([(1, "a me@x.org b 1.2.3.4", 20, "k"), (2, None, 0, "k"), (3, "+1 2345678901 4111 1111 1111 1111", 9, "k")], "doc_id long, text string, n_chars long, spans string")
     a, b, c = pii.mask_pii(d, n_chars="n_chars").orderBy("doc_id").collect()
     assert a.text == "a [EMAIL] b [IP]" and a.n_chars == len(a.text) and a.spans == "k"
     assert b.text is None
     assert plain_pii(c.text) == ""
+    clash = d.select("doc_id", "text", "n_chars", *[F.lit(1).alias(x) for x in ("key", "added", "row", "found", "masked", "email")])
+    again = pii.mask_pii(clash.union(clash), n_chars="n_chars")
+    assert again.columns == clash.columns
+    assert Counter(r.text for r in again.collect()) == Counter(2 * [x.text for x in (a, b, c)])
