@@ -44,6 +44,8 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: What a token must hold to be an instance, and such a token.
 TELLING = r"[0-9@]|[A-Za-z][(\[{<]"
 TOKEN = rf"(?<![^{BLANK}])(?=[^{BLANK}]*(?:{TELLING}))[^{BLANK}]++"
+#: Tokens in a base form that are no seeds: their check has failed, so contexts don't add them.
+REJECTED = r"^(?:[0-9](?:-?[0-9]){13,18}|[0-9]++(?:\.[0-9]++){3}|\+[0-9][().0-9-]+[0-9])$"
 #: Matches whose lengths one step adds up, see ``_starts``.
 RUN = 256
 
@@ -189,7 +191,7 @@ def _discovered(found: Bootstrap, min_score: float) -> DataFrame:
     """Spans (doc_id, rk, added) of tokens that good patterns mark and that are no seeds."""
     good = found.patterns.filter(F.col("score") >= min_score)
     best = F.max(F.struct("score", "kind")).alias("best")
-    marked = found.occurrences.filter("kind is null and instance <> ''").drop("kind")
+    marked = found.occurrences.filter("kind is null and instance <> ''").filter(~F.col("instance").rlike(REJECTED)).drop("kind")
     marked = marked.withColumn("pattern", F.explode("patterns")).join(good, "pattern")
     marked = marked.groupBy("doc_id", "rk", "start", "text").agg(best)
     names = F.create_map(*[F.lit(x) for k in KINDS for x in (k, FOUND.format(k))])
