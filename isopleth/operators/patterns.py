@@ -26,13 +26,16 @@ from isopleth.sources.tables import literal_table
 SQUARE_LIMIT = 4096
 #: Further directions that the iteration carries along, its rounds, and the turn at which it has settled.
 EXTRA, ROUNDS, SETTLED = 8, 300, 1e-9
+#: Partial sums of a matrix row that meet in the last of the two levels.
+FAN_IN = 64
 
 
 def gram_matrix(df: DataFrame, vector: str, dim: int) -> DataFrame:
     """X'X of the rows' vectors as (a, b, value) with 0 <= a <= b < dim.
 
     NULL vectors are missing and left out; a vector of another length raises.  Each task
-    hands on one row for each row of the matrix.
+    hands on one row for each row of the matrix, and these are added in levels: those of some tasks
+    first, so that at most ``FAN_IN`` rows of a matrix row meet in the last step, however many tasks there are.
     """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -46,13 +49,13 @@ def gram_matrix(df: DataFrame, vector: str, dim: int) -> DataFrame:
             yield pd.DataFrame({"a": np.arange(dim, dtype="int32"), "upper": [total[a, a:] for a in range(dim)]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One matrix row from its parts, one part a task."""
-        a = int(pdf["a"].iloc[0])
-        total = pdf["upper"].sum()
-        return pd.DataFrame({"a": np.int32(a), "b": np.arange(a, dim, dtype="int32"), "value": total})
+        """Sum of the parts of a matrix row."""
+        return pd.DataFrame({"a": [pdf["a"].iloc[0]], "upper": [pdf["upper"].sum()]})
 
-    rows = vectors_of_length(df, vector, dim).mapInPandas(partial, "a int, upper array<double>")
-    return rows.groupBy("a").applyInPandas(add, "a int, b int, value double")
+    parts = vectors_of_length(df, vector, dim).mapInPandas(partial, "a int, upper array<double>")
+    some = parts.groupBy("a", (F.spark_partition_id() % FAN_IN).alias("part")).applyInPandas(add, "a int, upper array<double>")
+    whole = some.groupBy("a").applyInPandas(add, "a int, upper array<double>")
+    return whole.select("a", F.posexplode("upper").alias("k", "value")).select("a", (F.col("a") + F.col("k")).alias("b"), "value")
 
 
 def vectors_of_length(df: DataFrame, vector: str, dim: int) -> DataFrame:
@@ -232,18 +235,26 @@ def normalise_by_variable(df: DataFrame, var: str = "var") -> DataFrame:
     return key_join(df, stds, [var], "left").withColumn("value", F.col("value") / F.nullif("std", F.lit(0.0))).drop("std")
 
 
+class Combined(NamedTuple):
+    """Patterns of stacked variables (keys, e1, e2, ...), explained fractions, and the days left out (date, n_elements, wanted)."""
+
+    table: DataFrame
+    explained: list[float]
+    days_left_out: DataFrame
+
+
 def combined_patterns(
     df: DataFrame,
     keys: Sequence[str] = ("var", "lon"),
     date: str = "date",
     count: int = 2,
     square_limit: int = SQUARE_LIMIT,
-) -> tuple[DataFrame, list[float]]:
+) -> Combined:
     """Leading patterns of several stacked, normalised variables (keys, date, value).
 
     One row per day holds the stacked vector; its length (variables x longitudes) is the
-    bounded side.  Days that lack an element are left out.  Returns the table (keys,
-    e1, e2, ...) and the explained fractions; the largest loading is positive.  ``square_limit``
+    bounded side.  Days that lack an element are left out and returned beside the result.
+    The largest loading is positive.  ``square_limit``
     chooses between two ways to the same vectors: up to it the square matrix, beyond it iteration.
     """
     stacked = F.array_sort(F.collect_list(F.struct(*keys, "value")))
@@ -254,6 +265,7 @@ def combined_patterns(
     ordered = names.orderBy(*keys).collect()  # one row for each element of the vector
     dim = len(ordered)
     vectors = days.where(F.size("x") == dim).select(F.col("x.value").alias("x"))
+    left_out = days.where(F.size("x") < dim).select(date, F.size("x").alias("n_elements"), F.lit(dim).alias("wanted"))
     if dim <= square_limit:
         values, e, trace = leading_vectors(gram_matrix(vectors, "x", dim), dim, count)
     else:
@@ -261,7 +273,7 @@ def combined_patterns(
     e = e * np.sign(e[np.abs(e).argmax(axis=0), np.arange(count)])
     rows = [(*key, *(float(v) for v in e[k])) for k, key in enumerate(ordered)]
     types = [f"{k} {df.schema[k].dataType.simpleString()}" for k in keys] + [f"e{m + 1} double" for m in range(count)]
-    return literal_table(df.sparkSession, rows, ",".join(types)), [float(v / trace) for v in values]
+    return Combined(literal_table(df.sparkSession, rows, ",".join(types)), [float(v / trace) for v in values], left_out)
 
 
 def oscillation_index(df: DataFrame, patterns: DataFrame, keys: Sequence[str] = ("var", "lon"), date: str = "date") -> DataFrame:

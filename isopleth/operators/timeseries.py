@@ -9,14 +9,20 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isopleth.functions import scalars
 from isopleth.schema import epoch_day
 
+#: Days of a block of the band-pass filter, in half widths; a block's row also holds half a width on either side.
+BLOCK_SPANS = 4
+
 
 def moving_mean(df: DataFrame, cell: Sequence[str], days: int = 5, date: str = "date") -> DataFrame:
     """Mean of [d, d+days-1] labelled by d, only where every day has a value."""
@@ -122,54 +128,78 @@ def lanczos_band_pass(
 ) -> DataFrame:
     """Centred band-pass; beyond the ends the first and last value are repeated.
 
-    Each day sends its weighted value to the targets within ``half_width`` days and
-    the targets add up what they receive.  The rows are first placed by series, so
-    the sum needs no further shuffle.  The end days also carry the weights of the
-    days repeated beyond them.  A target that lacks a tap is not emitted.
+    Overlap-save: a series is cut into blocks of the calendar, and each block, with ``half_width`` days of
+    its neighbours on either side, is one row.  The rows are placed by series once; the
+    blocks of an Arrow batch are then filtered by one product with a banded matrix.  A target
+    that lacks a tap, or has a day among its taps that stands twice, is not emitted; one with a
+    NaN or an infinite tap is NaN.
     """
-    weights = lanczos_weights(half_width, period_min, period_max)
-    head, total = [], 0.0
-    for w in weights:
-        total += w
-        head.append(total)  # head[k]: weights of all lags up to k
+    weights = np.array(lanczos_weights(half_width, period_min, period_max))
+    length = BLOCK_SPANS * half_width
     series = Window.partitionBy(*cell)
     day = epoch_day(date)
     rows = df.where(F.col("value").isNotNull()).select(
         *cell,
         day.alias("day"),
-        "value",
+        F.col("value").cast("double").alias("value"),
         F.min(day).over(series).alias("first"),
         F.max(day).over(series).alias("last"),
     )
-    # position of this day among the taps of the target: 0..2*half_width
-    spread = rows.select(
-        *cell,
-        "day",
-        "value",
-        "first",
-        "last",
-        F.explode(F.sequence(F.lit(0), F.lit(2 * half_width))).alias("p"),
-    ).withColumn("target", F.col("day") - F.col("p") + half_width)
-    at = F.lit(weights)[F.col("p")]
-    up_to = F.lit(head)[F.col("p")]
-    is_first, is_last = F.col("day") == F.col("first"), F.col("day") == F.col("last")
-    before = up_to - at  # weights of taps that fall before the first day
-    after = F.lit(head[-1]) - up_to
-    w = at + F.when(is_first, before).otherwise(0.0) + F.when(is_last, after).otherwise(0.0)
-    taps = (
-        F.lit(1)
-        + F.when(is_first, F.col("p")).otherwise(0)
-        + F.when(is_last, F.lit(2 * half_width) - F.col("p")).otherwise(0)
+    holders = F.sequence(*[F.floor((F.col("day") + shift) / length).cast("int") for shift in (-half_width, half_width)])
+    blocks = (
+        rows.select(*cell, "first", "last", F.struct("day", "value").alias("v"), F.explode(holders).alias("block"))
+        .groupBy(*cell, "block")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.collect_list("v").alias("days"))
+        .select(*cell, "block", "first", "last", "days")
     )
+    kinds = T.StructType([*blocks.select(*cell, "block").schema.fields, T.StructField("filtered", T.ArrayType(T.DoubleType()))])
+    target = F.col("block") * length + F.col("k")
     return (
-        spread.where(F.col("target").between(F.col("first"), F.col("last")))
-        .groupBy(*cell, "target")
-        .agg(F.sum(w * F.col("value")).alias("value"), F.sum(taps).alias("taps"))
-        .where(F.col("taps") == 2 * half_width + 1)
-        .select(*cell, F.date_from_unix_date("target").alias(date), "value")
+        blocks.mapInArrow(_block_filter(weights, length), kinds)
+        .select(*cell, "block", F.posexplode("filtered").alias("k", "value"))
+        .where(F.col("value").isNotNull())
+        .select(*cell, F.date_from_unix_date(target).alias(date), "value")
     )
 
 
+def _block_filter(weights: np.ndarray, length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Filter of blocks of ``length`` days; a target that is not emitted is NULL in its block's array."""
+    half = len(weights) // 2
+    width = length + 2 * half
+    band, taps = np.zeros((width, length)), np.zeros((width, length))
+    for k in range(length):
+        band[k : k + len(weights), k] = weights
+        taps[k : k + len(weights), k] = 1.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            first, last, block = (batch.column(c).to_numpy()[:, None].astype(np.int64) for c in ("first", "last", "block"))
+            begin = block * length - half
+            days = batch.column("days")
+            day, value = (x.to_numpy(zero_copy_only=False) for x in days.flatten().flatten())
+            row = np.repeat(np.arange(n), np.diff(days.offsets.to_numpy()))
+            at = day - begin[row, 0]
+            own, times = np.zeros((n, width)), np.zeros((n, width))
+            own[row, at] = value
+            np.add.at(times, (row, at), 1.0)
+            # a day beyond an end takes the place of that end
+            places = np.clip(np.clip(begin + np.arange(width), first, last) - begin, 0, width - 1)
+            own, times = np.take_along_axis(own, places, 1), np.take_along_axis(times, places, 1)
+            odd = ~np.isfinite(own)
+            out = np.where(odd, 0.0, own) @ band
+            if odd.any():
+                out[odd.astype(float) @ taps > 0] = np.nan
+            target = block * length + np.arange(length)
+            kept = ((times == 1.0).astype(float) @ taps == len(weights)) & (target >= first) & (target <= last)
+            values = pa.array(out.ravel(), pa.float64(), mask=~kept.ravel())
+            filtered = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * length), values)
+            names = [c for c in batch.schema.names if c not in ("first", "last", "days")]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], filtered], [*names, "filtered"])
+
+    return run
+
+
 def fill_gaps_in_time(df: DataFrame, cell: Sequence[str], date: str = "date") -> DataFrame:
     """Linear fill between known neighbours; nothing beyond the ends; filled rows are flagged.
 

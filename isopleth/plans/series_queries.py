@@ -18,6 +18,7 @@ from isopleth.operators import (
     patterns,
     precipitation,
     quality,
+    tiles,
     timeseries,
 )
 from isopleth.plans import views
@@ -291,6 +292,22 @@ def despike(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.despike(views.grid_daily(spark, sf_dir), views.GRID, threshold=900.0, ratio=2.5)
 
 
+@query(
+    "despike_by_tiles",
+    with_views(
+        "grid_daily",
+        f"""WITH g AS (SELECT date, lat, lon, CAST(lon / 30 AS INTEGER) AS i, CAST((lat + 20) / 10 AS INTEGER) AS j, value FROM grid_daily),
+        m AS (SELECT a.date, a.lat, a.lon, a.value, median(b.value) AS med FROM g a JOIN g b ON a.date = b.date AND abs(a.j - b.j) <= 2
+          AND least((a.i - b.i + 12) % 12, (b.i - a.i + 12) % 12) <= 2 GROUP BY ALL)
+        SELECT {day('date')} AS date, lat, lon, {r('CASE WHEN value > 1 AND value > 1.25::DOUBLE * med THEN med ELSE value END')} AS value,
+        value > 1 AND value > 1.25::DOUBLE * med AS corrected FROM m""",
+    ),
+)
+def despike_by_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A threshold that nearly all values exceed."""
+    return tiles.despike_by_tiles(views.grid_daily(spark, sf_dir), views.GRID, threshold=1.0, ratio=1.25, side=8)
+
+
 @query(
     "divergence_vorticity",
     with_views(

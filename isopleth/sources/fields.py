@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -51,14 +52,16 @@ def restore_series(df: DataFrame) -> DataFrame:
 
 
 def read_field(
-    spark: SparkSession, path: str, wrap: bool = True, start: dt.date | None = None, end: dt.date | None = None
+    spark: SparkSession, path: str | Sequence[str], wrap: bool = True, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:
     """One field: canonical names, wrapped longitude, optional period.  A missing path is an error.
 
+    Several paths of one schema, none of them with directories by unit, are one scan.
+
     A field that ``write_field`` stored comes back with the canonical schema: its unit columns
     pick the directories of the period and are then dropped.
     """
-    out = _standardise(spark.read.parquet(path), wrap, start, end)
+    out = _standardise(spark.read.parquet(*([path] if isinstance(path, str) else path)), wrap, start, end)
     stored = {*FIELD_SCHEMA.names, *MONTHLY} <= set(out.columns)
     return out.select(*FIELD_SCHEMA.names, *[c for c in out.columns if c not in {*FIELD_SCHEMA.names, *DAILY}]) if stored else out
 
@@ -71,9 +74,23 @@ def read_fields(
     end: dt.date | None = None,
     concat: bool = False,
 ) -> list[DataFrame] | DataFrame:
-    """Several fields with one period: a list, or one table (columns a field lacks are NULL)."""
-    fields = [read_field(spark, p, wrap, start, end) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fields) if concat else fields
+    """Several fields with one period: a list, or one table (columns a field lacks are NULL).
+
+    One table is made of one scan for all paths of a schema, so that its plan does not grow with the
+    number of files.  A field stored in directories by unit is a scan of its own, as Spark reads such
+    directories below one root only.  A path that is named twice counts twice.
+    """
+    if not concat:
+        return [read_field(spark, p, wrap, start, end) for p in paths]
+    alike: dict[tuple, list[str]] = {}
+    times = Counter()
+    for path in paths:
+        times[path] += 1
+        found = spark.read.parquet(path).schema
+        by_unit = found != spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+        alike.setdefault((found.json(), times[path], path if by_unit else None), []).append(path)
+    fields = [read_field(spark, group, wrap, start, end) for group in alike.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), fields)
 
 
 def read_glob(

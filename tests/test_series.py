@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -50,6 +51,27 @@ def test_lanczos_matches_numpy_with_repeated_edges(spark):
     assert [got[D(2024, 1, 1) + dt.timedelta(days=k)] for k in range(90)] == pytest.approx(want, abs=1e-9)
 
 
+def test_lanczos_over_blocks_gaps_and_odd_values(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=1000).cumsum()
+    x[700] = np.nan
+    days = [k for k in range(1000) if k != 300]
+    w = np.array(timeseries.lanczos_weights(20, 5, 15))
+    padded = np.pad(x, 20, mode="edge")
+    rows = [("a", None, D(1969, 6, 1) + dt.timedelta(days=k), float(x[k])) for k in days]
+    rows += [("a", 500, D(1969, 6, 1) + dt.timedelta(days=k), 2.0 * k) for k in range(5)] + [("b", 500, D(2024, 1, 1), None)]
+    rows += [("c", 500, D(2024, 1, k), 1.0) for k in (1, 1, 2)]  # a day that stands twice
+    df = spark.createDataFrame(rows, "var string, level int, date date, value double").repartition(5)
+    out = timeseries.lanczos_band_pass(df, ["var", "level"], 20, 5, 15)
+    assert [f.dataType.simpleString() for f in out.schema] == ["string", "int", "date", "double"]
+    assert out.where("level = 500").select("var").distinct().collect() == [("a",)] and out.where("level = 500").count() == 5
+    got = {(r["date"] - D(1969, 6, 1)).days: r["value"] for r in out.where("level is null").collect()}
+    assert sorted(got) == [k for k in range(1000) if abs(k - 300) > 20]
+    want = [float(np.dot(w, padded[k : k + 41])) for k in sorted(got)]
+    assert [got[k] for k in sorted(got)] == pytest.approx(want, abs=1e-9, nan_ok=True)
+    assert sum(math.isnan(v) for v in got.values()) == 41
+
+
 def test_lanczos_short_series(spark):
     w = np.array(timeseries.lanczos_weights(20, 5, 15))
     for x in ([3.0], [1.0, 5.0, 2.0]):

@@ -5,9 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from isopleth.operators import aggregate, cleaning, neighbours, patterns, quality
+from isopleth.operators import aggregate, cleaning, neighbours, patterns, quality, tiles
 from isopleth.schema import Grid, with_cell_index
-from isopleth.session import new_dir
+from isopleth.session import materialise, new_dir
 from isopleth.sources import tables
 
 GRID = Grid(-20.0, 10.0, 5, 0.0, 30.0, 12)
@@ -191,9 +191,10 @@ def test_period_mean_skips_missing(spark):
     assert r["value"] == 1.0
 
 
-def test_gram_matrix_adds_partitions(spark):
+@pytest.mark.parametrize("parts", [1, 7, 150])
+def test_gram_matrix_adds_partitions(spark, parts):
     x = np.random.default_rng(5).normal(size=(200, 6))
-    df = spark.createDataFrame([(row.tolist(),) for row in x], "v array<double>").repartition(7)
+    df = spark.createDataFrame([(row.tolist(),) for row in x], "v array<double>").repartition(parts)
     got = {(r["a"], r["b"]): r["value"] for r in patterns.gram_matrix(df, "v", 6).collect()}
     want = x.T @ x
     assert len(got) == 21
@@ -254,10 +255,24 @@ def test_combined_patterns_match_numpy(spark):
     x = np.outer(rng.normal(size=50) * 4, rng.normal(size=6)) + rng.normal(size=(50, 6))
     rows = [(v, lon, t, float(x[t, k])) for t in range(50) for k, (v, lon) in enumerate(keys)] + [("a", 0.0, 99, 1e6)]
     df = spark.createDataFrame(rows, "var string, lon double, date int, value double")
-    table, explained = patterns.combined_patterns(df)
+    table, explained, left_out = patterns.combined_patterns(df)
+    assert [tuple(r) for r in left_out.collect()] == [(99, 1, 6)]
     _, s, vt = np.linalg.svd(x, full_matrices=False)
     assert explained == pytest.approx(list(s[:2] ** 2 / (s**2).sum()))
     got = {(r["var"], r["lon"]): (r["e1"], r["e2"]) for r in table.collect()}
     for m in range(2):
         want = vt[m] * np.sign(vt[m][np.abs(vt[m]).argmax()])
         assert [got[k][m] for k in keys] == pytest.approx(list(want), abs=1e-8)
+
+
+def test_tiles_find_the_same_spikes(spark, rows):
+    for grid, side in ((GRID, 3), (GRID, 64), (Grid(0.0, 1.0, 7, 0.0, 1.0, 9), 4), (Grid(0.0, 1.0, 4, 0.0, 90.0, 4), 2)):
+        df = random_field(spark, grid).withColumn("value", F.when(F.rand(3) > 0.1, F.abs("value")))
+        df = materialise(df, "field")
+        for threshold, ratio in ((0.0, 1.1), (1.0, 1.5)):
+            want = neighbours.despike(df, grid, ("time",), threshold, ratio)
+            got = tiles.despike_by_tiles(df, grid, ("time",), threshold, ratio, side=side)
+            keys = ("time", "lat", "lon", "corrected")
+            assert rows(got, *keys) == rows(want, *keys)
+            assert got.agg(F.sum("value")).first()[0] == pytest.approx(want.agg(F.sum("value")).first()[0])
+            assert got.where("corrected").count() > 0

@@ -192,6 +192,20 @@ def test_reads(spark):
         fields.read_field(spark, path + "-absent").collect()
 
 
+def test_one_scan_for_each_schema(spark):
+    paths, other, units = [new_dir(spark, "t") for _ in range(6)], new_dir(spark, "t"), new_dir(spark, "t")
+    for k, path in enumerate(paths):
+        sample(spark, (k + 1,)).write.parquet(path)
+    sample(spark, (9,)).select("time", "value").write.parquet(other)
+    fields.write_field(sample(spark, (8,)), units)
+    n = sample(spark, (1,)).count()
+    both = fields.read_fields(spark, [*paths, other, units, paths[0]], concat=True)
+    assert both.count() == 9 * n
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 4
+    by_day = {r["d"]: r["count"] for r in both.selectExpr("day(time) AS d").groupBy("d").count().collect()}
+    assert by_day == {1: 2 * n, **{k: n for k in (2, 3, 4, 5, 6, 8, 9)}}
+
+
 def test_delimited(spark):
     path = new_dir(spark, "t")
     spark.createDataFrame([("# head",), ("1;2.5",), ("3;-4e2",)], "value string").coalesce(1).write.text(path)
