@@ -128,17 +128,33 @@ def window_starts(roller: Roller, seeds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.cumsum(cover)[:-1])
 
 
+#: Windows after which the extension hands on what it has made.
+BATCH_WINDOWS = 1 << 17
+
+
 def _extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Both hashes of the windows around the shared anchors (column ``seeds``) of every text."""
+    """Both hashes of the windows around the shared anchors (column ``seeds``) of every text; short texts share a batch."""
     for pdf in batches:
+        made, owners, size = [], [], 0
         for text, rk, doc, seeds, copies in zip(pdf["text"], pdf["rk"], pdf["id"], pdf["seeds"], pdf["copies"]):
             roller = Roller(words(text))
             at = window_starts(roller, np.asarray(seeds, np.int64))
-            out = pd.DataFrame({"at": at.astype(np.int32), "rk": rk, "copies": copies})
-            for name, r in (("a", roller), ("b", roller.other())):
-                out[name] = r.hashes(WINDOW, at).view(np.int64)
-            out["id"] = pd.array([None if pd.isna(doc) else int(doc)] * len(at), "Int64")
-            yield out[["a", "b", "rk", "id", "at", "copies"]]
+            if len(at):
+                made.append((roller.hashes(WINDOW, at), roller.other().hashes(WINDOW, at), at))
+                owners.append((rk, None if pd.isna(doc) else int(doc), copies, len(at)))
+                size += len(at)
+            if size >= BATCH_WINDOWS:
+                yield _window_rows(made, owners)
+                made, owners, size = [], [], 0
+        if made:
+            yield _window_rows(made, owners)
+
+
+def _window_rows(made: list[tuple[np.ndarray, ...]], owners: list[tuple]) -> pd.DataFrame:
+    a, b, at = (np.concatenate(x) for x in zip(*made))
+    rk, doc, copies, n = zip(*owners)
+    own = {"rk": np.repeat(np.array(rk, np.int64), n), "id": pd.array(doc, "Int64").repeat(n)}
+    return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64), **own, "at": at.astype(np.int32), "copies": np.repeat(copies, n)})
 
 
 def remaining_words(text: str | None, starts: list[int] | None, copies: int) -> tuple[int, list[bytes]]:
