@@ -59,18 +59,24 @@ def degenerate_days(
     return shares.withColumn("degenerate", bad)
 
 
-def drop_degenerate_days(df: DataFrame, series: Sequence[str] | None = None, date: str = "date", **limits: float) -> DataFrame:
-    """Rows of the sound days; fails for a series that has days but no sound one."""
+def drop_degenerate_days(
+    df: DataFrame, series: Sequence[str] | None = None, date: str = "date", require_sound: bool = True, **limits: float
+) -> DataFrame:
+    """Rows of the sound days.
+
+    A series that has days but no sound one is an error; without ``require_sound`` it has no rows
+    and the other series keep theirs.
+    """
     series = series_of(df) if series is None else series
     days = degenerate_days(df, series, date, **limits)
-    n_sound = F.count_if(~F.col("degenerate")).over(Window.partitionBy(*series))
-    none_left = F.raise_error(F.lit("every day of a series is degenerate")).cast("boolean")
-    sound = (
-        days.withColumn("n_sound", n_sound)
-        .where(F.when(F.col("n_sound") == 0, none_left).otherwise(~F.col("degenerate")))
-        .select(*series, date)
-    )
-    return key_join(df, materialise(sound, "sound-days"), [*series, date], "left_semi")
+    sound = ~F.col("degenerate")
+    if require_sound:
+        n_sound = F.count_if(sound).over(Window.partitionBy(*series))
+        none_left = F.raise_error(F.lit("every day of a series is degenerate")).cast("boolean")
+        days = days.withColumn("n_sound", n_sound)
+        sound = F.when(F.col("n_sound") == 0, none_left).otherwise(sound)
+    kept = days.where(sound).select(*series, date)
+    return key_join(df, materialise(kept, "sound-days"), [*series, date], "left_semi")
 
 
 def keep_where_negative(df: DataFrame, companion: str, columns: Sequence[str], max_abs_lat: float = 20.0) -> DataFrame:

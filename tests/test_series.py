@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from isopleth.operators import climatology, ensemble, events, precipitation, quality, timeseries
 from isopleth.plans import observed
+from isopleth.plans.catalog import QUERIES
 
 D, T = dt.date, dt.datetime
 
@@ -189,6 +190,20 @@ def test_degenerate_days(spark):
         quality.drop_degenerate_days(df.where("date = 5")).collect()
 
 
+def test_series_without_sound_day(spark, tmp_path):
+    data = [(n, d, float(v)) for n in ("a", "b") for d in (1, 2) for v in ([-1, 1] if n == "a" else [1, 1])]
+    df = spark.createDataFrame(data, "var string, date int, value double")
+    assert [tuple(r) for r in quality.drop_degenerate_days(df, require_sound=False).groupBy("var").count().collect()] == [("a", 4)]
+
+    # the north is above 480 in every cell, the south is not
+    cells = [(h, u, kind) for h in (0, 6, 12, 18) for u in range(12) for kind in ("error", "view")]
+    events = [(h, u, kind, 90.0 if kind == "view" or u % 2 else 1.0) for h, u, kind in cells]
+    made = spark.createDataFrame(events, "h int, user_id long, event_type string, value double")
+    made.selectExpr("timestamp_ntz'2024-01-01' + make_dt_interval(0, h) as ts", "user_id", "event_type", "value").write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["drop_degenerate_days"](spark, str(tmp_path))
+    assert [tuple(r) for r in got.groupBy("var").count().collect()] == [("south", 12)]
+
+
 def test_units_are_judged_per_slice(spark, rows):
     df = spark.createDataFrame([(d, v * (9.80665 if d < 4 else 1.0)) for d in range(1, 5) for v in (10000.0, 10400.0)], "time int, value double")
     out = quality.repair_units_by_slice(df, 50000.0)
