@@ -1,10 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark passages and a bounded sample of document passages form a TF-IDF matrix.  Its
-leading right singular vectors come from a distributed randomised SVD: a random sketch is
-multiplied by A'A, partition by partition, and only matrices of (terms of a benchmark
-block) x (rank) reach the driver.  Every window of every document is projected, and windows whose
-cosine with a passage is high are candidates.  A candidate counts if the longest common
+All passages of the benchmark and of every document form a TF-IDF matrix, in which both sides
+have the same total weight.  Its leading right singular vectors come from a distributed randomised
+SVD: a random sketch is multiplied by A'A, partition by partition, and only matrices of (terms of
+a benchmark block) x (rank) reach the driver.  Every window of every document is projected, and
+windows whose cosine with a passage is high are candidates.  A candidate counts if the longest common
 subsequence covers most of the passage and its answer words are there; so copies with
 changed, added or lost words are found too.
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,20 +24,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isopleth.llm.common import BLANK, bounded, hashed_sample, store
+from isopleth.llm.common import BLANK, bounded, discard, store
 
 #: Words of the benchmark that one pass over the documents handles, about.
 BLOCK_WORDS = 60_000
 #: Longest passage; longer items are cut into several.
 PASSAGE = 64
-#: Window lengths; a passage uses the first that holds it.
+#: Window lengths, each twice the last; a passage uses the first that holds it.
 SCALES = (16, 32, 64)
 RANK = 128
 OVERSAMPLE = 12
 POWER = 1
-#: Bound of the sample of document passages in the SVD, and characters of each.
-SAMPLE_PASSAGES = 2000
-SAMPLE_CHARS = 400
+#: Passages that one product of the SVD takes, and words whose windows are projected at once, about.
+STEP_PASSAGES = 64
+STEP_WORDS = 1 << 15
+#: Terms whose sums go from task to task in one piece.
+STEP_TERMS = 64
 MIN_COSINE = 0.4
 MIN_COMMON = 0.65
 #: Share of a passage's words, rarest first, that count as its answer, and share of them that must be there.
@@ -46,7 +48,6 @@ MIN_ANSWER = 0.5
 SEED = 17
 
 
-
 def tokens(text: str | None) -> list[str]:
     """Lower-cased words without punctuation at their ends."""
     return [w for w in (x.strip(PUNCTUATION) for x in text.lower().split()) if w] if text else []
@@ -61,9 +62,9 @@ def passages(words: list[str]) -> list[list[str]]:
     return [words[len(words) * k // n : len(words) * (k + 1) // n] for k in range(n)]
 
 
-def common_length(a: list[str], b: list[str]) -> int:
+def common_length(a: list, b: list) -> int:
     """Length of the longest common subsequence, by one bit row over ``a`` for each word of ``b``."""
-    masks: dict[str, int] = {}
+    masks: dict = {}
     for k, w in enumerate(a):
         masks[w] = masks.get(w, 0) | 1 << k
     full = row = (1 << len(a)) - 1
@@ -76,41 +77,109 @@ def common_length(a: list[str], b: list[str]) -> int:
 
 @dataclass
 class Index:
-    """A benchmark block in latent space."""
+    """A benchmark block in latent space; words are term numbers."""
 
     vocabulary: dict[str, int]
-    idf: np.ndarray  # by term
     vectors: np.ndarray  # (terms + 1, rank): idf times the singular vectors, last row zero
     items: list  # item id by passage
-    texts: list[list[str]]
+    texts: list[list[int]]
     latent: np.ndarray  # (passages, rank), unit length
-    answers: list[set[str]]
-    telling: set[str]  # all answer words
+    answers: list[set[int]]
+    telling: np.ndarray  # by term: whether it is an answer word of a passage
+
+
+def terms_of(text: str | None, vocabulary: dict[str, int]) -> np.ndarray:
+    """Term number of each word of a text; words outside the vocabulary have the number after the last."""
+    own, get, other = tokens(text), vocabulary.get, len(vocabulary)
+    return np.fromiter((get(w, other) for w in own), np.int32, len(own))
 
 
-def document_frequencies(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> np.ndarray:
-    """Number of documents, over all of them, that hold each term of the vocabulary."""
+def with_terms(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> DataFrame:
+    """The documents with ``terms``, the term numbers of all their words in order, in place of the text."""
+
+    @F.pandas_udf("array<int>")
+    def code(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([terms_of(t, vocabulary) for t in texts], dtype=object)
+
+    return docs.select(*[c for c in docs.columns if c != text], code(F.col(text)).alias("terms"))
+
+
+def document_frequencies(docs: DataFrame, terms: int) -> tuple[np.ndarray, int]:
+    """Number of documents, over all of them, that hold each term, and number of their passages."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(vocabulary), np.int64)
-        get = vocabulary.get
+        total = np.zeros(terms + 1, np.int64)
         for pdf in batches:
-            for t in pdf["text"]:
-                ids = set(map(get, set(tokens(t))))
-                ids.discard(None)
-                total[list(ids)] += 1
+            for t in pdf["terms"]:
+                total[:terms] += np.bincount(t, minlength=terms + 1)[:terms] > 0
+                total[terms] += -(-len(t) // PASSAGE)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"term": at, "n": total[at]})
 
-    counted = docs.select(F.col(text).alias("text")).mapInPandas(count, "term long, n long")
-    out = np.zeros(len(vocabulary), np.int64)
+    counted = docs.select("terms").mapInPandas(count, "term long, n long")
+    out = np.zeros(terms + 1, np.int64)
     for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():  # at most one row a term of the block
         out[r["term"]] = r["n"]
-    return out
-
-
-def randomised_svd(rows: DataFrame, terms: int, rank: int = RANK, power: int = POWER, seed: int = SEED) -> np.ndarray:
-    """Leading right singular vectors (terms, rank) of the sparse rows (ids array<int>, weights array<double>)."""
+    return out[:terms], int(out[terms])
+
+
+def _matrix(rows: np.ndarray, ids: np.ndarray, weights: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Terms that occur, and the dense (n, terms that occur) matrix of the summed entries."""
+    at = np.bincount(ids) > 0
+    cols, place = np.flatnonzero(at), np.cumsum(at) - 1
+    x = np.bincount(rows * len(cols) + place[ids], weights, n * len(cols))
+    return cols, x.reshape(n, len(cols))
+
+
+def given_rows(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows as they are: ids array<int>, weights array<double>."""
+    for k in range(0, len(pdf), STEP_PASSAGES):
+        part = pdf.iloc[k : k + STEP_PASSAGES]
+        rows = np.repeat(np.arange(len(part)), part["ids"].str.len())
+        if len(rows):
+            yield _matrix(rows, np.concatenate(list(part["ids"])), np.concatenate(list(part["weights"])), len(part))
+
+
+def passage_rows(idf: np.ndarray) -> Callable[[pd.DataFrame], Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """TF-IDF, of length ``weight``, of every passage of the texts: terms array<int>, weight double."""
+
+    def rows_of(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        size = pdf["terms"].str.len().to_numpy(np.int64)
+        if not size.sum():
+            return
+        ids = np.concatenate(list(pdf["terms"]))
+        n = -(-size // PASSAGE)
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        doc = np.repeat(np.arange(len(size)), n)
+        start = (np.cumsum(size) - size)[doc] + size[doc] * k // n[doc]  # as ``passages`` cuts
+        ends = np.append(start[1:], len(ids))
+        weight = pdf["weight"].to_numpy()[doc]
+        for a in range(0, len(start), STEP_PASSAGES):
+            b = min(a + STEP_PASSAGES, len(start))
+            own = ids[start[a] : ends[b - 1]]
+            known = own < len(idf)
+            if known.any():
+                row, own = np.repeat(np.arange(b - a), ends[a:b] - start[a:b])[known], own[known]
+                cols, x = _matrix(row, own, idf[own], b - a)
+                norm = np.sqrt((x * x).sum(axis=1))
+                yield cols, (x * (weight[a:b] / np.where(norm > 0, norm, 1))[:, None]).astype(np.float32)
+
+    return rows_of
+
+
+def randomised_svd(
+    rows: DataFrame,
+    terms: int,
+    rank: int = RANK,
+    power: int = POWER,
+    seed: int = SEED,
+    matrices: Callable[[pd.DataFrame], Iterator[tuple[np.ndarray, np.ndarray]]] = given_rows,
+) -> np.ndarray:
+    """Leading right singular vectors (terms, rank) of the sparse rows.
+
+    ``matrices`` turns a batch of the frame into dense pieces: terms that occur, and rows over them.
+    """
     width = min(rank + OVERSAMPLE, terms)
     basis = np.random.default_rng(seed).normal(size=(terms, width))
 
@@ -120,17 +189,26 @@ def randomised_svd(rows: DataFrame, terms: int, rank: int = RANK, power: int = P
         def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out = np.zeros_like(basis)
             for pdf in batches:
-                for ids, weights in zip(pdf["ids"], pdf["weights"]):
-                    np.add.at(out, ids, np.outer(weights, weights @ basis[ids]))
-            at = np.flatnonzero(out.any(axis=1))
-            yield pd.DataFrame({"term": at, **{f"b{k}": out[at, k] for k in range(width)}})
-
-        kind = "term long, " + ", ".join(f"b{k} double" for k in range(width))
-        sums = rows.mapInPandas(part, kind).groupBy("term").agg(*[F.sum(f"b{k}").alias(f"b{k}") for k in range(width)])
-        out = np.zeros_like(basis)
-        for r in sums.collect():
-            out[r["term"]] = r[1:]
-        return out
+                own = now = None  # in the precision of the pieces, for one batch
+                for cols, x in matrices(pdf):
+                    if own is None:
+                        own, now = np.zeros(basis.shape, x.dtype), basis.astype(x.dtype)
+                    own[cols] += x.T @ (x @ now[cols])
+                if own is not None:
+                    out += own
+            yield pd.DataFrame([(k, out[at : at + STEP_TERMS].tobytes()) for k, at in enumerate(range(0, terms, STEP_TERMS))], columns=["block", "sums"])
+
+        def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total: dict[int, np.ndarray] = {}
+            for pdf in batches:
+                for k, raw in zip(pdf["block"], pdf["sums"]):
+                    total[k] = total.get(k, 0) + np.frombuffer(raw)
+            yield pd.DataFrame([(k, x.tobytes()) for k, x in total.items()], columns=["block", "sums"])
+
+        # all sums of a block of terms meet in one partition, which adds them up as they come
+        sums = rows.mapInPandas(part, "block long, sums binary").repartition("block").mapInPandas(add, "block long, sums binary")
+        found = sorted((r["block"], bytes(r["sums"])) for r in sums.collect())
+        return np.frombuffer(b"".join(x for _, x in found)).reshape(basis.shape)
 
     for _ in range(power + 1):
         basis, _ = np.linalg.qr(multiply(basis))
@@ -139,50 +217,44 @@ def randomised_svd(rows: DataFrame, terms: int, rank: int = RANK, power: int = P
     return basis @ turns[:, np.argsort(-values)[:rank]]
 
 
-def _weights(words: list[str], vocabulary: dict[str, int], idf: np.ndarray) -> tuple[list[int], list[float]]:
-    """TF-IDF of one passage, unit length."""
-    count = Counter(vocabulary[w] for w in words if w in vocabulary)
-    ids = sorted(count)
-    w = np.array([count[i] * idf[i] for i in ids])
-    norm = np.sqrt((w * w).sum())
-    return ids, (w / norm if norm else w).tolist()
-
-
-def build_index(docs: DataFrame, items: list[tuple[object, str]], text: str = "text") -> Index | None:
-    """Latent index of one benchmark block; None if it has no words."""
+def build_index(docs: DataFrame, items: list[tuple[object, str]], text: str = "text") -> tuple[Index, DataFrame] | None:
+    """Latent index of one benchmark block and the stored ``with_terms`` of all documents; None if it has no words."""
     spark = docs.sparkSession
     cut = [(item, p) for item, t in items for p in passages(tokens(t))]
     if not cut:
         return None
     vocabulary = {w: k for k, w in enumerate(sorted({w for _, p in cut for w in p}))}
-    found = document_frequencies(docs, text, vocabulary)
+    texts = [[vocabulary[w] for w in p] for _, p in cut]
+    coded = store(with_terms(docs, text, vocabulary), "terms")
+    found, n_passages = document_frequencies(coded, len(vocabulary))
     n = max(int(found.max()), 1)
     idf = np.log((n + 1) / (found + 0.5)) + 0.1
 
-    start = F.pmod(F.xxhash64(F.lit(SEED), "t"), F.greatest(F.length("t") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    whole = docs.select(F.col(text).alias("t")).filter("t is not null")
-    sample = hashed_sample(whole, SAMPLE_PASSAGES, "t", seed=SEED).select(F.substring("t", start, F.lit(SAMPLE_CHARS)).alias("t"))
-    sample = sample.collect()
-    rows = [_weights(p, vocabulary, idf) for p in [*(p for _, p in cut), *(tokens(r["t"]) for r in sample)]]
-    table = spark.createDataFrame([r for r in rows if r[0]], "ids array<int>, weights array<double>")
+    # each document passage weighs so much that all of them together weigh as much as the benchmark
+    share = math.sqrt(len(texts) / max(n_passages, 1))
+    own = store(spark.createDataFrame([(t, 1.0) for t in texts], "terms array<int>, weight double"), "passages")
     rank = min(RANK, len(vocabulary))
-    right = randomised_svd(store(table, "passages"), len(vocabulary), rank)
+    rows = coded.select("terms", F.lit(share).alias("weight")).union(own)
+    right = randomised_svd(rows, len(vocabulary), rank, matrices=passage_rows(idf))
+    discard(own)
 
     vectors = np.zeros((len(vocabulary) + 1, rank), np.float32)
     vectors[:-1] = right * idf[:, None]
-    latent = np.array([vectors[[vocabulary[w] for w in p]].sum(axis=0) for _, p in cut])
+    latent = np.array([vectors[t].sum(axis=0) for t in texts])
     latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
-    answers = [answer_words(p, vocabulary, idf) for _, p in cut]
-    return Index(vocabulary, idf, vectors, [i for i, _ in cut], [p for _, p in cut], latent, answers, set().union(*answers))
+    answers = [answer_words(t, idf) for t in texts]
+    telling = np.zeros(len(vocabulary) + 1, bool)
+    telling[list(set().union(*answers))] = True
+    return Index(vocabulary, vectors, [i for i, _ in cut], texts, latent, answers, telling), coded
 
 
-def answer_words(words: list[str], vocabulary: dict[str, int], idf: np.ndarray) -> set[str]:
+def answer_words(terms: list[int], idf: np.ndarray) -> set[int]:
     """The rarest words of a passage: what a question asks for is seldom a common word."""
-    own = sorted(set(words), key=lambda w: (-idf[vocabulary[w]], w))
+    own = sorted(set(terms), key=lambda t: (-idf[t], t))  # terms are numbered in the order of their words
     return set(own[: max(1, round(ANSWER_SHARE * len(own)))])
 
 
-def needed_answers(answer: set[str]) -> int:
+def needed_answers(answer: set[int]) -> int:
     return math.ceil(MIN_ANSWER * len(answer))
 
 
@@ -199,37 +271,49 @@ def _scales(index: Index) -> list[tuple[int, np.ndarray]]:
     return out
 
 
-def candidates(words: list[str], index: Index, scales: list[tuple[int, np.ndarray]]) -> dict[tuple[int, int], float]:
-    """(passage, window start) with their cosine, for all windows at or above ``MIN_COSINE``.
+def candidates(texts: list[np.ndarray], index: Index, scales: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, int, int, float]]:
+    """(text, passage, window start, cosine) for all windows at or above ``MIN_COSINE``.
 
     Windows with fewer answer words than any passage of their scale demands can't pass the
-    answer check, so they are not projected.
+    answer check, so they are not projected.  The texts lie one after the other, each on a multiple
+    of the longest window and with more blanks behind it than any window or its region reaches.
     """
-    n = len(words)
-    telling = np.fromiter(map(index.telling.__contains__, words), np.int64, n)
-    if not telling.any():
-        return {}
-    count = np.concatenate([[0], np.cumsum(telling)])
-    none, get = len(index.vocabulary), index.vocabulary.get
-    out = {}
-    for scale, own in scales:
+    longest, none = SCALES[-1], len(index.vocabulary)
+    size = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(-(-(size + 2 * longest) // longest) * longest)
+    begin = np.append(0, ends[:-1])
+    ids = np.full(ends[-1], none, np.int32)
+    for at, t in zip(begin, texts):
+        ids[at : at + len(t)] = t
+    count = np.append(0, np.cumsum(index.telling[ids]))
+    half = SCALES[0] // 2
+    sums = np.concatenate([index.vectors[p].sum(axis=1) for p in np.array_split(ids.reshape(-1, half), -(-len(ids) // STEP_WORDS))])
+    own_of = dict(scales)
+    for scale in SCALES:
+        if scale > SCALES[0]:
+            half, sums = scale // 2, sums[::2] + sums[1::2]  # of half a window each
+        if scale not in own_of:
+            continue
+        own = own_of[scale]
         need = min(needed_answers(index.answers[p]) for p in own)
-        starts = np.arange(0, max(1, n - scale // 2), scale // 2)
-        first, last = np.maximum(starts - scale // 2, 0), np.minimum(starts + scale + scale // 2, n)
-        starts = starts[count[last] - count[first] >= need]
+        n = np.where(size > 0, np.maximum(1, -(-(size - half) // half)), 0)
+        text = np.repeat(np.arange(len(texts)), n)
+        starts = begin[text] + half * (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n))
+        first, last = np.maximum(starts - half, 0), np.minimum(starts + scale + half, len(ids))
+        enough = count[last] - count[first] >= need
+        text, starts = text[enough], starts[enough]
         for k in range(0, len(starts), 1024):
             part = starts[k : k + 1024]
-            ids = np.array([[get(w, none) for w in words[s : s + scale]] + [none] * (s + scale - n) for s in part])
-            rows = index.vectors[ids].sum(axis=1)
+            rows = sums[part // half] + sums[part // half + 1]
             cosine = rows @ index.latent[own].T / np.maximum(np.linalg.norm(rows, axis=1), 1e-3)[:, None]
             for a, b in np.argwhere(cosine >= MIN_COSINE):
-                out[int(own[b]), int(part[a])] = float(cosine[a, b])
-    return out
+                which = int(text[k + a])
+                yield which, int(own[b]), int(part[a] - begin[which]), float(cosine[a, b])
 
 
-def verify(words: list[str], passage: list[str], answer: set[str], start: int, scale: int) -> float | None:
+def verify(words: np.ndarray, passage: list[int], answer: set[int], start: int, scale: int) -> float | None:
     """Share of the passage that its longest common subsequence with the region covers, if it counts."""
-    region = words[max(0, start - scale // 2) : start + scale + scale // 2]
+    region = words[max(0, start - scale // 2) : start + scale + scale // 2].tolist()
     need = MIN_COMMON * len(passage)
     there = Counter(region)
     if sum(min(c, there[w]) for w, c in Counter(passage).items()) < need:
@@ -244,30 +328,29 @@ def verify(words: list[str], passage: list[str], answer: set[str], start: int, s
     return best / len(passage) if best >= need else None
 
 
-def search(text: str | None, index: Index, scales: list[tuple[int, np.ndarray]]) -> dict[object, tuple[float, float, int]]:
-    """Best (common share, cosine, window start) by item that a text holds."""
-    words = tokens(text)
-    if not words:
-        return {}
+def search(texts: list[np.ndarray], index: Index, scales: list[tuple[int, np.ndarray]]) -> list[dict[object, tuple[float, float, int]]]:
+    """Best (common share, cosine, window start) by item, for each text, of the items that it holds."""
     scale_of = {int(p): s for s, own in scales for p in own}
-    out: dict[object, tuple[float, float, int]] = {}
-    for (p, start), cosine in candidates(words, index, scales).items():
-        share = verify(words, index.texts[p], index.answers[p], start, scale_of[p])
+    out: list[dict[object, tuple[float, float, int]]] = [{} for _ in texts]
+    for which, p, start, cosine in candidates(texts, index, scales):
+        share = verify(texts[which], index.texts[p], index.answers[p], start, scale_of[p])
         if share is not None:
             item = index.items[p]
-            out[item] = max(out.get(item, (0.0, 0.0, 0)), (share, cosine, start))
+            out[which][item] = max(out[which].get(item, (0.0, 0.0, 0)), (share, cosine, start))
     return out
 
 
-def _searcher(index: Index):
+def _searcher(index: Index, coded: bool = False):
+    """Items that texts hold, or the terms of texts if ``coded``."""
+
     @F.pandas_udf("array<struct<item_id: long, common: double, cosine: double, word: int>>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scales = _scales(index)
         for texts in batches:
             out = []
-            for part in bounded(texts):
-                for t in part:
-                    hits = search(t, index, scales)
+            for part in bounded(texts, STEP_WORDS if coded else 8 * STEP_WORDS):
+                own = list(part) if coded else [terms_of(t, index.vocabulary) for t in part]
+                for hits in search(own, index, scales):
                     out.append(
                         [
                             {"item_id": i, "common": x[0], "cosine": x[1], "word": x[2]}
@@ -279,8 +362,8 @@ def _searcher(index: Index):
     return find
 
 
-def indexes(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Iterator[Index]:
-    """Latent indexes of the benchmark's blocks, one after the other."""
+def indexes(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Iterator[tuple[Index, DataFrame]]:
+    """Latent indexes of the benchmark's blocks, one after the other, each with the documents' terms until the next."""
     own = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     own = own.filter(F.col("text").isNotNull()).distinct()
     words = own.agg(F.sum(F.regexp_count("text", F.lit(f"[^{BLANK}]++")))).first()[0] or 0
@@ -290,9 +373,10 @@ def indexes(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Iterat
     for k in range(blocks):
         block = own.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         items = sorted(((r["item_id"], r["text"]) for r in block.collect()), key=lambda x: (x[0] is None, x))
-        index = build_index(docs, items, text)
-        if index:
-            yield index
+        built = build_index(docs, items, text)
+        if built:
+            yield built
+            discard(built[1])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -305,8 +389,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     out = None
-    for index in indexes(own, benchmark):
-        hits = own.select("doc_id", F.explode(_searcher(index)("text")).alias("hit")).select("doc_id", "hit.*")
+    for index, coded in indexes(own, benchmark):
+        hits = coded.select("doc_id", F.explode(_searcher(index, coded=True)("terms")).alias("hit")).select("doc_id", "hit.*")
+        hits = store(hits, "leaks")
         out = hits if out is None else out.union(hits)
     if out is None:
         kind = F.lit(None).cast("array<struct<item_id: long, common: double, cosine: double, word: int>>")
@@ -318,6 +403,6 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
     """Rows of ``docs`` that hold no benchmark item; all columns stay."""
     own = docs.select(F.col(text).alias("text"))
     out = docs
-    for index in indexes(own, benchmark):
+    for index, _ in indexes(own, benchmark):
         out = out.filter(F.size(_searcher(index)(F.col(text))) == 0)
     return out

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from isopleth.llm import decontam, langid, toxicity
@@ -141,6 +142,48 @@ def test_svd_spans_the_leading_directions(spark):
     assert np.allclose(a, a @ v @ v.T, atol=1e-6)
 
 
+def plain_tfidf(cut, idf):
+    out = np.zeros((len(cut), len(idf)))
+    for row, ids in zip(out, cut):
+        for t in ids:
+            if t < len(idf):
+                row[t] += idf[t]
+    return out / np.maximum(np.linalg.norm(out, axis=1), 1e-9)[:, None]
+
+
+def test_passage_rows_are_those_of_all_passages():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 31, n).astype(np.int32) for n in (0, 1, 64, 65, 700, 0, 5000)]
+    idf = rng.uniform(0.5, 2, 30)  # term 30 stands for all other words
+    cut = [p for t in texts for p in decontam.passages(t.tolist())]
+    got = np.zeros((len(cut), 30))
+    at = 0
+    for cols, x in decontam.passage_rows(idf)(pd.DataFrame({"terms": texts, "weight": 1.0})):
+        got[at : at + len(x), cols] = x
+        at += len(x)
+    assert at == len(cut) and np.allclose(got, plain_tfidf(cut, idf), atol=1e-6)
+
+
+def test_singular_vectors_come_from_every_document(spark):
+    """Sixty of 2500 documents each have a pair of words, near their end, that no other text has together."""
+    names = [f"w{k}" for k in range(300)]
+    items = [(k, " ".join(names[k * 30 : k * 30 + 30])) for k in range(10)]
+    pairs = {40 * k: [names[k], names[100 + k]] * 20 for k in range(60)}
+    docs = [(k, ("x " * 450) + " ".join([*pairs.get(k, []), f"y{k}"])) for k in range(2500)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    index, coded = decontam.build_index(frame, items)
+    assert coded.count() == 2500
+    rows = [decontam.terms_of(t, index.vocabulary).tolist() for _, t in docs]
+    assert [list(r.terms) for r in coded.orderBy("doc_id").collect()] == rows
+    cut = [p for t in rows for p in decontam.passages(t)]
+    found = np.bincount([t for r in rows for t in set(r) if t < 300], minlength=300)
+    idf = np.log((found.max() + 1) / (found + 0.5)) + 0.1
+    a = np.concatenate([plain_tfidf(index.texts, idf), plain_tfidf(cut, idf) * np.sqrt(len(items) / len(cut))])
+    right = index.vectors[:-1] / idf[:, None]
+    assert np.allclose(np.linalg.norm(a @ right) ** 2, np.linalg.norm(a) ** 2, rtol=1e-4)  # its rank is far below RANK
+    assert np.linalg.norm(a[10:] @ right) ** 2 > 0.99 * np.linalg.norm(a[10:]) ** 2 > 0
+
+
 def changed(words, rng):
     """About one word in eight replaced, dropped or followed by another."""
     out = []
