@@ -21,10 +21,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from isopleth.llm.common import BLANK, bounded, discard, store
+from isopleth.llm.common import BLANK, discard, store
 
 #: Words of the benchmark that one pass over the documents handles, about.
 BLOCK_WORDS = 60_000
@@ -38,6 +41,9 @@ POWER = 1
 #: Passages that one product of the SVD takes, and words whose windows are projected at once, about.
 STEP_PASSAGES = 64
 STEP_WORDS = 1 << 15
+#: Bytes of text that become term numbers at once, about, and half windows whose vectors are summed at once.
+STEP_TEXT = 1 << 20
+STEP_HALVES = 1 << 9
 #: Terms whose sums go from task to task in one piece.
 STEP_TERMS = 64
 MIN_COSINE = 0.4
@@ -88,21 +94,61 @@ class Index:
     telling: np.ndarray  # by term: whether it is an answer word of a passage
 
 
+def runs(sizes: np.ndarray, limit: int) -> Iterator[slice]:
+    """Runs of rows whose sizes add up to about ``limit``, so that a batch is never handled as a whole."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // limit)) + 1).tolist(), len(ends)]
+    return (slice(a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
+
+
+def lengths(texts: pa.Array) -> np.ndarray:
+    """Bytes of texts or items of lists; NULL has none."""
+    count = pc.list_value_length if pa.types.is_nested(texts.type) else pc.binary_length
+    return pc.fill_null(count(texts), 0).to_numpy(zero_copy_only=False)
+
+
+def term_lists(texts: pa.Array, vocabulary: pa.Array) -> pa.Array:
+    """Term number of each of the ``tokens`` of every text; words outside the vocabulary have the number after the last."""
+    lower = pa.array([t.lower() if t else "" for t in texts.to_pylist()], pa.string())
+    words = pc.utf8_split_whitespace(lower)
+    bare = pc.ascii_trim(words.flatten(), PUNCTUATION)
+    there = lengths(bare) > 0
+    terms = pc.fill_null(pc.index_in(bare, vocabulary), len(vocabulary)).to_numpy()[there]
+    ends = np.append(0, np.cumsum(there))[words.offsets.to_numpy()]
+    return pa.ListArray.from_arrays(ends.astype(np.int32), terms)
+
+
+def term_arrays(lists: pa.Array) -> list[np.ndarray]:
+    """The lists one by one; NULL is empty."""
+    flat, size = lists.flatten().to_numpy(), lengths(lists)
+    ends = np.cumsum(size)
+    return [flat[a:b] for a, b in zip(ends - size, ends)]
+
+
 def terms_of(text: str | None, vocabulary: dict[str, int]) -> np.ndarray:
-    """Term number of each word of a text; words outside the vocabulary have the number after the last."""
-    own, get, other = tokens(text), vocabulary.get, len(vocabulary)
-    return np.fromiter((get(w, other) for w in own), np.int32, len(own))
+    """``term_lists`` of one text."""
+    return term_arrays(term_lists(pa.array([text], pa.string()), pa.array(list(vocabulary), pa.string())))[0]
 
 
-def with_terms(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> DataFrame:
-    """The documents with ``terms``, the term numbers of all their words in order, in place of the text."""
+def _coder(vocabulary: dict[str, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Term numbers in place of the texts in the last column, ``STEP_TEXT`` bytes of text after the other."""
 
-    @F.pandas_udf("array<int>")
-    def code(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([terms_of(t, vocabulary) for t in texts], dtype=object)
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array(list(vocabulary), pa.string())
+        for batch in batches:
+            *rest, texts = batch.columns
+            for step in runs(lengths(texts), STEP_TEXT):
+                own = [*[c[step] for c in rest], term_lists(texts[step], words)]
+                yield pa.RecordBatch.from_arrays(own, [*batch.schema.names[:-1], "terms"])
 
-    return docs.select(*[c for c in docs.columns if c != text], code(F.col(text)).alias("terms"))
+    return code
+
+
+def with_terms(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> DataFrame:
+    """The documents with ``terms``, the term numbers of all their words in order, in place of the text."""
+    others = [c for c in docs.columns if c != text]
+    kinds = T.StructType([*[docs.schema[c] for c in others], T.StructField("terms", T.ArrayType(T.IntegerType()))])
+    return docs.select(*others, F.col(text).cast("string")).mapInArrow(_coder(vocabulary), kinds)
 
 
 def document_frequencies(docs: DataFrame, terms: int) -> tuple[np.ndarray, int]:
@@ -275,8 +321,9 @@ def candidates(texts: list[np.ndarray], index: Index, scales: list[tuple[int, np
     """(text, passage, window start, cosine) for all windows at or above ``MIN_COSINE``.
 
     Windows with fewer answer words than any passage of their scale demands can't pass the
-    answer check, so they are not projected.  The texts lie one after the other, each on a multiple
-    of the longest window and with more blanks behind it than any window or its region reaches.
+    answer check, so they are not projected, nor met with passages that demand more than they have.
+    The texts lie one after the other, each on a multiple of the longest window and with more
+    blanks behind it than any window or its region reaches.
     """
     longest, none = SCALES[-1], len(index.vocabulary)
     size = np.array([len(t) for t in texts], np.int64)
@@ -286,27 +333,37 @@ def candidates(texts: list[np.ndarray], index: Index, scales: list[tuple[int, np
     for at, t in zip(begin, texts):
         ids[at : at + len(t)] = t
     count = np.append(0, np.cumsum(index.telling[ids]))
-    half = SCALES[0] // 2
-    sums = np.concatenate([index.vectors[p].sum(axis=1) for p in np.array_split(ids.reshape(-1, half), -(-len(ids) // STEP_WORDS))])
+    demands = {scale: np.array([needed_answers(index.answers[p]) for p in own]) for scale, own in scales}
+    windows, wanted = {}, np.zeros(len(ids) // (SCALES[0] // 2), bool)
+    for scale, _ in scales:
+        half, parts = scale // 2, scale // SCALES[0]  # smallest half windows in a half window
+        n = np.where(size > 0, np.maximum(1, -(-(size - half) // half)), 0)
+        text = np.repeat(np.arange(len(texts)), n)
+        starts = begin[text] + half * (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n))
+        first, last = np.maximum(starts - half, 0), np.minimum(starts + scale + half, len(ids))
+        told = count[last] - count[first]
+        enough = told >= demands[scale].min()
+        windows[scale] = text[enough], starts[enough], told[enough]
+        for k in (0, 1):
+            wanted.reshape(-1, parts)[starts[enough] // half + k] = True
+    sums = np.zeros((len(wanted), index.vectors.shape[1]), np.float32)
+    halves, at = ids.reshape(len(wanted), -1), np.flatnonzero(wanted)
+    for k in range(0, len(at), STEP_HALVES):
+        part = at[k : k + STEP_HALVES]
+        sums[part] = index.vectors[halves[part]].sum(axis=1)
     own_of = dict(scales)
     for scale in SCALES:
+        half = scale // 2
         if scale > SCALES[0]:
-            half, sums = scale // 2, sums[::2] + sums[1::2]  # of half a window each
+            sums = sums[::2] + sums[1::2]  # of half a window each
         if scale not in own_of:
             continue
-        own = own_of[scale]
-        need = min(needed_answers(index.answers[p]) for p in own)
-        n = np.where(size > 0, np.maximum(1, -(-(size - half) // half)), 0)
-        text = np.repeat(np.arange(len(texts)), n)
-        starts = begin[text] + half * (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n))
-        first, last = np.maximum(starts - half, 0), np.minimum(starts + scale + half, len(ids))
-        enough = count[last] - count[first] >= need
-        text, starts = text[enough], starts[enough]
+        own, (text, starts, told) = own_of[scale], windows[scale]
         for k in range(0, len(starts), 1024):
             part = starts[k : k + 1024]
             rows = sums[part // half] + sums[part // half + 1]
             cosine = rows @ index.latent[own].T / np.maximum(np.linalg.norm(rows, axis=1), 1e-3)[:, None]
-            for a, b in np.argwhere(cosine >= MIN_COSINE):
+            for a, b in np.argwhere((cosine >= MIN_COSINE) & (told[k : k + 1024, None] >= demands[scale])):
                 which = int(text[k + a])
                 yield which, int(own[b]), int(part[a] - begin[which]), float(cosine[a, b])
 
@@ -314,12 +371,12 @@ def candidates(texts: list[np.ndarray], index: Index, scales: list[tuple[int, np
 def verify(words: np.ndarray, passage: list[int], answer: set[int], start: int, scale: int) -> float | None:
     """Share of the passage that its longest common subsequence with the region covers, if it counts."""
     region = words[max(0, start - scale // 2) : start + scale + scale // 2].tolist()
+    if len(answer.intersection(region)) < needed_answers(answer):
+        return None
     need = MIN_COMMON * len(passage)
     there = Counter(region)
     if sum(min(c, there[w]) for w, c in Counter(passage).items()) < need:
         return None  # the words in any order are no fewer than in the same order
-    if sum(w in there for w in answer) < needed_answers(answer):
-        return None
     # a copy is about as long as the passage: look at spans of its length, half a length apart
     span = len(passage) + len(passage) // 2
     best = 0
@@ -340,24 +397,26 @@ def search(texts: list[np.ndarray], index: Index, scales: list[tuple[int, np.nda
     return out
 
 
+#: Items that a text holds, as Spark and as Arrow name it.
+HITS = "array<struct<item_id: long, common: double, cosine: double, word: int>>"
+HITS_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("common", pa.float64()), ("cosine", pa.float64()), ("word", pa.int32())]))
+
+
 def _searcher(index: Index, coded: bool = False):
     """Items that texts hold, or the terms of texts if ``coded``."""
 
-    @F.pandas_udf("array<struct<item_id: long, common: double, cosine: double, word: int>>")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scales = _scales(index)
-        for texts in batches:
+    @F.arrow_udf(HITS)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scales, words = _scales(index), pa.array(list(index.vocabulary), pa.string())
+        for batch in batches:
             out = []
-            for part in bounded(texts, STEP_WORDS if coded else 8 * STEP_WORDS):
-                own = list(part) if coded else [terms_of(t, index.vocabulary) for t in part]
-                for hits in search(own, index, scales):
-                    out.append(
-                        [
-                            {"item_id": i, "common": x[0], "cosine": x[1], "word": x[2]}
-                            for i, x in sorted(hits.items(), key=lambda kv: (kv[0] is None, kv[0]))
-                        ]
-                    )
-            yield pd.Series(out, dtype=object)
+            for step in runs(lengths(batch), STEP_WORDS if coded else STEP_TEXT):
+                lists = batch[step] if coded else term_lists(batch[step], words)
+                for part in runs(lengths(lists), STEP_WORDS):
+                    for hits in search(term_arrays(lists[part]), index, scales):
+                        found = sorted(hits.items(), key=lambda kv: (kv[0] is None, kv[0]))
+                        out.append([{"item_id": i, "common": x[0], "cosine": x[1], "word": x[2]} for i, x in found])
+            yield pa.array(out, HITS_ARROW)
 
     return find
 
@@ -394,8 +453,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
         hits = store(hits, "leaks")
         out = hits if out is None else out.union(hits)
     if out is None:
-        kind = F.lit(None).cast("array<struct<item_id: long, common: double, cosine: double, word: int>>")
-        out = own.select("doc_id", F.explode(kind).alias("hit")).select("doc_id", "hit.*")
+        out = own.select("doc_id", F.explode(F.lit(None).cast(HITS)).alias("hit")).select("doc_id", "hit.*")
     return out
 
 

@@ -4,7 +4,9 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from isopleth.llm import decontam, langid, toxicity
 from isopleth.llm.common import table
@@ -184,6 +186,51 @@ def test_singular_vectors_come_from_every_document(spark):
     assert np.linalg.norm(a[10:] @ right) ** 2 > 0.99 * np.linalg.norm(a[10:]) ** 2 > 0
 
 
+def test_term_lists_are_the_numbers_of_the_tokens():
+    vocabulary = {w: k for k, w in enumerate(["alpha", "a.b", "ὀδυσσεύς", "i\u0307", "é", "x"])}
+    texts = [None, "", " \n", "--- .", "Alpha, (A.B) x\u2003x\x1fx other \"é\"", "ὈΔΥΣΣΕΎΣ ὈΔΥΣΣΕΎΣx İ", "..x..", "x " * 3000, None]
+    want = [[vocabulary.get(w, 6) for w in decontam.tokens(t)] for t in texts]
+    words = pa.array(list(vocabulary))
+    assert decontam.term_lists(pa.array(texts), words).to_pylist() == want
+    assert decontam.term_lists(pa.array(texts)[3:6], words).to_pylist() == want[3:6]
+    assert [t.tolist() for t in decontam.term_arrays(decontam.term_lists(pa.array(texts), words)[4:])] == want[4:]
+
+
+def test_a_batch_is_coded_in_steps():
+    """The term numbers of about ``STEP_TEXT`` bytes of text leave the task before the next texts are coded."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(6000)), "text": ["word other " * 100] * 5999 + [None]})
+    coded = list(decontam._coder({"word": 0})(iter([batch])))
+    assert max(b.num_rows for b in coded) <= decontam.STEP_TEXT // 1100 + 2
+    assert [i for b in coded for i in b["doc_id"].to_pylist()] == list(range(6000))
+    assert [t for b in coded for t in b["terms"].to_pylist()] == [[0, 1] * 100] * 5999 + [[]]
+
+
+def test_runs_cover_all_rows_within_the_limit():
+    rng = np.random.default_rng(9)
+    for sizes in ([], [0], [5000], [0, 0, 5000, 0, 7, 993, 1], rng.integers(0, 400, 1000)):
+        found = list(decontam.runs(np.array(sizes, np.int64), 1000))
+        assert [k for r in found for k in range(r.start, r.stop)] == list(range(len(sizes)))
+        assert all(sum(sizes[r]) - max(sizes[r]) <= 1000 for r in found)  # but for one long row
+
+
+def test_only_windows_with_enough_answer_words_are_met():
+    """Words around few answer words are as near to the passage, but cannot pass."""
+    passage = list(range(12))
+    vectors = np.ones((21, 2), np.float32)
+    vectors[-1] = 0
+    telling = np.zeros(21, bool)
+    telling[:4] = True
+    other = list(range(12, 20)) + [0] * 4  # a passage that one answer word is enough for
+    index = decontam.Index(
+        {f"w{k}": k for k in range(20)}, vectors, [7, 8], [passage, other], np.full((2, 2), 0.5**0.5), [{0, 1, 2, 3}, {0}], telling
+    )
+    scales = decontam._scales(index)
+    texts = [np.array(t, np.int32) for t in ([0, *range(5, 16)], passage, [20] * 300 + other, [*range(5, 16)])]
+    met = {(which, p) for which, p, _, _ in decontam.candidates(texts, index, scales)}
+    assert met == {(0, 1), (1, 0), (1, 1), (2, 0), (2, 1)}
+    assert [sorted(h) for h in decontam.search(texts, index, scales)] == [[], [7], [8], []]
+
+
 def changed(words, rng):
     """About one word in eight replaced, dropped or followed by another."""
     out = []
