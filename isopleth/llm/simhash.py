@@ -15,14 +15,13 @@ Two bits of 64 hold little more than exact copies.  With a ``similarity`` the te
 by the Jaccard similarity of their shingle sets instead.  Each set gets ``BANDS`` minimum
 hashes, and beside each a segment of 23 bits, each bit drawn from a minimum hash of its own: at
 similarity J a bit differs with probability (1 - J) / 2.  A minimum hash with each Golay key of its
-segment is a bucket key.  Members of a bucket meet its representatives, see ``candidates``; pairs
-whose sketches are near enough are verified by their whole sets.
+segment is a bucket key.  Members of a bucket meet the nearest ones by their sketches, see
+``candidates``; pairs whose sketches are near enough are verified by their whole sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -47,12 +46,11 @@ PAIRWISE = 64
 BANDS = 8
 SKETCH_BITS = BANDS * golay.LENGTH
 SKETCH_WORDS = -(-SKETCH_BITS // 64)
-#: Members of a bucket up to which all pairs are candidates; further rounds of larger ones; minimum hashes that refine them.
-SMALL, ROUNDS, REFINING = 6, 3, 3
+#: Members of a bucket up to which all near pairs are candidates; members that meet in one block of larger
+#: ones, on average; minimum hashes that refine buckets of more than a block.
+SMALL, BLOCK, REFINING = 6, 64, 3
 #: Standard deviations by which the sketches of a candidate may differ more than the similarity lets expect.
 SPARE = 5.0
-#: Which member represents a bucket in the rounds after the first: the smallest after an exclusive or.
-SALTS = tuple(int(x) for x in np.random.default_rng(SEED + 1).integers(-(1 << 63), 1 << 63, ROUNDS - 1))
 #: Odd multipliers of the minimum hashes: first those that are bucketed, then one for each sketch bit.
 MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS + SKETCH_BITS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -223,50 +221,88 @@ def most_bits(similarity: float) -> int:
     return int(SKETCH_BITS * p + SPARE * np.sqrt(SKETCH_BITS * p * (1 - p)))
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """Pairs of two nodes, the smaller first, each once."""
-    return pairs.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-
-
-def _near(pairs: DataFrame, sketches: DataFrame, most: int) -> DataFrame:
-    """The pairs whose sketches differ in at most ``most`` bits."""
-    words = [c for c in sketches.columns if c != "node"]
-    for end in ("u", "v"):
-        pairs = pairs.join(sketches.select(F.col("node").alias(end), *[F.col(w).alias(end + w) for w in words]), end)
-    bits = sum((F.bit_count(F.col("u" + w).bitwiseXOR(F.col("v" + w))) for w in words), F.lit(0))
-    return pairs.filter(bits <= most).select("u", "v")
+def _meeting(most: int, width: int):
+    """Pairs of members of a block whose sketches differ in at most ``most`` bits; a member is node, root and sketch words.
 
+    Members with one root are joined already and do not meet.  In a block of up to ``SMALL`` members all pairs are
+    given, in a larger one those of every member with the one nearest to it, the smallest node of several.
+    """
 
-def _with_representatives(rows: DataFrame, salt: int) -> DataFrame:
-    """Every member of a bucket (key, node) with the bucket's representative of this round: a row for each member."""
-    mixed = F.col("node").bitwiseXOR(F.lit(salt))
-    heads = rows.groupBy("key").agg(F.min(mixed).bitwiseXOR(F.lit(salt)).alias("v"))
-    return rows.join(heads, "key").select(F.col("node").alias("u"), "v")
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [np.zeros((0, 2), np.int64)]
+            for members in pdf["members"]:
+                a = np.asarray(members, np.int64).reshape(-1, width)
+                a = a[np.argsort(a[:, 0])]
+                words = a[:, 2:].view(np.uint64)
+                bits = np.bitwise_count(words[:, None] ^ words[None]).sum(axis=2, dtype=np.int64)
+                bits[a[:, None, 1] == a[None, :, 1]] = SKETCH_BITS + 1
+                if len(a) <= SMALL:
+                    i, j = np.nonzero(np.triu(bits <= most, 1))
+                else:
+                    j = bits.argmin(axis=1)
+                    i = np.flatnonzero(bits.min(axis=1) <= most)
+                    j = j[i]
+                out.append(np.sort(np.stack([a[i, 0], a[j, 0]], axis=1), axis=1))
+            found = np.unique(np.concatenate(out), axis=0)
+            yield pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
+
+    return pairs
+
+
+def _dealt(rows: DataFrame, key: str, salt: int) -> DataFrame:
+    """Members of buckets (``key``, n, node, ...) with the block of their bucket that ``salt`` deals them to."""
+    blocks = F.ceil(F.col("n") / BLOCK)
+    return rows.withColumn("block", F.xxhash64(key, F.pmod(F.xxhash64(F.lit(salt), key, "node"), blocks)))
+
+
+def _block_pairs(rows: DataFrame, words: list[str], most: int) -> DataFrame:
+    """Candidate pairs (u, v), each once, within the blocks of the rows (block, node, root, sketch words)."""
+    members = F.flatten(F.collect_list(F.array("node", "root", *words))).alias("members")
+    blocks = rows.groupBy("block").agg(members, F.count("*").alias("m")).filter("m > 1").select("members")
+    return store(blocks.mapInPandas(_meeting(most, 2 + len(words)), "u long, v long").distinct(), "pairs")
+
+
+def _words(rows: DataFrame) -> list[str]:
+    """Columns that hold the sketch."""
+    return [c for c in (f"w{k}" for k in range(SKETCH_WORDS)) if c in rows.columns]
+
+
+def candidates(nodes: DataFrame, most: int = SKETCH_BITS) -> tuple[DataFrame, DataFrame]:
+    """(first, members): first candidate pairs (u, v) of the nodes (node, keys, heads, sketch words), and the
+    members of the larger buckets, among which ``later_candidates`` seeks others once the first are verified.
+
+    Members of a bucket meet in blocks of about ``BLOCK``; a block compares all its sketches and gives, for
+    more than ``SMALL`` members, each one's nearest.  So pairs and rows grow in proportion to
+    the bucket entries, whatever the size of a bucket, and no bucket or member is dropped or cut.
+    """
+    words = _words(nodes)
+    keyed = store(nodes.select("node", F.explode("keys").alias("key")), "golay")
+    sums = store(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    shared = keyed.join(sums, "key").join(nodes.select("node", "heads", *words), "node")
+    shared = store(shared, "members")
+    discard(keyed)
+    first = _block_pairs(_dealt(shared, "key", 0).withColumn("root", F.col("node")), words, most)
+    return first, shared.filter(F.col("n") > SMALL)
 
 
-def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(first, later) candidate pairs (u, v) of the nodes (node, keys, heads), a number in proportion to the bucket entries.
+def later_candidates(members: DataFrame, roots: DataFrame, most: int) -> DataFrame:
+    """Further candidate pairs (u, v), of nodes without a common root (node, root), from the members of large buckets.
 
-    Buckets of up to ``SMALL`` members give all their pairs.  In a larger one every member meets the bucket's
-    representative, another one in each of ``ROUNDS`` rounds; beside it stand the finer buckets
-    of members that share one of ``REFINING`` further minimum hashes too, in which texts that are
-    alike stay together and others part.  So m copies of a text make about m rows a round, and no bucket
-    is dropped, cut or collected.  The first round is ``first``, the others are ``later``.
+    Each member meets the nearest one of another root.  Buckets of more than one block are dealt
+    anew, and beside them stand the finer buckets of members that share one of ``REFINING`` further minimum
+    hashes too, in which texts that are alike stay together and others part.
     """
-    keyed = store(nodes.select("node", F.explode("keys").alias("key")), "golay")
-    sums = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("u"), F.max("node").alias("v"))
-    sums = store(sums.filter("n > 1"), "buckets")
-    more = store(keyed.join(sums.filter("n > 2").select("key", "n"), "key"), "members")
-    discard(keyed)
-    few = more.filter(F.col("n") <= SMALL).select("key", F.col("node").alias("u"))
-    within = few.join(few.withColumnRenamed("u", "v"), "key").filter("u < v").select("u", "v")
-    large = more.filter(F.col("n") > SMALL).select("key", "node")
-    finer = large.join(nodes.select("node", "heads"), "node").select("key", "node", F.posexplode("heads").alias("k", "head"))
-    finer = finer.select(F.xxhash64("key", "k", "head").alias("key"), "node")
-    large = store(large.union(finer), "large_buckets")
-    first = sums.filter("n = 2").select("u", "v").union(within).union(_with_representatives(large, 0))
-    later = reduce(DataFrame.union, [_with_representatives(large, salt) for salt in SALTS])
-    return store(_ordered(first), "pairs"), store(_ordered(later), "pairs")
+    words = _words(members)
+    rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = store(rows, "rooted")
+    finer = rows.filter(F.col("n") > BLOCK).select("key", "node", "root", *words, F.posexplode("heads").alias("k", "head"))
+    finer = finer.select(F.xxhash64("key", "k", "head").alias("fine"), "node", "root", *words)
+    finer = finer.join(finer.groupBy("fine").agg(F.count("*").alias("n")).filter("n > 1"), "fine")
+    block = ["block", "node", "root", *words]
+    pairs = _block_pairs(_dealt(rows, "key", 1).select(block).union(_dealt(finer, "fine", 1).select(block)), words, most)
+    discard(rows)
+    return pairs
 
 
 def _alike(similarity: float):
@@ -304,21 +340,16 @@ def _verified(pairs: DataFrame, nodes: DataFrame, own: DataFrame, size: int, sim
 def set_links(nodes: DataFrame, own: DataFrame, size: int, similarity: float) -> DataFrame:
     """Verified links (u, v) that join the shingle sets.
 
-    The candidates of the first round are verified, then those of the later rounds whose ends the
-    first links have not joined.  So m near copies cost about m verifications a round, not m * m.
+    The first candidates are verified, then later ones whose ends the first links have not joined.
+    So m near copies cost about m verifications a round, not m * m.
     """
-    sketches = nodes.select("node", *[f"w{k}" for k in range(SKETCH_WORDS)])
     most = most_bits(similarity)
-    first, later = candidates(nodes)
-    links = _verified(store(_near(first, sketches, most), "near"), nodes, own, size, similarity)
+    first, members = candidates(nodes, most)
+    links = _verified(first, nodes, own, size, similarity)
     roots = store(components(links), "roots")
-    apart = later.join(first, ["u", "v"], "left_anti")
-    discard_after = [first, later]
-    for end in ("u", "v"):
-        apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias("root_" + end)), end, "left")
-    apart = apart.filter(~same(F.coalesce("root_u", "u"), F.coalesce("root_v", "v"))).select("u", "v")
-    rest = store(_near(apart, sketches, most), "near")
-    for table in discard_after:
+    later = later_candidates(members, roots, most)
+    rest = store(later.join(first, ["u", "v"], "left_anti"), "pairs")
+    for table in (members, first, later):
         discard(table)
     return links.union(_verified(rest, nodes, own, size, similarity))
 

@@ -7,6 +7,7 @@ import sys
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 import xxhash
@@ -190,6 +191,65 @@ def test_pairs_in_large_buckets_are_found(spark):
     assert found >= 0.95 * 150
 
 
+def test_large_groups_are_joined_through_few_pairs(spark, monkeypatch):
+    """Texts about as alike as the similarity asks: the joins of all pairs but one in a hundred, from pairs in proportion."""
+    rng = random.Random(10)
+    base = [f"b{k}" for k in range(200)]
+    texts = [_changed(rng, base, rng.choice((1, 2, 4, 5, 6, 7))) for _ in range(800)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = []
+
+    def counted(df, label, real=simhash.store):
+        out = real(df, label)
+        if label == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "store", counted)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, size=5, similarity=0.8).collect()}
+    want = roots(alike(plain_sets(texts)))
+    want = {k: want.get(k, k) for k in range(len(texts))}
+    assert all(want[k] == want[c] for k, c in got.items())
+    groups, joined = len(set(want.values())), len(texts) - len(set(want.values()))
+    assert len(set(got.values())) - groups <= 0.01 * joined
+    assert sum(made[:2]) <= 55 * len(texts)
+
+
+def _block(*members):
+    return pd.DataFrame({"members": [np.array(members, np.int64).ravel()]})
+
+
+def _meet(most, *members):
+    (found,) = simhash._meeting(most, len(members[0]))(iter([_block(*members)]))
+    return [tuple(r) for r in found.itertuples(index=False)]
+
+
+def test_members_of_a_block_meet_their_nearest():
+    few = [(7, 7, 0b0), (3, 3, 0b1), (5, 5, 0b111)]
+    assert _meet(2, *few) == [(3, 5), (3, 7)]  # up to SMALL: all pairs near enough
+    assert _meet(2, *[(n, 3, w) for n, _, w in few]) == []  # joined already
+    many = [(n, n, (1 << n) - 1) for n in range(simhash.SMALL + 3)]
+    assert _meet(1, *many) == [(n, n + 1) for n in range(len(many) - 2)] + [(len(many) - 2, len(many) - 1)]
+    assert _meet(0, *many) == []
+    same = [(n, n, 5) for n in range(-4, 5)]
+    assert _meet(0, *same) == [(-4, n) for n in range(-3, 5)]  # copies meet one of them, not each other
+    assert _meet(3, *[(n, min(n, 0), w) for n, _, w in same]) == [(-4, n) for n in range(-3, 5)]
+
+
+def test_pairs_of_large_buckets_are_bound_by_their_entries(spark):
+    """A member of a large block gives one pair at most, however many it stands with."""
+    rng = random.Random(11)
+    base = [f"b{k}" for k in range(200)]
+    docs = spark.createDataFrame([(k, _changed(rng, base, 7)) for k in range(1600)], "doc_id long, text string")
+    nodes = simhash.store(docs.select(simhash._sketches(5)("text").alias("s")).select("s.*"), "nodes")
+    first, members = simhash.candidates(nodes, simhash.most_bits(0.8))
+    none = spark.createDataFrame([], "node long, root long")
+    later = simhash.later_candidates(members, none, simhash.most_bits(0.8))
+    entries = nodes.agg(F.sum(F.size("keys"))).first()[0]
+    assert members.count() <= entries and first.count() <= entries and later.count() <= (1 + simhash.REFINING) * entries
+    assert first.count() + later.count() < 0.1 * 1600 * 1599 / 2
+
+
 def test_similar_edges(awkward, nothing):
     rows = simhash.near_duplicates(awkward, size=5, similarity=0.8).collect()
     assert len(rows) == awkward.count() and all(r.component_id == 0 for r in rows if r.doc_id in (0, 1, 2))
